@@ -11,83 +11,91 @@ per row, and invalid input never raises under ANSI mode.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Accepted layouts of the date part.
-#   day/month/year with separator '/', '.' or '-' and a 2- or 4-digit year
+# Accepted layouts of the date part, each rewritten to
+# "year-month-day<SEP>rest of text".
+#   day/month/year with separator '/', '.' or '-' and a 4- or 2-digit year
 #   ISO year-month-day
 #   day, month name (3 letters or full), 4-digit year
-_DMY = r"^(\d{1,2})[/.\-](\d{1,2})[/.\-](\d{4}|\d{2})(?:(?:\s+|T)(.*))?$"
-_ISO = r"^(\d{4})-(\d{1,2})-(\d{1,2})(?:(?:\s+|T)(.*))?$"
-_DMONY = r"^(\d{1,2})[\s\-]+([A-Za-z]{3,9})\.?,?[\s\-]+(\d{4})(?:,?\s+(.*))?$"
-
+_SEP = "\u0001"
+_TAIL = r"(?:(?:\s+|T)(.*))?$"
+_LAYOUTS = (
+    (r"^(\d{1,2})[/.\-](\d{1,2})[/.\-](\d{4})" + _TAIL, "$3-$2-$1" + _SEP + "$4"),
+    (r"^(\d{1,2})[/.\-](\d{1,2})[/.\-](\d{2})" + _TAIL, "20$3-$2-$1" + _SEP + "$4"),
+    (r"^(\d{4})-(\d{1,2})-(\d{1,2})" + _TAIL, "$1-$2-$3" + _SEP + "$4"),
+    (r"^(\d{1,2})[\s\-]+([A-Za-z]{3,9})\.?,?[\s\-]+(\d{4})(?:,?\s+(.*))?$", "$3-$2-$1" + _SEP + "$4"),
+)
 # Accepted layouts of the time part.
 #   24-hour H:mm with optional :ss and fraction
 #   12-hour h, h:mm or h:mm:ss followed by am/pm
-_T24 = r"^(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,]\d+)?)?$"
-_T12 = r"^(\d{1,2})(?::(\d{2}))?(?::(\d{2}))?\s*([aApP])\.?[mM]\.?$"
-
-
-def _int(c: Column) -> Column:
-    return c.try_cast("int")
-
-
-def _date_parts(s: Column):
-    """(year, month, day, month_name, rest) as Columns for the first layout that matches."""
-    is_dmy, is_iso, is_mon = s.rlike(_DMY), s.rlike(_ISO), s.rlike(_DMONY)
+_T24 = r"^\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?$"
+_T12 = r"^\d{1,2}(?::\d{2})?(?::\d{2})?\s*[aApP]\.?[mM]\.?$"
 
-    def pick(dmy, iso, mon):
-        return F.when(is_dmy, dmy).when(is_iso, iso).when(is_mon, mon)
 
-    day = pick(F.regexp_extract(s, _DMY, 1), F.regexp_extract(s, _ISO, 3), F.regexp_extract(s, _DMONY, 1))
-    month = pick(F.regexp_extract(s, _DMY, 2), F.regexp_extract(s, _ISO, 2), F.lit(None).cast("string"))
-    year = pick(F.regexp_extract(s, _DMY, 3), F.regexp_extract(s, _ISO, 1), F.regexp_extract(s, _DMONY, 3))
-    month_name = F.when(is_mon, F.initcap(F.substring(F.regexp_extract(s, _DMONY, 2), 1, 3)))
-    rest = F.trim(pick(F.regexp_extract(s, _DMY, 4), F.regexp_extract(s, _ISO, 4), F.regexp_extract(s, _DMONY, 4)))
-    return year, month, day, month_name, rest
+def _normalise(s: Column) -> Column:
+    out = None
+    for pattern, target in _LAYOUTS:
+        rewritten = F.regexp_replace(s, pattern, target)
+        out = F.when(s.rlike(pattern), rewritten) if out is None else out.when(s.rlike(pattern), rewritten)
+    return out
 
 
-def _parse_date(year: Column, month: Column, day: Column, month_name: Column) -> Column:
-    y = _int(year)
-    # Two-digit years fall in 2000-2099, as Spark's own 'yy' pattern does.
-    y = F.when(F.length(year) == 2, y + F.lit(2000)).otherwise(y)
-    numeric = F.try_to_date(F.concat_ws("-", y.cast("string"), month, day), "y-M-d")
-    named = F.try_to_date(F.concat_ws(" ", day, month_name, y.cast("string")), "d MMM y")
-    return F.when(month_name.isNotNull(), named).otherwise(numeric)
+def _parse_date(ymd: Column) -> Column:
+    named = F.initcap(ymd)
+    return F.coalesce(F.try_to_date(ymd, "y-M-d"), F.try_to_date(named, "y-MMM-d"),
+                      F.try_to_date(named, "y-MMMM-d"))
 
 
 def _parse_minutes(rest: Column) -> Column:
     """Minutes since midnight as double; null for empty text; -1 for unreadable text."""
-    h24, m24 = _int(F.regexp_extract(rest, _T24, 1)), _int(F.regexp_extract(rest, _T24, 2))
-    s24 = F.regexp_extract(rest, _T24, 3)
-    h12 = _int(F.regexp_extract(rest, _T12, 1))
-    m12 = F.coalesce(_int(F.regexp_extract(rest, _T12, 2)), F.lit(0))
-    s12 = F.regexp_extract(rest, _T12, 3)
-    pm = F.lower(F.regexp_extract(rest, _T12, 4)) == F.lit("p")
-    sec_ok24 = (s24 == "") | (_int(s24) < 60)
-    sec_ok12 = (s12 == "") | (_int(s12) < 60)
-    ok24 = rest.rlike(_T24) & (h24 < 24) & (m24 < 60) & sec_ok24
-    ok12 = rest.rlike(_T12) & (h12 >= 1) & (h12 <= 12) & (m12 < 60) & sec_ok12
-    minutes24 = h24 * 60 + m24
-    minutes12 = (h12 % 12 + F.when(pm, 12).otherwise(0)) * 60 + m12
+    is24, is12 = rest.rlike(_T24), rest.rlike(_T12)
+    core = F.regexp_replace(rest, r"\s*[aApP]\.?[mM]\.?$", "")
+    parts = F.split(F.regexp_replace(core, r"[.,]\d+$", ""), ":")
+    h = F.try_element_at(parts, F.lit(1)).try_cast("int")
+    m = F.coalesce(F.try_element_at(parts, F.lit(2)).try_cast("int"), F.lit(0))
+    sec = F.coalesce(F.try_element_at(parts, F.lit(3)).try_cast("int"), F.lit(0))
+    pm = F.lower(rest).rlike(r"p\.?m\.?$")
+    ok24 = is24 & (h < 24)
+    ok12 = is12 & (h >= 1) & (h <= 12)
+    hour = F.when(ok24, h).when(ok12, h % 12 + F.when(pm, 12).otherwise(0))
+    valid = (ok24 | ok12) & (m < 60) & (sec < 60)
     return (F.when(rest.isNull() | (rest == ""), F.lit(None))
-            .when(ok24, minutes24)
-            .when(ok12, minutes12)
+            .when(valid, hour * 60 + m)
             .otherwise(F.lit(-1))).cast("double")
 
 
 def parse_datetime(col: Column | str) -> Column:
     """Day-first date/time text → ``struct<date: date, time: double>`` (F1)."""
     c = F.col(col) if isinstance(col, str) else col
-    s = F.trim(c.cast("string"))
-    year, month, day, month_name, rest = _date_parts(s)
-    date = _parse_date(year, month, day, month_name)
-    minutes = _parse_minutes(rest)
+    norm = _normalise(F.trim(c.cast("string")))
+    date = _parse_date(F.substring_index(norm, _SEP, 1))
+    minutes = _parse_minutes(F.trim(F.substring_index(norm, _SEP, -1)))
     valid = date.isNotNull() & (minutes.isNull() | (minutes >= 0))
     return F.struct(F.when(valid, date).alias("date"), F.when(valid, minutes).alias("time"))
 
 
+def with_parsed_datetime(df: DataFrame, text: Column | str, date_col: str, time_col: str) -> DataFrame:
+    """Add ``date_col`` (date) and ``time_col`` (minutes, double) parsed from ``text`` (F1).
+
+    Same rules as ``parse_datetime`` but staged over a few projections: each
+    intermediate column is referenced more than once, so Catalyst keeps the
+    projections apart and every regex runs once per row, instead of being
+    inlined into each place that uses the date or the minutes.
+    """
+    c = F.col(text) if isinstance(text, str) else text
+    tmp = ["_dt_norm", "_dt_date", "_dt_min"]
+    staged = df.withColumn("_dt_norm", _normalise(F.trim(c.cast("string"))))
+    staged = staged.select(
+        "*",
+        _parse_date(F.substring_index(F.col("_dt_norm"), _SEP, 1)).alias("_dt_date"),
+        _parse_minutes(F.trim(F.substring_index(F.col("_dt_norm"), _SEP, -1))).alias("_dt_min"))
+    valid = F.col("_dt_date").isNotNull() & (F.col("_dt_min").isNull() | (F.col("_dt_min") >= 0))
+    return (staged.withColumn(date_col, F.when(valid, F.col("_dt_date")))
+            .withColumn(time_col, F.when(valid, F.col("_dt_min"))).drop(*tmp))
+
+
 def render_date(col: Column | str) -> Column:
     """Legacy text rendering of a date: day/month/year, not zero-padded (F2)."""
     c = F.col(col) if isinstance(col, str) else col

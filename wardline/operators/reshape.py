@@ -12,7 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.functions.labels import value_key
+from wardline.functions.labels import canonical_id, value_key
 from wardline.operators.columns import drop_columns
 
 
@@ -40,5 +40,5 @@ def melt_onehot(df: DataFrame, id_column: str, exclude: Iterable[str] | None = N
     long = unpivot_values(df, [id_column], flags, name_col, "_status")
     positive_key = value_key(F.lit(str(positive)))
     return (long.where(value_key(F.col("_status")) == positive_key)
-            .select(F.col(id_column).alias(id_alias), name_col)
+            .select(canonical_id(F.col(id_column)).alias(id_alias), name_col)
             .distinct())

@@ -14,7 +14,7 @@ from warnings import warn
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.functions.datetime import join_datetime, parse_datetime
+from wardline.functions.datetime import join_datetime, with_parsed_datetime
 from wardline.functions.labels import canonical_id, label_map
 from wardline.functions.text import clean_label, split_literal
 from wardline.operators.columns import drop_columns
@@ -62,14 +62,13 @@ def build_events(df: DataFrame, id_column: str, event_datetime: str | Sequence[s
     if patients is not None:
         assert_parents(df, patients, id_column)
     dt_cols = [event_datetime] if isinstance(event_datetime, str) else list(event_datetime)
-    text = join_datetime(dt_cols)
-    parsed = parse_datetime(text)
+    df = with_parsed_datetime(df.withColumn("_ev_text", join_datetime(dt_cols)), "_ev_text", "_ev_date", "_ev_time")
     pid = canonical_id(F.col(id_column))
     bad_date = F.raise_error(F.concat(F.lit("Invalid event datetime for patient "), F.coalesce(pid, F.lit("?")),
-                                      F.lit(": "), F.coalesce(text, F.lit("null"))))
+                                      F.lit(": "), F.coalesce(F.col("_ev_text"), F.lit("null"))))
     cols = [pid.alias("patient_id"),
-            F.when(parsed["date"].isNull(), bad_date.cast("date")).otherwise(parsed["date"]).alias("event_date"),
-            parsed["time"].alias("event_time")]
+            F.when(F.col("_ev_date").isNull(), bad_date.cast("date")).otherwise(F.col("_ev_date")).alias("event_date"),
+            F.col("_ev_time").alias("event_time")]
     for fld, src in mappings.items():
         c = F.col(src)
         if fld == "event_type":
@@ -122,12 +121,13 @@ def build_measurements(df: DataFrame, id_column: str, results_columns: Sequence[
     keep.append((F.col(request_source).cast("string") if request_source else F.lit(None).cast("string")).alias("_src"))
     keep.append((F.col(notes).cast("string") if notes else F.lit(None).cast("string")).alias("_notes"))
     wide = df.select(*keep, *[F.col(c).cast("string").alias(c) for c in results_columns])
-    long = (wide.unpivot(["_pid", "_dt", "_src", "_notes"], results_columns, "result_name", "_result")
+    # Parse the datetime once per source row, before the unpivot multiplies rows.
+    wide = with_parsed_datetime(wide, "_dt", "_rdate", "_rtime")
+    long = (wide.unpivot(["_pid", "_dt", "_rdate", "_rtime", "_src", "_notes"], results_columns, "result_name", "_result")
             .where(F.col("_result").isNotNull() & (F.trim("_result") != "")))
 
     rtype = label_map(F.col("result_name"), type_of)
     number = F.trim("_result").try_cast("double")
-    parsed = parse_datetime(F.col("_dt"))
     pid = canonical_id(F.col("_pid"))
     if on_invalid == "raise":
         not_number = F.raise_error(F.concat(F.lit("Result is not a number for patient "), pid, F.lit(", "),
@@ -136,7 +136,7 @@ def build_measurements(df: DataFrame, id_column: str, results_columns: Sequence[
                                         F.col("_dt"))).cast("date")
     else:
         long = long.where((rtype != "continuous") | number.isNotNull())
-        long = long.where(F.col("_dt").isNull() | parsed["date"].isNotNull())
+        long = long.where(F.col("_dt").isNull() | F.col("_rdate").isNotNull())
         not_number, bad_dt = F.lit(None).cast("double"), F.lit(None).cast("date")
     low, high = label_map(F.col("result_name"), lows), label_map(F.col("result_name"), highs)
     out = long.select(
@@ -145,8 +145,8 @@ def build_measurements(df: DataFrame, id_column: str, results_columns: Sequence[
         F.when(rtype == "discrete", F.col("_result")).alias("result_string"),
         F.when(rtype == "complex", split_literal(F.col("_result"), complex_result_split_char)).alias("result_array"),
         F.when(F.col("_dt").isNull(), F.lit(None).cast("date"))
-        .otherwise(F.coalesce(parsed["date"], bad_dt)).alias("result_date"),
-        parsed["time"].alias("result_time"),
+        .otherwise(F.coalesce(F.col("_rdate"), bad_dt)).alias("result_date"),
+        F.col("_rtime").alias("result_time"),
         F.col("_src").alias("request_source"),
         F.when(low.isNotNull(), F.array(low, high)).alias("ref_range"),
         F.col("_notes").alias("notes"))
@@ -172,19 +172,22 @@ def build_critical_care(df: DataFrame, id_column: str, admission_datetime: str |
     if patients is not None:
         assert_parents(df, patients, id_column)
 
-    def when_(value):
+    def parse(frame, value, prefix):
         if value is None:
-            return F.struct(F.lit(None).cast("date").alias("date"), F.lit(None).cast("double").alias("time"))
-        return parse_datetime(join_datetime([value] if isinstance(value, str) else list(value)))
+            return (frame.withColumn(f"{prefix}_date", F.lit(None).cast("date"))
+                    .withColumn(f"{prefix}_time", F.lit(None).cast("double")))
+        text = join_datetime([value] if isinstance(value, str) else list(value))
+        return with_parsed_datetime(frame.withColumn(f"{prefix}_text", text), f"{prefix}_text",
+                                    f"{prefix}_date", f"{prefix}_time")
 
-    adm, dis = when_(admission_datetime), when_(discharge_datetime)
+    df = parse(parse(df, admission_datetime, "_adm"), discharge_datetime, "_dis")
 
     def opt(c, cast="string"):
         return F.col(c).cast("string").try_cast(cast) if c else F.lit(None).cast(cast)
 
     out = df.select(canonical_id(F.col(id_column)).alias("patient_id"),
-                    adm["date"].alias("admission_date"), adm["time"].alias("admission_time"),
-                    dis["date"].alias("discharge_date"), dis["time"].alias("discharge_time"),
+                    F.col("_adm_date").alias("admission_date"), F.col("_adm_time").alias("admission_time"),
+                    F.col("_dis_date").alias("discharge_date"), F.col("_dis_time").alias("discharge_time"),
                     opt(request_location).alias("request_location"), opt(icu_days, "double").alias("icu_days"),
                     F.trim(opt(ventilated)).alias("ventilated"), F.trim(opt(covid_status)).alias("covid_status"))
     return conform(out, "critical_care")
