@@ -85,14 +85,27 @@ def with_parsed_datetime(df: DataFrame, text: Column | str, date_col: str, time_
     inlined into each place that uses the date or the minutes.
     """
     c = F.col(text) if isinstance(text, str) else text
-    tmp = ["_dt_norm", "_dt_date", "_dt_min"]
-    staged = df.withColumn("_dt_norm", _normalise(F.trim(c.cast("string"))))
-    staged = staged.select(
-        "*",
-        _parse_date(F.substring_index(F.col("_dt_norm"), _SEP, 1)).alias("_dt_date"),
-        _parse_minutes(F.trim(F.substring_index(F.col("_dt_norm"), _SEP, -1))).alias("_dt_min"))
+    tmp = ["_dt_norm", "_dt_ymd", "_dt_rest", "_dt_date", "_dt_kind", "_dt_parts", "_dt_pm", "_dt_min"]
+    out = df.withColumn("_dt_norm", _normalise(F.trim(c.cast("string"))))
+    out = out.select("*", F.substring_index("_dt_norm", _SEP, 1).alias("_dt_ymd"),
+                     F.trim(F.substring_index("_dt_norm", _SEP, -1)).alias("_dt_rest"))
+    rest = F.col("_dt_rest")
+    kind = (F.when(rest.isNull() | (rest == ""), F.lit(0)).when(rest.rlike(_T24), F.lit(24))
+            .when(rest.rlike(_T12), F.lit(12)).otherwise(F.lit(-1)))
+    core = F.regexp_replace(rest, r"(?:\s*[aApP]\.?[mM]\.?|[.,]\d+)$", "")
+    out = out.select("*", _parse_date(F.col("_dt_ymd")).alias("_dt_date"), kind.alias("_dt_kind"),
+                     F.split(core, ":").alias("_dt_parts"), F.lower(rest).rlike(r"p\.?m\.?$").alias("_dt_pm"))
+    parts = F.col("_dt_parts")
+    h = F.try_element_at(parts, F.lit(1)).try_cast("int")
+    m = F.coalesce(F.try_element_at(parts, F.lit(2)).try_cast("int"), F.lit(0))
+    sec = F.coalesce(F.try_element_at(parts, F.lit(3)).try_cast("int"), F.lit(0))
+    k = F.col("_dt_kind")
+    ok = (((k == 24) & (h < 24)) | ((k == 12) & (h >= 1) & (h <= 12))) & (m < 60) & (sec < 60)
+    hour = F.when(k == 24, h).otherwise(h % 12 + F.when(F.col("_dt_pm"), 12).otherwise(0))
+    minutes = F.when(k == 0, F.lit(None)).when(ok, hour * 60 + m).otherwise(F.lit(-1)).cast("double")
+    out = out.withColumn("_dt_min", minutes)
     valid = F.col("_dt_date").isNotNull() & (F.col("_dt_min").isNull() | (F.col("_dt_min") >= 0))
-    return (staged.withColumn(date_col, F.when(valid, F.col("_dt_date")))
+    return (out.withColumn(date_col, F.when(valid, F.col("_dt_date")))
             .withColumn(time_col, F.when(valid, F.col("_dt_min"))).drop(*tmp))
 
 
