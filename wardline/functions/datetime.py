@@ -42,10 +42,28 @@ def _normalise(s: Column) -> Column:
     return out
 
 
+# English month names, matched on their first three letters.
+_MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+_MONTH_NAME = r"(?i)^(jan(uary)?|feb(ruary)?|mar(ch)?|apr(il)?|may|june?|july?|aug(ust)?|sept?(ember)?|oct(ober)?|nov(ember)?|dec(ember)?)$"
+
+
 def _parse_date(ymd: Column) -> Column:
-    named = F.initcap(ymd)
-    return F.coalesce(F.try_to_date(ymd, "y-M-d"), F.try_to_date(named, "y-MMM-d"),
-                      F.try_to_date(named, "y-MMMM-d"))
+    """'year-month-day' text (month as number or English name) → date, or null.
+
+    Validated arithmetically and built with ``make_date`` only when valid, so
+    no parser exception is thrown per row and ANSI mode never raises.
+    """
+    parts = F.split(ymd, "-")
+    y = F.try_element_at(parts, F.lit(1)).try_cast("int")
+    mtext = F.try_element_at(parts, F.lit(2))
+    d = F.try_element_at(parts, F.lit(3)).try_cast("int")
+    by_name = F.when(mtext.rlike(_MONTH_NAME),
+                     F.array_position(F.array(*[F.lit(m) for m in _MONTHS]), F.lower(F.substring(mtext, 1, 3))))
+    m = F.coalesce(mtext.try_cast("int"), by_name.cast("int"))
+    ym_ok = (F.size(parts) == 3) & y.between(1, 9999) & m.between(1, 12)
+    month_len = F.when(ym_ok, F.dayofmonth(F.last_day(F.make_date(y, m, F.lit(1)))))
+    ok = ym_ok & (d >= 1) & (d <= month_len)
+    return F.when(ok, F.make_date(y, m, d))
 
 
 def _parse_minutes(rest: Column) -> Column:
