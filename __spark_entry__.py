@@ -24,11 +24,14 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from wardline.functions import (join_datetime, label_map, normalise_gender, render_date, split_literal,
                                 with_parsed_datetime)
 from wardline.operators import (AnyMatch, Presence, Single, ValueEquals, classes, conflict_report, drop_columns,
-                                duplicate_keys, entity_aggregates, entity_index, invalid_choices, match_columns,
-                                melt_onehot, missing_parents, multi_values, resolve_names, similar_pairs, tri_state)
+                                duplicate_keys, entity_aggregates, entity_index, entity_spine, gather_values,
+                                invalid_choices, match_columns, melt_onehot, missing_parents, multi_values,
+                                resolve_names, similar_pairs, tri_state)
 from wardline.plans import (apply_correction, build_critical_care, build_events, build_measurements, build_patients,
-                            cascade_delete, child_summary, corrected_values, insert_if_absent, measurements_of_type)
-from wardline.sources import FILE_COL, SourceSet, from_table, read_table, union_sources
+                            cascade_delete, child_summary, corrected_values, insert_if_absent, load_keyword,
+                            measurements_of_type)
+from wardline.session import checkpoint_dir
+from wardline.sources import FILE_COL, SourceSet, from_table, load_directory, read_table, union_sources
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -95,6 +98,31 @@ def q_concat_datetime(spark, d):
     return with_parsed_datetime(ev, "event_datetime", "event_date", "event_time")
 
 
+def q_entity_spine(spark, d):
+    return entity_spine(SourceSet([_customer(spark, d), _orders(spark, d, columns=[]), _events(spark, d)]))
+
+
+def q_gather_values(spark, d):
+    vals = gather_values(SourceSet([_orders(spark, d, columns=["o_orderstatus"])]), ["o_orderstatus"])
+    return vals.withColumnRenamed(FILE_COL, "source_file")
+
+
+def q_csv_ingest(spark, d):
+    """End-to-end file path: orders written as a CSV extract folder, then discovered,
+    header-checked, scanned as text and loaded as events."""
+    import uuid
+
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/wardline_extracts/{uuid.uuid4().hex}"
+    extract = read_table(spark, d, "orders").select(
+        F.col("o_custkey").alias("patient"), "o_orderkey", "o_orderstatus", "o_orderpriority",
+        F.date_format("o_orderdate", "d/M/yyyy").alias("admit_date"))
+    extract.write.option("header", True).csv(folder)
+    sources = load_directory(spark, folder, "patient")
+    outcome = load_keyword(sources, ".csv")
+    ev = build_events(outcome, "patient", "admit_date", {"event_type": "o_orderpriority", "component": "o_orderstatus"})
+    return ev.select(*[c for c in ev.columns if c != "extra"], F.col("extra")["o_orderkey"].alias("order_key"))
+
+
 def q_label_normalise(spark, d):
     cust = read_table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("patient_id"),
                                                    F.lit("customer").alias("source"),
@@ -286,6 +314,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "entity_index": q_entity_index,
     "parse_datetime": q_parse_datetime,
     "concat_datetime": q_concat_datetime,
+    "entity_spine": q_entity_spine,
+    "gather_values": q_gather_values,
+    "csv_ingest": q_csv_ingest,
     "label_normalise": q_label_normalise,
     "single_value_ignore": q_single_value_ignore,
     "conflict_report": q_conflict_report,
@@ -366,6 +397,20 @@ _SQL = {
         select event_id, strftime(ts, '%-d/%-m/%Y') || ' ' || strftime(ts, '%H:%M') as event_datetime,
                cast(ts as date) as event_date, cast(hour(ts) * 60 + minute(ts) as double) as event_time
         from events""",
+    "entity_spine": """
+        select cast(c_custkey as varchar) as patient_id from customer
+        union select cast(o_custkey as varchar) from orders
+        union select cast(user_id as varchar) from events""",
+    "gather_values": """
+        select distinct cast(o_custkey as varchar) as patient_id, o_orderpriority as source_file,
+               o_orderstatus as value from orders""",
+    "csv_ingest": """
+        select cast(o_custkey as varchar) as patient_id, o_orderstatus as component,
+               trim(o_orderpriority) as event_type, cast(o_orderdate as date) as event_date,
+               null::double as event_time, 'U' as covid_status, 0 as death, 0 as critical_care_admission,
+               null::varchar as source, null::varchar as source_type, null::varchar as destination,
+               null::integer as wimd, cast(o_orderkey as varchar) as order_key
+        from orders""",
     "label_normalise": """
         select cast(c_custkey as varchar) as patient_id, 'customer' as source, c_mktsegment as raw,
                case when regexp_matches(c_mktsegment, '^m', 'i') then 'M'
