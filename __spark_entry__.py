@@ -508,8 +508,8 @@ _SQL = {
                cast(l_shipdate as date) as result_date,
                cast(hour(l_shipdate) * 60 + minute(l_shipdate) as double) as result_time,
                l_linestatus as request_source,
-               case result_name when 'l_quantity' then 1.0 else 0.0 end as ref_low,
-               case result_name when 'l_quantity' then 50.0 else 100000.0 end as ref_high
+               case result_name when 'l_quantity' then 1.0::double else 0.0::double end as ref_low,
+               case result_name when 'l_quantity' then 50.0::double else 100000.0::double end as ref_high
         from (unpivot (select l_orderkey, l_shipdate, l_linestatus, l_quantity, l_extendedprice from lineitem)
               on l_quantity, l_extendedprice into name result_name value result_double)""",
     "measurements_typed": """

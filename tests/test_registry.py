@@ -73,3 +73,34 @@ def test_age_correction(spark, files):
     out = apply_correction(sources, fixed)
     demo = [s for s in out if "age" in s.df.columns][0].df
     assert sorted((r["pid"], r["age"]) for r in demo.collect()) == [("007", "34.0"), ("2", "52.0"), ("3", "60.0")]
+
+
+def test_loader_workflow(spark, files):
+    from wardline.plans import Loader
+
+    root, src = files
+    _write(os.path.join(src, "measurements.csv"), "pid,date,hb,flag,src\n007,1/2/2020 09:00,13.5,ok,lab\n2,2/2/2020,9.1,low,ward\n")
+    _write(os.path.join(src, "comorbidities.csv"), "pid,Cancer,Cancers,Asthma\n007,1,0,1\n2,0,1,0\n3,0,0,0\n")
+    _write(os.path.join(src, "critical_care.csv"), "pid,admitted,discharged,days,vent\n2,2/2/2020 12:00,1/30/2020,3,Y\n")
+    loader = Loader(spark, src, "pid", os.path.join(root, "reg"), conflicts="ignore")
+    assert loader.add_patients().count() == 3
+    loader.add_events(["date", "time"], "outcome", {"event_type": "event_type", "destination": "destination"},
+                      exclude_columns=["CRITICAL_CARE"])
+    loader.add_measurements("measurements", "date", ["hb", "flag"], ["continuous", "discrete"], [[12, 16]],
+                            request_source="src")
+    loader.add_comorbidities("comorbidities", edit_threshold=1, conflicts="merge")
+    loader.add_critical_care("critical_care", "admitted", "discharged", icu_days="days", ventilated="vent")
+    reg = loader.registry
+    assert reg.read("events").count() == 2
+    assert reg.read("measurements").count() == 4
+    assert sorted(tuple(r) for r in reg.read("comorbidities").collect()) == [("007", "Asthma"), ("007", "Cancer"),
+                                                                           ("2", "Cancer")]
+    assert sorted(r[0] for r in reg.read("comorb_key").collect()) == ["Asthma", "Cancer"]
+    cc = reg.read("critical_care").collect()[0]
+    assert cc["discharge_date"] is None and cc["admission_time"] == 720.0
+    assert reg.read("audit").where("op = 'add_patient'").count() == 3
+    # a second comorbidity load links to the existing keys and adds nothing twice
+    loader.add_comorbidities("comorbidities", edit_threshold=1, conflicts="merge")
+    assert reg.read("comorbidities").count() == 3
+    rep = loader.conflicts_report({"age": ["(?:.*[._-])?age(?:[._-].*)?$"]})
+    assert {r["patient_id"] for r in rep.collect()} == {"2"}

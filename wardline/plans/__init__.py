@@ -3,9 +3,10 @@ from wardline.plans.correction import apply_correction, corrected_values, python
 from wardline.plans.facts import (build_comorbidities, build_critical_care, build_events, build_measurements,
                                   load_keyword, measurements_of_type)
 from wardline.plans.patients import build_patients, insert_if_absent, new_only
+from wardline.plans.populate import Loader
 from wardline.plans.registry import Registry, cascade_delete, child_summary, patient_documents
 
 __all__ = ["apply_correction", "corrected_values", "python_correction", "write_sources", "build_comorbidities",
            "build_critical_care", "build_events", "build_measurements", "load_keyword", "measurements_of_type",
-           "build_patients", "insert_if_absent", "new_only", "Registry", "cascade_delete", "child_summary",
+           "build_patients", "insert_if_absent", "new_only", "Loader", "Registry", "cascade_delete", "child_summary",
            "patient_documents"]

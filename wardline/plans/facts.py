@@ -213,7 +213,11 @@ def build_comorbidities(df: DataFrame, id_column: str, exclude_columns: Sequence
         return None
     names = links.select(F.col("comorb_name").alias("name")).distinct()
     decisions = resolve_names(names, edit_threshold, existing=existing_keys, conflicts=conflicts, policy=policy)
-    mapped = (links.join(decisions.select(F.col("name").alias("comorb_name"), "comorb_key"), "comorb_name")
+    # Names are column headers, so ``decisions`` has at most one row per flag
+    # column: a proven bound.  Broadcasting it keeps a condition shared by a
+    # third of all patients from landing in one shuffle partition.
+    mapping = F.broadcast(decisions.select(F.col("name").alias("comorb_name"), "comorb_key"))
+    mapped = (links.join(mapping, "comorb_name")
               .where(F.col("comorb_key").isNotNull())
               .select("patient_id", F.col("comorb_key").alias("comorb_name")).distinct())
     new_keys = decisions.where(F.col("action") == "new_key").select(F.col("name").alias("comorb_name"))
