@@ -60,8 +60,9 @@ def test_registry_flow(spark, files):
     assert [r[0] for r in reg.read("events").collect()] == ["007"]
     assert reg.read("audit").where(F.col("op") == "delete").count() == 1
     bad = spark.createDataFrame([("9", "X")], "patient_id string, gender string")
-    with pytest.raises(ValueError, match="Invalid gender"):
+    with pytest.raises(Exception, match="Invalid gender in patients: X"):
         reg.append("patients", bad)
+    assert reg.read("patients").count() == 2               # nothing committed
 
 
 def test_age_correction(spark, files):

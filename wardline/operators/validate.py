@@ -62,3 +62,27 @@ def assert_parents(facts: DataFrame, parents: DataFrame, fact_id: str, parent_id
     """Every fact id must already be a registered entity."""
     assert_none(missing_parents(facts, parents, fact_id, parent_id).select("patient_id"),
                 "Ids missing from the patients table, have you called add_patients?")
+
+
+def guard_rows(df: DataFrame, table: str) -> DataFrame:
+    """Wrap columns so a null required value or a value outside its choices fails the job.
+
+    The checks run in the same projection that feeds the write: no extra pass.
+    """
+    from wardline.schemas import CHOICES, REQUIRED
+
+    required = set(REQUIRED.get(table, ()))
+    choices = CHOICES.get(table, {})
+    cols = []
+    for name in df.columns:
+        c = F.col(name)
+        if name in required:
+            c = F.when(c.isNull(), F.raise_error(F.lit(f"Missing required {name} in {table}")).cast(
+                df.schema[name].dataType)).otherwise(c)
+        if name in choices:
+            bad = F.col(name).isNotNull() & ~F.col(name).isin(list(choices[name]))
+            c = F.when(bad, F.raise_error(F.concat(F.lit(f"Invalid {name} in {table}: "),
+                                                   F.col(name).cast("string"))).cast(df.schema[name].dataType)
+                       ).otherwise(c)
+        cols.append(c.alias(name))
+    return df.select(*cols)

@@ -43,9 +43,7 @@ class Loader:
         """Register every entity of every file with its basics (A12 + K3); returns the new rows."""
         patients = build_patients(self.sources, conflicts=conflicts or self.conflicts, **options)
         fresh = self.registry.add_patients(patients)
-        self.registry.log("add_patient", self.registry.read("patients").select("patient_id")
-                          .join(fresh.select("patient_id"), "patient_id", "left_semi"),
-                          "New patient written to patients table")
+        self.registry.log("add_patient", fresh.select("patient_id"), "New patient written to patients table")
         return fresh
 
     def conflicts_report(self, variables: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -92,7 +90,9 @@ class Loader:
         links, new_keys, _ = built
         self.registry.add_comorb_keys(new_keys)
         existing = self.registry.read("comorbidities").select("patient_id", "comorb_name")
-        self.registry.append("comorbidities", links.join(existing, ["patient_id", "comorb_name"], "left_anti"))
+        # links are distinct (patient, name) pairs: unique by construction.
+        self.registry.append("comorbidities", links.join(existing, ["patient_id", "comorb_name"], "left_anti"),
+                             check_keys=False)
         self.registry.log("add_comorbidities", None, f"Comorbidities added from files matching {filename!r}")
 
     # -- correction ---------------------------------------------------------

@@ -14,7 +14,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.operators.validate import assert_none, duplicate_keys, invalid_choices, missing_required
+from wardline.operators.validate import assert_none, duplicate_keys, guard_rows, invalid_choices, missing_required
 from wardline.schemas import CHOICES, KEYS, REQUIRED, TABLES, conform
 
 FACT_TABLES = ("events", "measurements", "critical_care", "comorbidities")
@@ -65,30 +65,49 @@ class Registry:
 
     # -- K2, K3 -------------------------------------------------------------
     def validate(self, df: DataFrame, table: str) -> None:
-        """Required, allowed-value and key checks before a write."""
+        """Eager checks, one pass each: required, allowed values, keys."""
         assert_none(missing_required(df, REQUIRED.get(table, ())).limit(20), f"Missing required values in {table}")
         for column, allowed in CHOICES.get(table, {}).items():
             assert_none(invalid_choices(df, column, allowed).select(column), f"Invalid {column} in {table}")
         if table in KEYS:
             assert_none(duplicate_keys(df, KEYS[table]), f"Duplicate keys in {table}")
 
-    def append(self, table: str, df: DataFrame, validate: bool = True) -> None:
-        """Append rows to the current snapshot (K2)."""
+    def append(self, table: str, df: DataFrame, validate: bool = True, check_keys: bool = True) -> None:
+        """Append rows to the current snapshot (K2).
+
+        Row checks (required, allowed values) run inside the write itself, so
+        they cost no extra pass; a failing row fails the job and the commit
+        protocol leaves no partial files.  Key uniqueness needs one
+        aggregation over the batch and runs first, for keyed tables only;
+        callers whose rows are unique by construction pass ``check_keys=False``.
+        """
         df = conform(df, table)
         if validate:
-            self.validate(df, table)
+            if check_keys and table in KEYS:
+                assert_none(duplicate_keys(df, KEYS[table]), f"Duplicate keys in {table}")
+            df = guard_rows(df, table)
         df.write.mode("append").parquet(self.current(table))
 
     def add_patients(self, patients: DataFrame) -> DataFrame:
-        """Insert the patients not yet registered; existing ones are kept (K3)."""
-        fresh = conform(patients, "patients").join(self.read("patients").select("patient_id"), "patient_id",
-                                                    "left_anti")
-        self.append("patients", fresh)
+        """Insert the patients not yet registered; existing ones are kept (K3).
+
+        The new rows are checkpointed once (shared checkpoint folder), so the
+        source scan runs a single time even though the rows are both written
+        and returned (for the audit).  ``patients`` comes from a
+        ``groupBy(id)``, so keys are unique by construction.
+        """
+        from wardline.session import checkpoint_dir
+
+        checkpoint_dir(self.spark)
+        fresh = (conform(patients, "patients")
+                 .join(self.read("patients").select("patient_id"), "patient_id", "left_anti")
+                 .checkpoint())
+        self.append("patients", fresh, check_keys=False)
         return fresh
 
     def add_comorb_keys(self, keys: DataFrame) -> None:
         fresh = keys.select("comorb_name").distinct().join(self.read("comorb_key"), "comorb_name", "left_anti")
-        self.append("comorb_key", fresh)
+        self.append("comorb_key", fresh, check_keys=False)
 
     def log(self, op: str, entity_ids: DataFrame | None, message: str) -> None:
         """Audit rows: one per entity touched, or one for the whole operation (K8)."""
