@@ -31,15 +31,16 @@ def test_events_invalid_date_and_unknown_parent(spark):
 
 
 def test_measurements(spark):
-    df = spark.createDataFrame([("1", "5.5", "pos", "12 mg dl", "15/3/2020 10:00", "lab")],
-                               "id string, hb string, flag string, cx string, dt string, src string")
+    df = spark.createDataFrame([("1", "5.5", "pos", "12 mg dl", "15/3/2020 10:00", "lab", "H, repeat", "fasting")],
+                               "id string, hb string, flag string, cx string, dt string, src string, fl string, nt string")
     m = build_measurements(df, "id", ["hb", "flag", "cx"], ["continuous", "discrete", "complex"],
-                           result_datetime="dt", ref_ranges=[[1, 10]], request_source="src")
+                           result_datetime="dt", ref_ranges=[[1, 10]], request_source="src", notes="nt", flags="fl")
     rows = {r["result_name"]: r for r in m.collect()}
     assert rows["hb"]["result_double"] == 5.5 and rows["hb"]["ref_range"] == [1.0, 10.0]
     assert rows["flag"]["result_string"] == "pos" and rows["flag"]["ref_range"] is None
     assert rows["cx"]["result_array"] == ["12", "mg", "dl"]
     assert rows["cx"]["result_time"] == 600.0 and rows["cx"]["request_source"] == "lab"
+    assert rows["hb"]["flags"] == ["H", "repeat"] and rows["hb"]["notes"] == "fasting"
     sub = measurements_of_type(m, "continuous").collect()
     assert len(sub) == 1 and sub[0]["result"] == 5.5
     bad = spark.createDataFrame([("1", "abc")], "id string, hb string")
@@ -53,7 +54,9 @@ def test_measurements(spark):
 def test_critical_care_invalid_dates_become_null(spark):
     df = spark.createDataFrame([("1", "1/30/2020", "16/3/2020 08:00", "3", "Y")],
                                "id string, a string, d string, days string, v string")
-    r = build_critical_care(df, "id", "a", "d", icu_days="days", ventilated="v").collect()[0]
+    r = build_critical_care(df.withColumn("ward", df.v), "id", "a", "d", icu_days="days", ventilated="v",
+                            keep_extra=True).collect()[0]
+    assert r["extra"] == {"ward": "Y"}
     assert r["admission_date"] is None and str(r["discharge_date"]) == "2020-03-16"
     assert r["discharge_time"] == 480.0 and r["icu_days"] == 3.0 and r["covid_status"] == "U"
 

@@ -85,8 +85,8 @@ def build_measurements(df: DataFrame, id_column: str, results_columns: Sequence[
                        results_types: Sequence[str], result_datetime: str | Sequence[str] | None = None,
                        ref_ranges: Sequence[Sequence[float] | None] | None = None,
                        request_source: str | None = None, complex_result_split_char: str = " ",
-                       notes: str | None = None, patients: DataFrame | None = None,
-                       on_invalid: str = "raise") -> DataFrame:
+                       notes: str | None = None, flags: str | None = None, flags_sep: str = ",",
+                       patients: DataFrame | None = None, on_invalid: str = "raise") -> DataFrame:
     """Wide result columns → typed long ``measurements``.
 
     One ``unpivot`` of the result columns; the per-column type and reference
@@ -94,7 +94,8 @@ def build_measurements(df: DataFrame, id_column: str, results_columns: Sequence[
     the header, so no join is needed).  ``continuous`` → double (a value that
     is not a number fails the load, or is dropped with ``on_invalid='drop'``),
     ``discrete`` → text, ``complex`` → text split on a literal separator.
-    Empty result cells produce no measurement.
+    Empty result cells produce no measurement.  ``notes`` and ``flags`` name
+    source columns; flags are split on ``flags_sep`` into a list.
     """
     results_columns, results_types = list(results_columns), list(results_types)
     if len(results_columns) != len(results_types):
@@ -120,10 +121,13 @@ def build_measurements(df: DataFrame, id_column: str, results_columns: Sequence[
         keep.append(F.lit(None).cast("string").alias("_dt"))
     keep.append((F.col(request_source).cast("string") if request_source else F.lit(None).cast("string")).alias("_src"))
     keep.append((F.col(notes).cast("string") if notes else F.lit(None).cast("string")).alias("_notes"))
+    flag_list = F.transform(split_literal(F.col(flags), flags_sep), lambda x: F.trim(x)) if flags else F.lit(None)
+    keep.append(flag_list.cast("array<string>").alias("_flags"))
     wide = df.select(*keep, *[F.col(c).cast("string").alias(c) for c in results_columns])
     # Parse the datetime once per source row, before the unpivot multiplies rows.
     wide = with_parsed_datetime(wide, "_dt", "_rdate", "_rtime")
-    long = (wide.unpivot(["_pid", "_dt", "_rdate", "_rtime", "_src", "_notes"], results_columns, "result_name", "_result")
+    ids = ["_pid", "_dt", "_rdate", "_rtime", "_src", "_notes", "_flags"]
+    long = (wide.unpivot(ids, results_columns, "result_name", "_result")
             .where(F.col("_result").isNotNull() & (F.trim("_result") != "")))
 
     rtype = label_map(F.col("result_name"), type_of)
@@ -149,7 +153,7 @@ def build_measurements(df: DataFrame, id_column: str, results_columns: Sequence[
         F.col("_rtime").alias("result_time"),
         F.col("_src").alias("request_source"),
         F.when(low.isNotNull(), F.array(low, high)).alias("ref_range"),
-        F.col("_notes").alias("notes"))
+        F.col("_notes").alias("notes"), F.col("_flags").alias("flags"))
     return conform(out, "measurements")
 
 
@@ -167,8 +171,11 @@ def build_critical_care(df: DataFrame, id_column: str, admission_datetime: str |
                         discharge_datetime: str | Sequence[str] | None = None,
                         request_location: str | None = None, icu_days: str | None = None,
                         ventilated: str | None = None, covid_status: str | None = None,
-                        patients: DataFrame | None = None) -> DataFrame:
-    """Stay rows → ``critical_care`` (X4).  Unreadable dates become null, never an error."""
+                        patients: DataFrame | None = None, keep_extra: bool = False) -> DataFrame:
+    """Stay rows → ``critical_care`` (X4).  Unreadable dates become null, never an error.
+
+    With ``keep_extra`` the columns not used go to ``extra`` (dynamic attributes).
+    """
     if patients is not None:
         assert_parents(df, patients, id_column)
 
@@ -185,7 +192,11 @@ def build_critical_care(df: DataFrame, id_column: str, admission_datetime: str |
     def opt(c, cast="string"):
         return F.col(c).cast("string").try_cast(cast) if c else F.lit(None).cast(cast)
 
-    out = df.select(canonical_id(F.col(id_column)).alias("patient_id"),
+    used = {id_column, request_location, icu_days, ventilated, covid_status}
+    for value in (admission_datetime, discharge_datetime):
+        used.update([value] if isinstance(value, str) else list(value or []))
+    extra = _extra(df, used) if keep_extra else F.lit(None).cast("map<string,string>")
+    out = df.select(canonical_id(F.col(id_column)).alias("patient_id"), extra.alias("extra"),
                     F.col("_adm_date").alias("admission_date"), F.col("_adm_time").alias("admission_time"),
                     F.col("_dis_date").alias("discharge_date"), F.col("_dis_time").alias("discharge_time"),
                     opt(request_location).alias("request_location"), opt(icu_days, "double").alias("icu_days"),

@@ -82,39 +82,55 @@ def _number_text(v: str, is_date: bool) -> str:
     return str(int(f)) if f.is_integer() and abs(f) < 2**53 else repr(f)
 
 
-def read_sheet(content: bytes, max_rows: int | None = None) -> list[list[str | None]]:
-    """First sheet of an .xlsx workbook as rows of text (header row first)."""
+def iter_sheet(content: bytes, max_rows: int | None = None):
+    """Rows of the first sheet of an .xlsx workbook as lists of text, streamed.
+
+    The sheet XML is read incrementally (``iterparse``) and each row element is
+    freed once decoded, so memory holds the shared strings and one row.
+    """
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         shared = []
         if "xl/sharedStrings.xml" in z.namelist():
             sst = ET.fromstring(z.read("xl/sharedStrings.xml"))
             shared = [_text(si) for si in sst.findall("m:si", _NS)]
         date_styles = _date_styles(z)
-        sheet = ET.fromstring(z.read(_first_sheet_path(z)))
-    rows = []
-    for row in sheet.iter(f"{{{_NS['m']}}}row"):
-        values: dict[int, str | None] = {}
-        for pos, cell in enumerate(row.findall("m:c", _NS)):
-            ref = cell.get("r")
-            idx = _col_index(_CELL_REF.match(ref).group(1)) if ref else pos
-            kind = cell.get("t", "n")
-            v = cell.find("m:v", _NS)
-            if kind == "s" and v is not None:
-                values[idx] = shared[int(v.text)]
-            elif kind == "inlineStr":
-                values[idx] = _text(cell)
-            elif kind == "b" and v is not None:
-                values[idx] = "True" if v.text == "1" else "False"
-            elif v is not None and v.text is not None:
-                if kind == "n":
-                    values[idx] = _number_text(v.text, int(cell.get("s", "0")) in date_styles)
-                else:
-                    values[idx] = v.text
-        width = max(values) + 1 if values else 0
-        rows.append([values.get(i) for i in range(width)])
-        if max_rows is not None and len(rows) >= max_rows:
-            break
-    return rows
+        row_tag, cell_tag = f"{{{_NS['m']}}}row", f"{{{_NS['m']}}}c"
+        emitted = 0
+        with z.open(_first_sheet_path(z)) as stream:
+            for _, row in ET.iterparse(stream, events=("end",)):
+                if row.tag != row_tag:
+                    continue
+                values: dict[int, str | None] = {}
+                for pos, cell in enumerate(row.iter(cell_tag)):
+                    ref = cell.get("r")
+                    idx = _col_index(_CELL_REF.match(ref).group(1)) if ref else pos
+                    kind = cell.get("t", "n")
+                    v = cell.find("m:v", _NS)
+                    if kind == "s" and v is not None:
+                        values[idx] = shared[int(v.text)]
+                    elif kind == "inlineStr":
+                        values[idx] = _text(cell)
+                    elif kind == "b" and v is not None:
+                        values[idx] = "True" if v.text == "1" else "False"
+                    elif v is not None and v.text is not None:
+                        if kind == "n":
+                            values[idx] = _number_text(v.text, int(cell.get("s", "0")) in date_styles)
+                        else:
+                            values[idx] = v.text
+                row.clear()
+                width = max(values) + 1 if values else 0
+                yield [values.get(i) for i in range(width)]
+                emitted += 1
+                if max_rows is not None and emitted >= max_rows:
+                    return
+
+
+def read_sheet(content: bytes, max_rows: int | None = None) -> list[list[str | None]]:
+    """First sheet of an .xlsx workbook as rows of text (header row first)."""
+    return list(iter_sheet(content, max_rows))
+
+
+BATCH_ROWS = 10_000
 
 
 def _decode(header_only: bool):
@@ -122,18 +138,24 @@ def _decode(header_only: bool):
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
                 name = posixpath.basename(path)
-                rows = read_sheet(content, max_rows=1 if header_only else None)
-                if not rows:
+                rows = iter_sheet(content, max_rows=1 if header_only else None)
+                first = next(rows, None)
+                if first is None:
+                    continue
+                header = [h if h is not None else f"Unnamed: {i}" for i, h in enumerate(first)]
+                if header_only:
+                    yield pd.DataFrame([(name, 0, dict(zip(header, first)))], columns=["_file", "_row", "cells"])
                     continue
-                header = [h if h is not None else f"Unnamed: {i}" for i, h in enumerate(rows[0])]
-                body = [rows[0]] if header_only else rows[1:]
                 out = []
-                for i, r in enumerate(body):
-                    if not header_only and len(r) > len(header):
+                for i, r in enumerate(rows):
+                    if len(r) > len(header):
                         raise ValueError(f"Failed parsing {name}; row {i + 2} has more fields than the header")
-                    cells = {h: (r[j] if j < len(r) else None) for j, h in enumerate(header)}
-                    out.append((name, i, cells))
-                yield pd.DataFrame(out, columns=["_file", "_row", "cells"])
+                    out.append((name, i, {h: (r[j] if j < len(r) else None) for j, h in enumerate(header)}))
+                    if len(out) >= BATCH_ROWS:
+                        yield pd.DataFrame(out, columns=["_file", "_row", "cells"])
+                        out = []
+                if out:
+                    yield pd.DataFrame(out, columns=["_file", "_row", "cells"])
     return run
 
 
