@@ -27,9 +27,9 @@ from wardline.operators import (AnyMatch, Presence, Single, ValueEquals, classes
                                 duplicate_keys, entity_aggregates, entity_index, entity_spine, gather_values,
                                 invalid_choices, match_columns, melt_onehot, missing_parents, multi_values,
                                 resolve_names, similar_pairs, tri_state)
-from wardline.plans import (apply_correction, build_critical_care, build_events, build_measurements, build_patients,
-                            cascade_delete, child_summary, corrected_values, insert_if_absent, load_keyword,
-                            measurements_of_type)
+from wardline.plans import (apply_correction, build_comorbidities, build_critical_care, build_events,
+                            build_measurements, build_patients, cascade_delete, child_summary, corrected_values,
+                            insert_if_absent, load_keyword, measurements_of_type)
 from wardline.session import checkpoint_dir
 from wardline.sources import FILE_COL, SourceSet, from_table, load_directory, read_table, union_sources
 
@@ -300,6 +300,11 @@ def q_value_correction(spark, d):
     return out.select("o_orderkey", "patient_id", F.col("o_totalprice").cast("double").alias("o_totalprice"))
 
 
+def q_comorbidities_build(spark, d):
+    links, _, _ = build_comorbidities(read_table(spark, d, "labels"), "doc_id", edit_threshold=2, conflicts="merge")
+    return links
+
+
 def q_validate_choices(spark, d):
     return invalid_choices(read_table(spark, d, "orders"), "o_orderstatus", ["F", "O"]).select("o_orderkey", "o_orderstatus")
 
@@ -340,6 +345,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cascade_delete": q_cascade_delete,
     "patient_document": q_patient_document,
     "value_correction": q_value_correction,
+    "comorbidities_build": q_comorbidities_build,
     "validate_choices": q_validate_choices,
     "validate_unique": q_validate_unique,
 }
@@ -559,6 +565,9 @@ _SQL = {
         select o_orderkey, cast(o_custkey as varchar) as patient_id,
                max(o_totalprice) over (partition by o_custkey) as o_totalprice
         from orders""",
+    "comorbidities_build": """
+        select distinct cast(doc_id as varchar) as patient_id, comorb_name
+        from (unpivot labels on quality, toxic into name comorb_name value status) where status = 1""",
     "validate_choices": "select o_orderkey, o_orderstatus from orders where o_orderstatus not in ('F', 'O')",
     "validate_unique": "select p_name, count(*) as n_rows from part group by p_name having count(*) > 1",
 }

@@ -71,6 +71,10 @@ def test_age_correction(spark, files):
     fixed = corrected_values(sources, lambda c: F.max(c.cast("double")))
     got = {r[0]: r[1] for r in fixed.collect()}
     assert got == {"007": 34.0, "2": 52.0, "3": 60.0}
+    from wardline.plans import python_correction
+
+    by_python = corrected_values(sources, python_correction(lambda ages: max(float(a) for a in ages)))
+    assert {r[0]: r[1] for r in by_python.collect()} == got
     out = apply_correction(sources, fixed)
     demo = [s for s in out if "age" in s.df.columns][0].df
     assert sorted((r["pid"], r["age"]) for r in demo.collect()) == [("007", "34.0"), ("2", "52.0"), ("3", "60.0")]
