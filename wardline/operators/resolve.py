@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions.labels import contains_ci, regex_any, value_key
 from wardline.operators.columns import match_columns
+from wardline.session import checkpoint_dir
 from wardline.sources.model import FILE_COL, Source, SourceSet
 
 
@@ -243,23 +244,31 @@ def conflict_report(sources: SourceSet, variables: dict[str, Single], id_alias:
     ``level='file'``: the entity holds more than one value inside one file;
     ``level='entity'``: files that are clean on their own disagree.
     Columns: id, level, _file, variable, value.
-    """
-    from pyspark.sql import Window
 
+    Group statistics come from partially aggregated ``groupBy``s and are
+    joined back onto the distinct rows; no window holds an entity's values in
+    one task, and a hot join key can be split by adaptive skew handling.
+    Runs one job eagerly: the distinct rows are checkpointed.
+    """
     idc = id_alias or sources.id_column
     frames = []
     for name, spec in variables.items():
         frames.append(_long_values(sources, spec.patterns, "value", keyed=True)
                       .where(F.col("value").isNotNull()).withColumn("variable", F.lit(name)))
-    rows = reduce(lambda a, b: a.unionByName(b), frames).distinct()
-    in_file = Window.partitionBy("_id", "variable", FILE_COL)
-    per_entity = Window.partitionBy("_id", "variable")
-    rows = rows.withColumn("_n", F.count(F.lit(1)).over(in_file))
-    file_level = rows.where(F.col("_n") > 1).withColumn("level", F.lit("file"))
-    clean = rows.where(F.col("_n") == 1)
-    clean = (clean.withColumn("_lo", F.min("value").over(per_entity))
-             .withColumn("_hi", F.max("value").over(per_entity)))
-    entity_level = clean.where(F.col("_lo") != F.col("_hi")).withColumn("level", F.lit("entity"))
+    rows = reduce(lambda a, b: a.unionByName(b), frames).select("_id", "variable", FILE_COL, "value").distinct()
+    # The distinct rows feed three branches: materialise them once (shared
+    # checkpoint folder) instead of re-reading every source per branch.
+    checkpoint_dir(rows.sparkSession)
+    rows = rows.checkpoint()
+    per_file = (rows.groupBy("_id", "variable", FILE_COL)
+                .agg(F.count(F.lit(1)).alias("_n"), F.min("value").alias("_lo")))
+    file_level = (rows.join(per_file.where(F.col("_n") > 1).select("_id", "variable", FILE_COL),
+                            ["_id", "variable", FILE_COL], "left_semi")
+                  .withColumn("level", F.lit("file")))
+    clean = per_file.where(F.col("_n") == 1).select("_id", "variable", FILE_COL, F.col("_lo").alias("value"))
+    disagree = (clean.groupBy("_id", "variable").agg(F.min("value").alias("_a"), F.max("value").alias("_b"))
+                .where(F.col("_a") != F.col("_b")).select("_id", "variable"))
+    entity_level = clean.join(disagree, ["_id", "variable"], "left_semi").withColumn("level", F.lit("entity"))
     cols = [F.col("_id").alias(idc), "level", FILE_COL, "variable", "value"]
     return file_level.select(*cols).unionByName(entity_level.select(*cols))
 
