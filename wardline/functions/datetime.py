@@ -35,11 +35,13 @@ _T12 = r"^\d{1,2}(?::\d{2})?(?::\d{2})?\s*[aApP]\.?[mM]\.?$"
 
 
 def _normalise(s: Column) -> Column:
-    out = None
-    for pattern, target in _LAYOUTS:
-        rewritten = F.regexp_replace(s, pattern, target)
-        out = F.when(s.rlike(pattern), rewritten) if out is None else out.when(s.rlike(pattern), rewritten)
-    return out
+    """Rewrite the first matching layout; null when none matches.
+
+    ``regexp_replace`` leaves text it does not match unchanged, so
+    ``nullif(rewritten, s)`` is null exactly when the layout does not apply;
+    ``coalesce`` stops at the first layout that does, one regex per layout tried.
+    """
+    return F.coalesce(*[F.nullif(F.regexp_replace(s, pattern, target), s) for pattern, target in _LAYOUTS])
 
 
 # English month names, matched on their first three letters.
@@ -110,13 +112,17 @@ def with_parsed_datetime(df: DataFrame, text: Column | str, date_col: str, time_
     rest = F.col("_dt_rest")
     kind = (F.when(rest.isNull() | (rest == ""), F.lit(0)).when(rest.rlike(_T24), F.lit(24))
             .when(rest.rlike(_T12), F.lit(12)).otherwise(F.lit(-1)))
-    core = F.regexp_replace(rest, r"(?:\s*[aApP]\.?[mM]\.?|[.,]\d+)$", "")
-    out = out.select("*", _parse_date(F.col("_dt_ymd")).alias("_dt_date"), kind.alias("_dt_kind"),
-                     F.split(core, ":").alias("_dt_parts"), F.lower(rest).rlike(r"p\.?m\.?$").alias("_dt_pm"))
+    out = out.select("*", _parse_date(F.col("_dt_ymd")).alias("_dt_date"), kind.alias("_dt_kind"))
+    twelve = F.col("_dt_kind") == 12
+    # Only 12-hour text needs its am/pm suffix removed; a fraction of a second
+    # in 24-hour text lands in the seconds field, which is only range-checked.
+    core = F.when(twelve, F.regexp_replace(rest, r"\s*[aApP]\.?[mM]\.?$", "")).otherwise(rest)
+    out = out.select("*", F.split(core, ":").alias("_dt_parts"),
+                     (twelve & F.lower(rest).rlike(r"p\.?m\.?$")).alias("_dt_pm"))
     parts = F.col("_dt_parts")
     h = F.try_element_at(parts, F.lit(1)).try_cast("int")
     m = F.coalesce(F.try_element_at(parts, F.lit(2)).try_cast("int"), F.lit(0))
-    sec = F.coalesce(F.try_element_at(parts, F.lit(3)).try_cast("int"), F.lit(0))
+    sec = F.coalesce(F.substring_index(F.try_element_at(parts, F.lit(3)), ".", 1).try_cast("int"), F.lit(0))
     k = F.col("_dt_kind")
     ok = (((k == 24) & (h < 24)) | ((k == 12) & (h >= 1) & (h <= 12))) & (m < 60) & (sec < 60)
     hour = F.when(k == 24, h).otherwise(h % 12 + F.when(F.col("_dt_pm"), 12).otherwise(0))
