@@ -2,7 +2,7 @@
 
 Similarity join (J7) without a nested loop: split each name into t+1
 segments; a name within t edits of it must contain one of those segments
-unchanged, shifted by at most t positions (pigeonhole).  Candidates therefore
+unchanged, shifted by a bounded number of positions (pigeonhole).  Candidates
 come from an equi-join on ``(length, segment index, segment text)`` against
 the substrings of each other name at the permitted positions, and are then
 verified with the bounded ``levenshtein``.  The result is exact, the join is a
@@ -41,7 +41,14 @@ def _segments(names: DataFrame, t: int) -> DataFrame:
 
 
 def _probes(names: DataFrame, t: int) -> DataFrame:
-    """(name, L, seg, text): substrings a name offers to partners of length L."""
+    """(name, L, seg, text): substrings a name offers to partners of length L.
+
+    For segment ``i`` (0-based) starting at ``p`` in a partner of length L and
+    a probing name longer by ``d``, only starts in
+    ``[max(p - i, p + d - (t - i)), min(p + i, p + d + (t - i))]`` are needed:
+    some segment is matched with at most ``i`` edits on its left and ``t - i``
+    on its right (multi-match-aware selection, Pass-Join).
+    """
     k = t + 1
     width = 2 * t + 1
     n_combo = width * k * width
@@ -50,11 +57,14 @@ def _probes(names: DataFrame, t: int) -> DataFrame:
     L = Ls - t + (idx / (k * width)).cast("int")
     seg = ((idx / width).cast("int") % k).cast("int")
     shift = (idx % width) - t
+    d = Ls - L
     base, extra = F.floor(L / k).cast("int"), (L % k).cast("int")
     long_from = F.lit(k) - extra
     seg_len = base + F.when(seg >= long_from, 1).otherwise(0)
-    start = seg * base + F.greatest(F.lit(0), seg - long_from) + shift
-    ok = (L >= 0) & (start >= 0) & (start + seg_len <= Ls)
+    p = seg * base + F.greatest(F.lit(0), seg - long_from)
+    start = p + shift
+    in_window = (shift >= F.greatest(-seg, d - (t - seg))) & (shift <= F.least(seg, d + (t - seg)))
+    ok = (L >= 0) & in_window & (start >= 0) & (start + seg_len <= Ls)
     exploded = names.select("name", F.explode(F.sequence(F.lit(0), F.lit(n_combo - 1))).alias("_i"))
     return (exploded.select("name", L.alias("L"), seg.alias("seg"), start.alias("_start"),
                             seg_len.alias("_len"), ok.alias("_ok"))
