@@ -7,9 +7,9 @@ from wardline.functions import (canonical_id, label_map, normalise_gender, null_
 
 
 def test_gender_forms(spark):
-    df = spark.createDataFrame([(x,) for x in ["Male", "f", "0", "1", "x", "1.0", " female ", None]], "g string")
+    df = spark.createDataFrame([(x,) for x in ["Male", "f", "0", "1", "x", "1.0", "1.7", " female ", None]], "g string")
     got = [r[0] for r in df.select(normalise_gender("g")).collect()]
-    assert got == ["M", "F", "M", "F", "U", "F", "F", None]
+    assert got == ["M", "F", "M", "F", "U", "F", "F", "F", None]
 
 
 def test_gender_unmapped_number_raises(spark):

@@ -97,7 +97,7 @@ def normalise_gender(col: Column | str, int_mappings: Mapping[int, str] | None =
     text = F.trim(_c(col).cast("string"))
     number = text.try_cast("double")
     is_number = number.isNotNull() & ~F.isnan(number)
-    code = F.when(number == F.floor(number), number.cast("long"))
+    code = number.try_cast("long")          # truncates toward zero, as int() of a float does
     mapped = label_map(code, {int(k): v for k, v in mapping.items()})
     if on_unmapped == "raise":
         who = F.coalesce(_c(entity).cast("string"), F.lit("?")) if entity is not None else F.lit("?")
