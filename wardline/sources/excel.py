@@ -180,7 +180,11 @@ def read_excel_group(spark: SparkSession, files, header: list[str], id_column: s
     cols = [canonical_id(null_tokens(F.col("cells")[id_column], tokens), strip_float_suffix=True).alias(id_column)]
     cols += [null_tokens(F.col("cells")[c], tokens).alias(c) for c in header if c != id_column]
     cols.append(F.col(FILE_COL))
-    return Source(raw.select(*cols), id_column, tuple(f.name for f in files))
+
+    def reopen(names: tuple[str, ...]) -> Source:
+        return read_excel_group(spark, [f for f in files if f.name in names], header, id_column, tokens)
+
+    return Source(raw.select(*cols), id_column, tuple(f.name for f in files), reopen)
 
 
 def write_xlsx(path: str, header: list[str], rows: list[list]) -> None:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import posixpath
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -105,7 +106,11 @@ def read_csv_group(spark: SparkSession, files: list[SourceFile], header: list[st
     cols = [F.coalesce(guard, canonical_id(null_tokens(F.col(id_column), tokens))).alias(id_column)]
     cols += [null_tokens(F.col(c), tokens).alias(c) for c in header if c != id_column]
     cols.append(F.col(FILE_COL))
-    return Source(df.select(*cols), id_column, tuple(f.name for f in files))
+
+    def reopen(names: tuple[str, ...]) -> Source:
+        return read_csv_group(spark, [f for f in files if f.name in names], header, id_column, multiline, tokens)
+
+    return Source(df.select(*cols), id_column, tuple(f.name for f in files), reopen)
 
 
 def load_directory(spark: SparkSession, directory: str, id_column: str, multiline: bool = True,
@@ -120,7 +125,11 @@ def load_directory(spark: SparkSession, directory: str, id_column: str, multilin
     files = discover(spark, directory)
     csv_files = [f for f in files if f.type == "csv"]
     xls_files = [f for f in files if f.type == "excel"]
-    headers = {f.name: read_csv_header(spark, f.path) for f in csv_files}
+    # One tiny job per header; issued concurrently so thousands of extracts
+    # do not serialise on the driver (metadata only, nothing is collected).
+    with ThreadPoolExecutor(max_workers=min(16, max(1, len(csv_files)))) as pool:
+        found = pool.map(lambda f: (f.name, read_csv_header(spark, f.path)), csv_files)
+        headers = dict(found)
     if xls_files:
         headers.update(excel_headers(spark, xls_files))
     check_id_column(headers, id_column)

@@ -9,6 +9,7 @@ only builds the plan.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -32,6 +33,9 @@ class Source:
     df: DataFrame
     id_column: str
     files: tuple[str, ...] | None = None
+    # Re-reads just the given file names (set by file readers), so a keyword
+    # selection prunes files before the scan instead of filtering rows after it.
+    reopen: Callable[[tuple[str, ...]], "Source"] | None = field(default=None, compare=False, repr=False)
 
     @property
     def columns(self) -> list[str]:
@@ -40,6 +44,14 @@ class Source:
     def with_df(self, df: DataFrame) -> "Source":
         return Source(df, self.id_column, self.files)
 
+    def subset(self, names: tuple[str, ...]) -> "Source":
+        """The same source restricted to the files ``names``."""
+        if names == self.files:
+            return self
+        if self.reopen is not None:
+            return self.reopen(names)
+        return Source(self.df.filter(F.col(FILE_COL).isin(list(names))), self.id_column, names)
+
 
 @dataclass
 class SourceSet:
@@ -64,10 +76,8 @@ class SourceSet:
         for s in self.sources:
             if s.files is not None:
                 names = tuple(f for f in s.files if keyword.lower() in f.lower())
-                if not names:
-                    continue
-                df = s.df if len(names) == len(s.files) else s.df.filter(F.col(FILE_COL).isin(list(names)))
-                kept.append(Source(df, s.id_column, names))
+                if names:
+                    kept.append(s.subset(names))
             else:
                 kept.append(s.with_df(s.df.filter(contains_ci(FILE_COL, keyword))))
         return SourceSet(kept, self.id_column)
