@@ -88,7 +88,9 @@ def test_loader_workflow(spark, files):
     _write(os.path.join(src, "comorbidities.csv"), "pid,Cancer,Cancers,Asthma\n007,1,0,1\n2,0,1,0\n3,0,0,0\n")
     _write(os.path.join(src, "critical_care.csv"), "pid,admitted,discharged,days,vent\n2,2/2/2020 12:00,1/30/2020,3,Y\n")
     loader = Loader(spark, src, "pid", os.path.join(root, "reg"), conflicts="ignore")
-    assert loader.add_patients().count() == 3
+    assert loader.add_patients(log_conflicts=True).count() == 3
+    conflicts = loader.registry.read("audit").where("op = 'conflict'").collect()
+    assert {r["entity_id"] for r in conflicts} == {"2"} and len(conflicts) == 2   # age 51 vs 52
     loader.add_events(["date", "time"], "outcome", {"event_type": "event_type", "destination": "destination"},
                       exclude_columns=["CRITICAL_CARE"])
     loader.add_measurements("measurements", "date", ["hb", "flag"], ["continuous", "discrete"], [[12, 16]],

@@ -39,11 +39,25 @@ class Loader:
             self.registry.create()
 
     # -- patients -----------------------------------------------------------
-    def add_patients(self, conflicts: str | None = None, **options) -> DataFrame:
-        """Register every entity of every file with its basics (A12 + K3); returns the new rows."""
+    def add_patients(self, conflicts: str | None = None, log_conflicts: bool = False, **options) -> DataFrame:
+        """Register every entity of every file with its basics (A12 + K3); returns the new rows.
+
+        ``log_conflicts`` also appends every conflicting age and gender value
+        to the audit table (one extra pass over the matched columns).
+        """
         patients = build_patients(self.sources, conflicts=conflicts or self.conflicts, **options)
         fresh = self.registry.add_patients(patients)
         self.registry.log("add_patient", fresh.select("patient_id"), "New patient written to patients table")
+        if log_conflicts:
+            from wardline.operators.columns import AGE_TERMS, GENDER_TERMS
+
+            report = self.conflicts_report({"age": options.get("age_search_terms") or AGE_TERMS,
+                                            "gender": options.get("gender_search_terms") or GENDER_TERMS})
+            message = F.concat(F.lit("Conflicting "), F.col("variable"), F.lit(" value "), F.col("value"),
+                               F.lit(" in "), F.col("_file"),
+                               F.when(F.col("level") == "file", F.lit(" (within the file)"))
+                               .otherwise(F.lit(" (across files)")))
+            self.registry.log_rows("conflict", report, "patient_id", message)
         return fresh
 
     def conflicts_report(self, variables: Mapping[str, Sequence[str]]) -> DataFrame:

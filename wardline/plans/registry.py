@@ -119,6 +119,12 @@ class Registry:
                             F.lit(message).alias("message"))
         audit.write.mode("append").parquet(self.current("audit"))
 
+    def log_rows(self, op: str, rows: DataFrame, entity_col: str, message: "F.Column") -> None:
+        """Audit rows computed per input row: ``message`` is a Column (K8)."""
+        audit = rows.select(F.current_timestamp().alias("ts"), F.lit(op).alias("op"),
+                            F.col(entity_col).cast("string").alias("entity_id"), message.alias("message"))
+        audit.write.mode("append").parquet(self.current("audit"))
+
     # -- K5, K6 -------------------------------------------------------------
     def delete_patients(self, ids: DataFrame, id_column: str = "patient_id") -> None:
         """Remove patients and their events, measurements, stays and links (K5).
