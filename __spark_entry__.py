@@ -123,6 +123,29 @@ def q_csv_ingest(spark, d):
     return ev.select(*[c for c in ev.columns if c != "extra"], F.col("extra")["o_orderkey"].alias("order_key"))
 
 
+def q_events_stream(spark, d):
+    """File-drop ingestion: an orders extract dropped as CSV is loaded by an
+    availableNow stream whose micro-batches go through the batch event builder."""
+    import uuid
+
+    from wardline.streaming import csv_stream, ingest
+
+    base = f"{checkpoint_dir(spark).rstrip('/')}/wardline_stream/{uuid.uuid4().hex}"
+    header = ["patient", "o_orderkey", "o_orderstatus", "o_orderpriority", "admit_date"]
+    extract = read_table(spark, d, "orders").select(
+        F.col("o_custkey").alias("patient"), "o_orderkey", "o_orderstatus", "o_orderpriority",
+        F.date_format("o_orderdate", "d/M/yyyy").alias("admit_date"))
+    extract.write.option("header", True).csv(f"{base}/drop")
+
+    def to_events(batch):
+        ev = build_events(batch, "patient", "admit_date", {"event_type": "o_orderpriority", "component": "o_orderstatus"})
+        return ev.select(*[c for c in ev.columns if c != "extra"], F.col("extra")["o_orderkey"].alias("order_key"))
+
+    query = ingest(csv_stream(spark, f"{base}/drop", header, "patient"), to_events, f"{base}/sink", f"{base}/ckpt")
+    query.awaitTermination()
+    return spark.read.parquet(f"{base}/sink")
+
+
 def q_label_normalise(spark, d):
     cust = read_table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("patient_id"),
                                                    F.lit("customer").alias("source"),
@@ -322,6 +345,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "entity_spine": q_entity_spine,
     "gather_values": q_gather_values,
     "csv_ingest": q_csv_ingest,
+    "events_stream": q_events_stream,
     "label_normalise": q_label_normalise,
     "single_value_ignore": q_single_value_ignore,
     "conflict_report": q_conflict_report,
@@ -417,6 +441,13 @@ _SQL = {
                null::varchar as source, null::varchar as source_type, null::varchar as destination,
                null::integer as wimd, cast(o_orderkey as varchar) as order_key
         from orders""",
+    "events_stream": """
+        select cast(o_custkey as varchar) as patient_id, o_orderstatus as component,
+               trim(o_orderpriority) as event_type, cast(o_orderdate as date) as event_date,
+               null::double as event_time, 'U' as covid_status, 0 as death, 0 as critical_care_admission,
+               null::varchar as source, null::varchar as source_type, null::varchar as destination,
+               null::integer as wimd, cast(o_orderkey as varchar) as order_key
+        from orders""",
     "label_normalise": """
         select cast(c_custkey as varchar) as patient_id, 'customer' as source, c_mktsegment as raw,
                case when regexp_matches(c_mktsegment, '^m', 'i') then 'M'
