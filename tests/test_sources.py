@@ -80,3 +80,17 @@ def test_xlsx_roundtrip(spark, workdir):
     rows = sorted((r["id"], r["event_type"], r["destination"], r["_file"]) for r in out.collect())
     assert rows == [("1", "discharge", "home", "outcome_1.csv"), ("7", "admission", "home", "outcome_2.xlsx"),
                     ("8", "death", None, "outcome_2.xlsx")]
+
+
+def test_split_probe_and_doubled_quotes(spark, workdir, monkeypatch):
+    import wardline.sources.files as files_mod
+
+    _write(os.path.join(workdir, "flat.csv"), 'id,note\n1,"say ""hi"""\n2,plain\n')
+    _write(os.path.join(workdir, "broken.csv"), 'id,note\n3,"two\nlines"\n')
+    found = discover(spark, workdir)
+    assert all(f.size > 0 for f in found)
+    assert files_mod.split_safe(spark, found) == {"flat.csv"}
+    monkeypatch.setattr(files_mod, "SPLIT_PROBE_BYTES", 1)      # probe every file
+    out = union_sources(load_directory(spark, workdir, "id"))
+    rows = {r["id"]: r["note"] for r in out.collect()}
+    assert rows == {"1": 'say "hi"', "2": "plain", "3": "two\nlines"}

@@ -25,7 +25,7 @@ from wardline.sources.model import SourceSet
 
 class Loader:
     def __init__(self, spark: SparkSession, target_directory: str, id_column: str, registry: Registry | str,
-                 conflicts: str = "raise", multiline: bool = True, sources: SourceSet | None = None):
+                 conflicts: str = "raise", multiline: bool | str = "auto", sources: SourceSet | None = None):
         if conflicts not in ("raise", "ignore"):
             raise AssertionError("Invalid value, must be 'raise' or 'ignore'")
         self.spark = spark

@@ -28,6 +28,11 @@ class SourceFile:
     name: str
     path: str
     type: str  # "csv" or "excel"
+    size: int = 0
+
+# Files at least this large are probed for quoted line breaks before choosing
+# a single-task multi-line read (see ``split_safe``).
+SPLIT_PROBE_BYTES = 128 * 1024 * 1024
 
 
 def file_type(name: str) -> str | None:
@@ -49,13 +54,13 @@ def discover(spark: SparkSession, directory: str) -> list[SourceFile]:
     listing = (spark.read.format("binaryFile")
                .option("recursiveFileLookup", "false")
                .load(directory)
-               .select("path"))
+               .select("path", "length"))
     found = []
-    for (path,) in listing.collect():
+    for path, length in listing.collect():
         name = posixpath.basename(path)
         kind = file_type(name)
         if kind is not None:
-            found.append(SourceFile(name, path, kind))
+            found.append(SourceFile(name, path, kind, int(length)))
     if not found:
         raise ValueError(f"No csv or excel files found in {directory}")
     return sorted(found, key=lambda f: f.name)
@@ -80,25 +85,57 @@ def _field_count(line: F.Column) -> F.Column:
     return F.size(F.split(unquoted, ",", -1))
 
 
+def split_safe(spark: SparkSession, files: list[SourceFile]) -> set[str]:
+    """Names of the files with no quoted line break, found in one parallel pass.
+
+    With quotes escaped by doubling, a line has an odd number of quote
+    characters exactly when a quoted field continues on the next line.  Files
+    without such a line can be read line by line, that is split across tasks.
+    """
+    if not files:
+        return set()
+    quotes = F.length("value") - F.length(F.regexp_replace("value", '"', ""))
+    broken = (spark.read.text([f.path for f in files])
+              .where(quotes % 2 == 1)
+              .select(F.col("_metadata.file_name").alias("name")).distinct().collect())
+    return {f.name for f in files} - {r["name"] for r in broken}
+
+
+def _read_csv(spark: SparkSession, paths: list[str], schema: T.StructType, multiline: bool) -> DataFrame:
+    return (spark.read.schema(schema)
+            .option("header", True)
+            .option("multiLine", multiline)
+            .option("quote", '"')
+            .option("escape", '"')
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT_COL)
+            .option("enforceSchema", False)
+            .csv(paths)
+            .withColumn(FILE_COL, F.col("_metadata.file_name")))
+
+
 def read_csv_group(spark: SparkSession, files: list[SourceFile], header: list[str], id_column: str,
-                   multiline: bool = True, tokens=NULL_TOKENS) -> Source:
+                   multiline: bool | str = "auto", tokens=NULL_TOKENS) -> Source:
     """Read CSV files sharing ``header`` as one all-string DataFrame.
 
     Short rows are kept with nulls.  A row with more fields than the header
-    fails the job with an error naming the file.  ``multiline`` honours quoted
-    newlines but makes each file a single split; convert very large extracts to
-    Parquet first.
+    fails the job with an error naming the file.  Quotes are escaped by
+    doubling.  ``multiline=True`` honours quoted line breaks but makes each
+    file a single task; ``False`` splits files but breaks such records;
+    ``"auto"`` reads small files multi-line and probes files of at least
+    ``SPLIT_PROBE_BYTES`` (``split_safe``), reading the safe ones split.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header]
                           + [T.StructField(CORRUPT_COL, T.StringType())])
-    df = (spark.read.schema(schema)
-          .option("header", True)
-          .option("multiLine", multiline)
-          .option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT_COL)
-          .option("enforceSchema", False)
-          .csv([f.path for f in files]))
-    df = df.withColumn(FILE_COL, F.col("_metadata.file_name"))
+    if multiline == "auto":
+        safe = split_safe(spark, [f for f in files if f.size >= SPLIT_PROBE_BYTES])
+        whole = [f.path for f in files if f.name not in safe]
+        split = [f.path for f in files if f.name in safe]
+        parts = ([_read_csv(spark, whole, schema, True)] if whole else []) + \
+                ([_read_csv(spark, split, schema, False)] if split else [])
+        df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    else:
+        df = _read_csv(spark, [f.path for f in files], schema, bool(multiline))
     too_long = F.col(CORRUPT_COL).isNotNull() & (_field_count(F.col(CORRUPT_COL)) > len(header))
     guard = F.when(too_long, F.raise_error(F.concat(
         F.lit("Failed parsing "), F.col(FILE_COL), F.lit("; row has more fields than the header: "),
@@ -113,7 +150,7 @@ def read_csv_group(spark: SparkSession, files: list[SourceFile], header: list[st
     return Source(df.select(*cols), id_column, tuple(f.name for f in files), reopen)
 
 
-def load_directory(spark: SparkSession, directory: str, id_column: str, multiline: bool = True,
+def load_directory(spark: SparkSession, directory: str, id_column: str, multiline: bool | str = "auto",
                    tokens=NULL_TOKENS) -> SourceSet:
     """List, check and read every tabular file of ``directory``.
 

@@ -32,7 +32,8 @@ def csv_stream(spark: SparkSession, directory: str, header: list[str], id_column
     id, ``_file`` from the file metadata.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    reader = (spark.readStream.schema(schema).option("header", True).option("pathGlobFilter", pattern))
+    reader = (spark.readStream.schema(schema).option("header", True).option("quote", "\"").option("escape", "\"")
+              .option("pathGlobFilter", pattern))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(directory).withColumn(FILE_COL, F.col("_metadata.file_name"))
