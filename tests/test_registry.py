@@ -111,3 +111,19 @@ def test_loader_workflow(spark, files):
     assert reg.read("comorbidities").count() == 3
     rep = loader.conflicts_report({"age": ["(?:.*[._-])?age(?:[._-].*)?$"]})
     assert {r["patient_id"] for r in rep.collect()} == {"2"}
+
+
+def test_loader_age_correction_writes_new_folder(spark, files):
+    from wardline.plans import Loader
+
+    root, src = files
+    loader = Loader(spark, src, "pid", os.path.join(root, "reg2"), conflicts="ignore")
+    target = os.path.join(root, "corrected")
+    loader.age_correction(lambda ages: F.max(ages.cast("double")), new_path=target)
+    back = spark.read.option("header", True).csv(os.path.join(target, "*", "_file=demographics.csv"))
+    assert sorted((r["pid"], r["age"]) for r in back.collect()) == [("007", "34.0"), ("2", "52.0"), ("3", "60.0")]
+    with open(os.path.join(src, "demographics.csv")) as f:      # inputs untouched
+        assert "51" in f.read()
+    # the corrected sources now drive the patient build
+    p = {r["patient_id"]: r["age"] for r in loader.add_patients().collect()}
+    assert p == {"007": 34, "2": 52, "3": 60}
