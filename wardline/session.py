@@ -52,12 +52,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Order: the folder already registered on the SparkContext, then the
     ``spark.checkpoint.dir`` setting of the session, then a ``_checkpoints``
     folder under the warehouse directory (shared storage on a cluster).
+    Under Spark Connect the server owns the folder: the session setting is
+    returned as is.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect has no SparkContext on the client
+        if configured:
+            return configured
+        raise RuntimeError("set spark.checkpoint.dir on the Spark Connect server session")
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         warehouse = spark.conf.get("spark.sql.warehouse.dir", None) or os.path.abspath("spark-warehouse")
         configured = warehouse.rstrip("/") + "/_checkpoints"
