@@ -34,13 +34,13 @@ def names_df(spark, names):
     return spark.createDataFrame([(n,) for n in names], "name string")
 
 
-def test_pairs_exact_against_brute_force(spark):
-    rnd = random.Random(7)
-    names = list({"".join(rnd.choice("abc") for _ in range(rnd.randint(1, 6))) for _ in range(80)})
-    for t in (1, 2, 3):
-        got = {(r["name_a"], r["name_b"], r["distance"]) for r in similar_pairs(names_df(spark, names), t).collect()}
-        exp = {(a, b, lev(a, b)) for a in names for b in names if a < b and lev(a, b) <= t}
-        assert got == exp
+@pytest.mark.parametrize("alphabet,t", [("abc", 0), ("abc", 1), ("abc", 2), ("ab", 3), ("abcd", 4), ("ab", 4)])
+def test_pairs_exact_against_brute_force(spark, alphabet, t):
+    rnd = random.Random(7 + t)
+    names = list({"".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 9))) for _ in range(90)})
+    got = {(r["name_a"], r["name_b"], r["distance"]) for r in similar_pairs(names_df(spark, names), t).collect()}
+    exp = {(a, b, lev(a, b)) for a in names for b in names if a < b and lev(a, b) <= t}
+    assert got == exp
 
 
 def test_order_matters(spark):
