@@ -55,6 +55,8 @@ def test_registry_flow(spark, files):
     assert reg.read("events").count() == 2
     docs = {r["patient_id"]: r["n_events"] for r in reg.documents().collect()}
     assert docs == {"007": 1, "2": 1, "3": 0}
+    reg.delete_where("events", "event_type = 'death'")                 # pull a child (K6)
+    assert {r["patient_id"]: r["n_events"] for r in reg.documents().collect()} == {"007": 1, "2": 0, "3": 0}
     reg.delete_patients(spark.createDataFrame([("2",)], "patient_id string"))
     assert sorted(r[0] for r in reg.read("patients").collect()) == ["007", "3"]
     assert [r[0] for r in reg.read("events").collect()] == ["007"]

@@ -140,6 +140,20 @@ class Registry:
             kept.write.mode("errorifexists").parquet(self._path(table, versions[-1] + 1))
         self.log("delete", doomed, "Deleted patient and associated documents")
 
+    def delete_where(self, table: str, condition: "F.Column | str") -> None:
+        """Remove the rows of one table matching ``condition`` (next snapshot).
+
+        Deleting a child row is all "pull on delete" needs (K6): patient
+        documents derive their child summaries from the live rows.
+        """
+        if table not in TABLES:
+            raise ValueError(f"unknown table {table}")
+        cond = F.expr(condition) if isinstance(condition, str) else condition
+        versions = self._versions(table)
+        kept = self.read(table).where(~F.coalesce(cond, F.lit(False)))
+        kept.write.mode("errorifexists").parquet(self._path(table, versions[-1] + 1))
+        self.log("delete_rows", None, f"Deleted rows of {table} where {condition}")
+
     # -- J8 -----------------------------------------------------------------
     def documents(self) -> DataFrame:
         """Per patient: basics plus counts and date spans of each child table."""
