@@ -248,7 +248,7 @@ def q_measurements_typed(spark, d):
     m = _typed(spark, d)
     return m.select("patient_id", "result_name", "result_type", "result_double", "result_string",
                     F.array_join("result_array", "|").alias("result_parts"),
-                    F.size("result_array").cast("bigint").alias("n_parts"))
+                    F.array_size("result_array").cast("bigint").alias("n_parts"))
 
 
 def q_measurement_subtype(spark, d):
@@ -259,7 +259,7 @@ def q_measurement_split(spark, d):
     part = read_table(spark, d, "part")
     parts = split_literal("p_name", " ")
     return part.select("p_partkey", F.array_join(parts, "|").alias("parts_joined"),
-                       F.size(parts).cast("bigint").alias("n_parts"))
+                       F.array_size(parts).cast("bigint").alias("n_parts"))
 
 
 def q_critical_care_build(spark, d):

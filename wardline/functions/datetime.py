@@ -62,7 +62,7 @@ def _parse_date(ymd: Column) -> Column:
     by_name = F.when(mtext.rlike(_MONTH_NAME),
                      F.array_position(F.array(*[F.lit(m) for m in _MONTHS]), F.lower(F.substring(mtext, 1, 3))))
     m = F.coalesce(mtext.try_cast("int"), by_name.cast("int"))
-    ym_ok = (F.size(parts) == 3) & y.between(1, 9999) & m.between(1, 12)
+    ym_ok = (F.array_size(parts) == 3) & y.between(1, 9999) & m.between(1, 12)
     month_len = F.when(ym_ok, F.dayofmonth(F.last_day(F.make_date(y, m, F.lit(1)))))
     ok = ym_ok & (d >= 1) & (d <= month_len)
     return F.when(ok, F.make_date(y, m, d))
