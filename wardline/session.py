@@ -18,9 +18,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
-    "spark.driver.host": "127.0.0.1",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
+# Only for local masters: executors run in the driver's JVM.
+LOCAL_CONF = {"spark.driver.host": "127.0.0.1"}
 
 
 def get_spark(master: str | None = None, app: str = "wardline",
@@ -36,6 +37,8 @@ def get_spark(master: str | None = None, app: str = "wardline",
     if master:
         builder = builder.master(master)
     settings = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        settings.update(LOCAL_CONF)
     if shuffle_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
