@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from wardline.operators.columns import AGE_TERMS, match_columns
 from wardline.operators.resolve import gather_values
+from wardline.session import checkpoint_dir
 from wardline.sources.model import FILE_COL, Source, SourceSet
 
 
@@ -51,7 +52,12 @@ def apply_correction(sources: SourceSet, corrected: DataFrame,
     """
     terms = column_search_terms or AGE_TERMS
     idc = sources.id_column
-    fixed = corrected.select(F.col(corrected.columns[0]).alias("_cid"), F.col("corrected").alias("_corrected"))
+    # One row per entity, materialised once in the shared checkpoint folder:
+    # every source joins it, and as a plain scan it lets adaptive execution
+    # split a hot entity's partition on the (large) source side of the join.
+    checkpoint_dir(corrected.sparkSession)
+    fixed = corrected.select(F.col(corrected.columns[0]).alias("_cid"),
+                             F.col("corrected").alias("_corrected")).checkpoint()
     out = []
     for s in sources:
         cols = match_columns(s.columns, terms)

@@ -133,7 +133,13 @@ class Registry:
         the doomed ids; the dictionary (``comorb_key``) stays.  Reference
         lists are derived from live rows, so children vanish from them (K6).
         """
-        doomed = ids.select(F.col(id_column).cast("string").alias("patient_id")).distinct()
+        from wardline.session import checkpoint_dir
+
+        # Distinct ids, materialised once: reused by every table's anti join,
+        # and a plain scan lets adaptive execution split a hot patient's
+        # partition on the fact side.
+        checkpoint_dir(self.spark)
+        doomed = ids.select(F.col(id_column).cast("string").alias("patient_id")).distinct().checkpoint()
         for table in ("patients", *FACT_TABLES):
             versions = self._versions(table)
             kept = self.read(table).join(doomed, "patient_id", "left_anti")
@@ -162,8 +168,16 @@ class Registry:
 
 
 def cascade_delete(tables: dict[str, DataFrame], doomed: DataFrame, id_column: str = "patient_id") -> dict[str, DataFrame]:
-    """The rows that survive deleting ``doomed`` ids from every table (K5)."""
-    ids = doomed.select(F.col(id_column).cast("string").alias("_doomed")).distinct()
+    """The rows that survive deleting ``doomed`` ids from every table (K5).
+
+    The distinct doomed ids are checkpointed once (shared folder): all tables
+    reuse them, and as a plain scan they let adaptive execution split a hot
+    id's partition on the fact side of each anti join.
+    """
+    from wardline.session import checkpoint_dir
+
+    checkpoint_dir(doomed.sparkSession)
+    ids = doomed.select(F.col(id_column).cast("string").alias("_doomed")).distinct().checkpoint()
     out = {}
     for name, df in tables.items():
         key = "patient_id" if "patient_id" in df.columns else id_column
