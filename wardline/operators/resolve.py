@@ -248,7 +248,7 @@ def conflict_report(sources: SourceSet, variables: dict[str, Single], id_alias:
     Group statistics come from partially aggregated ``groupBy``s and are
     joined back onto the distinct rows; no window holds an entity's values in
     one task, and a hot join key can be split by adaptive skew handling.
-    Runs one job eagerly: the distinct rows are checkpointed.
+    Runs two jobs eagerly: the distinct rows and the per-file counts are checkpointed.
     """
     idc = id_alias or sources.id_column
     frames = []
@@ -260,8 +260,10 @@ def conflict_report(sources: SourceSet, variables: dict[str, Single], id_alias:
     # checkpoint folder) instead of re-reading every source per branch.
     checkpoint_dir(rows.sparkSession)
     rows = rows.checkpoint()
+    # One row per (entity, variable, file), also materialised: as a plain scan
+    # under the semi join it lets adaptive execution split a hot group.
     per_file = (rows.groupBy("_id", "variable", FILE_COL)
-                .agg(F.count(F.lit(1)).alias("_n"), F.min("value").alias("_lo")))
+                .agg(F.count(F.lit(1)).alias("_n"), F.min("value").alias("_lo"))).checkpoint()
     file_level = (rows.join(per_file.where(F.col("_n") > 1).select("_id", "variable", FILE_COL),
                             ["_id", "variable", FILE_COL], "left_semi")
                   .withColumn("level", F.lit("file")))
