@@ -94,3 +94,14 @@ def test_split_probe_and_doubled_quotes(spark, workdir, monkeypatch):
     out = union_sources(load_directory(spark, workdir, "id"))
     rows = {r["id"]: r["note"] for r in out.collect()}
     assert rows == {"1": 'say "hi"', "2": "plain", "3": "two\nlines"}
+
+
+def test_xlsx_many_batches(spark, workdir):
+    import wardline.sources.excel as excel_mod
+
+    n = 2 * excel_mod.BATCH_ROWS + 5000
+    write_xlsx(os.path.join(workdir, "big.xlsx"), ["id", "value"], [[i, f"v{i}"] for i in range(n)])
+    out = union_sources(load_directory(spark, workdir, "id"))
+    assert out.count() == n
+    assert out.where("id = '24999' and value = 'v24999'").count() == 1
+    assert out.select("id").distinct().count() == n
