@@ -107,16 +107,20 @@ def q_gather_values(spark, d):
     return vals.withColumnRenamed(FILE_COL, "source_file")
 
 
+def _orders_extract(spark, d):
+    """Orders as an outcome extract: text day-first dates, as a registry source file holds."""
+    return read_table(spark, d, "orders").select(
+        F.col("o_custkey").alias("patient"), "o_orderkey", "o_orderstatus", "o_orderpriority",
+        F.date_format("o_orderdate", "d/M/yyyy").alias("admit_date"))
+
+
 def q_csv_ingest(spark, d):
     """End-to-end file path: orders written as a CSV extract folder, then discovered,
     header-checked, scanned as text and loaded as events."""
     import uuid
 
     folder = f"{checkpoint_dir(spark).rstrip('/')}/wardline_extracts/{uuid.uuid4().hex}"
-    extract = read_table(spark, d, "orders").select(
-        F.col("o_custkey").alias("patient"), "o_orderkey", "o_orderstatus", "o_orderpriority",
-        F.date_format("o_orderdate", "d/M/yyyy").alias("admit_date"))
-    extract.write.option("header", True).csv(folder)
+    _orders_extract(spark, d).write.option("header", True).csv(folder)
     sources = load_directory(spark, folder, "patient")
     outcome = load_keyword(sources, ".csv")
     ev = build_events(outcome, "patient", "admit_date", {"event_type": "o_orderpriority", "component": "o_orderstatus"})
@@ -131,11 +135,9 @@ def q_events_stream(spark, d):
     from wardline.streaming import csv_stream, ingest
 
     base = f"{checkpoint_dir(spark).rstrip('/')}/wardline_stream/{uuid.uuid4().hex}"
-    header = ["patient", "o_orderkey", "o_orderstatus", "o_orderpriority", "admit_date"]
-    extract = read_table(spark, d, "orders").select(
-        F.col("o_custkey").alias("patient"), "o_orderkey", "o_orderstatus", "o_orderpriority",
-        F.date_format("o_orderdate", "d/M/yyyy").alias("admit_date"))
+    extract = _orders_extract(spark, d)
     extract.write.option("header", True).csv(f"{base}/drop")
+    header = extract.columns
 
     def to_events(batch):
         ev = build_events(batch, "patient", "admit_date", {"event_type": "o_orderpriority", "component": "o_orderstatus"})
