@@ -71,3 +71,13 @@ def test_comorbidities(spark):
     none = spark.createDataFrame([("1", 0)], "id string, Cancer int")
     with pytest.warns(UserWarning):
         assert build_comorbidities(none, "id") is None
+
+
+def test_comorbidities_header_order(spark):
+    # "Cancers" comes first in the header, so it becomes the key and "Cancer" merges into it.
+    df = spark.createDataFrame([("1", 1, 1)], "id string, Cancers int, Cancer int")
+    links, keys, _ = build_comorbidities(df, "id", edit_threshold=1, conflicts="merge")
+    assert [r[0] for r in keys.collect()] == ["Cancers"]
+    assert [tuple(r) for r in links.collect()] == [("1", "Cancers")]
+    links, keys, _ = build_comorbidities(df, "id", edit_threshold=1, conflicts="merge", order="name")
+    assert [r[0] for r in keys.collect()] == ["Cancer"]

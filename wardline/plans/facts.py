@@ -209,14 +209,19 @@ def build_critical_care(df: DataFrame, id_column: str, admission_datetime: str |
 def build_comorbidities(df: DataFrame, id_column: str, exclude_columns: Sequence[str] | None = None,
                         conflicts: str = "ignore", edit_threshold: int = 2,
                         existing_keys: DataFrame | None = None, policy: str = "tabular",
-                        patients: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame] | None:
+                        patients: DataFrame | None = None, order: str = "header"
+                        ) -> tuple[DataFrame, DataFrame, DataFrame] | None:
     """One-hot condition columns → links and dictionary keys (X7 = R1 + Z1).
 
     Returns ``(links, new_keys, decisions)``: ``links`` is (patient_id,
     comorb_name) with names resolved to dictionary keys, ``new_keys`` the keys
     to add, ``decisions`` one row per distinct name.  Returns ``None`` (with a
-    warning) when no flag is positive.
+    warning) when no flag is positive.  New names enter the dictionary in
+    ``order``: ``"header"`` (the column order, as the names first appear) or
+    ``"name"`` (alphabetical).
     """
+    if order not in ("header", "name"):
+        raise ValueError("order must be 'header' or 'name'")
     if patients is not None:
         assert_parents(df, patients, id_column)
     links = melt_onehot(df.drop(FILE_COL) if FILE_COL in df.columns else df, id_column, exclude_columns)
@@ -225,7 +230,13 @@ def build_comorbidities(df: DataFrame, id_column: str, exclude_columns: Sequence
              "No data entry performed")
         return None
     names = links.select(F.col("comorb_name").alias("name")).distinct()
-    decisions = resolve_names(names, edit_threshold, existing=existing_keys, conflicts=conflicts, policy=policy)
+    order_col = None
+    if order == "header":
+        flags = [c for c in drop_columns(df, exclude_columns).columns if c != id_column and not c.startswith("_")]
+        names = names.withColumn("_ord", label_map(F.col("name"), {c: i for i, c in enumerate(flags)}))
+        order_col = "_ord"
+    decisions = resolve_names(names, edit_threshold, existing=existing_keys, conflicts=conflicts, policy=policy,
+                              order_col=order_col)
     # Names are column headers, so ``decisions`` has at most one row per flag
     # column: a proven bound.  Broadcasting it keeps a condition shared by a
     # third of all patients from landing in one shuffle partition.
