@@ -87,3 +87,11 @@ def test_multi_values_and_index(spark):
     assert mv == [("1", "x"), ("1", "y"), ("2", "")]
     idx = sorted(tuple(r) for r in entity_index(SourceSet([a, b], "id")).collect())
     assert idx == [("1", "a.csv", 2), ("1", "b.csv", 1), ("2", "a.csv", 1)]
+
+
+def test_rows_without_id_belong_to_no_entity(spark):
+    a = src(spark, "a.csv", [("1", "34"), (None, "99")], ["id", "age"])
+    out = entity_aggregates(SourceSet([a], "id"), {"age": Single(("age",))}).collect()
+    assert [(r["id"], r["age"]) for r in out] == [("1", "34.0")]
+    mv = multi_values(SourceSet([a], "id"), ["age"]).collect()
+    assert [tuple(r) for r in mv] == [("1", "34")]

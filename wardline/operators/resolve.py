@@ -138,6 +138,7 @@ def entity_aggregates(sources: SourceSet, variables: dict, conflicts: str = "ign
     if not len(sources):
         raise ValueError("no sources")
     rows = reduce(lambda a, b: a.unionByName(b), [_row_projection(s, variables) for s in sources])
+    rows = rows.where(F.col("_id").isNotNull())          # a row without an id belongs to no entity
 
     lvl1 = [F.col("_id"), F.col(FILE_COL)]
     aggs1 = []
@@ -207,7 +208,10 @@ def entity_index(sources: SourceSet, id_alias: str | None = None) -> DataFrame:
 
 
 def _long_values(sources: SourceSet, patterns, name: str = "value", keyed: bool = False) -> DataFrame:
-    """(id, file, value) for every matched column of every source (R3), nulls kept."""
+    """(id, file, value) for every matched column of every source.
+
+    Null values are kept (callers decide); rows without an id are not.
+    """
     frames = []
     for s in sources:
         cols = match_columns(s.columns, patterns)
@@ -220,7 +224,7 @@ def _long_values(sources: SourceSet, patterns, name: str = "value", keyed: bool
         if keyed:
             long = long.withColumn(name, value_key(F.col(name)))
         frames.append(long)
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    return reduce(lambda a, b: a.unionByName(b), frames).where(F.col("_id").isNotNull())
 
 
 def multi_values(sources: SourceSet, patterns, id_alias: str | None = None, value_name: str = "value") -> DataFrame:
