@@ -148,6 +148,25 @@ def q_events_stream(spark, d):
     return spark.read.parquet(f"{base}/sink")
 
 
+def q_registry_patients(spark, d):
+    """Registry store end to end: a customer extract written as CSV is loaded by
+    ``Loader``; patients are added twice (the second insert adds nothing) and the
+    registry's patients table is read back."""
+    import uuid
+
+    from wardline.plans import Loader
+
+    base = f"{checkpoint_dir(spark).rstrip('/')}/wardline_registry/{uuid.uuid4().hex}"
+    read_table(spark, d, "customer").select(
+        F.col("c_custkey").alias("pid"), F.col("c_nationkey").alias("age"), F.col("c_mktsegment").alias("sex"),
+        "c_name").write.option("header", True).csv(f"{base}/extracts")
+    loader = Loader(spark, f"{base}/extracts", "pid", f"{base}/registry", conflicts="ignore")
+    loader.add_patients()
+    if loader.add_patients().count():
+        raise AssertionError("insert-if-absent added a patient twice")
+    return loader.registry.read("patients")
+
+
 def q_label_normalise(spark, d):
     cust = read_table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("patient_id"),
                                                    F.lit("customer").alias("source"),
@@ -348,6 +367,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gather_values": q_gather_values,
     "csv_ingest": q_csv_ingest,
     "events_stream": q_events_stream,
+    "registry_patients": q_registry_patients,
     "label_normalise": q_label_normalise,
     "single_value_ignore": q_single_value_ignore,
     "conflict_report": q_conflict_report,
@@ -450,6 +470,12 @@ _SQL = {
                null::varchar as source, null::varchar as source_type, null::varchar as destination,
                null::integer as wimd, cast(o_orderkey as varchar) as order_key
         from orders""",
+    "registry_patients": """
+        select cast(c_custkey as varchar) as patient_id, c_nationkey as age,
+               case when regexp_matches(c_mktsegment, '^m', 'i') then 'M'
+                    when regexp_matches(c_mktsegment, '^f', 'i') then 'F' else 'U' end as gender,
+               'U' as covid, 0 as died, 0 as critical_care_stay
+        from customer""",
     "label_normalise": """
         select cast(c_custkey as varchar) as patient_id, 'customer' as source, c_mktsegment as raw,
                case when regexp_matches(c_mktsegment, '^m', 'i') then 'M'
