@@ -34,12 +34,27 @@ def python_correction(fn: Callable[[list], object], return_type: str = "double")
     return _agg
 
 
+def as_aggregate(correction: Callable) -> Callable[[Column], Column]:
+    """Accept a Spark aggregate builder (``F.max``, ``lambda c: ...``) or a plain
+    Python ``list → value`` function, which is wrapped with ``python_correction``."""
+    try:
+        if isinstance(correction(F.col("value")), Column):
+            return correction
+    except Exception:  # noqa: BLE001 - a list function cannot take a Column
+        pass
+    return python_correction(correction)
+
+
 def corrected_values(sources: SourceSet, correction: Callable[[Column], Column],
                      column_search_terms: Sequence[str] | None = None, id_alias: str | None = None) -> DataFrame:
-    """(id, corrected): one value per entity from its gathered values (A11 + V1)."""
+    """(id, corrected): one value per entity from its gathered values (A11 + V1).
+
+    ``correction`` is a Spark aggregate builder or a plain Python function
+    over the list of values (see ``as_aggregate``).
+    """
     idc = id_alias or sources.id_column
     gathered = gather_values(sources, column_search_terms or AGE_TERMS, id_alias=idc)
-    return gathered.groupBy(idc).agg(correction(F.col("value")).alias("corrected"))
+    return gathered.groupBy(idc).agg(as_aggregate(correction)(F.col("value")).alias("corrected"))
 
 
 def apply_correction(sources: SourceSet, corrected: DataFrame,
