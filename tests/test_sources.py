@@ -105,3 +105,10 @@ def test_xlsx_many_batches(spark, workdir):
     assert out.count() == n
     assert out.where("id = '24999' and value = 'v24999'").count() == 1
     assert out.select("id").distinct().count() == n
+
+
+def test_empty_workbook_is_reported(spark, workdir):
+    write_xlsx(os.path.join(workdir, "empty.xlsx"), [], [])
+    _write(os.path.join(workdir, "a.csv"), "id,x\n1,2\n")
+    with pytest.raises(AssertionError, match="empty.xlsx"):
+        load_directory(spark, workdir, "id")

@@ -168,7 +168,8 @@ def load_directory(spark: SparkSession, directory: str, id_column: str, multilin
         found = pool.map(lambda f: (f.name, read_csv_header(spark, f.path)), csv_files)
         headers = dict(found)
     if xls_files:
-        headers.update(excel_headers(spark, xls_files))
+        found = excel_headers(spark, xls_files)
+        headers.update({f.name: found.get(f.name, []) for f in xls_files})   # empty sheet: no header
     check_id_column(headers, id_column)
     groups: dict[tuple[str, tuple[str, ...]], list[SourceFile]] = defaultdict(list)
     for f in files:
