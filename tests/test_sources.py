@@ -112,3 +112,20 @@ def test_empty_workbook_is_reported(spark, workdir):
     _write(os.path.join(workdir, "a.csv"), "id,x\n1,2\n")
     with pytest.raises(AssertionError, match="empty.xlsx"):
         load_directory(spark, workdir, "id")
+
+
+def test_dotted_and_duplicate_headers(spark, workdir):
+    from wardline.operators import Single, entity_aggregates, melt_onehot
+    from wardline.plans import build_measurements
+
+    _write(os.path.join(workdir, "demo.csv"), "id,age.years,x,x\n1,34,a,b\n2,40,c,d\n")
+    srcs = load_directory(spark, workdir, "id")
+    assert srcs.sources[0].columns == ["age.years", "x2", "x3"]          # Spark suffixes duplicate names with their position
+    out = {r["id"]: r["age"] for r in entity_aggregates(srcs, {"age": Single(("(?:.*[._-])?age(?:[._-].*)?$",))}).collect()}
+    assert out == {"1": "34.0", "2": "40.0"}
+    df = srcs.sources[0].df
+    m = build_measurements(df, "id", ["age.years"], ["continuous"]).collect()
+    assert sorted((r["patient_id"], r["result_name"], r["result_double"]) for r in m) == [
+        ("1", "age.years", 34.0), ("2", "age.years", 40.0)]
+    flags = spark.createDataFrame([("1", 1, 0)], "id string, `has.flag` int, other int")
+    assert [tuple(r) for r in melt_onehot(flags, "id").collect()] == [("1", "has.flag")]

@@ -13,6 +13,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardline.functions.refs import ref
+
 # Default column-name patterns.  A name matches when one pattern
 # matches at its start, ignoring case.  The patterns match the keyword as a
 # whole token separated by '.', '_' or '-' ("age", "AGE", "age_years",
@@ -51,4 +53,4 @@ def project_mapping(df: DataFrame, mapping: Mapping[str, str], keep: Iterable[st
     missing = [src for src in mapping.values() if src not in df.columns]
     if missing:
         raise AssertionError(f"Mapped columns not found: {missing}")
-    return df.select(*keep, *[F.col(src).alias(dst) for dst, src in mapping.items()])
+    return df.select(*keep, *[ref(src).alias(dst) for dst, src in mapping.items()])

@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardline.functions.refs import ref
 from wardline.session import checkpoint_dir
 
 
@@ -81,7 +82,7 @@ def similar_pairs(names: DataFrame, threshold: int, name_col: str = "name") -> D
     t = int(threshold)
     if t < 0:
         raise ValueError("threshold must be >= 0")
-    distinct = names.select(F.col(name_col).cast("string").alias("name")).where(F.col("name").isNotNull()).distinct()
+    distinct = names.select(ref(name_col).cast("string").alias("name")).where(F.col("name").isNotNull()).distinct()
     segs = _segments(distinct, t).select(F.col("name").alias("name_a"), "L", "seg", "text")
     probes = _probes(distinct, t).select(F.col("name").alias("name_b"), "L", "seg", "text")
     cand = (segs.join(probes, ["L", "seg", "text"])
@@ -92,7 +93,7 @@ def similar_pairs(names: DataFrame, threshold: int, name_col: str = "name") -> D
 
 
 def _order_key(prefix: str):
-    return F.struct(F.col(f"{prefix}_prio"), F.col(f"{prefix}_ord"), F.col(prefix))
+    return F.struct(F.col(f"{prefix}_prio"), F.col(f"{prefix}_ord"), ref(prefix))
 
 
 def dictionary_rounds(names: DataFrame, threshold: int, existing: DataFrame | None = None,
@@ -108,11 +109,11 @@ def dictionary_rounds(names: DataFrame, threshold: int, existing: DataFrame | No
     spark = names.sparkSession
     checkpoint_dir(spark)
     t = int(threshold)
-    order = F.col(order_col).cast("long") if order_col else F.lit(0).cast("long")
-    new = names.select(F.col(name_col).cast("string").alias("name"), order.alias("ord"), F.lit(1).alias("prio"))
+    order = ref(order_col).cast("long") if order_col else F.lit(0).cast("long")
+    new = names.select(ref(name_col).cast("string").alias("name"), order.alias("ord"), F.lit(1).alias("prio"))
     nodes = new.where(F.col("name").isNotNull())
     if existing is not None:
-        old = existing.select(F.col(existing.columns[0]).cast("string").alias("name"),
+        old = existing.select(ref(existing.columns[0]).cast("string").alias("name"),
                               F.lit(0).cast("long").alias("ord"), F.lit(0).alias("prio"))
         nodes = old.unionByName(nodes)
     # One row per name: its earliest position (an existing key wins).
@@ -180,15 +181,15 @@ def resolve_names(names: DataFrame, threshold: int, existing: DataFrame | None =
         raise ValueError("conflicts argument should be one of: 'ignore', 'raise', or 'merge'")
     if policy not in ("tabular", "document"):
         raise ValueError("policy must be 'tabular' or 'document'")
-    distinct = names.select(F.col(name_col).cast("string").alias("name")).where(F.col("name").isNotNull())
+    distinct = names.select(ref(name_col).cast("string").alias("name")).where(F.col("name").isNotNull())
     if order_col:
-        distinct = names.select(F.col(name_col).cast("string").alias("name"), F.col(order_col).alias("_ord"))
+        distinct = names.select(ref(name_col).cast("string").alias("name"), ref(order_col).alias("_ord"))
     if policy == "document" and conflicts == "ignore":
         # Every unseen name becomes its own key: no similarity test at all.
         out = distinct.select("name").distinct().select(
             "name", F.col("name").alias("comorb_key"), F.lit(0).cast("long").alias("n_similar"))
         if existing is not None:
-            ex = existing.select(F.col(existing.columns[0]).cast("string").alias("name")).distinct()
+            ex = existing.select(ref(existing.columns[0]).cast("string").alias("name")).distinct()
             ex_flag = ex.withColumn("_ex", F.lit(True))
             out = out.join(ex_flag, "name", "left")
             return out.select("name", "comorb_key", "n_similar",

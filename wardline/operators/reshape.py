@@ -12,6 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardline.functions.refs import ref
 from wardline.functions.labels import canonical_id, value_key
 from wardline.operators.columns import drop_columns
 
@@ -24,8 +25,8 @@ def unpivot_values(df: DataFrame, ids: list[str], values: list[str], name_col: s
     """
     if not values:
         raise ValueError("no columns to unpivot")
-    cast = df.select(*ids, *[F.col(c).cast("string").alias(c) for c in values])
-    return cast.unpivot(ids, values, name_col, value_col)
+    cast = df.select(*ids, *[ref(c).cast("string").alias(c) for c in values])
+    return cast.unpivot([ref(c) for c in ids], [ref(c) for c in values], name_col, value_col)
 
 
 def melt_onehot(df: DataFrame, id_column: str, exclude: Iterable[str] | None = None, positive="1",
@@ -40,5 +41,5 @@ def melt_onehot(df: DataFrame, id_column: str, exclude: Iterable[str] | None = N
     long = unpivot_values(df, [id_column], flags, name_col, "_status")
     positive_key = value_key(F.lit(str(positive)))
     return (long.where(value_key(F.col("_status")) == positive_key)
-            .select(canonical_id(F.col(id_column)).alias(id_alias), name_col)
+            .select(canonical_id(ref(id_column)).alias(id_alias), name_col)
             .distinct())

@@ -24,6 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardline.functions.refs import ref
 from wardline.functions.labels import contains_ci, regex_any, value_key
 from wardline.operators.columns import match_columns
 from wardline.session import checkpoint_dir
@@ -91,17 +92,17 @@ def _null_i() -> Column:
 
 def _row_projection(src: Source, variables: dict) -> DataFrame:
     """Step 1: one narrow row per input row with the fixed per-variable schema."""
-    out = [F.col(src.id_column).alias("_id"), F.col(FILE_COL)]
+    out = [ref(src.id_column).alias("_id"), ref(FILE_COL)]
     in_file = {}
     for name, spec in variables.items():
         if isinstance(spec, Single):
-            keys = [value_key(F.col(c)) for c in match_columns(src.columns, spec.patterns)]
+            keys = [value_key(ref(c)) for c in match_columns(src.columns, spec.patterns)]
             out += [(_least(keys) if keys else _null_s()).alias(f"{name}__kmin"),
                     (_greatest(keys) if keys else _null_s()).alias(f"{name}__kmax")]
         elif isinstance(spec, Classes):
             cols = match_columns(src.columns, spec.patterns)
             for cls, pats in spec.classes:
-                hits = [regex_any(F.col(c), pats).cast("int") for c in cols]
+                hits = [regex_any(ref(c), pats).cast("int") for c in cols]
                 out.append((_greatest(hits) if hits else _null_i()).alias(f"{name}__{cls}"))
         else:
             kw = spec.file_keyword
@@ -112,9 +113,9 @@ def _row_projection(src: Source, variables: dict) -> DataFrame:
             elif spec.column not in src.columns:
                 flag = _null_i()
             elif isinstance(spec, AnyMatch):
-                flag = F.when(in_file[kw], regex_any(F.col(spec.column), spec.patterns).cast("int"))
+                flag = F.when(in_file[kw], regex_any(ref(spec.column), spec.patterns).cast("int"))
             else:
-                flag = F.when(in_file[kw] & (value_key(F.col(spec.column)) == value_key(F.lit(spec.value))),
+                flag = F.when(in_file[kw] & (value_key(ref(spec.column)) == value_key(F.lit(spec.value))),
                               F.lit(1))
             out.append(flag.cast("int").alias(name))
     return src.df.select(*out)
@@ -140,7 +141,7 @@ def entity_aggregates(sources: SourceSet, variables: dict, conflicts: str = "ign
     rows = reduce(lambda a, b: a.unionByName(b), [_row_projection(s, variables) for s in sources])
     rows = rows.where(F.col("_id").isNotNull())          # a row without an id belongs to no entity
 
-    lvl1 = [F.col("_id"), F.col(FILE_COL)]
+    lvl1 = [F.col("_id"), ref(FILE_COL)]
     aggs1 = []
     for name, spec in variables.items():
         if isinstance(spec, Single):
@@ -182,7 +183,7 @@ def entity_aggregates(sources: SourceSet, variables: dict, conflicts: str = "ign
         elif isinstance(spec, Classes):
             final += [F.col(f"{name}__{cls}") for cls, _ in spec.classes]
         else:
-            final.append(F.col(name))
+            final.append(ref(name))
     return per_entity.select(*final)
 
 
@@ -194,16 +195,16 @@ def tri_state(pos: Column, neg: Column, susp: Column, suspected_blocks_negative:
 
 def entity_spine(sources: SourceSet, id_alias: str | None = None) -> DataFrame:
     """Distinct entity ids over all sources (A1)."""
-    frames = [s.df.select(F.col(s.id_column).alias(id_alias or sources.id_column)) for s in sources]
-    return reduce(lambda a, b: a.unionByName(b), frames).where(F.col(id_alias or sources.id_column).isNotNull()).distinct()
+    frames = [s.df.select(ref(s.id_column).alias(id_alias or sources.id_column)) for s in sources]
+    return reduce(lambda a, b: a.unionByName(b), frames).where(ref(id_alias or sources.id_column).isNotNull()).distinct()
 
 
 def entity_index(sources: SourceSet, id_alias: str | None = None) -> DataFrame:
     """Rows per (entity, file) (A2): the inverted index, as a table."""
     idc = id_alias or sources.id_column
-    frames = [s.df.select(F.col(s.id_column).alias(idc), F.col(FILE_COL)) for s in sources]
+    frames = [s.df.select(ref(s.id_column).alias(idc), ref(FILE_COL)) for s in sources]
     return (reduce(lambda a, b: a.unionByName(b), frames)
-            .where(F.col(idc).isNotNull())
+            .where(ref(idc).isNotNull())
             .groupBy(idc, FILE_COL).agg(F.count(F.lit(1)).alias("n_rows")))
 
 
@@ -215,14 +216,14 @@ def _long_values(sources: SourceSet, patterns, name: str = "value", keyed: bool
     frames = []
     for s in sources:
         cols = match_columns(s.columns, patterns)
-        base = s.df.select(F.col(s.id_column).alias("_id"), F.col(FILE_COL),
-                           *[F.col(c).cast("string").alias(c) for c in cols])
+        base = s.df.select(ref(s.id_column).alias("_id"), ref(FILE_COL),
+                           *[ref(c).cast("string").alias(c) for c in cols])
         if not cols:
             frames.append(base.select("_id", FILE_COL, _null_s().alias(name)))
             continue
-        long = base.unpivot(["_id", FILE_COL], cols, "_column", name).drop("_column")
+        long = base.unpivot(["_id", FILE_COL], [ref(c) for c in cols], "_column", name).drop("_column")
         if keyed:
-            long = long.withColumn(name, value_key(F.col(name)))
+            long = long.withColumn(name, value_key(ref(name)))
         frames.append(long)
     return reduce(lambda a, b: a.unionByName(b), frames).where(F.col("_id").isNotNull())
 
@@ -234,10 +235,10 @@ def multi_values(sources: SourceSet, patterns, id_alias: str | None = None, valu
     row with a null value.  Long form keeps a hot entity spread over tasks.
     """
     idc = id_alias or sources.id_column
-    rows = _long_values(sources, patterns, value_name).withColumn(value_name, F.trim(F.col(value_name)))
-    rows = rows.withColumn(value_name, F.when(F.col(value_name) == "", _null_s()).otherwise(F.col(value_name)))
-    values = rows.where(F.col(value_name).isNotNull()).select(F.col("_id").alias(idc), value_name).distinct()
-    empties = (rows.groupBy("_id").agg(F.max(F.col(value_name).isNotNull()).alias("_has"))
+    rows = _long_values(sources, patterns, value_name).withColumn(value_name, F.trim(ref(value_name)))
+    rows = rows.withColumn(value_name, F.when(ref(value_name) == "", _null_s()).otherwise(ref(value_name)))
+    values = rows.where(ref(value_name).isNotNull()).select(F.col("_id").alias(idc), value_name).distinct()
+    empties = (rows.groupBy("_id").agg(F.max(ref(value_name).isNotNull()).alias("_has"))
                .where(~F.col("_has")).select(F.col("_id").alias(idc), _null_s().alias(value_name)))
     return values.unionByName(empties)
 

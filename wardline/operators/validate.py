@@ -12,17 +12,19 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardline.functions.refs import ref
+
 
 def invalid_choices(df: DataFrame, column: str, choices: Iterable) -> DataFrame:
     """Rows whose non-null ``column`` is outside ``choices``."""
-    return df.where(F.col(column).isNotNull() & ~F.col(column).isin(list(choices)))
+    return df.where(ref(column).isNotNull() & ~ref(column).isin(list(choices)))
 
 
 def missing_required(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Rows with a null in any required column (P10)."""
     cond = None
     for c in columns:
-        cond = F.col(c).isNull() if cond is None else (cond | F.col(c).isNull())
+        cond = ref(c).isNull() if cond is None else (cond | ref(c).isNull())
     return df.where(cond) if cond is not None else df.limit(0)
 
 
@@ -46,7 +48,7 @@ def missing_parents(facts: DataFrame, parents: DataFrame, fact_id: str, parent_i
     parent_id = parent_id or fact_id
     ids = (facts.select(F.trim(F.col(fact_id).cast("string")).alias(id_alias))
            .groupBy(id_alias).agg(F.count(F.lit(1)).alias("n_rows")))
-    known = parents.select(F.trim(F.col(parent_id).cast("string")).alias(id_alias))
+    known = parents.select(F.trim(ref(parent_id).cast("string")).alias(id_alias))
     return ids.join(known, id_alias, "left_anti")
 
 
@@ -75,14 +77,14 @@ def guard_rows(df: DataFrame, table: str) -> DataFrame:
     choices = CHOICES.get(table, {})
     cols = []
     for name in df.columns:
-        c = F.col(name)
+        c = ref(name)
         if name in required:
             c = F.when(c.isNull(), F.raise_error(F.lit(f"Missing required {name} in {table}")).cast(
                 df.schema[name].dataType)).otherwise(c)
         if name in choices:
-            bad = F.col(name).isNotNull() & ~F.col(name).isin(list(choices[name]))
+            bad = ref(name).isNotNull() & ~ref(name).isin(list(choices[name]))
             c = F.when(bad, F.raise_error(F.concat(F.lit(f"Invalid {name} in {table}: "),
-                                                   F.col(name).cast("string"))).cast(df.schema[name].dataType)
+                                                   ref(name).cast("string"))).cast(df.schema[name].dataType)
                        ).otherwise(c)
         cols.append(c.alias(name))
     return df.select(*cols)

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardline.functions.refs import ref
 from wardline.operators.columns import AGE_TERMS, match_columns
 from wardline.operators.resolve import gather_values
 from wardline.session import checkpoint_dir
@@ -71,7 +72,7 @@ def apply_correction(sources: SourceSet, corrected: DataFrame,
     # every source joins it, and as a plain scan it lets adaptive execution
     # split a hot entity's partition on the (large) source side of the join.
     checkpoint_dir(corrected.sparkSession)
-    fixed = corrected.select(F.col(corrected.columns[0]).alias("_cid"),
+    fixed = corrected.select(ref(corrected.columns[0]).alias("_cid"),
                              F.col("corrected").alias("_corrected")).checkpoint()
     out = []
     for s in sources:
@@ -82,10 +83,10 @@ def apply_correction(sources: SourceSet, corrected: DataFrame,
         if len(cols) > 1:
             raise ValueError(f"Multiple value columns found {cols}")
         target = cols[0]
-        joined = s.df.join(fixed, F.col(s.id_column) == F.col("_cid"), "left")
-        missing = F.raise_error(F.concat(F.lit("No corrected value found for "), F.coalesce(F.col(s.id_column), F.lit("null"))))
+        joined = s.df.join(fixed, ref(s.id_column) == F.col("_cid"), "left")
+        missing = F.raise_error(F.concat(F.lit("No corrected value found for "), F.coalesce(ref(s.id_column), F.lit("null"))))
         value = F.when(F.col("_cid").isNull(), missing.cast("string")).otherwise(F.col("_corrected").cast("string"))
-        new_cols = [value.alias(c) if c == target else F.col(c) for c in s.df.columns]
+        new_cols = [value.alias(c) if c == target else ref(c) for c in s.df.columns]
         out.append(s.with_df(joined.select(*new_cols)))
     return SourceSet(out, idc)
 

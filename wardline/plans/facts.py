@@ -14,6 +14,7 @@ from warnings import warn
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardline.functions.refs import ref
 from wardline.functions.datetime import join_datetime, with_parsed_datetime
 from wardline.functions.labels import canonical_id, label_map
 from wardline.functions.text import clean_label, split_literal
@@ -39,7 +40,7 @@ def _extra(df: DataFrame, used: set[str]) -> Column:
     if not rest:
         return F.lit(None).cast("map<string,string>")
     return F.map_from_arrays(F.array(*[F.lit(c) for c in rest]),
-                             F.array(*[F.col(c).cast("string") for c in rest]))
+                             F.array(*[ref(c).cast("string") for c in rest]))
 
 
 def build_events(df: DataFrame, id_column: str, event_datetime: str | Sequence[str],
@@ -63,14 +64,14 @@ def build_events(df: DataFrame, id_column: str, event_datetime: str | Sequence[s
         assert_parents(df, patients, id_column)
     dt_cols = [event_datetime] if isinstance(event_datetime, str) else list(event_datetime)
     df = with_parsed_datetime(df.withColumn("_ev_text", join_datetime(dt_cols)), "_ev_text", "_ev_date", "_ev_time")
-    pid = canonical_id(F.col(id_column))
+    pid = canonical_id(ref(id_column))
     bad_date = F.raise_error(F.concat(F.lit("Invalid event datetime for patient "), F.coalesce(pid, F.lit("?")),
                                       F.lit(": "), F.coalesce(F.col("_ev_text"), F.lit("null"))))
     cols = [pid.alias("patient_id"),
             F.when(F.col("_ev_date").isNull(), bad_date.cast("date")).otherwise(F.col("_ev_date")).alias("event_date"),
             F.col("_ev_time").alias("event_time")]
     for fld, src in mappings.items():
-        c = F.col(src)
+        c = ref(src)
         if fld == "event_type":
             c = clean_label(c)
         elif fld in ("death", "critical_care_admission", "wimd"):
@@ -115,21 +116,21 @@ def build_measurements(df: DataFrame, id_column: str, results_columns: Sequence[
     lows = {c: float(r[0]) for c, r in zip(results_columns, ref_ranges) if r is not None}
     highs = {c: float(r[1]) for c, r in zip(results_columns, ref_ranges) if r is not None}
 
-    keep = [F.col(id_column).alias("_pid")]
+    keep = [ref(id_column).alias("_pid")]
     if result_datetime is not None:
         dt = [result_datetime] if isinstance(result_datetime, str) else list(result_datetime)
         keep.append(join_datetime(dt).alias("_dt"))
     else:
         keep.append(F.lit(None).cast("string").alias("_dt"))
-    keep.append((F.col(request_source).cast("string") if request_source else F.lit(None).cast("string")).alias("_src"))
-    keep.append((F.col(notes).cast("string") if notes else F.lit(None).cast("string")).alias("_notes"))
+    keep.append((ref(request_source).cast("string") if request_source else F.lit(None).cast("string")).alias("_src"))
+    keep.append((ref(notes).cast("string") if notes else F.lit(None).cast("string")).alias("_notes"))
     flag_list = F.transform(split_literal(F.col(flags), flags_sep), lambda x: F.trim(x)) if flags else F.lit(None)
     keep.append(flag_list.cast("array<string>").alias("_flags"))
-    wide = df.select(*keep, *[F.col(c).cast("string").alias(c) for c in results_columns])
+    wide = df.select(*keep, *[ref(c).cast("string").alias(c) for c in results_columns])
     # Parse the datetime once per source row, before the unpivot multiplies rows.
     wide = with_parsed_datetime(wide, "_dt", "_rdate", "_rtime")
     ids = ["_pid", "_dt", "_rdate", "_rtime", "_src", "_notes", "_flags"]
-    long = (wide.unpivot(ids, results_columns, "result_name", "_result")
+    long = (wide.unpivot(ids, [ref(c) for c in results_columns], "result_name", "_result")
             .where(F.col("_result").isNotNull() & (F.trim("_result") != "")))
 
     rtype = label_map(F.col("result_name"), type_of)
@@ -192,13 +193,13 @@ def build_critical_care(df: DataFrame, id_column: str, admission_datetime: str |
     df = parse(parse(df, admission_datetime, "_adm"), discharge_datetime, "_dis")
 
     def opt(c, cast="string"):
-        return F.col(c).cast("string").try_cast(cast) if c else F.lit(None).cast(cast)
+        return ref(c).cast("string").try_cast(cast) if c else F.lit(None).cast(cast)
 
     used = {id_column, request_location, icu_days, ventilated, covid_status}
     for value in (admission_datetime, discharge_datetime):
         used.update([value] if isinstance(value, str) else list(value or []))
     extra = _extra(df, used) if keep_extra else F.lit(None).cast("map<string,string>")
-    out = df.select(canonical_id(F.col(id_column)).alias("patient_id"), extra.alias("extra"),
+    out = df.select(canonical_id(ref(id_column)).alias("patient_id"), extra.alias("extra"),
                     F.col("_adm_date").alias("admission_date"), F.col("_adm_time").alias("admission_time"),
                     F.col("_dis_date").alias("discharge_date"), F.col("_dis_time").alias("discharge_time"),
                     opt(request_location).alias("request_location"), opt(icu_days, "double").alias("icu_days"),

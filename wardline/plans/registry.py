@@ -14,6 +14,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardline.functions.refs import ref
 from wardline.operators.validate import assert_none, duplicate_keys, guard_rows, invalid_choices, missing_required
 from wardline.schemas import CHOICES, KEYS, REQUIRED, TABLES, conform
 
@@ -114,7 +115,7 @@ class Registry:
         if entity_ids is None:
             rows = self.spark.range(1).select(F.lit(None).cast("string").alias("entity_id"))
         else:
-            rows = entity_ids.select(F.col(entity_ids.columns[0]).cast("string").alias("entity_id"))
+            rows = entity_ids.select(ref(entity_ids.columns[0]).cast("string").alias("entity_id"))
         audit = rows.select(F.current_timestamp().alias("ts"), F.lit(op).alias("op"), "entity_id",
                             F.lit(message).alias("message"))
         audit.write.mode("append").parquet(self.current("audit"))
@@ -122,7 +123,7 @@ class Registry:
     def log_rows(self, op: str, rows: DataFrame, entity_col: str, message: "F.Column") -> None:
         """Audit rows computed per input row: ``message`` is a Column (K8)."""
         audit = rows.select(F.current_timestamp().alias("ts"), F.lit(op).alias("op"),
-                            F.col(entity_col).cast("string").alias("entity_id"), message.alias("message"))
+                            ref(entity_col).cast("string").alias("entity_id"), message.alias("message"))
         audit.write.mode("append").parquet(self.current("audit"))
 
     # -- K5, K6 -------------------------------------------------------------
@@ -139,7 +140,7 @@ class Registry:
         # and a plain scan lets adaptive execution split a hot patient's
         # partition on the fact side.
         checkpoint_dir(self.spark)
-        doomed = ids.select(F.col(id_column).cast("string").alias("patient_id")).distinct().checkpoint()
+        doomed = ids.select(ref(id_column).cast("string").alias("patient_id")).distinct().checkpoint()
         for table in ("patients", *FACT_TABLES):
             versions = self._versions(table)
             kept = self.read(table).join(doomed, "patient_id", "left_anti")
@@ -177,11 +178,11 @@ def cascade_delete(tables: dict[str, DataFrame], doomed: DataFrame, id_column: s
     from wardline.session import checkpoint_dir
 
     checkpoint_dir(doomed.sparkSession)
-    ids = doomed.select(F.col(id_column).cast("string").alias("_doomed")).distinct().checkpoint()
+    ids = doomed.select(ref(id_column).cast("string").alias("_doomed")).distinct().checkpoint()
     out = {}
     for name, df in tables.items():
         key = "patient_id" if "patient_id" in df.columns else id_column
-        out[name] = df.join(ids, F.col(key).cast("string") == F.col("_doomed"), "left_anti")
+        out[name] = df.join(ids, ref(key).cast("string") == F.col("_doomed"), "left_anti")
     return out
 
 

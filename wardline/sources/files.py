@@ -15,6 +15,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from wardline.functions.refs import ref
 from pyspark.sql import types as T
 
 from wardline.functions.labels import NULL_TOKENS, canonical_id, null_tokens
@@ -109,7 +111,7 @@ def _read_csv(spark: SparkSession, paths: list[str], schema: T.StructType, multi
             .option("escape", '"')
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT_COL)
-            .option("enforceSchema", False)
+            .option("enforceSchema", True)   # the schema is the header of these very files
             .csv(paths)
             .withColumn(FILE_COL, F.col("_metadata.file_name")))
 
@@ -136,13 +138,13 @@ def read_csv_group(spark: SparkSession, files: list[SourceFile], header: list[st
         df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     else:
         df = _read_csv(spark, [f.path for f in files], schema, bool(multiline))
-    too_long = F.col(CORRUPT_COL).isNotNull() & (_field_count(F.col(CORRUPT_COL)) > len(header))
+    too_long = ref(CORRUPT_COL).isNotNull() & (_field_count(ref(CORRUPT_COL)) > len(header))
     guard = F.when(too_long, F.raise_error(F.concat(
-        F.lit("Failed parsing "), F.col(FILE_COL), F.lit("; row has more fields than the header: "),
-        F.col(CORRUPT_COL))))
-    cols = [F.coalesce(guard, canonical_id(null_tokens(F.col(id_column), tokens))).alias(id_column)]
-    cols += [null_tokens(F.col(c), tokens).alias(c) for c in header if c != id_column]
-    cols.append(F.col(FILE_COL))
+        F.lit("Failed parsing "), ref(FILE_COL), F.lit("; row has more fields than the header: "),
+        ref(CORRUPT_COL))))
+    cols = [F.coalesce(guard, canonical_id(null_tokens(ref(id_column), tokens))).alias(id_column)]
+    cols += [null_tokens(ref(c), tokens).alias(c) for c in header if c != id_column]
+    cols.append(ref(FILE_COL))
 
     def reopen(names: tuple[str, ...]) -> Source:
         return read_csv_group(spark, [f for f in files if f.name in names], header, id_column, multiline, tokens)

@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardline.functions.refs import ref
 from wardline.functions.labels import contains_ci
 
 FILE_COL = "_file"
@@ -50,7 +51,7 @@ class Source:
             return self
         if self.reopen is not None:
             return self.reopen(names)
-        return Source(self.df.filter(F.col(FILE_COL).isin(list(names))), self.id_column, names)
+        return Source(self.df.filter(ref(FILE_COL).isin(list(names))), self.id_column, names)
 
 
 @dataclass

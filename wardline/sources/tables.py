@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardline.functions.refs import ref
 from wardline.functions.labels import canonical_id
 from wardline.sources.model import FILE_COL, Source, SourceSet
 
@@ -30,8 +31,8 @@ def from_table(df: DataFrame, id_column: str, source_id: str | None = None, file
     payload = columns if columns is not None else [c for c in df.columns if c not in (src, file_column)]
     rename = rename or {}
     tag = F.lit(file) if file is not None else F.col(file_column).cast("string")
-    cols = [canonical_id(F.col(src)).alias(id_column)]
-    cols += [F.col(c).alias(rename.get(c, c)) for c in payload if c != src]
+    cols = [canonical_id(ref(src)).alias(id_column)]
+    cols += [ref(c).alias(rename.get(c, c)) for c in payload if c != src]
     cols.append(tag.alias(FILE_COL))
     return Source(df.select(*cols), id_column, (file,) if file is not None else None)
 

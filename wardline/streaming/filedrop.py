@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from wardline.functions.labels import NULL_TOKENS, canonical_id, null_tokens
+from wardline.functions.refs import ref
 from wardline.sources.model import FILE_COL
 
 
@@ -37,9 +38,9 @@ def csv_stream(spark: SparkSession, directory: str, header: list[str], id_column
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(directory).withColumn(FILE_COL, F.col("_metadata.file_name"))
-    cols = [canonical_id(null_tokens(F.col(id_column), NULL_TOKENS)).alias(id_column)]
-    cols += [null_tokens(F.col(c), NULL_TOKENS).alias(c) for c in header if c != id_column]
-    return raw.select(*cols, F.col(FILE_COL))
+    cols = [canonical_id(null_tokens(ref(id_column), NULL_TOKENS)).alias(id_column)]
+    cols += [null_tokens(ref(c), NULL_TOKENS).alias(c) for c in header if c != id_column]
+    return raw.select(*cols, ref(FILE_COL))
 
 
 def ingest(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], sink_path: str,
