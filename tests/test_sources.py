@@ -129,3 +129,10 @@ def test_dotted_and_duplicate_headers(spark, workdir):
         ("1", "age.years", 34.0), ("2", "age.years", 40.0)]
     flags = spark.createDataFrame([("1", 1, 0)], "id string, `has.flag` int, other int")
     assert [tuple(r) for r in melt_onehot(flags, "id").collect()] == [("1", "has.flag")]
+
+
+def test_xlsx_duplicate_headers(spark, workdir):
+    write_xlsx(os.path.join(workdir, "dup.xlsx"), ["id", "x", "x"], [[1, "a", "b"]])
+    srcs = load_directory(spark, workdir, "id")
+    assert srcs.sources[0].columns == ["x1", "x2"]
+    assert [(r["x1"], r["x2"]) for r in srcs.sources[0].df.collect()] == [("a", "b")]

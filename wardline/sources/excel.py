@@ -133,6 +133,12 @@ def read_sheet(content: bytes, max_rows: int | None = None) -> list[list[str | N
 BATCH_ROWS = 10_000
 
 
+def _unique(header: list[str]) -> list[str]:
+    """Duplicate names get their position appended, as Spark's CSV reader does."""
+    counts = {h: header.count(h) for h in header}
+    return [f"{h}{i}" if counts[h] > 1 else h for i, h in enumerate(header)]
+
+
 def _decode(header_only: bool):
     def run(batches):
         for pdf in batches:
@@ -142,9 +148,9 @@ def _decode(header_only: bool):
                 first = next(rows, None)
                 if first is None:
                     continue
-                header = [h if h is not None else f"Unnamed: {i}" for i, h in enumerate(first)]
+                header = _unique([h if h is not None else f"Unnamed: {i}" for i, h in enumerate(first)])
                 if header_only:
-                    yield pd.DataFrame([(name, 0, dict(zip(header, first)))], columns=["_file", "_row", "cells"])
+                    yield pd.DataFrame([(name, 0, {h: h for h in header})], columns=["_file", "_row", "cells"])
                     continue
                 out = []
                 for i, r in enumerate(rows):
