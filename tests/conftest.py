@@ -1,3 +1,4 @@
+import json
 import os
 import sys
 import tempfile
@@ -12,7 +13,9 @@ sys.path.insert(0, ROOT)
 def spark():
     from wardline.session import get_spark
 
-    s = get_spark("local[4]", app="wardline-tests", shuffle_partitions=4)
+    # WARDLINE_TEST_CONF: JSON of session overrides, e.g. '{"spark.sql.ansi.enabled": "false"}'.
+    overrides = json.loads(os.environ.get("WARDLINE_TEST_CONF", "{}"))
+    s = get_spark("local[4]", app="wardline-tests", shuffle_partitions=4, conf=overrides)
     # Tests set their own checkpoint folder only when the session has none.
     if not s.sparkContext.getCheckpointDir() and not s.conf.get("spark.checkpoint.dir", None):
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="wardline-ckpt-"))
