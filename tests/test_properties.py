@@ -65,3 +65,45 @@ def test_insert_delete_documents(spark):
     kept = cascade_delete({"patients": patients, "events": events}, spark.createDataFrame([("1",)], "patient_id string"))
     assert [r[0] for r in kept["patients"].collect()] == ["2"]
     assert [r[0] for r in kept["events"].collect()] == ["2"]
+
+
+def _key(v):
+    """The comparison rule: numbers compare as numbers, text trimmed, empty is missing."""
+    if v is None or v.strip() == "":
+        return None
+    try:
+        return repr(float(v.strip()))
+    except ValueError:
+        return v.strip()
+
+
+def _expected(rows):
+    per_file = {}
+    for f, i, v in rows:
+        k = _key(v)
+        if i is not None and k is not None:
+            per_file.setdefault((i, f), set()).add(k)
+        if i is not None:
+            per_file.setdefault((i, f), set())
+    out = {}
+    for i in {i for (i, _) in per_file}:
+        clean = {next(iter(ks)) for (j, _), ks in per_file.items() if j == i and len(ks) == 1}
+        n_bad = sum(1 for (j, _), ks in per_file.items() if j == i and len(ks) > 1)
+        out[i] = (next(iter(clean)) if len(clean) == 1 else None, n_bad, len(clean) > 1)
+    return out
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a.csv", "b.csv", "c.csv"]), st.sampled_from(["1", "2", "3", None]),
+                          st.sampled_from(["34", "34.0", " 34", "35", "M", "m", "", None])),
+                min_size=1, max_size=30))
+def test_single_value_rule_matches_model(spark, rows):
+    from wardline.operators import Single, entity_aggregates
+    from wardline.sources import Source, SourceSet
+
+    df = spark.createDataFrame(rows, "_file string, id string, age string")
+    files = tuple(sorted({f for f, _, _ in rows}))
+    out = entity_aggregates(SourceSet([Source(df.select("id", "age", "_file"), "id", files)], "id"),
+                            {"age": Single(("age",))})
+    got = {r["id"]: (r["age"], r["age__file_conflicts"], r["age__entity_conflict"]) for r in out.collect()}
+    assert got == _expected(rows)
