@@ -107,3 +107,46 @@ def test_single_value_rule_matches_model(spark, rows):
                             {"age": Single(("age",))})
     got = {r["id"]: (r["age"], r["age__file_conflicts"], r["age__entity_conflict"]) for r in out.collect()}
     assert got == _expected(rows)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a.csv", "b.csv"]), st.sampled_from(["1", "2", "3"]),
+                          st.sampled_from(["neg", "Positive", "suspected", " neg ", "x", "", None])),
+                min_size=1, max_size=25))
+def test_multi_values_and_tri_state_match_model(spark, rows):
+    from pyspark.sql import functions as F
+
+    from wardline.operators import classes, entity_aggregates, multi_values, tri_state
+    from wardline.sources import Source, SourceSet
+
+    df = spark.createDataFrame(rows, "_file string, id string, covid string")
+    src = SourceSet([Source(df.select("id", "covid", "_file"), "id", ("a.csv", "b.csv"))], "id")
+    values = {}
+    for _, i, v in rows:
+        values.setdefault(i, set())
+        if v is not None and v.strip():
+            values[i].add(v.strip())
+    got = {}
+    for r in multi_values(src, ["covid"]).collect():
+        got.setdefault(r["id"], set())
+        if r["value"] is not None:
+            got[r["id"]].add(r["value"])
+    assert got == values
+
+    import re
+
+    raw = {}
+    for _, i, v in rows:
+        raw.setdefault(i, set())
+        if v is not None:
+            raw[i].add(v)
+
+    def status(vs):   # classes test the raw values: prefix match, any case
+        hit = lambda p: any(re.match(p, v, re.IGNORECASE) for v in vs)
+        pos, neg, susp = hit("^positive$"), hit("^neg$"), hit("suspected")
+        return "P" if pos else ("N" if neg and not susp else "U")
+
+    cl = classes(["covid"], positive=["^positive$"], negative=["^neg$"], suspected=["suspected"])
+    out = entity_aggregates(src, {"c": cl}).select(
+        "id", tri_state(F.col("c__positive"), F.col("c__negative"), F.col("c__suspected")).alias("s"))
+    assert {r["id"]: r["s"] for r in out.collect()} == {i: status(vs) for i, vs in raw.items()}
