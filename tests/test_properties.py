@@ -150,3 +150,32 @@ def test_multi_values_and_tri_state_match_model(spark, rows):
     out = entity_aggregates(src, {"c": cl}).select(
         "id", tri_state(F.col("c__positive"), F.col("c__negative"), F.col("c__suspected")).alias("s"))
     assert {r["id"]: r["s"] for r in out.collect()} == {i: status(vs) for i, vs in raw.items()}
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["outcome_1.csv", "Outcome_2.csv", "demo.csv"]),
+                          st.sampled_from(["1", "2", "3"]),
+                          st.sampled_from(["Died", "dead on arrival", "home", "alive", None]),
+                          st.sampled_from(["Y", "N", " Y", None])),
+                min_size=1, max_size=25))
+def test_flags_match_model(spark, rows):
+    import re
+
+    from wardline.operators import AnyMatch, Presence, ValueEquals, entity_aggregates
+    from wardline.sources import Source, SourceSet
+
+    df = spark.createDataFrame(rows, "_file string, id string, destination string, cc string")
+    files = tuple(sorted({f for f, *_ in rows}))
+    out = entity_aggregates(SourceSet([Source(df.select("id", "destination", "cc", "_file"), "id", files)], "id"),
+                            {"died": AnyMatch("outcome", "destination", ("dead", "died", "death")),
+                             "cc_value": ValueEquals("outcome", "cc", "Y"), "cc_presence": Presence("outcome")})
+    got = {r["id"]: (r["died"], r["cc_value"], r["cc_presence"]) for r in out.collect()}
+    exp = {}
+    for f, i, dest, cc in rows:
+        died, val, pres = exp.get(i, (0, 0, 0))
+        if "outcome" in f.lower():
+            pres = 1
+            died = max(died, int(dest is not None and any(re.match(p, dest, re.I) for p in ("dead", "died", "death"))))
+            val = max(val, int(cc is not None and cc.strip() == "Y"))
+        exp[i] = (died, val, pres)
+    assert got == exp
