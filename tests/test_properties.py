@@ -179,3 +179,30 @@ def test_flags_match_model(spark, rows):
             val = max(val, int(cc is not None and cc.strip() == "Y"))
         exp[i] = (died, val, pres)
     assert got == exp
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["1", "2"]),
+                          st.sampled_from(["5.5", " 7 ", "abc", "", None]),
+                          st.sampled_from(["pos", "neg", "", None]),
+                          st.sampled_from(["12 mg dl", "a", "", None])),
+                min_size=1, max_size=20))
+def test_measurements_match_model(spark, rows):
+    from wardline.plans import build_measurements
+
+    df = spark.createDataFrame(rows, "id string, hb string, flag string, cx string")
+    m = build_measurements(df, "id", ["hb", "flag", "cx"], ["continuous", "discrete", "complex"], on_invalid="drop")
+    got = sorted((r["patient_id"], r["result_name"], r["result_double"], r["result_string"],
+                  tuple(r["result_array"]) if r["result_array"] is not None else None) for r in m.collect())
+    exp = []
+    for i, hb, flag, cx in rows:
+        if hb is not None and hb.strip():
+            try:
+                exp.append((i, "hb", float(hb), None, None))
+            except ValueError:
+                pass                                   # not a number: dropped under on_invalid="drop"
+        if flag is not None and flag.strip():
+            exp.append((i, "flag", None, flag, None))
+        if cx is not None and cx.strip():
+            exp.append((i, "cx", None, None, tuple(cx.split(" "))))
+    assert got == sorted(exp)
