@@ -206,3 +206,32 @@ def test_measurements_match_model(spark, rows):
         if cx is not None and cx.strip():
             exp.append((i, "cx", None, None, tuple(cx.split(" "))))
     assert got == sorted(exp)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a.csv", "b.csv", "c.csv"]), st.sampled_from(["1", "2", "3"]),
+                          st.sampled_from(["34", "34.0", "35", "x", "", None])),
+                min_size=1, max_size=30))
+def test_conflict_report_matches_model(spark, rows):
+    from wardline.operators import Single, conflict_report
+    from wardline.sources import Source, SourceSet
+
+    df = spark.createDataFrame(rows, "_file string, id string, age string")
+    files = tuple(sorted({f for f, _, _ in rows}))
+    rep = conflict_report(SourceSet([Source(df.select("id", "age", "_file"), "id", files)], "id"),
+                          {"age": Single(("age",))})
+    got = {tuple(r) for r in rep.collect()}
+    groups = {}
+    for f, i, v in rows:
+        k = _key(v)
+        if k is not None:
+            groups.setdefault((i, f), set()).add(k)
+    exp = set()
+    for (i, f), ks in groups.items():
+        if len(ks) > 1:
+            exp |= {(i, "file", f, "age", k) for k in ks}
+    for i in {i for i, _ in groups}:
+        clean = {(f, next(iter(ks))) for (j, f), ks in groups.items() if j == i and len(ks) == 1}
+        if len({k for _, k in clean}) > 1:
+            exp |= {(i, "entity", f, "age", k) for f, k in clean}
+    assert got == exp
