@@ -235,3 +235,28 @@ def test_conflict_report_matches_model(spark, rows):
         if len({k for _, k in clean}) > 1:
             exp |= {(i, "entity", f, "age", k) for f, k in clean}
     assert got == exp
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a.csv", "b.csv"]), st.sampled_from(["1", "2", "3"]),
+                          st.sampled_from(["34", "35.5", "40", None])),
+                min_size=1, max_size=20))
+def test_correction_matches_model(spark, rows):
+    from hypothesis import assume
+
+    from wardline.plans import apply_correction, corrected_values
+    from wardline.sources import Source, SourceSet
+
+    ids_with_values = {i for _, i, v in rows if v is not None}
+    assume(ids_with_values == {i for _, i, _ in rows})          # every entity has an age somewhere
+    df = spark.createDataFrame([(f, i, v, n) for n, (f, i, v) in enumerate(rows)], "_file string, id string, age string, n int")
+    files = tuple(sorted({f for f, _, _ in rows}))
+    src = SourceSet([Source(df.select("id", "age", "n", "_file"), "id", files)], "id")
+    fixed = corrected_values(src, lambda c: F.max(c.cast("double")), ["age"])
+    out = apply_correction(src, fixed, ["age"]).sources[0].df
+    best = {}
+    for _, i, v in rows:
+        if v is not None:
+            best[i] = max(best.get(i, float("-inf")), float(v))
+    got = {r["n"]: float(r["age"]) for r in out.collect()}
+    assert got == {n: best[i] for n, (_, i, _) in enumerate(rows)}
