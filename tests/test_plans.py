@@ -39,3 +39,35 @@ def test_no_python_in_hot_paths(spark):
     for name in ["patients_basics", "measurements_long", "events_build", "critical_care_build", "parse_datetime"]:
         p = plan(E.queries()[name](spark, SF))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_hot_entity_join_is_split(spark):
+    """A third of the rows on one entity: the write-back join must be skew-split, not one task."""
+    from pyspark.sql import functions as F
+
+    from wardline.plans import apply_correction, corrected_values
+    from wardline.sources import SourceSet, from_table
+
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+                                            "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                                            "spark.sql.shuffle.partitions")}
+    try:
+        for k, v in {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+                     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+                     "spark.sql.shuffle.partitions": "16"}.items():
+            spark.conf.set(k, v)
+        orders = E.read_table(spark, "/root/testdata/sf0.01", "orders")
+        hot = (orders.withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(0))
+                                 .otherwise(F.col("o_custkey"))).repartition(8).checkpoint())
+        src = SourceSet([from_table(hot, "patient_id", source_id="o_custkey", file="orders",
+                                    columns=["o_orderkey", "o_totalprice"])])
+        fixed = corrected_values(src, lambda c: F.max(c.cast("double")), ["o_totalprice"])
+        df = apply_correction(src, fixed, ["o_totalprice"]).sources[0].df
+        for _ in df.toLocalIterator():
+            pass
+        assert "SortMergeJoin(skew=true)" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
