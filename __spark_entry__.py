@@ -402,8 +402,23 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_patients_basics(spark, SMOKE_DIR)
 
 
+def _llm() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data operators; none where their folder is absent."""
+    try:
+        import corpus_pipeline
+        from wardline.llm import queries as llm
+    except ModuleNotFoundError as e:
+        if e.name not in ("corpus_pipeline", "wardline.llm", "wardline.llm.queries"):
+            raise
+        return {}, {}
+    sql = dict(llm.SQL)
+    if corpus_pipeline.ORACLE_SQL is not None:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_llm()[0]}
 
 
 # ---------------------------------------------------------------- oracles
@@ -633,4 +648,4 @@ _SQL = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in _SQL.items() if k in _QUERIES}
+    return {**{k: v for k, v in _SQL.items() if k in _QUERIES}, **_llm()[1]}
