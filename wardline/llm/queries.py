@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from wardline.llm.common import table
 from wardline.llm.exact_dedup import exact_groups
 from wardline.llm.mix_sources import mix
+from wardline.llm.ngram_join import ngram_groups
 
 
 def op8_exact_dedup(spark, d):
@@ -21,9 +22,14 @@ def op3_mix_sources(spark, d):
     return mix(table(spark, d, "documents")).select("doc_id", "size", "source_size", "target", "copies", "taken")
 
 
+def op10_ngram_join(spark, d):
+    return ngram_groups(table(spark, d, "documents"))
+
+
 QUERIES = {
     "op3_mix_sources": op3_mix_sources,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 SQL = {
