@@ -8,8 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wardline.llm import line_crf, toxicity
 from wardline.llm.common import table
 from wardline.llm.exact_dedup import exact_groups
+from wardline.llm.grid_join import near_vectors
+from wardline.llm.labelled import fold
 from wardline.llm.mix_sources import mix
 from wardline.llm.ngram_join import ngram_groups
 
@@ -26,13 +29,48 @@ def op10_ngram_join(spark, d):
     return ngram_groups(table(spark, d, "documents"))
 
 
+def op4_grid_join(spark, d):
+    return near_vectors(table(spark, d, "embeddings"))
+
+
+def op1_line_crf(spark, d):
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    scores = line_crf.quality_scores(docs, line_crf.train(docs, labels))
+    return scores.select("doc_id", F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op5_toxicity(spark, d):
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    scores = toxicity.toxicity_scores(docs, toxicity.train(docs, labels))
+    return scores.select("doc_id", F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES = {
+    "op1_line_crf": op1_line_crf,
     "op3_mix_sources": op3_mix_sources,
+    "op4_grid_join": op4_grid_join,
+    "op5_toxicity": op5_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_ngram_join": op10_ngram_join,
 }
 
 SQL = {
+    "op4_grid_join": """
+        with recursive v as (
+            select vec_id, label, len(embedding) as dim, embedding::double[] as e from embeddings
+            where vec_id is not null and label is not null and len(embedding) > 0
+              and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+              and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        l as (select a.vec_id as a, b.vec_id as b from v a join v b
+              on a.label = b.label and a.dim = b.dim and a.vec_id <> b.vec_id and list_cosine_similarity(a.e, b.e) >= 0.93),
+        r(node, seen) as (select vec_id, vec_id from v union select r.node, l.b from r join l on r.seen = l.a),
+        c as (select node, min(seen) as component_id from r group by node),
+        n as (select a, count(*) as n from l group by a)
+        select vec_id, coalesce(n, 0)::bigint as n_links, coalesce(component_id, vec_id) as component_id,
+               coalesce(vec_id = coalesce(component_id, vec_id), false) as kept
+        from embeddings left join n on a = vec_id left join c on node = vec_id""",
     "op8_exact_dedup": r"""
         with h as (select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as sha
                    from documents),
