@@ -9,12 +9,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wardline.llm import line_crf, toxicity
-from wardline.llm.common import table
+from wardline.llm.common import scratch_path, table
 from wardline.llm.exact_dedup import exact_groups
 from wardline.llm.grid_join import near_vectors
+from wardline.llm.html_diff import extract_main_text
 from wardline.llm.labelled import fold
 from wardline.llm.mix_sources import mix
 from wardline.llm.ngram_join import ngram_groups
+from wardline.llm.warc_chunks import read_records, write_archives
 
 
 def op8_exact_dedup(spark, d):
@@ -47,16 +49,35 @@ def op5_toxicity(spark, d):
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op2_html_diff(spark, d):
+    return extract_main_text(table(spark, d, "pages"))
+
+
+def op7_warc_chunks(spark, d):
+    path = scratch_path(spark, "archives")
+    write_archives(table(spark, d, "pages"), path)
+    return read_records(spark, path).drop("url")
+
+
 QUERIES = {
     "op1_line_crf": op1_line_crf,
+    "op2_html_diff": op2_html_diff,
     "op3_mix_sources": op3_mix_sources,
     "op4_grid_join": op4_grid_join,
     "op5_toxicity": op5_toxicity,
+    "op7_warc_chunks": op7_warc_chunks,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_ngram_join": op10_ngram_join,
 }
 
 SQL = {
+    "op7_warc_chunks": """
+        with p as (select page_id, strlen(coalesce(html, ''))::bigint as n, sha1(coalesce(html, '')) as digest from pages),
+             g as (select digest, max(page_id) as last from p where n >= 1000 group by digest)
+        select page_id, n as payload_bytes, p.digest as payload_digest,
+               case when last is null or page_id is not distinct from last then 'response' else 'revisit' end as record_type,
+               case when page_id is distinct from last then last end as refers_to
+        from p left join g on p.digest = g.digest and n >= 1000""",
     "op4_grid_join": """
         with recursive v as (
             select vec_id, label, len(embedding) as dim, embedding::double[] as e from embeddings
