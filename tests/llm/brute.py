@@ -39,3 +39,21 @@ def ngram_groups(docs):
     links = [(a, b) for (a, b), n in both.items() if 100 * n >= 75 * (len(sets[a]) + len(sets[b]) - n)]
     root = closure(ids, links)
     return {i: (len(sets[i]), root[i]) for i in ids}
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + i % 2)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def base_spans(text):
+    """(kind number, start, end) of the base entities, by the contract's patterns as they stand."""
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    kinds = [(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda s: True),
+             (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda s: all(int(p) <= 255 for p in s.split("."))),
+             (r"[0-9]([\x20-]?[0-9])+", lambda s: 14 <= len(digits(s)) <= 19 and luhn(digits(s))),
+             (r"\+[0-9][\x20().0-9-]+[0-9]", lambda s: 10 <= len(digits(s)) <= 15)]
+    return [(k, m.start(), m.end()) for k, (p, ok) in enumerate(kinds) for m in re.finditer(p, text or "") if ok(m[0])]

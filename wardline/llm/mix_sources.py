@@ -116,6 +116,18 @@ def mix(docs: DataFrame, weights=(5.0, 2.0, 1.0), share: float = 1.5, cap: float
                                         (copies * F.col("size")).alias("taken"))
 
 
+def mixed_rows(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """``docs`` with each row as often as ``mix`` takes it; rows that repeat an id are taken as one of them is.
+
+    Every stage keeps its columns; a row of a null id is taken like the other rows of null id.
+    """
+    plan = (mix(docs, id_col=id_col, **options).groupBy(F.col("doc_id").alias("__id")).agg(F.max("copies").alias("__copies"))
+            .where("__copies > 0"))
+    rows = docs.join(plan, docs[id_col].eqNullSafe(plan["__id"]))
+    times = F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))
+    return rows.select(*[docs[c] for c in docs.columns], times.alias("__time")).drop("__time")
+
+
 def _by_source(rows: DataFrame, per_source: DataFrame) -> DataFrame:
     """Left join on the source, nulls being equal."""
     right = per_source.withColumnRenamed("source", "__source")

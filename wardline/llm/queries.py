@@ -16,6 +16,8 @@ from wardline.llm.html_diff import extract_main_text
 from wardline.llm.labelled import fold
 from wardline.llm.mix_sources import mix
 from wardline.llm.ngram_join import ngram_groups
+from wardline.llm.pii_bootstrap import find_personal_data
+from wardline.llm.piece_sampling import sample_pieces
 from wardline.llm.warc_chunks import read_records, write_archives
 
 
@@ -59,14 +61,24 @@ def op7_warc_chunks(spark, d):
     return read_records(spark, path).drop("url")
 
 
+def op9_pii_bootstrap(spark, d):
+    return find_personal_data(table(spark, d, "documents"))
+
+
+def op6_piece_sampling(spark, d):
+    return sample_pieces(table(spark, d, "documents"), check=True)
+
+
 QUERIES = {
     "op1_line_crf": op1_line_crf,
     "op2_html_diff": op2_html_diff,
     "op3_mix_sources": op3_mix_sources,
     "op4_grid_join": op4_grid_join,
     "op5_toxicity": op5_toxicity,
+    "op6_piece_sampling": op6_piece_sampling,
     "op7_warc_chunks": op7_warc_chunks,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_pii_bootstrap": op9_pii_bootstrap,
     "op10_ngram_join": op10_ngram_join,
 }
 
