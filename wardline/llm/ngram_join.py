@@ -17,9 +17,10 @@ indexed:
 Candidates are verified on whole token sets.  Groups are wanted, not all
 pairs, so candidates that are already connected need no check: a first round
 links each set to the smallest one with the same min-hash, a second to the
-smallest one of each key, and a last one checks every pair of a key that is
-still in different groups.  No step lists all pairs of a key whose sets are
-connected, and nothing is capped.
+smallest one of each key, and a last one checks what is still in different
+groups: pair by pair under keys of at most ``few_sets`` sets, and by blocks of
+sets, as matrices of sets and tokens, under the others.  No step lists all
+pairs of a frequent key, and nothing is capped.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ from wardline.llm.common import components, drop_table, materialise
 _U = np.uint64
 CHUNK_TOKENS = 2_000_000  # tokens and sets of a chunk, which is what a task holds at once
 CHUNK_SETS = 30_000
+BLOCK_SETS = 512  # sets of a block
+_COLUMNS = 8192  # tokens compared by one matrix product
 _SPLIT = 1 << 20  # bytes of a text split into words at a time
 
 
@@ -254,7 +257,76 @@ def _verify(similarity: float):
     return run
 
 
-def ngram_groups(docs: DataFrame, similarity: float = 0.75, width: int = 5, rare: int = 64,
+def _compare(similarity: float):
+    """Of two blocks of sets: each linked set with the smallest one it is connected to in the pair of blocks."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rep, n = np.asarray(table["rep"]), np.asarray(table["n"]).astype(np.float64)
+        second = np.asarray(table["second"]).astype(bool)
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["tokens"]]
+        left, right = np.flatnonzero(~second), np.flatnonzero(second)
+        if not len(right):
+            right = left  # a block with itself
+        flat = [(np.concatenate([sets[i] for i in side]), np.repeat(np.arange(len(side)), [len(sets[i]) for i in side])) for side in (left, right)]
+        shared = np.intersect1d(flat[0][0], flat[1][0])
+        both = np.zeros((len(left), len(right)), np.float32)
+        for at in range(0, len(shared), _COLUMNS):
+            some = shared[at:at + _COLUMNS]
+            x = []
+            for (tokens, owner), side in zip(flat, (left, right)):
+                place = np.minimum(np.searchsorted(some, tokens), len(some) - 1)
+                hit = some[place] == tokens
+                m = np.zeros((len(side), len(some)), np.float32)
+                m[owner[hit], place[hit]] = 1
+                x.append(m)
+            both += x[0] @ x[1].T
+        hits = both >= similarity * (n[left][:, None] + n[right][None, :] - both) - 1e-6
+        root = np.arange(len(rep))
+        for i in np.flatnonzero(hits.any(axis=1)):
+            roots = np.unique(np.append(root[right[hits[i]]], root[left[i]]))
+            if len(roots) > 1:
+                root[np.isin(root, roots)] = roots[np.argmin(rep[roots])]
+        at = np.flatnonzero(rep[root] != rep)
+        return pa.table({"a": pa.array(rep[at]), "b": pa.array(rep[root[at]])})
+
+    return run
+
+
+def _block_links(many: DataFrame, active: DataFrame, similarity: float) -> DataFrame:
+    """Links that connect sets of different groups under keys that many sets have, by blocks of sets.
+
+    ``many(key, rep, comp, leader)`` has the smallest set of each key as its
+    leader.  Sets come together under their anchor, the smallest leader of their
+    keys, so that those that share keys mostly share blocks.  An anchor's sets of
+    its largest group, which need no check among themselves, get blocks of their
+    own.  Pairs of blocks whose anchors share a key are compared as matrices.
+    """
+    at = many.groupBy("rep", "comp").agg(F.min("leader").alias("anchor"))
+    main = (at.groupBy("anchor", "comp").agg(F.count("*").alias("m")).groupBy("anchor")
+            .agg(F.max(F.struct("m", "comp")).alias("top")).select("anchor", F.col("top.comp").alias("top")))
+    at = at.join(main, "anchor").withColumn("main", F.col("comp") == F.col("top")).drop("top", "comp")
+    blocks = at.groupBy("anchor", "main").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("slots"))
+    blocks = materialise(blocks, "ngram-blocks")
+    at = at.join(blocks, ["anchor", "main"]).withColumn("slot", F.pmod(F.xxhash64("rep"), F.col("slots")).cast("int"))
+    at = materialise(at.select("rep", F.xxhash64("anchor", "main", "slot").alias("block")), "ngram-at")
+
+    met = many.join(many.groupBy("rep").agg(F.min("leader").alias("anchor")), "rep").select("key", "anchor").distinct()
+    met = met.select("key", F.col("anchor").alias("x")).join(met.select("key", F.col("anchor").alias("y")), "key").where("x <= y").select("x", "y").distinct()
+    each = blocks.withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
+    each = each.select("anchor", "main", F.xxhash64("anchor", "main", "slot").alias("block"))
+    side = lambda anchor, name: each.select(F.col("anchor").alias(anchor), F.col("main").alias(f"m{name}"), F.col("block").alias(name))
+    pairs = met.join(side("x", "first"), "x").join(side("y", "second"), "y")
+    pairs = pairs.where("x < y or (first <= second and not (mfirst and msecond))")
+    pairs = materialise(pairs.select("first", "second", F.xxhash64("first", "second").alias("pair")).distinct(), "ngram-pairs")
+
+    members = lambda name: at.withColumnRenamed("block", name)
+    rows = (pairs.join(members("first"), "first").select("pair", "rep", F.lit(False).alias("second"))
+            .unionByName(pairs.where("first <> second").join(members("second"), "second").select("pair", "rep", F.lit(True).alias("second"))))
+    rows = rows.join(active.select("rep", "n", "tokens"), "rep")
+    return materialise(rows.groupBy("pair").applyInArrow(_compare(similarity), "a long, b long"), "ngram-block-links")
+
+
+def ngram_groups(docs: DataFrame, similarity: float = 0.75, width: int = 5, rare: int = 64, few_sets: int = 16,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``.
 
@@ -317,13 +389,14 @@ def ngram_groups(docs: DataFrame, similarity: float = 0.75, width: int = 5, rare
     more = links_of(open_keys.join(leader, "key").where("comp <> first.comp").select(F.col("rep").alias("a"), F.col("first.rep").alias("b")))
     links = links.unionByName(more)
 
-    # Round 3: every pair of a key that is still in different groups; one of the two is outside the key's main group.
+    # Round 3: every pair of a key that is still in different groups.
     open_keys = live(links, open_keys.select("rep", "key"))
-    main = (open_keys.groupBy("key", "comp").agg(F.count("*").alias("m")).groupBy("key")
-            .agg(F.max(F.struct("m", "comp")).alias("top")).select("key", F.col("top.comp").alias("main")))
-    outside = open_keys.join(main, "key").where("comp <> main").select("key", F.col("rep").alias("a"), F.col("comp").alias("ca"))
-    last = links_of(outside.join(open_keys, "key").where("ca <> comp").select("a", F.col("rep").alias("b")))
-    links = links.unionByName(last)
+    per_key = materialise(open_keys.groupBy("key").agg(F.count("*").alias("m"), F.min("rep").alias("leader")), "ngram-per-key")
+    few = open_keys.join(per_key.where(F.col("m") <= few_sets).select("key"), "key", "left_semi")
+    pairs = (few.select("key", F.col("rep").alias("a"), F.col("comp").alias("ca"))
+             .join(few.select("key", F.col("rep").alias("b"), F.col("comp").alias("cb")), "key").where("a < b and ca <> cb").select("a", "b"))
+    many = open_keys.join(per_key.where(F.col("m") > few_sets).select("key", "leader"), "key")
+    links = links.unionByName(links_of(pairs)).unionByName(_block_links(materialise(many, "ngram-many"), active, similarity))
 
     comp = components(links).withColumnRenamed("node", "canon")
     class_of = canon.join(comp, "canon", "left").select("h1", "h2", "n", F.coalesce("component", "canon").alias("component"))
