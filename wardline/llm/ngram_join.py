@@ -265,6 +265,8 @@ def _compare(similarity: float):
         second = np.asarray(table["second"]).astype(bool)
         sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["tokens"]]
         left, right = np.flatnonzero(~second), np.flatnonzero(second)
+        if not len(left):  # no set fell into the first block
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
         if not len(right):
             right = left  # a block with itself
         flat = [(np.concatenate([sets[i] for i in side]), np.repeat(np.arange(len(side)), [len(sets[i]) for i in side])) for side in (left, right)]
