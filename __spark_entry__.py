@@ -21,17 +21,19 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from wardline.functions import (join_datetime, label_map, normalise_gender, render_date, split_literal,
+from wardline.functions import (join_datetime, label_map, normalise_gender, null_tokens, render_date, split_literal,
                                 with_parsed_datetime)
 from wardline.operators import (AnyMatch, Presence, Single, ValueEquals, classes, conflict_report, drop_columns,
                                 duplicate_keys, entity_aggregates, entity_index, entity_spine, gather_values,
-                                invalid_choices, match_columns, melt_onehot, missing_parents, multi_values,
-                                resolve_names, similar_pairs, tri_state)
+                                invalid_choices, match_columns, melt_onehot, missing_parents, missing_required, multi_values,
+                                resolve_names, similar_pairs, tri_state, unreadable_numbers)
 from wardline.plans import (apply_correction, build_comorbidities, build_critical_care, build_events,
-                            build_measurements, build_patients, cascade_delete, child_summary, corrected_values,
-                            insert_if_absent, load_keyword, measurements_of_type)
+                            build_measurements, build_patients, cascade_delete, corrected_values,
+                            insert_if_absent, load_keyword, measurements_of_type,
+                            patient_children, patient_documents, read_sources, write_sources)
 from wardline.session import checkpoint_dir
 from wardline.sources import FILE_COL, SourceSet, from_table, load_directory, read_table, union_sources
+from wardline.sources.files import list_folder
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -145,7 +147,7 @@ def q_events_stream(spark, d):
 
     query = ingest(csv_stream(spark, f"{base}/drop", header, "patient"), to_events, f"{base}/sink", f"{base}/ckpt")
     query.awaitTermination()
-    return spark.read.parquet(f"{base}/sink")
+    return spark.read.parquet(f"{base}/sink").drop("batch_id")
 
 
 def q_registry_patients(spark, d):
@@ -167,6 +169,206 @@ def q_registry_patients(spark, d):
     return loader.registry.read("patients")
 
 
+def _publish(spark, lines, folder, stem, header):
+    """Write a frame of text lines (one column) as files ``<stem>_<n>.csv`` of ``folder``, each with ``header``."""
+    import uuid
+
+    def with_header(batches):
+        import pandas as pd
+
+        yield pd.DataFrame({"value": [header]})
+        for pdf in batches:
+            yield pdf
+
+    scratch = f"{checkpoint_dir(spark).rstrip('/')}/wardline_lines/{uuid.uuid4().hex}"
+    lines.toDF("value").mapInPandas(with_header, "value string").write.text(scratch)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop.Path(folder))
+    parts = [f for f in list_folder(spark, scratch) if f.name.startswith("part-")]
+    for i, part in enumerate(sorted(parts, key=lambda f: f.name)):
+        fs.rename(hadoop.Path(part.path), hadoop.Path(f"{folder}/{stem}_{i}.csv"))
+
+
+def _scratch(spark, name):
+    import uuid
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}/{uuid.uuid4().hex}"
+
+
+def _awkward(spark, d):
+    """Customers as CSV lines with blank lines, null tokens, short rows, a `_` column and, for odd keys, quoted breaks."""
+    key = F.col("c_custkey")
+    flag = F.when(key % 5 == 0, "NA").otherwise(F.concat(F.lit(" "), F.col("c_nationkey").cast("string")))
+    note = F.when(key % 7 == 0, F.concat(F.lit('"say ""'), "c_name", F.lit('"", twice"'))).otherwise(F.col("c_name"))
+    broken = F.when((key % 2 == 1) & (key % 7 == 0), F.concat(F.lit('"'), "c_name", F.lit('\nsecond line"'))).otherwise(note)
+    line = F.when(key % 3 == 0, F.concat_ws(",", key, flag)).otherwise(F.concat_ws(",", key, flag, broken))
+    line = F.when(key % 11 == 0, F.concat(line, F.lit("\n   \n"))).otherwise(line)
+    return read_table(spark, d, "customer").select((key % 2).alias("odd"), line.alias("value"))
+
+
+def q_csv_awkward(spark, d):
+    """Awkward CSV files, read by the batch scan: files with quoted breaks multi-line, the others split."""
+    folder = _scratch(spark, "wardline_awkward")
+    lines = _awkward(spark, d)
+    for odd in (0, 1):
+        _publish(spark, lines.where(F.col("odd") == odd).select("value"), folder, f"odd{odd}", "pid,_flag,note")
+    return load_keyword(load_directory(spark, folder, "pid"), "odd").drop(FILE_COL)
+
+
+def q_csv_awkward_stream(spark, d):
+    """The same files through the stream."""
+    from wardline.streaming import csv_stream, ingest
+
+    base = _scratch(spark, "wardline_awkward")
+    lines = _awkward(spark, d)
+    for odd in (0, 1):
+        _publish(spark, lines.where(F.col("odd") == odd).select("value"), f"{base}/drop", f"odd{odd}", "pid,_flag,note")
+    stream = csv_stream(spark, f"{base}/drop", ["pid", "_flag", "note"], "pid")
+    ingest(stream, lambda batch: batch.drop(FILE_COL), f"{base}/sink", f"{base}/ckpt").awaitTermination()
+    return spark.read.parquet(f"{base}/sink").drop("batch_id")
+
+
+def _registry(spark, d):
+    """A registry loaded from CSV extracts of customers and orders."""
+    from wardline.plans import Loader
+
+    base = _scratch(spark, "wardline_registry")
+    cust = read_table(spark, d, "customer").select(F.concat_ws(",", "c_custkey", "c_nationkey", "c_mktsegment"))
+    orders = read_table(spark, d, "orders").select(F.concat_ws(
+        ",", "o_custkey", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"), "o_orderpriority", "o_orderstatus", "o_orderkey"))
+    _publish(spark, cust, f"{base}/extracts", "customers", "pid,age,sex")
+    _publish(spark, orders, f"{base}/extracts", "orders", "pid,when,kind,status,order_key")
+    loader = Loader(spark, f"{base}/extracts", "pid", f"{base}/registry", conflicts="ignore")
+    loader.add_patients()
+    loader.add_events("when", "orders", {"event_type": "kind", "component": "status"})
+    return loader.registry
+
+
+def q_registry_events(spark, d):
+    ev = _registry(spark, d).read("events")
+    return ev.select("patient_id", "event_type", "component", "event_date", "event_time", F.col("extra")["order_key"].alias("order_key"))
+
+
+def _registry_without(spark, d):
+    reg = _registry(spark, d)
+    reg.delete_patients(reg.read("patients").where(F.col("patient_id").cast("long") % 10 == 0).select("patient_id"))
+    return reg
+
+
+def q_registry_delete(spark, d):
+    """Documents after a delete: patients, and the children that are left."""
+    return _registry_without(spark, d).documents().select("patient_id", "age", "gender", "n_events", "first_events", "last_events")
+
+
+def q_audit_rows(spark, d):
+    return _registry_without(spark, d).read("audit").select("op", "entity_id", "message")
+
+
+def q_rejects(spark, d):
+    """Cells that are not numbers, suffixes that other parsers accept included."""
+    key = F.col("o_orderkey")
+    code = F.when(key % 5 == 0, "Y").when(key % 7 == 0, F.concat(key, F.lit("d"))).when(key % 11 == 0, F.concat(key, F.lit("F"))).otherwise(key.cast("string"))
+    rows = read_table(spark, d, "orders").select(key.alias("order"), code.alias("code"), F.col("o_totalprice").alias("total.price"))
+    return unreadable_numbers(rows, "order", ["code", "total.price"])
+
+
+def q_number_keys(spark, d):
+    """Comparison keys: numbers as numbers, text with number suffixes as text, long whole numbers exactly."""
+    key = F.col("o_orderkey")
+    files = [("plain", key.cast("string")), ("other", F.when(key % 3 == 0, F.concat(F.lit(" "), key, F.lit(".0")))
+             .when(key % 3 == 1, F.concat(key, F.lit("d"))).otherwise(key.cast("string")))]
+    big = F.concat(F.lit("90071992547409"), F.lpad((key % 100).cast("string"), 2, "0"))
+    files += [("big", big), ("bigger", F.when(key % 2 == 0, F.concat(F.lit("0"), big)).otherwise((big.cast("long") + 1).cast("string")))]
+    sources = [from_table(read_table(spark, d, "orders").select("o_orderkey", v.alias("big_v" if n.startswith("big") else "v")),
+                          "patient_id", source_id="o_orderkey", file=n) for n, v in files]
+    agg = entity_aggregates(SourceSet(sources), {"v": Single(("v$",)), "big": Single(("big_v$",))}, conflicts="ignore")
+    return agg.select("patient_id", F.col("v__entity_conflict").alias("differs"), F.col("big__entity_conflict").alias("big_differs"))
+
+
+def _children(spark, d):
+    events = read_table(spark, d, "orders").select("o_custkey", F.date_format("o_orderdate", "d/M/yyyy HH:mm").alias("when"), "o_orderpriority", "o_orderstatus")
+    ev = build_events(events, "o_custkey", "when", {"event_type": "o_orderpriority", "destination": "o_orderstatus"})
+    m = build_measurements(read_table(spark, d, "lineitem").select("l_suppkey", "l_quantity", "l_returnflag"), "l_suppkey",
+                           ["l_quantity", "l_returnflag"], ["continuous", "discrete"])
+    stays = read_table(spark, d, "supplier").select("s_suppkey", "s_name", (F.col("s_nationkey") / 2).alias("days"))
+    cc = build_critical_care(stays, "s_suppkey", request_location="s_name", icu_days="days")
+    links, _, _ = build_comorbidities(read_table(spark, d, "labels"), "doc_id", conflicts="merge")
+    return {"events": ev, "measurements": m, "critical_care": cc, "comorbidities": links}
+
+
+def q_patient_children(spark, d):
+    return patient_children(**_children(spark, d))
+
+
+def q_fuzzy_existing(spark, d):
+    """A second load: half of the names are dictionary keys already, the others are matched to them."""
+    part = read_table(spark, d, "part")
+    known = part.where(F.col("p_partkey") % 2 == 0).select(F.concat("p_name", F.lit("s")).alias("name")).unionByName(
+        part.where(F.col("p_partkey") % 3 == 0).select(F.col("p_name").alias("name"))).distinct()
+    r = resolve_names(part, 0, existing=known, conflicts="merge", name_col="p_name")
+    return r.select(F.col("name").alias("p_name"), "comorb_key", "action")
+
+
+def _typo(c):
+    """Names of a line, every second with its first letter twice."""
+    return F.when(F.col("p_partkey") % 2 == 0, c).otherwise(F.concat(F.substring(c, 1, 1), c))
+
+
+def q_fuzzy_document(spark, d):
+    """Document policy: a name with one similar key is merged into it; names that start alike stay apart."""
+    names = read_table(spark, d, "part").select(_typo(F.col("p_brand")).alias("name"), "p_brand").distinct()
+    r = resolve_names(names, 1, existing=names.select(F.col("p_brand").alias("name")).distinct(), conflicts="merge", policy="document")
+    return r.select("name", "comorb_key", "action")
+
+
+def q_fuzzy_document_ignore(spark, d):
+    names = read_table(spark, d, "part").select(_typo(F.col("p_name")).alias("name"))
+    return resolve_names(names, 1, conflicts="ignore", policy="document").select("name", "comorb_key", "action")
+
+
+def q_fuzzy_customers(spark, d):
+    """Names that share a long prefix: only those one edit apart pair up."""
+    return similar_pairs(read_table(spark, d, "customer"), 1, "c_name").withColumn("distance", F.col("distance").cast("bigint"))
+
+
+def q_validate_required(spark, d):
+    orders = read_table(spark, d, "orders")
+    text = F.when(F.col("o_orderkey") % 6 == 0, " N/A ").when(F.col("o_orderkey") % 7 == 0, "nan").when(F.col("o_orderkey") % 8 == 0, "").otherwise(F.col("o_orderstatus"))
+    rows = orders.select("o_orderkey", null_tokens(text).alias("status"))
+    return missing_required(rows, ["status"]).select("o_orderkey")
+
+
+def q_measurement_continuous(spark, d):
+    return measurements_of_type(_typed(spark, d), "continuous").select("patient_id", "result_name", "result")
+
+
+def q_measurement_complex(spark, d):
+    m = measurements_of_type(_typed(spark, d), "complex")
+    return m.select("patient_id", "result_name", F.array_join("result", "|").alias("result"))
+
+
+def q_corrected_reload(spark, d):
+    """Ages as text, corrected to each patient's greatest (as numbers), written, read again and selected by file name."""
+    base = _scratch(spark, "wardline_corrected")
+    for stem, step in (("ages_first", 1), ("ages_second", 90)):
+        rows = read_table(spark, d, "customer").select(F.concat_ws(",", "c_custkey", (F.col("c_nationkey") * step).cast("string"), "c_name"))
+        _publish(spark, rows, f"{base}/extracts", stem, "pid,age,name")
+    sources = load_directory(spark, f"{base}/extracts", "pid")
+    fixed = apply_correction(sources, corrected_values(sources, F.max))
+    write_sources(fixed, f"{base}/out")
+    back = load_keyword(read_sources(spark, f"{base}/out", "pid"), "SECOND")
+    return back.select("pid", F.col("age").cast("double").alias("age"), "name")
+
+
+def q_comorbidities_similar(spark, d):
+    """Headers that resemble each other: a later one is linked to the first key it resembles."""
+    wide = read_table(spark, d, "labels").select("doc_id", F.col("quality").alias("asthma"), F.col("toxic").alias("asthmas"),
+                                                 F.col("toxic").alias("diabetes"), (1 - F.col("quality")).alias("_fracture"))
+    links, _, _ = build_comorbidities(wide, "doc_id", edit_threshold=1, conflicts="merge")
+    return links
+
+
 def q_label_normalise(spark, d):
     cust = read_table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("patient_id"),
                                                    F.lit("customer").alias("source"),
@@ -331,15 +533,14 @@ def q_patient_document(spark, d):
     patients = read_table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("patient_id"), "c_name")
     events = read_table(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("patient_id"),
                                                    F.col("o_orderdate").cast("date").alias("event_date"))
-    summary = child_summary(events, "event_date", "events")
-    return patients.join(summary, "patient_id", "left").fillna(0, subset=["n_events"])
+    return patient_documents(patients, events)
 
 
 def q_value_correction(spark, d):
     orders = from_table(read_table(spark, d, "orders"), "patient_id", source_id="o_custkey", file="orders",
                         columns=["o_orderkey", "o_totalprice"])
     sources = SourceSet([orders])
-    fixed = corrected_values(sources, lambda c: F.max(c.cast("double")), ["o_totalprice$"])
+    fixed = corrected_values(sources, F.max, ["o_totalprice$"])
     out = apply_correction(sources, fixed, ["o_totalprice$"]).sources[0].df
     return out.select("o_orderkey", "patient_id", F.col("o_totalprice").cast("double").alias("o_totalprice"))
 
@@ -394,6 +595,23 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "comorbidities_build": q_comorbidities_build,
     "validate_choices": q_validate_choices,
     "validate_unique": q_validate_unique,
+    "csv_awkward": q_csv_awkward,
+    "csv_awkward_stream": q_csv_awkward_stream,
+    "registry_events": q_registry_events,
+    "registry_delete": q_registry_delete,
+    "audit_rows": q_audit_rows,
+    "rejects": q_rejects,
+    "number_keys": q_number_keys,
+    "patient_children": q_patient_children,
+    "fuzzy_existing": q_fuzzy_existing,
+    "fuzzy_document": q_fuzzy_document,
+    "fuzzy_document_ignore": q_fuzzy_document_ignore,
+    "fuzzy_customers": q_fuzzy_customers,
+    "validate_required": q_validate_required,
+    "measurement_continuous": q_measurement_continuous,
+    "measurement_complex": q_measurement_complex,
+    "corrected_reload": q_corrected_reload,
+    "comorbidities_similar": q_comorbidities_similar,
 }
 
 
@@ -643,6 +861,66 @@ _SQL = {
         select distinct cast(doc_id as varchar) as patient_id, comorb_name
         from (unpivot labels on quality, toxic into name comorb_name value status) where status = 1""",
     "validate_choices": "select o_orderkey, o_orderstatus from orders where o_orderstatus not in ('F', 'O')",
+    "csv_awkward": """
+        select cast(c_custkey as varchar) as pid, case when c_custkey % 5 = 0 then null else ' ' || c_nationkey end as _flag,
+               case when c_custkey % 3 = 0 then null
+                    when c_custkey % 2 = 1 and c_custkey % 7 = 0 then c_name || chr(10) || 'second line'
+                    when c_custkey % 7 = 0 then 'say "' || c_name || '", twice' else c_name end as note
+        from customer""",
+    "csv_awkward_stream": """
+        select cast(c_custkey as varchar) as pid, case when c_custkey % 5 = 0 then null else ' ' || c_nationkey end as _flag,
+               case when c_custkey % 3 = 0 then null
+                    when c_custkey % 2 = 1 and c_custkey % 7 = 0 then c_name || chr(10) || 'second line'
+                    when c_custkey % 7 = 0 then 'say "' || c_name || '", twice' else c_name end as note
+        from customer""",
+    "registry_events": """
+        select cast(o_custkey as varchar) as patient_id, o_orderpriority as event_type, o_orderstatus as component,
+               cast(o_orderdate as date) as event_date, cast(hour(o_orderdate) * 60 + minute(o_orderdate) as double) as event_time,
+               cast(o_orderkey as varchar) as order_key from orders""",
+    "registry_delete": """
+        select cast(c_custkey as varchar) as patient_id, c_nationkey as age, case upper(c_mktsegment[1]) when 'M' then 'M' when 'F' then 'F' else 'U' end as gender,
+               count(o_orderkey) as n_events, min(cast(o_orderdate as date)) as first_events, max(cast(o_orderdate as date)) as last_events
+        from customer left join orders on o_custkey = c_custkey where c_custkey % 10 <> 0 group by 1, 2, 3""",
+    "audit_rows": """
+        select 'add_patient' as op, cast(c_custkey as varchar) as entity_id, 'New patient written to patients table' as message from customer
+        union all select 'add_events', null, 'Outcome events added from files matching ' || chr(39) || 'orders' || chr(39)
+        union all select 'delete', cast(c_custkey as varchar), 'Deleted patient and associated documents' from customer where c_custkey % 10 = 0""",
+    "rejects": """
+        select cast(o_orderkey as varchar) as patient_id, 'code' as "column",
+               case when o_orderkey % 5 = 0 then 'Y' when o_orderkey % 7 = 0 then o_orderkey || 'd' else o_orderkey || 'F' end as value
+        from orders where o_orderkey % 5 = 0 or o_orderkey % 7 = 0 or o_orderkey % 11 = 0""",
+    "number_keys": """
+        select cast(o_orderkey as varchar) as patient_id, o_orderkey % 3 = 1 as differs, o_orderkey % 2 <> 0 as big_differs from orders""",
+    "patient_children": """
+        select cast(o_custkey as varchar) as patient_id, 'event' as child, o_orderpriority as name, cast(o_orderdate as date) as date,
+               cast(hour(o_orderdate) * 60 + minute(o_orderdate) as double) as time, o_orderstatus as value from orders
+        union all select cast(l_suppkey as varchar), 'measurement', 'l_quantity', null, null, cast(l_quantity as varchar) from lineitem
+        union all select cast(l_suppkey as varchar), 'measurement', 'l_returnflag', null, null, l_returnflag from lineitem
+        union all select cast(s_suppkey as varchar), 'critical_care', s_name, null, null, cast(s_nationkey / 2.0::double as varchar) from supplier
+        union all select distinct cast(doc_id as varchar), 'comorbidity', comorb_name, null::date, null::double, null
+                  from (unpivot labels on quality, toxic into name comorb_name value status) where status = 1""",
+    "fuzzy_existing": """
+        select distinct p_name, p_name as comorb_key,
+               case when p_name in (select p_name from part where p_partkey % 3 = 0) or p_name in (select p_name || 's' from part where p_partkey % 2 = 0)
+                    then 'existing' else 'new_key' end as action from part""",
+    "fuzzy_document": """
+        select distinct case when p_partkey % 2 = 0 then p_brand else p_brand[1] || p_brand end as name, p_brand as comorb_key,
+               case when p_partkey % 2 = 0 then 'existing' else 'merged' end as action from part""",
+    "fuzzy_document_ignore": """
+        with n as (select distinct case when p_partkey % 2 = 0 then p_name else p_name[1] || p_name end as name from part)
+        select name, name as comorb_key, 'new_key' as action from n""",
+    "fuzzy_customers": """
+        with n as (select distinct c_name from customer)
+        select a.c_name as name_a, b.c_name as name_b, levenshtein(a.c_name, b.c_name) as distance
+        from n a join n b on a.c_name < b.c_name where levenshtein(a.c_name, b.c_name) <= 1""",
+    "validate_required": "select o_orderkey from orders where o_orderkey % 6 = 0 or o_orderkey % 7 = 0 or o_orderkey % 8 = 0",
+    "measurement_continuous": "select cast(l_orderkey as varchar) as patient_id, 'l_quantity' as result_name, l_quantity as result from lineitem join part on l_partkey = p_partkey",
+    "measurement_complex": "select cast(l_orderkey as varchar) as patient_id, 'p_name' as result_name, replace(p_name, ' ', '|') as result from lineitem join part on l_partkey = p_partkey",
+    "corrected_reload": "select cast(c_custkey as varchar) as pid, c_nationkey * 90.0::double as age, c_name as name from customer",
+    "comorbidities_similar": """
+        select distinct cast(doc_id as varchar) as patient_id, case name when 'asthmas' then 'asthma' else name end as comorb_name
+        from (unpivot (select doc_id, quality as asthma, toxic as asthmas, toxic as diabetes, 1 - quality as _fracture from labels)
+              on asthma, asthmas, diabetes, _fracture into name name value status) where status = 1""",
     "validate_unique": "select p_name, count(*) as n_rows from part group by p_name having count(*) > 1",
 }
 

@@ -77,7 +77,7 @@ def test_age_correction(spark, files):
 
     by_python = corrected_values(sources, python_correction(lambda ages: max(float(a) for a in ages)))
     assert {r[0]: r[1] for r in by_python.collect()} == got
-    plain = corrected_values(sources, lambda ages: max(float(a) for a in ages))   # a plain list function
+    plain = corrected_values(sources, max, kind="python")   # a plain list function
     assert {r[0]: r[1] for r in plain.collect()} == got
     out = apply_correction(sources, fixed)
     demo = [s for s in out if "age" in s.df.columns][0].df

@@ -5,19 +5,57 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardline.sources import SourceSet, discover, load_directory, union_sources
-from wardline.sources.excel import read_sheet, write_xlsx
+from wardline.sources.excel import read_sheet
+from xlsx import write_xlsx
 
 
 def _write(path, text):
-    with open(path, "w") as f:
+    with open(path, "w", newline="") as f:
         f.write(text)
 
 
 def test_discover_filters_extensions(spark, workdir):
-    for name in ["a.csv", "b.CSV", "c.xlsx", "d.XLSX", "e.txt", "f.xls"]:
+    for name in ["a.csv", "b.CSV", "c.xlsx", "d.XLSX", "e.txt", "g [1].csv"]:
         _write(os.path.join(workdir, name), "id\n1\n")
+    os.makedirs(os.path.join(workdir, "k=v"))
+    _write(os.path.join(workdir, "k=v", "inner.csv"), "id\n1\n")
     names = [f.name for f in discover(spark, workdir)]
-    assert names == ["a.csv", "b.CSV", "c.xlsx", "d.XLSX", "f.xls"]
+    assert names == ["a.csv", "b.CSV", "c.xlsx", "d.XLSX", "g [1].csv"]
+    assert load_directory_of(spark, workdir, ["a.csv", "g [1].csv"]) == [("1", "a.csv"), ("1", "g [1].csv")]
+    for bad in ["_wards.csv", ".wards.csv", "f.xls"]:
+        _write(os.path.join(workdir, bad), "id\n1\n")
+        with pytest.raises(ValueError, match=bad):
+            discover(spark, workdir)
+        os.rename(os.path.join(workdir, bad), os.path.join(workdir, bad + ".txt"))
+
+
+def load_directory_of(spark, workdir, names):
+    from wardline.sources.files import read_csv_group, read_csv_headers
+
+    files = [f for f in discover(spark, workdir) if f.name in names]
+    assert read_csv_headers(spark, files) == {n: ["id"] for n in names}
+    return sorted((r["id"], r["_file"]) for r in read_csv_group(spark, files, ["id"], "id").df.collect())
+
+
+AWKWARD = 'id,_flag,note\r\n1,NA,"say ""hi"""\r\n   \r\n\r\n2\r\n3,x,plain\r\n ,y,z\r\n'
+
+
+def test_same_rows_from_both_readers(spark, workdir):
+    """Blank lines, short rows, null tokens and a `_` column read alike, line by line and multi-line."""
+    from wardline.sources.files import read_csv_group
+
+    _write(os.path.join(workdir, "a.csv"), AWKWARD)
+    files = discover(spark, workdir)
+    for multiline in (True, False, "auto"):
+        df = read_csv_group(spark, files, ["id", "_flag", "note"], "id", multiline).df
+        rows = sorted((r["id"] or "", r["_flag"], r["note"]) for r in df.collect())
+        assert rows == [("", "y", "z"), ("1", None, 'say "hi"'), ("2", None, None), ("3", "x", "plain")], multiline
+    _write(os.path.join(workdir, "b.csv"), 'id,note\n1,3\r0\n2,x\n')
+    lines = read_csv_group(spark, [f for f in discover(spark, workdir) if f.name == "b.csv"], ["id", "note"], "id").df
+    assert sorted(r["id"] for r in lines.collect()) == ["0", "1", "2"]        # a lone carriage return ends a line
+    _write(os.path.join(workdir, "c.csv"), 'id,note\n1,"a\nb"\n2,3\r0\n')
+    with pytest.raises(ValueError, match="c.csv"):
+        read_csv_group(spark, [f for f in discover(spark, workdir) if f.name == "c.csv"], ["id", "note"], "id")
 
 
 def test_csv_scan_rows(spark, workdir):
@@ -82,7 +120,7 @@ def test_xlsx_roundtrip(spark, workdir):
                     ("8", "death", None, "outcome_2.xlsx")]
 
 
-def test_split_probe_and_doubled_quotes(spark, workdir, monkeypatch):
+def test_split_probe_and_doubled_quotes(spark, workdir):
     import wardline.sources.files as files_mod
 
     _write(os.path.join(workdir, "flat.csv"), 'id,note\n1,"say ""hi"""\n2,plain\n')
@@ -90,7 +128,6 @@ def test_split_probe_and_doubled_quotes(spark, workdir, monkeypatch):
     found = discover(spark, workdir)
     assert all(f.size > 0 for f in found)
     assert files_mod.split_safe(spark, found) == {"flat.csv"}
-    monkeypatch.setattr(files_mod, "SPLIT_PROBE_BYTES", 1)      # probe every file
     out = union_sources(load_directory(spark, workdir, "id"))
     rows = {r["id"]: r["note"] for r in out.collect()}
     assert rows == {"1": 'say "hi"', "2": "plain", "3": "two\nlines"}

@@ -25,3 +25,28 @@ def test_filedrop_events(spark, workdir):
     run()                                   # only the new file is loaded
     rows = sorted((r["patient_id"], r["event_type"], r["event_time"]) for r in spark.read.parquet(sink).collect())
     assert rows == [("1", "admission", 600.0), ("2", "death", None), ("3", "discharge", 495.0)]
+
+
+def test_stream_cleans_as_the_batch_scan_does(spark, workdir):
+    import pytest
+
+    drop = os.path.join(workdir, "drop")
+    os.makedirs(drop)
+    with open(os.path.join(drop, "a.csv"), "w", newline="") as f:
+        f.write('pid,_flag,note\n1,NA,"two\nlines"\n   \n2\n')
+    sink = os.path.join(workdir, "sink")
+
+    def run(ckpt):
+        stream = csv_stream(spark, drop, ["pid", "_flag", "note"], "pid")
+        ingest(stream, lambda b: b, sink, os.path.join(workdir, ckpt)).awaitTermination(120)
+
+    run("c1")
+    run("c2")                                # the same batch again, as after a lost commit: replaced, not added
+    rows = sorted((r["pid"], r["_flag"], r["note"]) for r in spark.read.parquet(sink).collect())
+    assert rows == [("1", None, "two\nlines"), ("2", None, None)]
+    for name, text in (("b.csv", "note,_flag,pid\nx,y,3\n"), ("c.csv", "pid,_flag,note\n1,2,3,4\n")):
+        with open(os.path.join(drop, name), "w") as f:
+            f.write(text)
+        with pytest.raises(Exception):
+            run("c1")
+        os.rename(os.path.join(drop, name), os.path.join(drop, name + ".txt"))

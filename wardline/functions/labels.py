@@ -18,10 +18,20 @@ NULL_TOKENS = (
 DEFAULT_GENDER_CODES = {0: "M", 1: "F"}
 
 
+# Text that reads as a number: digits with an optional sign, point and exponent.
+NUMBER = r"^[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
+
+
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def number(col: Column | str) -> Column:
+    """Trimmed text as a double; null unless all of it is a number (``12d`` and ``5F`` are not)."""
+    text = F.trim(_c(col).cast("string"))
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+
+
 def null_tokens(col: Column | str, tokens: Iterable[str] = NULL_TOKENS) -> Column:
     """Text → null when, trimmed, it is one of the missing-value tokens."""
     c = _c(col).cast("string")
@@ -43,13 +53,16 @@ def canonical_id(col: Column | str, strip_float_suffix: bool = False) -> Column:
 def value_key(col: Column | str) -> Column:
     """Comparison key of a value (D3): numbers compare as numbers, text trimmed.
 
-    ``34``, ``34.0`` and `` 34 `` share one key; text keeps its case.
+    ``34``, ``34.0`` and `` 34 `` share one key; text keeps its case.  Whole
+    numbers of more digits than a double holds are compared digit by digit.
     """
     text = F.trim(_c(col).cast("string"))
     text = F.when(text == "", F.lit(None).cast("string")).otherwise(text)
-    number = text.try_cast("double")
-    finite = number.isNotNull() & ~F.isnan(number)
-    return F.when(finite, number.cast("string")).otherwise(text)
+    whole = F.regexp_extract(text, r"^[+-]?0*([0-9]*)(?:\.0*)?$", 1)
+    long = F.length(whole) > 15
+    exact = F.concat(F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit("")), whole)
+    value = number(text)
+    return F.when(long, exact).when(value.isNotNull(), value.cast("string")).otherwise(text)
 
 
 def regex_any(col: Column | str, patterns: Iterable[str], anchored: bool = True,
@@ -95,14 +108,13 @@ def normalise_gender(col: Column | str, int_mappings: Mapping[int, str] | None =
     """
     mapping = DEFAULT_GENDER_CODES if int_mappings is None else dict(int_mappings)
     text = F.trim(_c(col).cast("string"))
-    number = text.try_cast("double")
-    is_number = number.isNotNull() & ~F.isnan(number)
-    code = number.try_cast("long")          # truncates toward zero, as int() of a float does
+    value = number(text)
+    is_number = value.isNotNull()
+    code = value.try_cast("long")           # truncates toward zero, as int() of a float does
     mapped = label_map(code, {int(k): v for k, v in mapping.items()})
     if on_unmapped == "raise":
         who = F.coalesce(_c(entity).cast("string"), F.lit("?")) if entity is not None else F.lit("?")
-        unmapped = F.raise_error(F.concat(F.lit("Gender value "), text, F.lit(" for patient "), who,
-                                          F.lit(" is not present in the given mappings")))
+        unmapped = F.raise_error(F.concat(F.lit("No gender is mapped to code "), text, F.lit(" (patient "), who, F.lit(")")))
     else:
         unmapped = F.lit("U")
     return (F.when(text.isNull(), F.lit(None).cast("string"))

@@ -1,17 +1,16 @@
 """DataFrame → DataFrame operators."""
-from wardline.operators.columns import (AGE_TERMS, COVID_TERMS, GENDER_TERMS, drop_columns, match_columns,
-                                        project_mapping, select_matching)
+from wardline.operators.columns import (AGE_TERMS, COVID_TERMS, GENDER_TERMS, drop_columns, match_columns)
 from wardline.operators.fuzzy import dictionary_rounds, resolve_names, similar_pairs
 from wardline.operators.reshape import melt_onehot, unpivot_values
 from wardline.operators.resolve import (AnyMatch, Classes, Presence, Single, ValueEquals, classes,
                                         conflict_report, entity_aggregates, entity_index, entity_spine,
                                         gather_values, multi_values, single, tri_state)
 from wardline.operators.validate import (assert_none, assert_parents, duplicate_keys, guard_rows, invalid_choices,
-                                         missing_parents, missing_required)
+                                         missing_parents, missing_required, unreadable_numbers)
 
-__all__ = ["AGE_TERMS", "COVID_TERMS", "GENDER_TERMS", "drop_columns", "match_columns", "project_mapping",
-           "select_matching", "dictionary_rounds", "resolve_names", "similar_pairs", "melt_onehot",
+__all__ = ["AGE_TERMS", "COVID_TERMS", "GENDER_TERMS", "drop_columns", "match_columns",
+           "dictionary_rounds", "resolve_names", "similar_pairs", "melt_onehot",
            "unpivot_values", "AnyMatch", "Classes", "Presence", "Single", "ValueEquals", "classes",
            "conflict_report", "entity_aggregates", "entity_index", "entity_spine", "gather_values",
            "multi_values", "single", "tri_state", "assert_none", "assert_parents", "duplicate_keys", "guard_rows",
-           "invalid_choices", "missing_parents", "missing_required"]
+           "invalid_choices", "missing_parents", "missing_required", "unreadable_numbers"]

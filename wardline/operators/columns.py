@@ -31,11 +31,6 @@ def match_columns(columns: Iterable[str], patterns: Iterable[str], exclude: Iter
     return [c for c in columns if c not in skip and any(p.match(c) for p in compiled)]
 
 
-def select_matching(df: DataFrame, patterns: Iterable[str], keep: Iterable[str] = ()) -> DataFrame:
-    """``keep`` columns plus every column matching ``patterns``."""
-    keep = list(keep)
-    return df.select(*keep, *match_columns(df.columns, patterns, exclude=keep))
-
 
 def drop_columns(df: DataFrame, exclude: Iterable[str] | None) -> DataFrame:
     """Drop columns that must exist."""
@@ -46,11 +41,3 @@ def drop_columns(df: DataFrame, exclude: Iterable[str] | None) -> DataFrame:
     if missing:
         raise AssertionError(f"Columns to exclude do not exist in target file(s): {missing}")
     return df.drop(*exclude)
-
-
-def project_mapping(df: DataFrame, mapping: Mapping[str, str], keep: Iterable[str] = ()) -> DataFrame:
-    """Rename by a ``{target: source}`` mapping (P3); unmapped columns are dropped."""
-    missing = [src for src in mapping.values() if src not in df.columns]
-    if missing:
-        raise AssertionError(f"Mapped columns not found: {missing}")
-    return df.select(*keep, *[ref(src).alias(dst) for dst, src in mapping.items()])

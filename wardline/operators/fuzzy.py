@@ -1,6 +1,11 @@
 """Fuzzy dictionary resolution by edit distance.
 
-Similarity join (J7) without a nested loop: split each name into t+1
+Similarity join (J7) without a nested loop.  For t ≤ 2, two names within t
+edits share a text that either becomes by deleting at most t characters; those
+variants are the keys of an equi-join.  Such a key is as long as the name, so
+a word that many names share is not one.  (Deletion neighbourhoods as in Bocek,
+Hunt, Stiller, "Fast Similarity Search in Large Dictionaries", 2007.)  For
+larger t, and names of over ``VARIANT_LENGTH`` characters, split each name into t+1
 segments; a name within t edits of it must contain one of those segments
 unchanged, shifted by a bounded number of positions (pigeonhole).  Candidates
 come from an equi-join on ``(length, segment index, segment text)`` against
@@ -74,6 +79,19 @@ def _probes(names: DataFrame, t: int) -> DataFrame:
             .distinct())
 
 
+VARIANT_LENGTH = 64  # a name of n characters has about n ** t / t! variants
+
+
+def _variants(names: DataFrame, t: int) -> DataFrame:
+    """(name, text): each name with up to ``t`` characters deleted."""
+    shorter = lambda x: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(x))),
+                                    lambda i: F.concat(F.substring(x, F.lit(1), i - 1), F.substring(x, i + 1, F.length(x))))
+    texts = F.array("name")
+    for _ in range(t):
+        texts = F.array_distinct(F.concat(texts, F.flatten(F.transform(texts, shorter))))
+    return names.select("name", F.explode(texts).alias("text"))
+
+
 def similar_pairs(names: DataFrame, threshold: int, name_col: str = "name") -> DataFrame:
     """All unordered pairs of distinct names within ``threshold`` edits.
 
@@ -83,11 +101,19 @@ def similar_pairs(names: DataFrame, threshold: int, name_col: str = "name") -> D
     if t < 0:
         raise ValueError("threshold must be >= 0")
     distinct = names.select(ref(name_col).cast("string").alias("name")).where(F.col("name").isNotNull()).distinct()
+    cand = None
+    if t <= 2:
+        variants = _variants(distinct.where(F.length("name") <= VARIANT_LENGTH), t)
+        cand = (variants.withColumnRenamed("name", "name_a").join(variants.withColumnRenamed("name", "name_b"), "text")
+                .where(F.col("name_a") < F.col("name_b")).select("name_a", "name_b").distinct())
+        # Pairs with a longer name: of names that are at most t characters shorter than the bound, or longer.
+        distinct = distinct.where(F.length("name") > VARIANT_LENGTH - t)
     segs = _segments(distinct, t).select(F.col("name").alias("name_a"), "L", "seg", "text")
     probes = _probes(distinct, t).select(F.col("name").alias("name_b"), "L", "seg", "text")
-    cand = (segs.join(probes, ["L", "seg", "text"])
+    long = (segs.join(probes, ["L", "seg", "text"])
             .where(F.col("name_a") < F.col("name_b"))
             .select("name_a", "name_b").distinct())
+    cand = long if cand is None else cand.unionByName(long).distinct()
     dist = F.levenshtein("name_a", "name_b", t)
     return cand.select("name_a", "name_b", dist.alias("distance")).where(F.col("distance") >= 0)
 
@@ -178,7 +204,7 @@ def resolve_names(names: DataFrame, threshold: int, existing: DataFrame | None =
     fails eagerly, listing up to 20 offending names.
     """
     if conflicts not in ("merge", "ignore", "raise"):
-        raise ValueError("conflicts argument should be one of: 'ignore', 'raise', or 'merge'")
+        raise ValueError(f"unknown conflicts policy {conflicts!r}; known: ignore, merge, raise")
     if policy not in ("tabular", "document"):
         raise ValueError("policy must be 'tabular' or 'document'")
     distinct = names.select(ref(name_col).cast("string").alias("name")).where(F.col("name").isNotNull())

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from wardline.functions.refs import ref
 from wardline.functions.labels import canonical_id, value_key
 from wardline.operators.columns import drop_columns
+from wardline.sources.model import FILE_COL
 
 
 def unpivot_values(df: DataFrame, ids: list[str], values: list[str], name_col: str = "name",
@@ -37,9 +38,9 @@ def melt_onehot(df: DataFrame, id_column: str, exclude: Iterable[str] | None = N
     ``1.0`` and `` 1 `` all count as positive.
     """
     df = drop_columns(df, exclude)
-    flags = [c for c in df.columns if c != id_column and not c.startswith("_")]
-    long = unpivot_values(df, [id_column], flags, name_col, "_status")
+    flags = [c for c in df.columns if c not in (id_column, FILE_COL)]
+    long = unpivot_values(df, [id_column], flags, name_col, "__wl_status")
     positive_key = value_key(F.lit(str(positive)))
-    return (long.where(value_key(F.col("_status")) == positive_key)
+    return (long.where(value_key(F.col("__wl_status")) == positive_key)
             .select(canonical_id(ref(id_column)).alias(id_alias), name_col)
             .distinct())

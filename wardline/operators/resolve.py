@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from wardline.functions.refs import ref
 from wardline.functions.labels import contains_ci, regex_any, value_key
 from wardline.operators.columns import match_columns
-from wardline.session import checkpoint_dir
 from wardline.sources.model import FILE_COL, Source, SourceSet
 
 
@@ -250,29 +249,21 @@ def conflict_report(sources: SourceSet, variables: dict[str, Single], id_alias:
     ``level='entity'``: files that are clean on their own disagree.
     Columns: id, level, _file, variable, value.
 
-    Group statistics come from partially aggregated ``groupBy``s and are
-    joined back onto the distinct rows; no window holds an entity's values in
-    one task, and a hot join key can be split by adaptive skew handling.
-    Runs two jobs eagerly: the distinct rows and the per-file counts are checkpointed.
+    The least and the greatest value of each (entity, variable, file) come
+    from one partially aggregated ``groupBy`` over the scan; only rows of
+    groups that disagree are then kept (semi join) and made distinct.  No
+    window or list holds an entity's values, nothing is written on the way.
     """
     idc = id_alias or sources.id_column
     frames = []
     for name, spec in variables.items():
         frames.append(_long_values(sources, spec.patterns, "value", keyed=True)
                       .where(F.col("value").isNotNull()).withColumn("variable", F.lit(name)))
-    rows = reduce(lambda a, b: a.unionByName(b), frames).select("_id", "variable", FILE_COL, "value").distinct()
-    # The distinct rows feed three branches: materialise them once (shared
-    # checkpoint folder) instead of re-reading every source per branch.
-    checkpoint_dir(rows.sparkSession)
-    rows = rows.checkpoint()
-    # One row per (entity, variable, file), also materialised: as a plain scan
-    # under the semi join it lets adaptive execution split a hot group.
-    per_file = (rows.groupBy("_id", "variable", FILE_COL)
-                .agg(F.count(F.lit(1)).alias("_n"), F.min("value").alias("_lo"))).checkpoint()
-    file_level = (rows.join(per_file.where(F.col("_n") > 1).select("_id", "variable", FILE_COL),
-                            ["_id", "variable", FILE_COL], "left_semi")
-                  .withColumn("level", F.lit("file")))
-    clean = per_file.where(F.col("_n") == 1).select("_id", "variable", FILE_COL, F.col("_lo").alias("value"))
+    rows = reduce(lambda a, b: a.unionByName(b), frames).select("_id", "variable", FILE_COL, "value")
+    per_file = rows.groupBy("_id", "variable", FILE_COL).agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
+    mixed = per_file.where("_lo <> _hi").select("_id", "variable", FILE_COL)
+    file_level = rows.join(mixed, ["_id", "variable", FILE_COL], "left_semi").distinct().withColumn("level", F.lit("file"))
+    clean = per_file.where("_lo = _hi").select("_id", "variable", FILE_COL, F.col("_lo").alias("value"))
     disagree = (clean.groupBy("_id", "variable").agg(F.min("value").alias("_a"), F.max("value").alias("_b"))
                 .where(F.col("_a") != F.col("_b")).select("_id", "variable"))
     entity_level = clean.join(disagree, ["_id", "variable"], "left_semi").withColumn("level", F.lit("entity"))

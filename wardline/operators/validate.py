@@ -12,6 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardline.functions.labels import number
 from wardline.functions.refs import ref
 
 
@@ -46,12 +47,20 @@ def missing_parents(facts: DataFrame, parents: DataFrame, fact_id: str, parent_i
     aggregated before the anti join, so the join sees one row per id.
     """
     parent_id = parent_id or fact_id
-    ids = (facts.select(F.trim(F.col(fact_id).cast("string")).alias(id_alias))
+    ids = (facts.select(F.trim(ref(fact_id).cast("string")).alias(id_alias))
            .groupBy(id_alias).agg(F.count(F.lit(1)).alias("n_rows")))
     known = parents.select(F.trim(ref(parent_id).cast("string")).alias(id_alias))
     return ids.join(known, id_alias, "left_anti")
 
 
+def unreadable_numbers(df: DataFrame, id_column: str, columns: Iterable[str], id_alias: str = "patient_id") -> DataFrame:
+    """(id, column, value): non-null cells of ``columns`` that are not numbers, a row each."""
+    columns = list(columns)
+    narrow = df.select(ref(id_column).cast("string").alias(id_alias), *[ref(c).cast("string").alias(c) for c in columns])
+    cells = narrow.unpivot([ref(id_alias)], [ref(c) for c in columns], "column", "value")
+    return cells.where(F.col("value").isNotNull() & (F.trim("value") != "") & number("value").isNull())
+
+
 def assert_none(offending: DataFrame, message: str, sample: int = 20) -> None:
     """Raise ``ValueError(message + sample)`` when ``offending`` has any row."""
     rows = offending.limit(sample).collect()
@@ -63,7 +72,7 @@ def assert_none(offending: DataFrame, message: str, sample: int = 20) -> None:
 def assert_parents(facts: DataFrame, parents: DataFrame, fact_id: str, parent_id: str = "patient_id") -> None:
     """Every fact id must already be a registered entity."""
     assert_none(missing_parents(facts, parents, fact_id, parent_id).select("patient_id"),
-                "Ids missing from the patients table, have you called add_patients?")
+                "These ids are not registered patients; add the patients first")
 
 
 def guard_rows(df: DataFrame, table: str) -> DataFrame:

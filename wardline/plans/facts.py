@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions.refs import ref
 from wardline.functions.datetime import join_datetime, with_parsed_datetime
-from wardline.functions.labels import canonical_id, label_map
+from wardline.functions.labels import canonical_id, label_map, number, value_key
 from wardline.functions.text import clean_label, split_literal
 from wardline.operators.columns import drop_columns
 from wardline.operators.fuzzy import resolve_names
@@ -28,6 +28,13 @@ from wardline.sources.model import FILE_COL, SourceSet, union_sources
 EVENT_FIELDS = ("event_type", "component", "covid_status", "death", "critical_care_admission", "source",
                 "source_type", "destination", "wimd")
 RESULT_TYPES = ("continuous", "discrete", "complex")
+TEMP = "__wl_"  # columns that a builder adds for a while
+
+
+def _whole(c: Column, pid: Column, field: str) -> Column:
+    """Text as a whole number; text that is not a number fails the load."""
+    bad = F.raise_error(F.concat(F.lit(f"{field} is not a number for patient "), F.coalesce(pid, F.lit("?")), F.lit(": "), c.cast("string")))
+    return F.when(c.isNotNull() & (F.trim(c.cast("string")) != "") & number(c).isNull(), bad.cast("int")).otherwise(number(c).cast("int"))
 
 
 def load_keyword(sources: SourceSet, keyword: str) -> DataFrame:
@@ -36,7 +43,7 @@ def load_keyword(sources: SourceSet, keyword: str) -> DataFrame:
 
 
 def _extra(df: DataFrame, used: set[str]) -> Column:
-    rest = [c for c in df.columns if c not in used and not c.startswith("_")]
+    rest = [c for c in df.columns if c not in used and c != FILE_COL and not c.startswith(TEMP)]
     if not rest:
         return F.lit(None).cast("map<string,string>")
     return F.map_from_arrays(F.array(*[F.lit(c) for c in rest]),
@@ -50,12 +57,13 @@ def build_events(df: DataFrame, id_column: str, event_datetime: str | Sequence[s
 
     ``mappings`` maps event fields to source columns and must name
     ``event_type``.  ``event_datetime`` is one column or a [date, time] pair
-    (joined by a space, F3).  An unreadable date fails the load naming the
-    patient and the text; the type is trimmed; defaults fill the rest.
+    (joined by a space, F3).  An unreadable date, or text in a numeric field,
+    fails the load naming the patient and the text; the type is trimmed;
+    defaults fill the rest.
     Columns not mapped go to ``extra`` (dynamic attributes).
     """
     if "event_type" not in mappings:
-        raise AssertionError("event_type not found in mappings")
+        raise AssertionError("mappings must name a source column for event_type")
     unknown = set(mappings) - set(EVENT_FIELDS)
     if unknown:
         raise ValueError(f"Unknown event fields in mappings: {sorted(unknown)}")
@@ -63,19 +71,19 @@ def build_events(df: DataFrame, id_column: str, event_datetime: str | Sequence[s
     if patients is not None:
         assert_parents(df, patients, id_column)
     dt_cols = [event_datetime] if isinstance(event_datetime, str) else list(event_datetime)
-    df = with_parsed_datetime(df.withColumn("_ev_text", join_datetime(dt_cols)), "_ev_text", "_ev_date", "_ev_time")
+    df = with_parsed_datetime(df.withColumn("__wl_ev_text", join_datetime(dt_cols)), "__wl_ev_text", "__wl_ev_date", "__wl_ev_time")
     pid = canonical_id(ref(id_column))
     bad_date = F.raise_error(F.concat(F.lit("Invalid event datetime for patient "), F.coalesce(pid, F.lit("?")),
-                                      F.lit(": "), F.coalesce(F.col("_ev_text"), F.lit("null"))))
+                                      F.lit(": "), F.coalesce(F.col("__wl_ev_text"), F.lit("null"))))
     cols = [pid.alias("patient_id"),
-            F.when(F.col("_ev_date").isNull(), bad_date.cast("date")).otherwise(F.col("_ev_date")).alias("event_date"),
-            F.col("_ev_time").alias("event_time")]
+            F.when(F.col("__wl_ev_date").isNull(), bad_date.cast("date")).otherwise(F.col("__wl_ev_date")).alias("event_date"),
+            F.col("__wl_ev_time").alias("event_time")]
     for fld, src in mappings.items():
         c = ref(src)
         if fld == "event_type":
             c = clean_label(c)
         elif fld in ("death", "critical_care_admission", "wimd"):
-            c = F.trim(c.cast("string")).try_cast("double").cast("int")
+            c = _whole(c, pid, fld)
         cols.append(c.alias(fld))
     if keep_extra:
         cols.append(_extra(df, {id_column, *dt_cols, *mappings.values()}).alias("extra"))
@@ -100,16 +108,16 @@ def build_measurements(df: DataFrame, id_column: str, results_columns: Sequence[
     """
     results_columns, results_types = list(results_columns), list(results_types)
     if len(results_columns) != len(results_types):
-        raise AssertionError("Length of results_columns should equal length of result_types")
+        raise AssertionError("results_columns and results_types differ in length")
     bad = [t for t in results_types if t not in RESULT_TYPES]
     if bad:
-        raise ValueError("result_type must be one of: 'complex', 'continuous, or 'discrete'")
+        raise ValueError(f"unknown result types {sorted(set(bad))}; known: {RESULT_TYPES}")
     if on_invalid not in ("raise", "drop"):
         raise ValueError("on_invalid must be 'raise' or 'drop'")
     ref_ranges = list(ref_ranges or [])
     for r in ref_ranges:
         if r is not None and len(r) != 2:
-            raise AssertionError("ref_range should be a list of length two: lower then upper threshold")
+            raise AssertionError("each reference range needs a lower and an upper bound")
     if patients is not None:
         assert_parents(df, patients, id_column)
     type_of = dict(zip(results_columns, results_types))
@@ -124,7 +132,7 @@ def build_measurements(df: DataFrame, id_column: str, results_columns: Sequence[
         keep.append(F.lit(None).cast("string").alias("_dt"))
     keep.append((ref(request_source).cast("string") if request_source else F.lit(None).cast("string")).alias("_src"))
     keep.append((ref(notes).cast("string") if notes else F.lit(None).cast("string")).alias("_notes"))
-    flag_list = F.transform(split_literal(F.col(flags), flags_sep), lambda x: F.trim(x)) if flags else F.lit(None)
+    flag_list = F.transform(split_literal(ref(flags), flags_sep), lambda x: F.trim(x)) if flags else F.lit(None)
     keep.append(flag_list.cast("array<string>").alias("_flags"))
     wide = df.select(*keep, *[ref(c).cast("string").alias(c) for c in results_columns])
     # Parse the datetime once per source row, before the unpivot multiplies rows.
@@ -134,7 +142,7 @@ def build_measurements(df: DataFrame, id_column: str, results_columns: Sequence[
             .where(F.col("_result").isNotNull() & (F.trim("_result") != "")))
 
     rtype = label_map(F.col("result_name"), type_of)
-    number = F.trim("_result").try_cast("double")
+    value = number("_result")
     pid = canonical_id(F.col("_pid"))
     if on_invalid == "raise":
         not_number = F.raise_error(F.concat(F.lit("Result is not a number for patient "), pid, F.lit(", "),
@@ -142,13 +150,13 @@ def build_measurements(df: DataFrame, id_column: str, results_columns: Sequence[
         bad_dt = F.raise_error(F.concat(F.lit("Invalid result datetime for patient "), pid, F.lit(": "),
                                         F.col("_dt"))).cast("date")
     else:
-        long = long.where((rtype != "continuous") | number.isNotNull())
+        long = long.where((rtype != "continuous") | value.isNotNull())
         long = long.where(F.col("_dt").isNull() | F.col("_rdate").isNotNull())
         not_number, bad_dt = F.lit(None).cast("double"), F.lit(None).cast("date")
     low, high = label_map(F.col("result_name"), lows), label_map(F.col("result_name"), highs)
     out = long.select(
         pid.alias("patient_id"), "result_name", rtype.alias("result_type"),
-        F.when(rtype == "continuous", F.coalesce(number, not_number)).alias("result_double"),
+        F.when(rtype == "continuous", F.coalesce(value, not_number)).alias("result_double"),
         F.when(rtype == "discrete", F.col("_result")).alias("result_string"),
         F.when(rtype == "complex", split_literal(F.col("_result"), complex_result_split_char)).alias("result_array"),
         F.when(F.col("_dt").isNull(), F.lit(None).cast("date"))
@@ -164,7 +172,7 @@ def measurements_of_type(measurements: DataFrame, requested_type: str) -> DataFr
     """Measurements of one subtype with its typed column as ``result``."""
     column = {"continuous": "result_double", "discrete": "result_string", "complex": "result_array"}
     if requested_type not in column:
-        raise ValueError("request_type must be one of: 'continuous', 'discrete', or 'complex'")
+        raise ValueError(f"unknown measurement type {requested_type!r}; known: {RESULT_TYPES}")
     others = [c for c in column.values() if c != column[requested_type]]
     return (measurements.where(F.col("result_type") == requested_type)
             .drop(*others).withColumnRenamed(column[requested_type], "result"))
@@ -175,7 +183,7 @@ def build_critical_care(df: DataFrame, id_column: str, admission_datetime: str |
                         request_location: str | None = None, icu_days: str | None = None,
                         ventilated: str | None = None, covid_status: str | None = None,
                         patients: DataFrame | None = None, keep_extra: bool = False) -> DataFrame:
-    """Stay rows → ``critical_care`` (X4).  Unreadable dates become null, never an error.
+    """Stay rows → ``critical_care`` (X4).  Unreadable dates become null; ICU days that are not a number fail the load.
 
     With ``keep_extra`` the columns not used go to ``extra`` (dynamic attributes).
     """
@@ -190,7 +198,7 @@ def build_critical_care(df: DataFrame, id_column: str, admission_datetime: str |
         return with_parsed_datetime(frame.withColumn(f"{prefix}_text", text), f"{prefix}_text",
                                     f"{prefix}_date", f"{prefix}_time")
 
-    df = parse(parse(df, admission_datetime, "_adm"), discharge_datetime, "_dis")
+    df = parse(parse(df, admission_datetime, "__wl_adm"), discharge_datetime, "__wl_dis")
 
     def opt(c, cast="string"):
         return ref(c).cast("string").try_cast(cast) if c else F.lit(None).cast(cast)
@@ -198,11 +206,17 @@ def build_critical_care(df: DataFrame, id_column: str, admission_datetime: str |
     used = {id_column, request_location, icu_days, ventilated, covid_status}
     for value in (admission_datetime, discharge_datetime):
         used.update([value] if isinstance(value, str) else list(value or []))
+    pid = canonical_id(ref(id_column))
+    days = F.lit(None).cast("double")
+    if icu_days:
+        bad = F.raise_error(F.concat(F.lit("ICU days are not a number for patient "), F.coalesce(pid, F.lit("?")), F.lit(": "), ref(icu_days).cast("string")))
+        unread = ref(icu_days).isNotNull() & (F.trim(ref(icu_days).cast("string")) != "") & number(ref(icu_days)).isNull()
+        days = F.when(unread, bad.cast("double")).otherwise(number(ref(icu_days)))
     extra = _extra(df, used) if keep_extra else F.lit(None).cast("map<string,string>")
     out = df.select(canonical_id(ref(id_column)).alias("patient_id"), extra.alias("extra"),
-                    F.col("_adm_date").alias("admission_date"), F.col("_adm_time").alias("admission_time"),
-                    F.col("_dis_date").alias("discharge_date"), F.col("_dis_time").alias("discharge_time"),
-                    opt(request_location).alias("request_location"), opt(icu_days, "double").alias("icu_days"),
+                    F.col("__wl_adm_date").alias("admission_date"), F.col("__wl_adm_time").alias("admission_time"),
+                    F.col("__wl_dis_date").alias("discharge_date"), F.col("__wl_dis_time").alias("discharge_time"),
+                    opt(request_location).alias("request_location"), days.alias("icu_days"),
                     F.trim(opt(ventilated)).alias("ventilated"), F.trim(opt(covid_status)).alias("covid_status"))
     return conform(out, "critical_care")
 
@@ -225,17 +239,18 @@ def build_comorbidities(df: DataFrame, id_column: str, exclude_columns: Sequence
         raise ValueError("order must be 'header' or 'name'")
     if patients is not None:
         assert_parents(df, patients, id_column)
-    links = melt_onehot(df.drop(FILE_COL) if FILE_COL in df.columns else df, id_column, exclude_columns)
-    if not links.limit(1).collect():
-        warn("No positive status for all comorbidities. This is unusual and should be checked. "
-             "No data entry performed")
+    wide = drop_columns(df.drop(FILE_COL), exclude_columns)
+    flags = [c for c in wide.columns if c != id_column]
+    # One aggregate per flag column gives the names in use; no row is shuffled for it.
+    positive = value_key(F.lit("1"))
+    used = wide.agg(*[F.max((value_key(ref(c)) == positive).cast("int")).alias(str(i)) for i, c in enumerate(flags)]).first() if flags else []
+    found = [(c, i) for i, c in enumerate(flags) if used[i] == 1]
+    if not found:
+        warn("No condition is positive in any row; nothing was added")
         return None
-    names = links.select(F.col("comorb_name").alias("name")).distinct()
-    order_col = None
-    if order == "header":
-        flags = [c for c in drop_columns(df, exclude_columns).columns if c != id_column and not c.startswith("_")]
-        names = names.withColumn("_ord", label_map(F.col("name"), {c: i for i, c in enumerate(flags)}))
-        order_col = "_ord"
+    links = melt_onehot(wide.select(ref(id_column), *[ref(c) for c, _ in found]), id_column)
+    names = df.sparkSession.createDataFrame(found, "name string, _ord long")   # at most one row per column
+    order_col = "_ord" if order == "header" else None
     decisions = resolve_names(names, edit_threshold, existing=existing_keys, conflicts=conflicts, policy=policy,
                               order_col=order_col)
     # Names are column headers, so ``decisions`` has at most one row per flag

@@ -12,10 +12,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.functions.labels import normalise_gender
+from wardline.functions.labels import normalise_gender, number
 from wardline.operators.columns import AGE_TERMS, COVID_TERMS, GENDER_TERMS
 from wardline.operators.resolve import (AnyMatch, Presence, Single, ValueEquals, classes, entity_aggregates,
                                         tri_state)
+from wardline.operators.validate import assert_none, duplicate_keys
 from wardline.schemas import conform
 from wardline.sources.model import SourceSet
 
@@ -59,7 +60,7 @@ def build_patients(sources: SourceSet, conflicts: str = "raise",
         cc = Presence(critical_care_file)
     else:
         if critical_care_pos_value is None or critical_care_column is None:
-            raise ValueError("If presence_infers_positivity is False, pos_value and column name must be given")
+            raise ValueError("without presence mode, give critical_care_column and critical_care_pos_value")
         cc = ValueEquals(critical_care_file, critical_care_column, str(critical_care_pos_value))
     variables = {
         "age": Single(tuple(age_search_terms or AGE_TERMS)),
@@ -70,10 +71,11 @@ def build_patients(sources: SourceSet, conflicts: str = "raise",
         "critical_care_stay": cc,
     }
     agg = entity_aggregates(sources, variables, conflicts=conflicts, id_alias="patient_id")
-    age = F.col("age").try_cast("double")
+    age = number("age")
+    unreadable = F.raise_error(F.concat(F.lit("Age is not a number for patient "), F.col("patient_id"), F.lit(": "), F.col("age"))).cast("int")
     out = agg.select(
         "patient_id",
-        F.when(age.isNotNull() & ~F.isnan(age), age).cast("int").alias("age"),
+        F.when(F.col("age").isNotNull() & age.isNull(), unreadable).otherwise(age.cast("int")).alias("age"),
         normalise_gender("gender", gender_int_mappings, entity="patient_id").alias("gender"),
         tri_state(F.col("covid__positive"), F.col("covid__negative"), F.col("covid__suspected"),
                   suspected_blocks_negative).alias("covid"),
@@ -85,12 +87,8 @@ def insert_if_absent(existing: DataFrame, new: DataFrame, key: str = "patient_id
     """``existing`` plus the rows of ``new`` whose key is not there yet (K3).
 
     Existing rows are never overwritten.  The anti join reads only the key of
-    ``existing``.
+    ``existing``.  A key that ``new`` holds twice is an error (one aggregation).
     """
+    assert_none(duplicate_keys(new, [key]), f"Keys repeated in the rows to insert ({key})")
     fresh = new.join(existing.select(key), key, "left_anti")
     return existing.unionByName(fresh, allowMissingColumns=True)
-
-
-def new_only(existing: DataFrame, new: DataFrame, key: str = "patient_id") -> DataFrame:
-    """Just the rows to append for an insert-if-absent."""
-    return new.join(existing.select(key), key, "left_anti")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.operators.resolve import Single, conflict_report
@@ -27,7 +27,7 @@ class Loader:
     def __init__(self, spark: SparkSession, target_directory: str, id_column: str, registry: Registry | str,
                  conflicts: str = "raise", multiline: bool | str = "auto", sources: SourceSet | None = None):
         if conflicts not in ("raise", "ignore"):
-            raise AssertionError("Invalid value, must be 'raise' or 'ignore'")
+            raise AssertionError(f"unknown conflicts policy {conflicts!r}; known: raise, ignore")
         self.spark = spark
         self.id_column = id_column
         self.conflicts = conflicts
@@ -110,14 +110,14 @@ class Loader:
         self.registry.log("add_comorbidities", None, f"Comorbidities added from files matching {filename!r}")
 
     # -- correction ---------------------------------------------------------
-    def age_correction(self, correction: Callable[[Column], Column], column_search_terms: Sequence[str] | None = None,
-                       new_path: str | None = None) -> SourceSet:
-        """Reduce each entity's ages with ``correction`` and rewrite the sources.
+    def age_correction(self, correction: Callable, column_search_terms: Sequence[str] | None = None,
+                       new_path: str | None = None, kind: str = "spark") -> SourceSet:
+        """Reduce each entity's ages with ``correction`` (see ``corrected_values``) and rewrite the sources.
 
         The corrected sources replace ``self.sources``; with ``new_path`` they
         are also written there as CSV, one folder per source file.
         """
-        fixed = corrected_values(self.sources, correction, column_search_terms)
+        fixed = corrected_values(self.sources, correction, column_search_terms, kind=kind)
         self.sources = apply_correction(self.sources, fixed, column_search_terms)
         if new_path is not None:
             write_sources(self.sources, new_path)

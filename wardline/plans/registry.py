@@ -4,19 +4,20 @@ Layout: ``<root>/<table>/v<NNNNNN>/`` holds one complete snapshot.  Appends
 add files to the current snapshot; rewrites (cascade delete) write the next
 snapshot and only then become visible, because readers pick the highest
 version with a ``_SUCCESS`` marker.  A plan never overwrites the path it
-reads.  Paths go through the Hadoop FileSystem API, so any shared storage works.
+reads; a folder without the marker is what an interrupted job left, and the
+next write of that version replaces it.  Paths go through the Hadoop FileSystem API, so any shared storage works.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.functions.refs import ref
-from wardline.operators.validate import assert_none, duplicate_keys, guard_rows, invalid_choices, missing_required
-from wardline.schemas import CHOICES, KEYS, REQUIRED, TABLES, conform
+from wardline.operators.validate import assert_none, duplicate_keys, guard_rows
+from wardline.schemas import KEYS, TABLES, conform
 
 FACT_TABLES = ("events", "measurements", "critical_care", "comorbidities")
 
@@ -58,21 +59,13 @@ class Registry:
             raise FileExistsError(f"registry {self.root} exists; pass overwrite=True")
         for table, schema in TABLES.items():
             version = (self._versions(table) or [0])[-1] + 1
-            self.spark.createDataFrame([], schema).write.mode("errorifexists").parquet(self._path(table, version))
+            self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(self._path(table, version))
         return self
 
     def read(self, table: str) -> DataFrame:
         return self.spark.read.schema(TABLES[table]).parquet(self.current(table))
 
     # -- K2, K3 -------------------------------------------------------------
-    def validate(self, df: DataFrame, table: str) -> None:
-        """Eager checks, one pass each: required, allowed values, keys."""
-        assert_none(missing_required(df, REQUIRED.get(table, ())).limit(20), f"Missing required values in {table}")
-        for column, allowed in CHOICES.get(table, {}).items():
-            assert_none(invalid_choices(df, column, allowed).select(column), f"Invalid {column} in {table}")
-        if table in KEYS:
-            assert_none(duplicate_keys(df, KEYS[table]), f"Duplicate keys in {table}")
-
     def append(self, table: str, df: DataFrame, validate: bool = True, check_keys: bool = True) -> None:
         """Append rows to the current snapshot (K2).
 
@@ -94,8 +87,7 @@ class Registry:
 
         The new rows are checkpointed once (shared checkpoint folder), so the
         source scan runs a single time even though the rows are both written
-        and returned (for the audit).  ``patients`` comes from a
-        ``groupBy(id)``, so keys are unique by construction.
+        and returned (for the audit).  An id that ``patients`` holds twice is refused.
         """
         from wardline.session import checkpoint_dir
 
@@ -103,7 +95,7 @@ class Registry:
         fresh = (conform(patients, "patients")
                  .join(self.read("patients").select("patient_id"), "patient_id", "left_anti")
                  .checkpoint())
-        self.append("patients", fresh, check_keys=False)
+        self.append("patients", fresh)
         return fresh
 
     def add_comorb_keys(self, keys: DataFrame) -> None:
@@ -141,10 +133,11 @@ class Registry:
         # partition on the fact side.
         checkpoint_dir(self.spark)
         doomed = ids.select(ref(id_column).cast("string").alias("patient_id")).distinct().checkpoint()
-        for table in ("patients", *FACT_TABLES):
+        # Facts first: if the job dies on the way, no fact is left without its patient, and a retry finishes.
+        for table in (*FACT_TABLES, "patients"):
             versions = self._versions(table)
             kept = self.read(table).join(doomed, "patient_id", "left_anti")
-            kept.write.mode("errorifexists").parquet(self._path(table, versions[-1] + 1))
+            kept.write.mode("overwrite").parquet(self._path(table, versions[-1] + 1))
         self.log("delete", doomed, "Deleted patient and associated documents")
 
     def delete_where(self, table: str, condition: "F.Column | str") -> None:
@@ -158,10 +151,14 @@ class Registry:
         cond = F.expr(condition) if isinstance(condition, str) else condition
         versions = self._versions(table)
         kept = self.read(table).where(~F.coalesce(cond, F.lit(False)))
-        kept.write.mode("errorifexists").parquet(self._path(table, versions[-1] + 1))
+        kept.write.mode("overwrite").parquet(self._path(table, versions[-1] + 1))
         self.log("delete_rows", None, f"Deleted rows of {table} where {condition}")
 
     # -- J8 -----------------------------------------------------------------
+    def children(self) -> DataFrame:
+        """Every child row of every patient, in long form."""
+        return patient_children(self.read("events"), self.read("measurements"), self.read("critical_care"), self.read("comorbidities"))
+
     def documents(self) -> DataFrame:
         """Per patient: basics plus counts and date spans of each child table."""
         return patient_documents(self.read("patients"), self.read("events"), self.read("measurements"),
@@ -186,6 +183,30 @@ def cascade_delete(tables: dict[str, DataFrame], doomed: DataFrame, id_column: s
     return out
 
 
+def patient_children(events: DataFrame | None = None, measurements: DataFrame | None = None,
+                     critical_care: DataFrame | None = None, comorbidities: DataFrame | None = None) -> DataFrame:
+    """The children of every patient, a row each (J8): ``patient_id, child, name, date, time, value``.
+
+    A union of narrow projections: nothing is shuffled, and no patient's
+    children meet in one row.  ``value`` is the child's main value as text
+    (destination, result, ICU days; none for comorbidities).
+    """
+    text = lambda c: F.col(c).cast("string")
+    none = F.lit(None).cast("string")
+    result = F.coalesce(text("result_double"), F.col("result_string"), F.array_join("result_array", "|"))
+    shapes = (("event", events, F.col("event_type"), "event_date", "event_time", F.col("destination")),
+              ("measurement", measurements, F.col("result_name"), "result_date", "result_time", result),
+              ("critical_care", critical_care, F.col("request_location"), "admission_date", "admission_time", text("icu_days")),
+              ("comorbidity", comorbidities, F.col("comorb_name"), None, None, none))
+    rows = [df.select("patient_id", F.lit(child).alias("child"), name.alias("name"),
+                      (F.col(date) if date else F.lit(None)).cast("date").alias("date"),
+                      (F.col(time) if time else F.lit(None)).cast("double").alias("time"), value.alias("value"))
+            for child, df, name, date, time, value in shapes if df is not None]
+    if not rows:
+        raise ValueError("no child table given")
+    return reduce(DataFrame.unionByName, rows)
+
+
 def child_summary(children: DataFrame, date_col: str | None, prefix: str, id_column: str = "patient_id") -> DataFrame:
     """Count and date span of one child table per patient; partially aggregated."""
     aggs = [F.count(F.lit(1)).alias(f"n_{prefix}")]
@@ -194,19 +215,18 @@ def child_summary(children: DataFrame, date_col: str | None, prefix: str, id_col
     return children.groupBy(id_column).agg(*aggs)
 
 
-def patient_documents(patients: DataFrame, events: DataFrame, measurements: DataFrame,
-                      critical_care: DataFrame, comorbidities: DataFrame) -> DataFrame:
-    """Patient rows with their child-table summaries.
+def patient_documents(patients: DataFrame, events: DataFrame | None = None, measurements: DataFrame | None = None,
+                      critical_care: DataFrame | None = None, comorbidities: DataFrame | None = None) -> DataFrame:
+    """Patient rows with a summary of each child table given (J8); the children themselves: ``patient_children``.
 
-    Children stay in their own tables (the reference lists of the document
-    model are derived by the foreign key); the document row carries counts
-    and date spans, computed with map-side aggregation so a patient with a
-    huge history never lands in one task.
+    The document row carries counts and date spans, computed with map-side
+    aggregation so a patient with a huge history never lands in one task.
     """
     doc = patients
     for child, date_col, prefix in ((events, "event_date", "events"), (measurements, "result_date", "measurements"),
                                     (critical_care, "admission_date", "critical_care"),
                                     (comorbidities, None, "comorbidities")):
-        summary = child_summary(child, date_col, prefix)
-        doc = doc.join(summary, "patient_id", "left").fillna(0, subset=[f"n_{prefix}"])
+        if child is not None:
+            summary = child_summary(child, date_col, prefix)
+            doc = doc.join(summary, "patient_id", "left").fillna(0, subset=[f"n_{prefix}"])
     return doc

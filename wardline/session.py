@@ -53,8 +53,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting it only when unset.
 
     Order: the folder already registered on the SparkContext, then the
-    ``spark.checkpoint.dir`` setting of the session, then a ``_checkpoints``
-    folder under the warehouse directory (shared storage on a cluster).
+    ``spark.checkpoint.dir`` setting of the session.  With neither, a local
+    master gets a ``_checkpoints`` folder under the warehouse directory; any
+    other master is refused, as a default folder would be another disk on each
+    machine.  A folder that is configured is taken to be shared.
     Under Spark Connect the server owns the folder: the session setting is
     returned as is.
     """
@@ -69,6 +71,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         warehouse = spark.conf.get("spark.sql.warehouse.dir", None) or os.path.abspath("spark-warehouse")
         configured = warehouse.rstrip("/") + "/_checkpoints"
     sc.setCheckpointDir(configured)

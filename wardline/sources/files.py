@@ -8,18 +8,18 @@ headers must never share a read; the groups are then aligned by name.
 
 from __future__ import annotations
 
-import posixpath
+import re
 from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from urllib.parse import unquote
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from wardline.functions.refs import ref
 from pyspark.sql import types as T
 
 from wardline.functions.labels import NULL_TOKENS, canonical_id, null_tokens
+from wardline.functions.refs import ref
 from wardline.sources.model import FILE_COL, Source, SourceSet
 
 CORRUPT_COL = "_corrupt_record"
@@ -32,37 +32,47 @@ class SourceFile:
     type: str  # "csv" or "excel"
     size: int = 0
 
-# Files at least this large are probed for quoted line breaks before choosing
-# a single-task multi-line read (see ``split_safe``).
-SPLIT_PROBE_BYTES = 128 * 1024 * 1024
-
 
 def file_type(name: str) -> str | None:
-    """'csv' for ``.csv`` in any case, 'excel' for ``.xlsx`` in any case and ``.xls``."""
+    """'csv' for ``.csv`` and 'excel' for ``.xlsx``, in any case; None for other files."""
     lower = name.lower()
     if lower.endswith(".csv"):
         return "csv"
-    if lower.endswith(".xlsx") or name.endswith(".xls"):
+    if lower.endswith(".xlsx"):
         return "excel"
     return None
 
 
+def list_folder(spark: SparkSession, directory: str) -> list[SourceFile]:
+    """Every entry directly in ``directory``, hidden ones too, through the Hadoop file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return [SourceFile(st.getPath().getName(), st.getPath().toString(), "folder" if st.isDirectory() else "file", int(st.getLen()))
+            for st in found]
+
+
+def glob_safe(path: str) -> str:
+    """``path`` as a pattern that matches just itself: readers take paths as globs."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def discover(spark: SparkSession, directory: str) -> list[SourceFile]:
     """Non-recursive listing of the tabular files in ``directory``.
 
-    Uses the ``binaryFile`` source for the listing so that any Hadoop file
-    system works; only ``path`` is selected, so file contents are never read.
+    Spark's readers skip files whose name starts with ``_`` or ``.``, and nothing
+    here decodes ``.xls``: a tabular file of either kind is an error that names it.
     """
-    listing = (spark.read.format("binaryFile")
-               .option("recursiveFileLookup", "false")
-               .load(directory)
-               .select("path", "length"))
-    found = []
-    for path, length in listing.collect():
-        name = posixpath.basename(path)
-        kind = file_type(name)
-        if kind is not None:
-            found.append(SourceFile(name, path, kind, int(length)))
+    found, refused = [], []
+    for f in list_folder(spark, directory):
+        kind = file_type(f.name) if f.type == "file" else None
+        if f.type == "file" and f.name.lower().endswith(".xls"):
+            refused.append(f"{f.name} (convert it to .xlsx)")
+        elif kind is not None and f.name[0] in "_.":
+            refused.append(f"{f.name} (rename it: readers skip hidden files)")
+        elif kind is not None:
+            found.append(SourceFile(f.name, f.path, kind, f.size))
+    if refused:
+        raise ValueError(f"Tabular files that cannot be read: {', '.join(sorted(refused))}")
     if not found:
         raise ValueError(f"No csv or excel files found in {directory}")
     return sorted(found, key=lambda f: f.name)
@@ -70,7 +80,41 @@ def discover(spark: SparkSession, directory: str) -> list[SourceFile]:
 
 def read_csv_header(spark: SparkSession, path: str) -> list[str]:
     """Header of one CSV file; reads the first line only."""
-    return spark.read.option("header", True).option("multiLine", True).csv(path).columns
+    return spark.read.option("header", True).option("multiLine", True).csv(glob_safe(path)).columns
+
+
+def read_csv_headers(spark: SparkSession, files: list[SourceFile]) -> dict[str, list[str]]:
+    """Headers of many CSV files in one job: first lines are read as text, then parsed by the CSV reader.
+
+    A header whose first line has an open quote goes on in the next line; it is read by itself.
+    """
+    if not files:
+        return {}
+    first = (spark.read.option("wholetext", False).text([glob_safe(f.path) for f in files])
+             .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"))
+             .where("block = 0").mapInPandas(_first_lines, "path string, line string").collect())
+    lines = {r["path"]: r["line"] for r in first}
+    headers = {}
+    parsed: dict[str, list[str]] = {}
+    for f in files:
+        line = next((v for p, v in lines.items() if unquote(p).rpartition("/")[2] == f.name), None)
+        if line is None or line.count('"') % 2:
+            headers[f.name] = read_csv_header(spark, f.path)
+            continue
+        if line not in parsed:  # one parse per distinct header
+            parsed[line] = spark.read.option("header", True).csv(spark.sparkContext.parallelize([line], 1)).columns
+        headers[f.name] = parsed[line]
+    return headers
+
+
+def _first_lines(batches):
+    """The first line that is not blank of each file of a task; lines of a file come in order."""
+    seen = set()
+    for pdf in batches:
+        for path, line in zip(pdf["path"], pdf["value"]):
+            if path not in seen and line.strip():
+                seen.add(path)
+                yield pd.DataFrame({"path": [path], "line": [line.removeprefix("\ufeff")]})
 
 
 def check_id_column(headers: dict[str, list[str]], id_column: str) -> str:
@@ -88,19 +132,29 @@ def _field_count(line: F.Column) -> F.Column:
 
 
 def split_safe(spark: SparkSession, files: list[SourceFile]) -> set[str]:
-    """Names of the files with no quoted line break, found in one parallel pass.
+    """Names of the files with no quoted line break, found in one parallel pass over every file.
 
     With quotes escaped by doubling, a line has an odd number of quote
     characters exactly when a quoted field continues on the next line.  Files
     without such a line can be read line by line, that is split across tasks.
+    In the others a carriage return may only stand before a line feed: elsewhere
+    the two readers would take it differently, so such a file is refused.
     """
     if not files:
         return set()
     quotes = F.length("value") - F.length(F.regexp_replace("value", '"', ""))
-    broken = (spark.read.text([f.path for f in files])
-              .where(quotes % 2 == 1)
-              .select(F.col("_metadata.file_name").alias("name")).distinct().collect())
-    return {f.name for f in files} - {r["name"] for r in broken}
+    paths = [glob_safe(f.path) for f in files]
+    broken = (spark.read.text(paths).where(quotes % 2 == 1)
+              .select(file_name().alias("name")).distinct().collect())
+    unsafe = {r["name"] for r in broken}
+    mixed = [glob_safe(f.path) for f in files if f.name in unsafe]
+    if mixed:
+        lone = (spark.read.option("lineSep", "\n").text(mixed).where(F.col("value").rlike("\r(?!$)"))
+                .select(file_name().alias("name")).distinct().collect())
+        if lone:
+            raise ValueError("Carriage returns inside lines of files with quoted line breaks: "
+                             + ", ".join(sorted(r["name"] for r in lone)))
+    return {f.name for f in files} - unsafe
 
 
 def _read_csv(spark: SparkSession, paths: list[str], schema: T.StructType, multiline: bool) -> DataFrame:
@@ -112,25 +166,47 @@ def _read_csv(spark: SparkSession, paths: list[str], schema: T.StructType, multi
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT_COL)
             .option("enforceSchema", True)   # the schema is the header of these very files
-            .csv(paths)
-            .withColumn(FILE_COL, F.col("_metadata.file_name")))
+            .csv([glob_safe(p) for p in paths])
+            .withColumn(FILE_COL, file_name()))
+
+
+def file_name() -> F.Column:
+    """The name of a row's file as it is in the folder (the metadata column has it percent-encoded)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
+def clean_rows(raw: DataFrame, header: list[str], id_column: str, tokens=NULL_TOKENS) -> DataFrame:
+    """Rows of a raw CSV read (all strings, ``CORRUPT_COL``, ``FILE_COL``), cleaned the same way for batch and stream.
+
+    Lines of blanks only are not records.  Short rows are kept with nulls; a row
+    with more fields than the header fails the job naming the file.
+    """
+    text = ref(CORRUPT_COL)
+    blank = text.rlike(r"^[\x20\t]*$") if len(header) > 1 else ref(header[0]).isNull() | (F.trim(ref(header[0])) == "")
+    raw = raw.where(~F.coalesce(blank, F.lit(False)))
+    too_long = text.isNotNull() & (_field_count(text) > len(header))
+    guard = F.when(too_long, F.raise_error(F.concat(
+        F.lit("Failed parsing "), ref(FILE_COL), F.lit("; row has more fields than the header: "), text)))
+    cols = [F.coalesce(guard, canonical_id(null_tokens(ref(id_column), tokens))).alias(id_column)]
+    cols += [null_tokens(ref(c), tokens).alias(c) for c in header if c != id_column]
+    return raw.select(*cols, ref(FILE_COL))
 
 
 def read_csv_group(spark: SparkSession, files: list[SourceFile], header: list[str], id_column: str,
                    multiline: bool | str = "auto", tokens=NULL_TOKENS) -> Source:
     """Read CSV files sharing ``header`` as one all-string DataFrame.
 
-    Short rows are kept with nulls.  A row with more fields than the header
-    fails the job with an error naming the file.  Quotes are escaped by
-    doubling.  ``multiline=True`` honours quoted line breaks but makes each
-    file a single task; ``False`` splits files but breaks such records;
-    ``"auto"`` reads small files multi-line and probes files of at least
-    ``SPLIT_PROBE_BYTES`` (``split_safe``), reading the safe ones split.
+    Quotes are escaped by doubling; a carriage return, alone or with a line
+    feed, ends a line, and lines of blanks only are skipped.
+    ``multiline=True`` honours quoted line breaks but makes each file a single
+    task; ``False`` splits files but breaks such records; ``"auto"`` looks for
+    quoted line breaks in every file (``split_safe``) and splits the files
+    without.  See ``clean_rows`` for short and long rows.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header]
                           + [T.StructField(CORRUPT_COL, T.StringType())])
     if multiline == "auto":
-        safe = split_safe(spark, [f for f in files if f.size >= SPLIT_PROBE_BYTES])
+        safe = split_safe(spark, files)
         whole = [f.path for f in files if f.name not in safe]
         split = [f.path for f in files if f.name in safe]
         parts = ([_read_csv(spark, whole, schema, True)] if whole else []) + \
@@ -138,18 +214,11 @@ def read_csv_group(spark: SparkSession, files: list[SourceFile], header: list[st
         df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     else:
         df = _read_csv(spark, [f.path for f in files], schema, bool(multiline))
-    too_long = ref(CORRUPT_COL).isNotNull() & (_field_count(ref(CORRUPT_COL)) > len(header))
-    guard = F.when(too_long, F.raise_error(F.concat(
-        F.lit("Failed parsing "), ref(FILE_COL), F.lit("; row has more fields than the header: "),
-        ref(CORRUPT_COL))))
-    cols = [F.coalesce(guard, canonical_id(null_tokens(ref(id_column), tokens))).alias(id_column)]
-    cols += [null_tokens(ref(c), tokens).alias(c) for c in header if c != id_column]
-    cols.append(ref(FILE_COL))
 
     def reopen(names: tuple[str, ...]) -> Source:
         return read_csv_group(spark, [f for f in files if f.name in names], header, id_column, multiline, tokens)
 
-    return Source(df.select(*cols), id_column, tuple(f.name for f in files), reopen)
+    return Source(clean_rows(df, header, id_column, tokens), id_column, tuple(f.name for f in files), reopen)
 
 
 def load_directory(spark: SparkSession, directory: str, id_column: str, multiline: bool | str = "auto",
@@ -164,11 +233,7 @@ def load_directory(spark: SparkSession, directory: str, id_column: str, multilin
     files = discover(spark, directory)
     csv_files = [f for f in files if f.type == "csv"]
     xls_files = [f for f in files if f.type == "excel"]
-    # One tiny job per header; issued concurrently so thousands of extracts
-    # do not serialise on the driver (metadata only, nothing is collected).
-    with ThreadPoolExecutor(max_workers=min(16, max(1, len(csv_files)))) as pool:
-        found = pool.map(lambda f: (f.name, read_csv_header(spark, f.path)), csv_files)
-        headers = dict(found)
+    headers = read_csv_headers(spark, csv_files)
     if xls_files:
         found = excel_headers(spark, xls_files)
         headers.update({f.name: found.get(f.name, []) for f in xls_files})   # empty sheet: no header

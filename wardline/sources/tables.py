@@ -40,7 +40,3 @@ def from_table(df: DataFrame, id_column: str, source_id: str | None = None, file
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet table ``name`` from a directory of ``<name>.parquet`` files."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def source_set(*sources: Source, id_column: str = "patient_id") -> SourceSet:
-    return SourceSet(list(sources), id_column)
