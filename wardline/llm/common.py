@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # White space of the data contracts: space, and the ASCII controls from tab to carriage return.
@@ -63,7 +63,7 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
     to the smallest of them, so that each step sends a node's edges to one
     neighbour only, and a group of n copies needs about log n steps.  Each step
     is written to the shared folder; the fixed point is found by comparing an
-    order-free digest of the edges.  Self links and repeated links are ignored,
+    order-free digest of the edges, observed while they are written.  Self links and repeated links are ignored,
     nulls must not occur; no links give no rows.
     """
     edges = materialise(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
@@ -73,15 +73,16 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
         # Large star: neighbours above u go to the smallest neighbour of u.
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # Small star: u and its neighbours below go to the smallest of them.
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").select(F.explode(F.array(
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
             .select("e.u", "e.v").where("u <> v").distinct())
-        after = materialise(small, "edges")
-        digest = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        seen = Observation()
+        after = materialise(small.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")), "edges")
+        digest = seen.get
         drop_table(edges)
         edges = after
         if digest == before:
