@@ -101,7 +101,7 @@ def test_page_text(spark):
     assert " ".join(t for t, _ in html_diff.text_blocks(PAGE)) == "Head & line Bolder <text> next line Two"
     plain = "<html><body><div>Site name</div><div>{}</div><p>Read on</p><div>Imprint</div></body></html>"
     rows = [(1, "http://h.x/a/1", PAGE), (2, "http://h.x/b/1?q", plain.format("One story")), (3, "http://h.x/b/2#t", plain.format("Another story")),
-            (4, "http://alone.x/", plain.format("Only")), (5, None, None), (6, "http://h.x/c", ""), (7, "http://h.x/b/1?q", "<p>" + "long " * 50_000)]
+            (4, "http://alone.x/", plain.format("Only")), (5, None, None), (6, "http://h.x/c", ""), (7, "http://h.x/z/1?q", "<p>" + "long " * 50_000)]
     df = spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, host int").coalesce(1)
     got = {r["page_id"]: r for r in html_diff.extract_main_text(df).collect()}
     texts = {k: r["text"] for k, r in got.items()}
