@@ -90,9 +90,9 @@ SQL = {
         s as (select distinct doc_id, array_to_string(words[i:i + 4], ' ') as shingle
               from (select doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) as i from w where len(words) > 0)),
         n as (select doc_id, count(*) as n from s group by doc_id),
-        p as (select a.doc_id as a, b.doc_id as b, count(*) as both from s a join s b on a.shingle = b.shingle and a.doc_id < b.doc_id
+        p as (select a.doc_id as a, b.doc_id as b, count(*) as shared from s a join s b on a.shingle = b.shingle and a.doc_id < b.doc_id
               group by 1, 2),
-        l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * both >= 75 * (x.n + y.n - both)),
+        l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * shared >= 75 * (x.n + y.n - shared)),
         e as (select a, b from l union all select b, a from l),
         r(node, seen) as (select doc_id, doc_id from documents union select node, e.b from r join e on r.seen = e.a)
         select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, min(r.seen) as component_id
