@@ -99,6 +99,9 @@ PAGE = ("<!DOCTYPE html><html><head><title>T</title><style>p{x:1}</style><script
 
 def test_page_text(spark):
     assert " ".join(t for t, _ in html_diff.text_blocks(PAGE)) == "Head & line Bolder <text> next line Two"
+    wrapped = ("<body class=has-sidebar><div class='page with-sidebar'><main><article class='post'><p>Kept</p><article class='comment'>no</article>"
+               "<div class=notice>n</div><div class='sidebar'>s<article>inner</article></div></article><p>Related</p></main></div></body>")
+    assert html_diff.main_text(html_diff.text_blocks(wrapped), None) == "Kept"
     plain = "<html><body><div>Site name</div><div>{}</div><p>Read on</p><div>Imprint</div></body></html>"
     rows = [(1, "http://h.x/a/1", PAGE), (2, "http://h.x/b/1?q", plain.format("One story")), (3, "http://h.x/b/2#t", plain.format("Another story")),
             (4, "http://alone.x/", plain.format("Only")), (5, None, None), (6, "http://h.x/c", ""), (7, "http://h.x/z/1?q", "<p>" + "long " * 50_000)]
