@@ -29,7 +29,7 @@ _BLANK = "▁"
 _FOREIGN_BLANK = 0x110000  # stands for the blank sign where the text itself holds it: no piece matches it
 _BASE, _U = np.uint64(0x100000001B3), np.uint64
 _UNITS = re.compile(f"{_BLANK}+[^{_BLANK}\n]*|[^{_BLANK}\n]+|\n")
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
