@@ -36,6 +36,16 @@ def test_exact_groups(spark):
     assert exact_groups(docs.limit(0)).count() == 0
 
 
+def test_rows_of_one_id_are_decided_by_their_own_text(spark):
+    rows = [(None, "copied text", "x"), (None, "a text of its own", "x"), (1, "copied text", "x"), (7, "first", "x"), (7, "copied text", "x"),
+            (None, "only nulls", "x"), (None, "only  nulls", "y"), (None, "copied text", "y")]
+    docs = docs_of(spark, rows)
+    kept = sorted((str(r["doc_id"]), r["text"]) for r in drop_copies(docs).collect())
+    assert kept == [("1", "copied text"), ("7", "first"), ("None", "a text of its own"), ("None", "only  nulls"), ("None", "only nulls")]
+    full, lean = (sorted(map(str, (r[:4] for r in exact_groups(docs, digest_all=d).collect()))) for d in (True, False))
+    assert lean == full and len(lean) == len(rows)
+
+
 def test_mix(spark):
     rng = random.Random(4)
     rows = [(i, " ".join(["w"] * rng.randint(0, 40)), rng.choice(["a", "a", "a", "b", "c", None])) for i in range(400)]
