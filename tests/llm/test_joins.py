@@ -54,6 +54,12 @@ def test_ngram_groups(spark, workdir, monkeypatch):
     assert ngram_join.ngram_groups(docs.where("doc_id < 0")).count() == 0
 
 
+def test_lists_of_documents_are_spread_over_parts(spark):
+    docs = spark.range(60).selectExpr("id", "concat('text ', id) as text").repartition(30)
+    lists = docs.mapInArrow(ngram_join._spread(5, 8), ngram_join._MAP).where("ids is not null").select("p").collect()
+    assert len(lists) >= 25 and len({r["p"] for r in lists}) > 15
+
+
 def test_index_keys_of_similar_sets_meet():
     """Any two sets of Jaccard 0.75 or more share a key, whatever the frequencies and sizes."""
     rng = np.random.default_rng(1)

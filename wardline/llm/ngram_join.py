@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -101,7 +102,7 @@ def _spread(width: int, bits: int):
         rows = []
         for a, b in zip(cuts, [*cuts[1:], len(part)]):
             rows.append((int(part[a]), chunk, low[a:b].tobytes() + owner[a:b].tobytes(), None, None, None, None))
-        rows.append((chunk % (1 << bits), chunk, None, ids, ords, [len(s) for s in sets],
+        rows.append((int(_mix(np.array([chunk], np.uint64))[0]) % (1 << bits), chunk, None, ids, ords, [len(s) for s in sets],
                      np.concatenate(marks) if marks else []))
         return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), _MAP_ARROW)], schema=_MAP_ARROW)
 
@@ -134,10 +135,9 @@ def _count(bits: int):
     """Of one part: the tokens that several sets have, with their frequency, back to their chunks."""
 
     def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        about = [r for r in rows if r["ids"] is not None]
-        parts = [r for r in rows if r["ids"] is None]
-        out = [(r["p"], r["chunk"], None, r["ids"], r["ords"], r["sizes"], r["marks"]) for r in about]
+        lists = table["ids"].is_valid()  # rows that list a chunk's documents pass as they are
+        parts = table.filter(pc.invert(lists)).select(["p", "chunk", "blob"]).to_pylist()
+        about, out = table.filter(lists).cast(_MAP_ARROW), []
         if parts:
             p, sizes = parts[0]["p"], [len(r["blob"]) // 8 for r in parts]
             low = np.zeros((sum(sizes), 8), np.uint8)
@@ -157,7 +157,7 @@ def _count(bits: int):
                 if len(at):
                     out.append((p, r["chunk"], tokens[at].tobytes() + df[at].tobytes() + owner[at].tobytes(), None, None, None, None))
         cols = zip(*out) if out else [[] for _ in _MAP_ARROW]
-        return pa.Table.from_arrays([pa.array(c, t.type) for c, t in zip(cols, _MAP_ARROW)], schema=_MAP_ARROW)
+        return pa.concat_tables([about, pa.Table.from_arrays([pa.array(c, t.type) for c, t in zip(cols, _MAP_ARROW)], schema=_MAP_ARROW)])
 
     return run
 
