@@ -114,6 +114,23 @@ def test_page_text(spark):
     assert html_diff.extract_main_text(df.limit(0)).count() == 0
 
 
+STORY = "<body><div>Site name and menu</div><p>{}</p><p>{}</p><div>Imprint</div></body>"
+
+
+def page_texts(spark, rows):
+    df = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id long, url string, html string")
+    return [r["text"] for r in html_diff.extract_main_text(df).orderBy("page_id").collect()]
+
+
+def test_copies_are_no_partners(spark):
+    long = " ".join(f"word{i}" for i in range(80))
+    same = STORY.format(long, "end")
+    assert page_texts(spark, [("http://two.x/p?a=1", same), ("http://two.x/p?a=2", same)]) == ["Site name and menu " + long + " end Imprint"] * 2
+    rows = [("http://h.x/a?a=1", same), ("http://h.x/a?a=2", same), ("http://h.x/a?a=3", STORY.format(long, "fin")), ("http://h.x/b", STORY.format("Other story", "of its own"))]
+    assert page_texts(spark, rows) == [long + " end", long + " end", long + " fin", "Other story of its own"]
+    assert html_diff.main_text([("x", 0), ("y", 0)], [("x", 0), ("y", 0)]) == "x y"
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     rng = random.Random(2)
     for _ in range(200):
