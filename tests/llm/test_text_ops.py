@@ -131,6 +131,25 @@ def test_copies_are_no_partners(spark):
     assert html_diff.main_text([("x", 0), ("y", 0)], [("x", 0), ("y", 0)]) == "x y"
 
 
+def test_pages_at_the_edges_of_ranges_have_partners(spark):
+    rng = random.Random(8)
+    words = lambda n: " ".join(rng.choice("abcdefgh") * 5 for _ in range(n))
+    rows = []
+    for i in range(40):
+        body = STORY.format(words(20), words(9))
+        rows += [(f"http://{'g' if i < 9 else 'h'}.x/{i // 4:02}/{i}", body)] * (12 if i in (3, 30) else 1)
+    want = [html_diff.text_blocks(h) for _, h in rows]
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for n in (1, 13):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            assert page_texts(spark, rows) == [" ".join(t for t, _ in b[1:3]) for b in want], n
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     rng = random.Random(2)
     for _ in range(200):
