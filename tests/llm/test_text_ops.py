@@ -150,6 +150,13 @@ def test_pages_at_the_edges_of_ranges_have_partners(spark):
             spark.conf.set(k, v)
 
 
+def test_teasers_are_not_the_main_text(spark):
+    long = "A long story that stands beside its teaser. " * 5
+    page = "<body><div>Menu {0}</div><{1}><p>" + long + "{0}</p><article>Teaser card</article></{1}><p>Shared line</p></body>"
+    texts = page_texts(spark, [(f"http://t.x/{i}", page.format(i, tag)) for i, tag in enumerate(["main", "main", "div", "div"])])
+    assert all(f"{long}{i} Teaser card" in t and "Shared line" not in t for i, t in enumerate(texts)), texts
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     rng = random.Random(2)
     for _ in range(200):
