@@ -4,6 +4,7 @@ import random
 
 import brute
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from wardline.llm import grid_join, ngram_join
@@ -60,6 +61,15 @@ def test_lists_of_documents_are_spread_over_parts(spark):
     assert len(lists) >= 25 and len({r["p"] for r in lists}) > 15
 
 
+def test_similarities_that_need_keys_of_small_sets_are_refused(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f g")], "doc_id long, text string")  # 2 and 3 n-grams, 2 shared
+    for similarity in (2 / 3, 0.5):
+        with pytest.raises(ValueError, match="above 2/3"):
+            ngram_join.ngram_groups(docs, similarity)
+        with pytest.raises(ValueError, match="above 2/3"):
+            ngram_join.drop_near_copies(docs, similarity)
+
+
 def test_index_keys_of_similar_sets_meet():
     """Any two sets of Jaccard 0.75 or more share a key, whatever the frequencies and sizes."""
     rng = np.random.default_rng(1)

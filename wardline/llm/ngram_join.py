@@ -340,7 +340,11 @@ def ngram_groups(docs: DataFrame, similarity: float = 0.75, width: int = 5, rare
     Rows of null id have a null component and link nothing.  Rows that repeat an
     id are returned each, and share the links of all texts of that id.  An
     empty table gives no rows.  ``docs`` must be a deterministic input (files).
+    ``similarity`` must be above 2/3: only then do sets of one or two n-grams
+    link to equal sets alone, on which ``index_keys`` relies.
     """
+    if not 2 / 3 < similarity <= 1:
+        raise ValueError(f"similarity must be above 2/3 and at most 1, not {similarity}")
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bits = min(16, max(8, math.ceil(math.log2(4 * parts))))
