@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from wardline.llm import line_crf, toxicity
 from wardline.llm.common import scratch_path, table
 from wardline.llm.exact_dedup import exact_groups
+from wardline.llm.fill_middle import fill_middle, restore
 from wardline.llm.grid_join import near_vectors
 from wardline.llm.html_diff import extract_main_text
 from wardline.llm.labelled import fold
@@ -69,6 +70,13 @@ def op6_piece_sampling(spark, d):
     return sample_pieces(table(spark, d, "documents"), check=True)
 
 
+def op13_fill_middle(spark, d):
+    rows = fill_middle(table(spark, d, "documents"))
+    sha = lambda text: F.sha2(text.cast("binary"), 256)
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", sha(F.col("output")).alias("output_sha256"),
+                       sha(restore(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_line_crf": op1_line_crf,
     "op2_html_diff": op2_html_diff,
@@ -80,9 +88,21 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_pii_bootstrap": op9_pii_bootstrap,
     "op10_ngram_join": op10_ngram_join,
+    "op13_fill_middle": op13_fill_middle,
 }
 
 SQL = {
+    "op13_fill_middle": """
+        with h as (select doc_id, coalesce(text, '') as t, length(coalesce(text, ''))::bigint as n, sha256('1:' || coalesce(doc_id::varchar, 'null')) as h from documents),
+        d as (select *, ('0x' || h[1:8])::bigint as h1, ('0x' || h[9:16])::bigint as h2, ('0x' || h[17:24])::bigint as h3, ('0x' || h[25:32])::bigint as h4 from h),
+        c as (select doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+                     case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+                          when h4 % 100 < 20 then 'spm' else 'psm' end as form from d),
+        p as (select *, substr(t, 1, a) as x, substr(t, a + 1, b - a) as y, substr(t, b + 1) as z from c)
+        select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, case when form <> 'plain' then b - a end as middle_chars,
+               sha256(case form when 'plain' then t when 'psm' then '<P>' || x || '<S>' || z || '<M>' || y
+                      else '<S>' || z || '<P>' || x || '<M>' || y end) as output_sha256, sha256(t) as restored_sha256
+        from p""",
     "op10_ngram_join": r"""
         with recursive w as (
             select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
