@@ -13,6 +13,7 @@ from wardline.llm.common import scratch_path, table
 from wardline.llm.exact_dedup import exact_groups
 from wardline.llm.fill_middle import fill_middle, restore
 from wardline.llm.grid_join import near_vectors
+from wardline.llm.hard_negatives import hard_negatives
 from wardline.llm.html_diff import extract_main_text
 from wardline.llm.labelled import fold
 from wardline.llm.mix_sources import mix
@@ -70,6 +71,11 @@ def op6_piece_sampling(spark, d):
     return sample_pieces(table(spark, d, "documents"), check=True)
 
 
+def op12_bond_negatives(spark, d):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, d, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 def op13_fill_middle(spark, d):
     rows = fill_middle(table(spark, d, "documents"))
     sha = lambda text: F.sha2(text.cast("binary"), 256)
@@ -88,10 +94,23 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_pii_bootstrap": op9_pii_bootstrap,
     "op10_ngram_join": op10_ngram_join,
+    "op12_bond_negatives": op12_bond_negatives,
     "op13_fill_middle": op13_fill_middle,
 }
 
 SQL = {
+    "op12_bond_negatives": """
+        with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                          list_transform(embedding, lambda x: floor(256 * x::double)) as e
+                   from embeddings where vec_id is not null and label is not null and embedding is not null
+                     and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+        s as (select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same, list_dot_product(a.e, b.e)::bigint as score
+              from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e) where a.vec_id % 100 = 0),
+        p as (select *, row_number() over (partition by anchor_id order by score desc, id) as k from s where same qualify k <= 5)
+        select p.anchor_id, p.id as positive_id, row_number() over (partition by p.anchor_id, p.id order by s.score desc, s.id)::int as rank,
+               s.id as negative_id, p.score as positive_score, s.score as negative_score
+        from p join s on s.anchor_id = p.anchor_id and not s.same and 30 * p.score <= 100 * s.score and 100 * s.score <= 90 * p.score
+        qualify rank <= 10""",
     "op13_fill_middle": """
         with h as (select doc_id, coalesce(text, '') as t, length(coalesce(text, ''))::bigint as n, sha256('1:' || coalesce(doc_id::varchar, 'null')) as h from documents),
         d as (select *, ('0x' || h[1:8])::bigint as h1, ('0x' || h[9:16])::bigint as h2, ('0x' || h[17:24])::bigint as h3, ('0x' || h[25:32])::bigint as h4 from h),
