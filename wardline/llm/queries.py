@@ -18,6 +18,7 @@ from wardline.llm.html_diff import extract_main_text
 from wardline.llm.labelled import fold
 from wardline.llm.mix_sources import mix
 from wardline.llm.ngram_join import ngram_groups
+from wardline.llm.perplexity_rules import perplexity_rules
 from wardline.llm.pii_bootstrap import find_personal_data
 from wardline.llm.piece_sampling import sample_pieces
 from wardline.llm.warc_chunks import read_records, write_archives
@@ -71,6 +72,10 @@ def op6_piece_sampling(spark, d):
     return sample_pieces(table(spark, d, "documents"), check=True)
 
 
+def op11_perplexity_rules(spark, d):
+    return perplexity_rules(table(spark, d, "documents"))
+
+
 def op12_bond_negatives(spark, d):
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives(table(spark, d, "embeddings"), F.col("vec_id") % 100 == 0, label)
@@ -94,6 +99,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_pii_bootstrap": op9_pii_bootstrap,
     "op10_ngram_join": op10_ngram_join,
+    "op11_perplexity_rules": op11_perplexity_rules,
     "op12_bond_negatives": op12_bond_negatives,
     "op13_fill_middle": op13_fill_middle,
 }
