@@ -29,8 +29,8 @@ from wardline.operators import (AnyMatch, Presence, Single, ValueEquals, classes
                                 resolve_names, similar_pairs, tri_state, unreadable_numbers)
 from wardline.plans import (apply_correction, build_comorbidities, build_critical_care, build_events,
                             build_measurements, build_patients, cascade_delete, corrected_values,
-                            insert_if_absent, load_keyword, measurements_of_type,
-                            patient_children, patient_documents, read_sources, write_sources)
+                            ResolvedStore, insert_if_absent, load_keyword, measurements_of_type,
+                            patient_children, patient_documents, patient_rules, read_sources, write_sources)
 from wardline.session import checkpoint_dir
 from wardline.sources import FILE_COL, SourceSet, from_table, load_directory, read_table, union_sources
 from wardline.sources.files import list_folder
@@ -417,14 +417,40 @@ def q_flag_presence(spark, d):
                                        "cc_value": ValueEquals("low", "o_orderstatus", "O")})
 
 
+_BASICS = dict(age_search_terms=["c_nationkey$"], gender_search_terms=["o_orderstatus$"], covid_search_terms=["event_type$"],
+               covid_status_search_terms=_STATUS, death_search_terms=["f"], death_column="o_orderstatus", death_file="urgent",
+               critical_care_file="high", critical_care_column="o_orderstatus", critical_care_pos_value="O")
+
+
 def q_patients_basics(spark, d):
     sources = SourceSet([_customer(spark, d), _orders(spark, d, columns=["o_orderstatus"]), _events(spark, d)])
-    return build_patients(
-        sources, conflicts="ignore",
-        age_search_terms=["c_nationkey$"], gender_search_terms=["o_orderstatus$"],
-        covid_search_terms=["event_type$"], covid_status_search_terms=_STATUS,
-        death_search_terms=["f"], death_column="o_orderstatus", death_file="urgent",
-        critical_care_file="high", critical_care_column="o_orderstatus", critical_care_pos_value="O")
+    return build_patients(sources, conflicts="ignore", **_BASICS)
+
+
+def q_patients_incremental(spark, d):
+    """The flagship over three drops of files: only the entities of a drop are decided again."""
+    variables, basics = patient_rules(**_BASICS)
+    store = ResolvedStore(spark, _scratch(spark, "wardline_resolved"), variables, basics, buckets=16)
+    orders = _orders(spark, d, columns=["o_orderstatus"])
+    files = lambda *names: orders.with_df(orders.df.where(F.col(FILE_COL).isin(*names)))
+    store.add(SourceSet([_customer(spark, d), files("1-URGENT", "2-HIGH")]))
+    store.add(SourceSet([files("3-MEDIUM", "4-NOT SPECIFIED")]))
+    store.add(SourceSet([files("5-LOW"), _events(spark, d)]))
+    return store.current()
+
+
+def q_stream_resolve(spark, d):
+    """Order rows arrive in micro-batches: the decision per entity after the last one, and the batch that last changed it."""
+    from wardline.streaming import resolve_stream
+
+    base = _scratch(spark, "wardline_stream")
+    orders = read_table(spark, d, "orders").select("o_custkey", "o_orderpriority", "o_orderstatus")
+    orders.repartition(6, "o_custkey", "o_orderpriority", "o_orderstatus").write.parquet(f"{base}/drop")
+    rows = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/drop")
+    source = from_table(rows, "patient_id", source_id="o_custkey", file_column="o_orderpriority")
+    store = ResolvedStore(spark, f"{base}/store", {"status": Single(("o_orderstatus",))}, buckets=16)
+    resolve_stream(source, store, f"{base}/ckpt").awaitTermination()
+    return store.current().withColumnsRenamed({"status__file_conflicts": "n_conflicting_files", "status__entity_conflict": "entity_conflict"})
 
 
 def q_insert_if_absent(spark, d):
@@ -577,6 +603,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flag_any_match": q_flag_any_match,
     "flag_presence": q_flag_presence,
     "patients_basics": q_patients_basics,
+    "patients_incremental": q_patients_incremental,
+    "stream_resolve": q_stream_resolve,
     "insert_if_absent": q_insert_if_absent,
     "missing_parents": q_missing_parents,
     "events_build": q_events_build,
@@ -922,7 +950,13 @@ _SQL = {
         from (unpivot (select doc_id, quality as asthma, toxic as asthmas, toxic as diabetes, 1 - quality as _fracture from labels)
               on asthma, asthmas, diabetes, _fracture into name name value status) where status = 1""",
     "validate_unique": "select p_name, count(*) as n_rows from part group by p_name having count(*) > 1",
+    "stream_resolve": """
+        with f as (select cast(o_custkey as varchar) pid, min(o_orderstatus) lo, max(o_orderstatus) hi from orders group by 1, o_orderpriority),
+        e as (select pid, min(case when lo = hi then lo end) lo, max(case when lo = hi then hi end) hi,
+                     sum(case when lo <> hi then 1 else 0 end)::bigint nf from f group by pid)
+        select pid as patient_id, case when lo = hi then lo end as status, nf as n_conflicting_files, coalesce(lo <> hi, false) as entity_conflict from e""",
 }
+_SQL["patients_incremental"] = _SQL["patients_basics"]
 
 
 def oracle_sql() -> dict[str, str]:

@@ -137,20 +137,34 @@ def entity_aggregates(sources: SourceSet, variables: dict, conflicts: str = "ign
         raise ValueError("conflicts must be 'raise' or 'ignore'")
     if not len(sources):
         raise ValueError("no sources")
+    return decide_states(file_states(sources, variables), variables, conflicts, id_alias or sources.id_column)
+
+
+def file_states(sources: SourceSet | list[Source], variables: dict) -> DataFrame:
+    """Step 2: per (``_id``, ``_file``) the least and greatest key of each ``Single``, class flags and flags.
+
+    States of the same group merge by ``merge_states``, so they can be kept and
+    extended as more files arrive.
+    """
     rows = reduce(lambda a, b: a.unionByName(b), [_row_projection(s, variables) for s in sources])
-    rows = rows.where(F.col("_id").isNotNull())          # a row without an id belongs to no entity
+    return merge_states(rows.where(F.col("_id").isNotNull()), variables)      # a row without an id belongs to no entity
+
 
-    lvl1 = [F.col("_id"), ref(FILE_COL)]
-    aggs1 = []
+def merge_states(states: DataFrame, variables: dict) -> DataFrame:
+    """One state per (``_id``, ``_file``): minima, maxima and flags combine in any order and any number of times."""
+    aggs = []
     for name, spec in variables.items():
         if isinstance(spec, Single):
-            aggs1 += [F.min(f"{name}__kmin").alias(f"{name}__kmin"), F.max(f"{name}__kmax").alias(f"{name}__kmax")]
+            aggs += [F.min(f"{name}__kmin").alias(f"{name}__kmin"), F.max(f"{name}__kmax").alias(f"{name}__kmax")]
         elif isinstance(spec, Classes):
-            aggs1 += [F.max(f"{name}__{cls}").alias(f"{name}__{cls}") for cls, _ in spec.classes]
+            aggs += [F.max(f"{name}__{cls}").alias(f"{name}__{cls}") for cls, _ in spec.classes]
         else:
-            aggs1.append(F.max(name).alias(name))
-    per_file = rows.groupBy(*lvl1).agg(*aggs1)
+            aggs.append(F.max(name).alias(name))
+    return states.groupBy(F.col("_id"), ref(FILE_COL)).agg(*aggs)
+
 
+def decide_states(per_file: DataFrame, variables: dict, conflicts: str = "ignore", id_alias: str = "patient_id") -> DataFrame:
+    """Step 3: the decision per entity from the states of all its files (see ``entity_aggregates``)."""
     aggs2 = []
     for name, spec in variables.items():
         if isinstance(spec, Single):
@@ -166,7 +180,7 @@ def entity_aggregates(sources: SourceSet, variables: dict, conflicts: str = "ign
             aggs2.append(F.coalesce(F.max(name), F.lit(0)).alias(name))
     per_entity = per_file.groupBy("_id").agg(*aggs2)
 
-    final = [F.col("_id").alias(id_alias or sources.id_column)]
+    final = [F.col("_id").alias(id_alias)]
     for name, spec in variables.items():
         if isinstance(spec, Single):
             lo, hi = F.col(f"{name}__lo"), F.col(f"{name}__hi")

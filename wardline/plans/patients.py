@@ -7,7 +7,7 @@ death and critical-care flags for every entity seen in any file.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,20 +30,8 @@ COVID_STATUS_TERMS = {
 DEATH_TERMS = ["dead", "died", "death"]
 
 
-def build_patients(sources: SourceSet, conflicts: str = "raise",
-                   age_search_terms: Sequence[str] | None = None,
-                   gender_search_terms: Sequence[str] | None = None,
-                   covid_search_terms: Sequence[str] | None = None,
-                   covid_status_search_terms: Mapping[str, Sequence[str]] | None = None,
-                   death_search_terms: Sequence[str] | None = None,
-                   death_column: str = "destination", death_file: str = "outcome",
-                   gender_int_mappings: Mapping[int, str] | None = None,
-                   critical_care_file: str = "outcome",
-                   critical_care_presence_infers_positivity: bool = False,
-                   critical_care_column: str | None = "CRITICAL_CARE",
-                   critical_care_pos_value: str | None = "Y",
-                   suspected_blocks_negative: bool = True) -> DataFrame:
-    """One row per entity in the ``patients`` schema.
+def build_patients(sources: SourceSet, conflicts: str = "raise", **options) -> DataFrame:
+    """One row per entity in the ``patients`` schema (A12); ``options`` are those of ``patient_rules``.
 
     * age: one value per entity (A4) under ``conflicts``, as an integer;
     * gender: one value (A4), then normalised (F4) -- an unmapped number fails;
@@ -53,6 +41,23 @@ def build_patients(sources: SourceSet, conflicts: str = "raise",
     * critical_care_stay: presence in a ``critical_care_file`` file, or a row
       with ``critical_care_column == critical_care_pos_value`` (A7).
     """
+    variables, basics = patient_rules(**options)
+    return basics(entity_aggregates(sources, variables, conflicts=conflicts, id_alias="patient_id"))
+
+
+def patient_rules(age_search_terms: Sequence[str] | None = None,
+                  gender_search_terms: Sequence[str] | None = None,
+                  covid_search_terms: Sequence[str] | None = None,
+                  covid_status_search_terms: Mapping[str, Sequence[str]] | None = None,
+                  death_search_terms: Sequence[str] | None = None,
+                  death_column: str = "destination", death_file: str = "outcome",
+                  gender_int_mappings: Mapping[int, str] | None = None,
+                  critical_care_file: str = "outcome",
+                  critical_care_presence_infers_positivity: bool = False,
+                  critical_care_column: str | None = "CRITICAL_CARE",
+                  critical_care_pos_value: str | None = "Y",
+                  suspected_blocks_negative: bool = True) -> tuple[dict, Callable[[DataFrame], DataFrame]]:
+    """The variables that patient basics resolve, and the projection of their decisions onto the ``patients`` schema."""
     status = dict(COVID_STATUS_TERMS if covid_status_search_terms is None else covid_status_search_terms)
     for needed in ("positive", "negative", "suspected"):
         status.setdefault(needed, [])
@@ -70,17 +75,20 @@ def build_patients(sources: SourceSet, conflicts: str = "raise",
         "died": AnyMatch(death_file, death_column, tuple(death_search_terms or DEATH_TERMS)),
         "critical_care_stay": cc,
     }
-    agg = entity_aggregates(sources, variables, conflicts=conflicts, id_alias="patient_id")
-    age = number("age")
-    unreadable = F.raise_error(F.concat(F.lit("Age is not a number for patient "), F.col("patient_id"), F.lit(": "), F.col("age"))).cast("int")
-    out = agg.select(
-        "patient_id",
-        F.when(F.col("age").isNotNull() & age.isNull(), unreadable).otherwise(age.cast("int")).alias("age"),
-        normalise_gender("gender", gender_int_mappings, entity="patient_id").alias("gender"),
-        tri_state(F.col("covid__positive"), F.col("covid__negative"), F.col("covid__suspected"),
-                  suspected_blocks_negative).alias("covid"),
-        F.col("died"), F.col("critical_care_stay"))
-    return conform(out, "patients")
+
+    def basics(decided: DataFrame) -> DataFrame:
+        age = number("age")
+        unreadable = F.raise_error(F.concat(F.lit("Age is not a number for patient "), F.col("patient_id"), F.lit(": "), F.col("age"))).cast("int")
+        out = decided.select(
+            "patient_id",
+            F.when(F.col("age").isNotNull() & age.isNull(), unreadable).otherwise(age.cast("int")).alias("age"),
+            normalise_gender("gender", gender_int_mappings, entity="patient_id").alias("gender"),
+            tri_state(F.col("covid__positive"), F.col("covid__negative"), F.col("covid__suspected"),
+                      suspected_blocks_negative).alias("covid"),
+            F.col("died"), F.col("critical_care_stay"))
+        return conform(out, "patients")
+
+    return variables, basics
 
 
 def insert_if_absent(existing: DataFrame, new: DataFrame, key: str = "patient_id") -> DataFrame:

@@ -17,7 +17,8 @@ from wardline.operators.resolve import Single, conflict_report
 from wardline.plans.correction import apply_correction, corrected_values, write_sources
 from wardline.plans.facts import (build_comorbidities, build_critical_care, build_events, build_measurements,
                                   load_keyword)
-from wardline.plans.patients import build_patients
+from wardline.plans.incremental import ResolvedStore
+from wardline.plans.patients import build_patients, patient_rules
 from wardline.plans.registry import Registry
 from wardline.sources.files import load_directory
 from wardline.sources.model import SourceSet
@@ -60,6 +61,21 @@ class Loader:
             self.registry.log_rows("conflict", report, "patient_id", message)
         return fresh
 
+    def update_patients(self, store: str, **options) -> DataFrame:
+        """Resolve the files of the folder that ``store`` has not seen; returns the change set (A12 over repeated loads).
+
+        ``store`` is the folder of a ``ResolvedStore``; only new files are
+        scanned, and only the entities in them are decided again.
+        """
+        variables, basics = patient_rules(**options)
+        resolved = ResolvedStore(self.spark, store, variables, basics, self.conflicts)
+        seen = resolved.loaded_files()
+        fresh = SourceSet([s.subset(tuple(f for f in s.files if f not in seen)) for s in self.sources
+                           if s.files is not None and any(f not in seen for f in s.files)], self.id_column)
+        if not len(fresh):
+            return resolved.current().withColumn("change", F.lit(None).cast("string")).limit(0)
+        return resolved.add(fresh)
+
     def conflicts_report(self, variables: Mapping[str, Sequence[str]]) -> DataFrame:
         """Every conflicting value for the given column patterns (A5)."""
         return conflict_report(self.sources, {k: Single(tuple(v)) for k, v in variables.items()},

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Collection
 from dataclasses import dataclass
 from urllib.parse import unquote
 
@@ -222,15 +223,15 @@ def read_csv_group(spark: SparkSession, files: list[SourceFile], header: list[st
 
 
 def load_directory(spark: SparkSession, directory: str, id_column: str, multiline: bool | str = "auto",
-                   tokens=NULL_TOKENS) -> SourceSet:
-    """List, check and read every tabular file of ``directory``.
+                   tokens=NULL_TOKENS, skip: Collection[str] = ()) -> SourceSet:
+    """List, check and read every tabular file of ``directory`` (S1-S3, P6) but those named in ``skip``.
 
     Returns one ``Source`` per distinct header.  Excel files are decoded by
     ``wardline.sources.excel``.
     """
     from wardline.sources.excel import excel_headers, read_excel_group
 
-    files = discover(spark, directory)
+    files = [f for f in discover(spark, directory) if f.name not in skip]
     csv_files = [f for f in files if f.type == "csv"]
     xls_files = [f for f in files if f.type == "excel"]
     headers = read_csv_headers(spark, csv_files)
