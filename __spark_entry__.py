@@ -26,13 +26,13 @@ from wardline.functions import (join_datetime, label_map, normalise_gender, null
 from wardline.operators import (AnyMatch, Presence, Single, ValueEquals, classes, conflict_report, drop_columns,
                                 duplicate_keys, entity_aggregates, entity_index, entity_spine, gather_values,
                                 invalid_choices, match_columns, melt_onehot, missing_parents, missing_required, multi_values,
-                                resolve_names, similar_pairs, tri_state, unreadable_numbers)
+                                not_a_number, resolve_names, route_rows, similar_pairs, table_checks, tri_state, unreadable_numbers)
 from wardline.plans import (apply_correction, build_comorbidities, build_critical_care, build_events,
                             build_measurements, build_patients, cascade_delete, corrected_values,
-                            ResolvedStore, insert_if_absent, load_keyword, measurements_of_type,
+                            HistoryTable, ResolvedStore, insert_if_absent, load_keyword, measurements_of_type,
                             patient_children, patient_documents, patient_rules, read_sources, write_sources)
 from wardline.session import checkpoint_dir
-from wardline.sources import FILE_COL, SourceSet, from_table, load_directory, read_table, union_sources
+from wardline.sources import FILE_COL, PresenceIndex, SourceSet, from_table, load_directory, read_table, union_sources
 from wardline.sources.files import list_folder
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -453,6 +453,52 @@ def q_stream_resolve(spark, d):
     return store.current().withColumnsRenamed({"status__file_conflicts": "n_conflicting_files", "status__entity_conflict": "entity_conflict"})
 
 
+def q_patients_as_of(spark, d):
+    """Customers loaded at three times, field by field, then some deleted: what was valid at a time between the loads and after them."""
+    import datetime as dt
+
+    table = HistoryTable(spark, _scratch(spark, "wardline_history"), "patient_id string, age int, gender string, covid string",
+                         unknown={"gender": ["U"]})
+    cust, key = read_table(spark, d, "customer"), F.col("c_custkey")
+    pid = key.cast("string").alias("patient_id")
+    gender = F.when(key % 4 == 0, "M").when(key % 4 == 1, "F").when(key % 4 == 2, "U")
+    table.upsert(cust.where(key % 3 != 0).select(pid, F.col("c_nationkey").alias("age"), gender.alias("gender")), dt.datetime(2024, 1, 1))
+    age = F.when(key % 5 != 0, F.col("c_nationkey") + key % 2)
+    table.upsert(cust.where(key % 4 < 2).select(pid, age.alias("age"), F.when(key % 6 == 0, "U").otherwise("F").alias("gender")), dt.datetime(2024, 2, 1))
+    seen = read_table(spark, d, "orders").groupBy(F.col("o_custkey").cast("string").alias("patient_id"))
+    table.upsert(seen.agg(F.when(F.max("o_orderstatus") == "P", "P").alias("covid")), dt.datetime(2024, 3, 1))
+    table.delete(cust.where(key % 11 == 0).select(pid), dt.datetime(2024, 4, 1))
+    at = lambda *day: table.as_of(dt.datetime(*day)).withColumn("as_of", F.lit("-".join(map(str, day))))
+    rows = at(2024, 1, 15).unionByName(at(2024, 2, 15)).unionByName(at(2024, 5, 1))
+    return rows.withColumn("valid_from", F.col("valid_from").cast("date"))
+
+
+def q_entity_lookup(spark, d):
+    """Orders as CSV files of neighbouring customers; the suppliers' ids are looked up, and only files that can hold one are opened."""
+    base = _scratch(spark, "wardline_lookup")
+    orders = read_table(spark, d, "orders").select(F.col("o_custkey").alias("pid"), F.col("o_orderkey").alias("order_key"), F.col("o_orderstatus").alias("status"))
+    orders.repartitionByRange(12, "pid").write.option("header", True).csv(f"{base}/extracts")
+    sources = load_directory(spark, f"{base}/extracts", "pid")
+    index = PresenceIndex(spark, f"{base}/presence", bits=20)
+    index.add(sources)
+    return union_sources(index.lookup(sources, read_table(spark, d, "supplier").select("s_suppkey"))).drop(FILE_COL)
+
+
+def q_load_with_rejects(spark, d):
+    """Orders checked once: accepted and rejected rows, the latter with every reason."""
+    key = F.col("o_orderkey")
+    rows = read_table(spark, d, "orders").select(
+        F.when(key % 13 != 0, F.col("o_custkey").cast("string")).alias("patient_id"), F.col("o_orderpriority").alias("event_type"),
+        F.when(key % 10 != 0, F.col("o_orderdate").cast("date")).alias("event_date"),
+        F.when(key % 3 == 0, F.col("o_orderstatus")).alias("covid_status"),
+        F.concat(F.col("o_totalprice").cast("decimal(12,2)").cast("string"), F.when(key % 7 == 0, "d").otherwise("")).alias("price"), key.alias("order_key"))
+    checks = table_checks("events", rows.columns) | {"price is no number": not_a_number("price")}
+    accepted, rejected, counts = route_rows(rows, checks, _scratch(spark, "wardline_rejects"))
+    if counts["rejected"] + counts["accepted"] < 1:
+        raise AssertionError("no row was counted")
+    return accepted.withColumn("reasons", F.lit("")).unionByName(rejected.withColumn("reasons", F.array_join("reasons", "; ")))
+
+
 def q_insert_if_absent(spark, d):
     existing = read_table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("patient_id"),
                                                        F.col("s_name").alias("name"), F.lit("existing").alias("origin"))
@@ -605,6 +651,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "patients_basics": q_patients_basics,
     "patients_incremental": q_patients_incremental,
     "stream_resolve": q_stream_resolve,
+    "patients_as_of": q_patients_as_of,
+    "entity_lookup": q_entity_lookup,
+    "load_with_rejects": q_load_with_rejects,
     "insert_if_absent": q_insert_if_absent,
     "missing_parents": q_missing_parents,
     "events_build": q_events_build,
@@ -950,6 +999,35 @@ _SQL = {
         from (unpivot (select doc_id, quality as asthma, toxic as asthmas, toxic as diabetes, 1 - quality as _fracture from labels)
               on asthma, asthmas, diabetes, _fracture into name name value status) where status = 1""",
     "validate_unique": "select p_name, count(*) as n_rows from part group by p_name having count(*) > 1",
+    "entity_lookup": """
+        select cast(o_custkey as varchar) as pid, cast(o_orderkey as varchar) as order_key, o_orderstatus as status from orders
+        where o_custkey in (select s_suppkey from supplier)""",
+    "load_with_rejects": """
+        with r as (select case when o_orderkey % 13 <> 0 then cast(o_custkey as varchar) end as patient_id, o_orderpriority as event_type,
+                          case when o_orderkey % 10 <> 0 then o_orderdate::date end as event_date,
+                          case when o_orderkey % 3 = 0 then o_orderstatus end as covid_status,
+                          o_totalprice::decimal(12,2)::varchar || case when o_orderkey % 7 = 0 then 'd' else '' end as price, o_orderkey as order_key from orders)
+        select *, concat_ws('; ', case when patient_id is null then 'missing patient_id' end, case when event_date is null then 'missing event_date' end,
+                            case when covid_status not in ('P', 'N', 'U') then 'invalid covid_status' end,
+                            case when price like '%d' then 'price is no number' end) as reasons from r""",
+    "patients_as_of": """
+        with l1 as (select cast(c_custkey as varchar) pid, c_nationkey age, case c_custkey % 4 when 0 then 'M' when 1 then 'F' when 2 then 'U' end gender,
+                           null::varchar covid from customer where c_custkey % 3 <> 0),
+        l2 as (select cast(c_custkey as varchar) pid, case when c_custkey % 5 <> 0 then c_nationkey + c_custkey % 2 end age,
+                      case when c_custkey % 6 = 0 then 'U' else 'F' end gender, null::varchar covid from customer where c_custkey % 4 < 2),
+        l3 as (select cast(o_custkey as varchar) pid, null::int age, null::varchar gender, case when max(o_orderstatus) = 'P' then 'P' end covid from orders group by 1),
+        s1 as (select *, date '2024-01-01' vf from l1),
+        m2 as (select coalesce(o.pid, n.pid) pid, coalesce(n.age, o.age) age, coalesce(nullif(n.gender, 'U'), o.gender, n.gender) gender,
+                      coalesce(n.covid, o.covid) covid, o.pid op, o.age oa, o.gender og, o.covid oc, o.vf from s1 o full join l2 n on o.pid = n.pid),
+        s2 as (select pid, age, gender, covid, case when op is null or age is distinct from oa or gender is distinct from og or covid is distinct from oc
+                      then date '2024-02-01' else vf end vf from m2),
+        m3 as (select coalesce(o.pid, n.pid) pid, coalesce(n.age, o.age) age, coalesce(nullif(n.gender, 'U'), o.gender, n.gender) gender,
+                      coalesce(n.covid, o.covid) covid, o.pid op, o.age oa, o.gender og, o.covid oc, o.vf from s2 o full join l3 n on o.pid = n.pid),
+        s3 as (select pid, age, gender, covid, case when op is null or age is distinct from oa or gender is distinct from og or covid is distinct from oc
+                      then date '2024-03-01' else vf end vf from m3),
+        u as (select *, '2024-1-15' as t from s1 union all select *, '2024-2-15' from s2
+              union all select *, '2024-5-1' from s3 where not (pid::bigint % 11 = 0 and pid::bigint in (select c_custkey from customer)))
+        select pid as patient_id, age::int as age, gender, covid, vf as valid_from, t as as_of from u""",
     "stream_resolve": """
         with f as (select cast(o_custkey as varchar) pid, min(o_orderstatus) lo, max(o_orderstatus) hi from orders group by 1, o_orderpriority),
         e as (select pid, min(case when lo = hi then lo end) lo, max(case when lo = hi then hi end) hi,

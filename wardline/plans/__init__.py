@@ -2,6 +2,7 @@
 from wardline.plans.correction import apply_correction, corrected_values, python_correction, read_sources, write_sources
 from wardline.plans.facts import (build_comorbidities, build_critical_care, build_events, build_measurements,
                                   load_keyword, measurements_of_type)
+from wardline.plans.history import HistoryTable
 from wardline.plans.incremental import ResolvedStore
 from wardline.plans.patients import build_patients, insert_if_absent, patient_rules
 from wardline.plans.populate import Loader
@@ -9,5 +10,5 @@ from wardline.plans.registry import Registry, cascade_delete, child_summary, pat
 
 __all__ = ["apply_correction", "corrected_values", "python_correction", "read_sources", "write_sources", "build_comorbidities",
            "build_critical_care", "build_events", "build_measurements", "load_keyword", "measurements_of_type",
-           "ResolvedStore", "build_patients", "insert_if_absent", "patient_rules", "Loader", "Registry", "cascade_delete", "child_summary",
+           "HistoryTable", "ResolvedStore", "build_patients", "insert_if_absent", "patient_rules", "Loader", "Registry", "cascade_delete", "child_summary",
            "patient_children", "patient_documents"]
