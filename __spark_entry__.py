@@ -23,14 +23,14 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from wardline.functions import (join_datetime, label_map, normalise_gender, null_tokens, render_date, split_literal,
                                 with_parsed_datetime)
-from wardline.operators import (AnyMatch, Presence, Single, ValueEquals, classes, conflict_report, drop_columns,
+from wardline.operators import (AnyMatch, Presence, Single, UserAggregate, ValueEquals, classes, conflict_report, drop_columns,
                                 duplicate_keys, entity_aggregates, entity_index, entity_spine, gather_values,
                                 invalid_choices, match_columns, melt_onehot, missing_parents, missing_required, multi_values,
                                 not_a_number, resolve_names, route_rows, similar_pairs, table_checks, tri_state, unreadable_numbers)
 from wardline.plans import (apply_correction, build_comorbidities, build_critical_care, build_events,
                             build_measurements, build_patients, cascade_delete, corrected_values,
                             HistoryTable, ResolvedStore, insert_if_absent, load_keyword, measurements_of_type,
-                            patient_children, patient_documents, patient_rules, read_sources, write_sources)
+                            patient_children, patient_documents, patient_pages, patient_rules, read_sources, write_sources)
 from wardline.session import checkpoint_dir
 from wardline.sources import FILE_COL, PresenceIndex, SourceSet, from_table, load_directory, read_table, union_sources
 from wardline.sources.files import list_folder
@@ -301,6 +301,40 @@ def q_patient_children(spark, d):
     return patient_children(**_children(spark, d))
 
 
+def q_patient_pages(spark, d):
+    """Documents of at most 40 children a page: events, measurements, stays and conditions in order of time."""
+    pages = patient_pages(patient_children(**_children(spark, d)), page_size=40)
+    shown = F.transform("children", lambda c: F.concat_ws("/", F.coalesce(F.date_format(c["date"], "yyyy-MM-dd"), F.lit("-")), c["child"], c["name"], F.coalesce(c["value"], F.lit("-"))))
+    return pages.select("patient_id", "page", "first_position", "n_children", "first_date", "last_date", F.array_join(shown, ";").alias("children"))
+
+
+def _median_of_modes():
+    """The middle (or the mean of the two in the middle) of the values that come most often."""
+    def reduce(state, values):
+        for v in values:
+            state[v] = state.get(v, 0) + 1
+        return state
+
+    def merge(a, b):
+        for v, n in b.items():
+            a[v] = a.get(v, 0) + n
+        return a
+
+    def finish(state):
+        most = max(state.values())
+        modes = sorted(v for v, n in state.items() if n == most)
+        return (modes[(len(modes) - 1) // 2] + modes[len(modes) // 2]) / 2
+
+    return UserAggregate(dict, reduce, merge, finish)
+
+
+def q_custom_correction(spark, d):
+    """A correction in Python, as states that merge: the median of the most frequent price classes over a customer's files."""
+    orders = read_table(spark, d, "orders").select("o_custkey", "o_orderpriority", F.floor(F.col("o_totalprice") / 50000).alias("price_class"))
+    sources = SourceSet([from_table(orders, "patient_id", source_id="o_custkey", file_column="o_orderpriority")])
+    return corrected_values(sources, _median_of_modes(), ["price_class$"])
+
+
 def q_fuzzy_existing(spark, d):
     """A second load: half of the names are dictionary keys already, the others are matched to them."""
     part = read_table(spark, d, "part")
@@ -680,6 +714,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rejects": q_rejects,
     "number_keys": q_number_keys,
     "patient_children": q_patient_children,
+    "patient_pages": q_patient_pages,
+    "custom_correction": q_custom_correction,
     "fuzzy_existing": q_fuzzy_existing,
     "fuzzy_document": q_fuzzy_document,
     "fuzzy_document_ignore": q_fuzzy_document_ignore,
@@ -1035,6 +1071,17 @@ _SQL = {
         select pid as patient_id, case when lo = hi then lo end as status, nf as n_conflicting_files, coalesce(lo <> hi, false) as entity_conflict from e""",
 }
 _SQL["patients_incremental"] = _SQL["patients_basics"]
+_SQL["patient_pages"] = f"""
+    with c as ({_SQL["patient_children"]}),
+    n as (select *, row_number() over (partition by patient_id order by date nulls first, time nulls first, child, name, value nulls first) as position from c)
+    select patient_id, (position - 1) // 40 + 1 as page, min(position) as first_position, count(*) as n_children, min(date) as first_date, max(date) as last_date,
+           string_agg(coalesce(strftime(date, '%Y-%m-%d'), '-') || '/' || child || '/' || name || '/' || coalesce(value, '-'), ';' order by position) as children
+    from n group by 1, 2"""
+_SQL["custom_correction"] = """
+    with g as (select distinct cast(o_custkey as varchar) as patient_id, o_orderpriority, floor(o_totalprice / 50000)::double as v from orders),
+    n as (select patient_id, v, count(*) as n from g group by 1, 2),
+    m as (select *, max(n) over (partition by patient_id) as most from n)
+    select patient_id, median(v) as corrected from m where n = most group by 1"""
 
 
 def oracle_sql() -> dict[str, str]:

@@ -19,6 +19,7 @@ from wardline.functions.labels import canonical_id, number
 from wardline.functions.refs import ref
 from wardline.operators.columns import AGE_TERMS, match_columns
 from wardline.operators.resolve import gather_values
+from wardline.operators.user_aggregate import UserAggregate, aggregate_by
 from wardline.session import checkpoint_dir
 from wardline.sources.files import glob_safe, list_folder
 from wardline.sources.model import FILE_COL, Source, SourceSet
@@ -29,8 +30,9 @@ def python_correction(fn: Callable[[list], object], return_type: str = "double",
 
     Runs as an Arrow-batched pandas UDF over each entity's distinct values per
     file, all of which one task holds: an entity with over ``most`` of them
-    fails the job.  Prefer a Spark aggregate (``F.max``, ``F.median`` ...): it
-    combines on the map side and never leaves the JVM.
+    fails the job.  Prefer a Spark aggregate (``F.max``, ``F.median`` ...), which
+    combines on the map side and never leaves the JVM, or a ``UserAggregate``,
+    which has no such limit.
     """
     @F.pandas_udf(return_type)
     def _agg(values: pd.Series) -> object:
@@ -41,13 +43,14 @@ def python_correction(fn: Callable[[list], object], return_type: str = "double",
     return _agg
 
 
-def corrected_values(sources: SourceSet, correction: Callable, column_search_terms: Sequence[str] | None = None,
+def corrected_values(sources: SourceSet, correction: Callable | UserAggregate, column_search_terms: Sequence[str] | None = None,
                      id_alias: str | None = None, kind: str = "spark", value_type: str = "double") -> DataFrame:
     """(id, corrected): one value per entity from its gathered values (A11 + V1).
 
     ``correction`` gets numbers: ``kind="spark"`` takes a function from a
     Column to an aggregate (``F.max``), ``kind="python"`` one from a list to a
-    value.  With ``value_type="double"`` (the default) text that is not a
+    value; a ``UserAggregate`` runs as partial states that merge, whatever the
+    number of an entity's values, and needs no ``kind``.  With ``value_type="double"`` (the default) text that is not a
     number fails the job; ``"string"`` hands over the text.
     """
     if kind not in ("spark", "python"):
@@ -61,6 +64,8 @@ def corrected_values(sources: SourceSet, correction: Callable, column_search_ter
         blank = F.trim(value) == ""
         bad = F.raise_error(F.concat(F.lit("Value is not a number for "), ref(idc), F.lit(": "), value)).cast("double")
         gathered = gathered.where(~blank).withColumn("value", F.when(number(value).isNull(), bad).otherwise(number(value)))
+    if isinstance(correction, UserAggregate):
+        return aggregate_by(gathered, idc, "value", correction, value_type, "corrected")
     aggregate = correction if kind == "spark" else python_correction(correction, value_type)
     return gathered.groupBy(idc).agg(aggregate(F.col("value")).alias("corrected"))
 

@@ -159,6 +159,12 @@ class Registry:
         """Every child row of every patient, in long form."""
         return patient_children(self.read("events"), self.read("measurements"), self.read("critical_care"), self.read("comorbidities"))
 
+    def pages(self, page_size: int = 1000) -> DataFrame:
+        """The children of every patient, nested in order into pages of at most ``page_size``."""
+        from wardline.plans.pages import patient_pages
+
+        return patient_pages(self.children(), page_size)
+
     def documents(self) -> DataFrame:
         """Per patient: basics plus counts and date spans of each child table."""
         return patient_documents(self.read("patients"), self.read("events"), self.read("measurements"),
