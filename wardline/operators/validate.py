@@ -40,16 +40,18 @@ def duplicate_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
 
 
 def missing_parents(facts: DataFrame, parents: DataFrame, fact_id: str, parent_id: str | None = None,
-                    id_alias: str = "patient_id") -> DataFrame:
+                    id_alias: str = "patient_id", registered: bool = False) -> DataFrame:
     """Fact ids with no parent row (J2), with the number of fact rows each.
 
     Only the id column of the facts is read; the count is partially
     aggregated before the anti join, so the join sees one row per id.
+    ``registered`` says that the parents' ids are canonical text, as those of a
+    registry are: they are compared as stored, and bucketed parents stay in place.
     """
     parent_id = parent_id or fact_id
     ids = (facts.select(F.trim(ref(fact_id).cast("string")).alias(id_alias))
            .groupBy(id_alias).agg(F.count(F.lit(1)).alias("n_rows")))
-    known = parents.select(F.trim(ref(parent_id).cast("string")).alias(id_alias))
+    known = parents.select((ref(parent_id) if registered else F.trim(ref(parent_id).cast("string"))).alias(id_alias))
     return ids.join(known, id_alias, "left_anti")
 
 
@@ -70,8 +72,9 @@ def assert_none(offending: DataFrame, message: str, sample: int = 20) -> None:
 
 
 def assert_parents(facts: DataFrame, parents: DataFrame, fact_id: str, parent_id: str = "patient_id") -> None:
-    """Every fact id must already be a registered entity."""
-    assert_none(missing_parents(facts, parents, fact_id, parent_id).select("patient_id"),
+    """Every fact id must already be a registered entity (J2); registered ids are canonical text."""
+    text = parents.schema[parent_id].dataType.typeName() == "string"
+    assert_none(missing_parents(facts, parents, fact_id, parent_id, registered=text).select("patient_id"),
                 "These ids are not registered patients; add the patients first")
 
 

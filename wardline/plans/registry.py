@@ -10,6 +10,7 @@ next write of that version replaces it.  Paths go through the Hadoop FileSystem
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,12 +60,24 @@ class Registry:
             raise FileExistsError(f"registry {self.root} exists; pass overwrite=True")
         for table, schema in TABLES.items():
             version = (self._versions(table) or [0])[-1] + 1
-            self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(self._path(table, version))
+            self._store(self.spark.createDataFrame([], schema), table, version, "overwrite")
         return self
 
     def read(self, table: str) -> DataFrame:
+        return self._stored(table).select(*TABLES[table].names)
+
+    def _stored(self, table: str) -> DataFrame:
+        """The current snapshot as it is stored."""
         return self.spark.read.schema(TABLES[table]).parquet(self.current(table))
 
+    def _store(self, df: DataFrame, table: str, version: int, mode: str, stored: bool = False) -> None:
+        """Write rows of one snapshot of a table; ``stored`` says that they come from the one before."""
+        df.write.mode(mode).parquet(self._path(table, version))
+
+    def _keep(self, table: str, doomed: DataFrame) -> DataFrame:
+        """The stored rows of a table without those of the ``doomed(patient_id)``."""
+        return self._stored(table).join(doomed, "patient_id", "left_anti")
+
     # -- K2, K3 -------------------------------------------------------------
     def append(self, table: str, df: DataFrame, validate: bool = True, check_keys: bool = True) -> None:
         """Append rows to the current snapshot (K2).
@@ -80,7 +93,8 @@ class Registry:
             if check_keys and table in KEYS:
                 assert_none(duplicate_keys(df, KEYS[table]), f"Duplicate keys in {table}")
             df = guard_rows(df, table)
-        df.write.mode("append").parquet(self.current(table))
+        self.current(table)
+        self._store(df, table, self._versions(table)[-1], "append")
 
     def add_patients(self, patients: DataFrame) -> DataFrame:
         """Insert the patients not yet registered; existing ones are kept (K3).
@@ -110,13 +124,13 @@ class Registry:
             rows = entity_ids.select(ref(entity_ids.columns[0]).cast("string").alias("entity_id"))
         audit = rows.select(F.current_timestamp().alias("ts"), F.lit(op).alias("op"), "entity_id",
                             F.lit(message).alias("message"))
-        audit.write.mode("append").parquet(self.current("audit"))
+        self._store(audit, "audit", self._versions("audit")[-1], "append")
 
     def log_rows(self, op: str, rows: DataFrame, entity_col: str, message: "F.Column") -> None:
         """Audit rows computed per input row: ``message`` is a Column (K8)."""
         audit = rows.select(F.current_timestamp().alias("ts"), F.lit(op).alias("op"),
                             ref(entity_col).cast("string").alias("entity_id"), message.alias("message"))
-        audit.write.mode("append").parquet(self.current("audit"))
+        self._store(audit, "audit", self._versions("audit")[-1], "append")
 
     # -- K5, K6 -------------------------------------------------------------
     def delete_patients(self, ids: DataFrame, id_column: str = "patient_id") -> None:
@@ -136,8 +150,7 @@ class Registry:
         # Facts first: if the job dies on the way, no fact is left without its patient, and a retry finishes.
         for table in (*FACT_TABLES, "patients"):
             versions = self._versions(table)
-            kept = self.read(table).join(doomed, "patient_id", "left_anti")
-            kept.write.mode("overwrite").parquet(self._path(table, versions[-1] + 1))
+            self._store(self._keep(table, doomed), table, versions[-1] + 1, "overwrite", stored=True)
         self.log("delete", doomed, "Deleted patient and associated documents")
 
     def delete_where(self, table: str, condition: "F.Column | str") -> None:
@@ -150,8 +163,8 @@ class Registry:
             raise ValueError(f"unknown table {table}")
         cond = F.expr(condition) if isinstance(condition, str) else condition
         versions = self._versions(table)
-        kept = self.read(table).where(~F.coalesce(cond, F.lit(False)))
-        kept.write.mode("overwrite").parquet(self._path(table, versions[-1] + 1))
+        kept = self._stored(table).where(~F.coalesce(cond, F.lit(False)))
+        self._store(kept, table, versions[-1] + 1, "overwrite", stored=True)
         self.log("delete_rows", None, f"Deleted rows of {table} where {condition}")
 
     # -- J8 -----------------------------------------------------------------
@@ -171,6 +184,81 @@ class Registry:
                                  self.read("critical_care"), self.read("comorbidities"))
 
 
+class BucketedRegistry(Registry):
+    """A registry whose tables are bucketed and sorted by ``patient_id``.
+
+    Patients lie in ``buckets`` buckets of their id: the parent check (J2) and
+    insert-if-absent (K3) bring new rows to the stored ones, which are not
+    shuffled.  A fact also has a part, 0 to ``parts`` - 1, and lies in the
+    bucket of its patient and part, so a patient with a third of all facts is
+    spread over as many buckets; a delete (K5) brings its ids to every part.
+    Rows are dealt to buckets once, when they are written.
+
+    The tables are external ones of the session's catalog, named after the
+    folder, and are registered again by any session that opens it; ``buckets``
+    and ``parts`` are kept with them and cannot change.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64, parts: int = 8):
+        super().__init__(spark, root)
+        spec = f"{self.root}/buckets"
+        if self._fs.exists(self._Path(f"{spec}/_SUCCESS")):
+            made = spark.read.schema("buckets int, parts int").json(spec).first()
+            self.buckets, self.parts = made["buckets"], made["parts"]
+        elif any(self._versions(t) for t in TABLES):
+            raise ValueError(f"{root} holds a registry without buckets")
+        else:
+            self.buckets, self.parts = int(buckets), int(parts)
+            spark.createDataFrame([(self.buckets, self.parts)], "buckets int, parts int").coalesce(1).write.json(spec)
+
+    def _keys(self, table: str) -> list[str]:
+        if table == "patients":
+            return ["patient_id"]
+        return ["patient_id", "_part"] if table in FACT_TABLES else []
+
+    def _name(self, table: str, version: int) -> str:
+        return f"wardline_{hashlib.md5(self.root.encode()).hexdigest()[:16]}_{table}_v{version}"
+
+    def _table(self, table: str, version: int) -> str:
+        """The catalog name of a snapshot; its definition only points to the files, which carry their bucket in the name."""
+        name, keys = self._name(table, version), self._keys(table)
+        if not self.spark.catalog.tableExists(name):
+            fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in TABLES[table].fields] + ["`_part` int"] * (len(keys) - 1)
+            self.spark.sql(f"create table {name} ({', '.join(fields)}) using parquet clustered by ({', '.join(keys)}) "
+                           f"sorted by ({', '.join(keys)}) into {self.buckets} buckets location '{self._path(table, version)}'")
+        return name
+
+    def _stored(self, table: str) -> DataFrame:
+        if not self._keys(table):
+            return super()._stored(table)
+        self.current(table)
+        return self.spark.table(self._table(table, self._versions(table)[-1]))
+
+    def _store(self, df: DataFrame, table: str, version: int, mode: str, stored: bool = False) -> None:
+        keys = self._keys(table)
+        if not keys:
+            super()._store(df, table, version, mode)
+            return
+        if not stored:      # dealt as the buckets are, so that a task writes one file; stored rows lie in their buckets already
+            if "_part" in keys:
+                df = df.withColumn("_part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(self.parts)).cast("int"))
+            df = df.repartition(self.buckets, *keys)
+        dealt = df.select(*TABLES[table].names, *keys[1:])
+        if mode == "append":
+            dealt.write.mode("append").format("parquet").bucketBy(self.buckets, *keys).sortBy(*keys).saveAsTable(self._table(table, version))
+            return
+        name = self._name(table, version)
+        self.spark.sql(f"drop table if exists {name}")      # an external table: its files stay, and are replaced
+        (dealt.write.mode("overwrite").format("parquet").bucketBy(self.buckets, *keys).sortBy(*keys)
+         .option("path", self._path(table, version)).saveAsTable(name))
+
+    def _keep(self, table: str, doomed: DataFrame) -> DataFrame:
+        if table == "patients":
+            return super()._keep(table, doomed)
+        every = F.explode(F.sequence(F.lit(0), F.lit(self.parts - 1))).alias("_part")
+        return self._stored(table).join(doomed.select("patient_id", every), ["patient_id", "_part"], "left_anti")
+
+
 def cascade_delete(tables: dict[str, DataFrame], doomed: DataFrame, id_column: str = "patient_id") -> dict[str, DataFrame]:
     """The rows that survive deleting ``doomed`` ids from every table (K5).
 
