@@ -55,6 +55,27 @@ def test_ngram_groups(spark, workdir, monkeypatch):
     assert ngram_join.ngram_groups(docs.where("doc_id < 0")).count() == 0
 
 
+def test_rows_are_decided_by_their_texts(spark, workdir):
+    """Repeated ids, null ids and repeated rows: one row of each group stays, and no text without a partner goes."""
+    rng = random.Random(9)
+    text = lambda n=60: " ".join(f"w{rng.randrange(10_000)}" for _ in range(n))
+    a, c, d, e, f, g = (text() for _ in range(6))
+    rows = [(1, a), (2, a + " more"), (2, c), (2, d), (4, d), (None, e), (None, e + " end"), (None, f), (7, f), (8, g), (8, g), (8, g + " x"),
+            (9, None), (9, ""), (9, " "), (None, None), (10, "one"), (11, "one"), (12, "two"), (12, "two")]
+    frame = spark.createDataFrame([(*r, i, i, i) for i, r in enumerate(rows)], "doc_id long, text string, _x_n long, n int, id long")
+    frame.repartition(5).write.parquet(f"{workdir}/docs")
+    docs = spark.read.parquet(f"{workdir}/docs")
+    got = ngram_join.drop_near_copies(docs)
+    assert got.columns == docs.columns
+    kept = sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str)
+    null_e = [t for i, t in kept if i is None and t and t.startswith(e)]
+    eight = [t for i, t in kept if i == 8]
+    assert len(null_e) == 1 and len(eight) == 1
+    assert kept == sorted([(1, a), (2, c), (2, d), (None, null_e[0]), (7, f), (8, eight[0]), (9, None), (9, ""), (9, " "), (None, None), (10, "one"), (12, "two")], key=str)
+    groups = sorted(map(tuple, ngram_join.ngram_groups(docs).select("doc_id", "component_id").collect()), key=str)
+    assert groups == sorted([(1, 1), (2, 1), (2, 2), (2, 2), (4, 2), *[(None, None)] * 4, (7, 7), *[(8, 8)] * 3, *[(9, 9)] * 3, (10, 10), (11, 10), (12, 12), (12, 12)], key=str)
+
+
 def test_lists_of_documents_are_spread_over_parts(spark):
     docs = spark.range(60).selectExpr("id", "concat('text ', id) as text").repartition(30)
     lists = docs.mapInArrow(ngram_join._spread(5, 8), ngram_join._MAP).where("ids is not null").select("p").collect()

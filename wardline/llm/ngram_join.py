@@ -35,6 +35,8 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from wardline.llm.common import components, drop_table, materialise
 
@@ -81,6 +83,11 @@ _MAP_ARROW = pa.schema([("p", pa.int32()), ("chunk", pa.int64()), ("blob", pa.bi
                         ("ords", pa.list_(pa.int32())), ("sizes", pa.list_(pa.int32())), ("marks", pa.list_(pa.int64()))])
 
 
+def _identity(tokens: np.ndarray) -> np.ndarray:
+    """Two 64-bit numbers that name a set, together with its size."""
+    return np.array([np.bitwise_xor.reduce(tokens), _mix(tokens ^ _U(0xA0761D6478BD642F)).sum()] if len(tokens) else [0, 0], np.uint64)
+
+
 def _bitmap(tokens: np.ndarray) -> np.ndarray:
     """512 parity bits of a set; two sets differ in at least as many tokens as bits."""
     bits = np.bincount((tokens >> _U(7)).astype(np.int64) & 511, minlength=512) & 1
@@ -112,7 +119,7 @@ def _spread(width: int, bits: int):
         for batch in batches:
             for doc, text in zip(batch.column(0), batch.column(1)):
                 s = shingle_set(text.as_py(), width)
-                m = np.array([np.bitwise_xor.reduce(s), _mix(s ^ _U(0xA0761D6478BD642F)).sum()] if len(s) else [0, 0], np.uint64)
+                m = _identity(s)
                 key = (len(s), int(m[0]), int(m[1]))
                 if key not in seen:
                     seen[key] = len(sets)
@@ -202,9 +209,10 @@ def index_keys(tokens: np.ndarray, df: np.ndarray, n: int, similarity: float, ra
     return np.unique(np.concatenate(keys))
 
 
-_SETS = ("rep long, n int, h1 long, h2 long, ids array<long>, keys array<long>, tokens binary, "
+# rep: the number of a set, unique over chunks; first: the smallest id that has it.
+_SETS = ("rep long, first long, n int, h1 long, h2 long, ids array<long>, keys array<long>, tokens binary, "
          "hashes array<long>, bits array<long>")
-_SETS_ARROW = pa.schema([("rep", pa.int64()), ("n", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64()),
+_SETS_ARROW = pa.schema([("rep", pa.int64()), ("first", pa.int64()), ("n", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64()),
                          ("ids", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64())), ("tokens", pa.binary()),
                          ("hashes", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
 
@@ -231,9 +239,9 @@ def _gather(similarity: float, rare: int):
         for i, n in enumerate(sizes):
             t = tokens[cuts[i]:cuts[i + 1]]
             keys = index_keys(t, df[cuts[i]:cuts[i + 1]], n, similarity, rare)
-            rep = min((m for m in members[i] if m is not None), default=None)
-            row = (rep, n, int(marks[i, 0]), int(marks[i, 1]), members[i])
-            if len(keys) and rep is not None:
+            first = min((m for m in members[i] if m is not None), default=None)
+            row = (about["chunk"] << 16 | i, first, n, int(marks[i, 0]), int(marks[i, 1]), members[i])
+            if len(keys):
                 mins = [int(_mix(t ^ _U(s * 0x2545F4914F6CDD1D % (1 << 64))).min().view(np.int64)) for s in (1, 2, 3)]
                 out.append((*row, keys.view(np.int64), t.tobytes(), mins, marks[i, 2:]))
             else:
@@ -337,12 +345,21 @@ def ngram_groups(docs: DataFrame, similarity: float = 0.75, width: int = 5, rare
     n-gram; null, empty and blank texts have the empty set and link with
     nothing.  Documents link when their Jaccard similarity is ``similarity`` or
     more; component_id is the smallest id reachable, the own id without links.
-    Rows of null id have a null component and link nothing.  Rows that repeat an
-    id are returned each, and share the links of all texts of that id.  An
-    empty table gives no rows.  ``docs`` must be a deterministic input (files).
+    Rows are linked by their texts: a row of null id links like any other and
+    has a null component, and rows that repeat an id are documents of their
+    own, grouped each by its text.  An empty table gives no rows.  Ids are
+    whole numbers.  ``docs`` must be a deterministic input (files).
     ``similarity`` must be above 2/3: only then do sets of one or two n-grams
     link to equal sets alone, on which ``index_keys`` relies.
     """
+    found = _grouped_sets(docs, similarity, width, rare, few_sets, id_col, text_col)
+    found = found.select("n", "least", F.explode("ids").alias("doc_id"))
+    own = F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("least"))
+    return found.select("doc_id", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
+
+
+def _grouped_sets(docs: DataFrame, similarity: float, width: int, rare: int, few_sets: int, id_col: str, text_col: str) -> DataFrame:
+    """A row for each set of each chunk: ``first, n, h1, h2, ids``, its ``component`` and the ``least`` id of that."""
     if not 2 / 3 < similarity <= 1:
         raise ValueError(f"similarity must be above 2/3 and at most 1, not {similarity}")
     spark = docs.sparkSession
@@ -353,7 +370,7 @@ def ngram_groups(docs: DataFrame, similarity: float = 0.75, width: int = 5, rare
     counted = dealt.groupBy("p").applyInArrow(_count(bits), _MAP)
     sets = materialise(counted.groupBy("chunk").applyInArrow(_gather(similarity, rare), _SETS), "ngram-sets")
 
-    canon = sets.where("n > 0 and rep is not null").groupBy("h1", "h2", "n").agg(F.min("rep").alias("canon"))
+    canon = sets.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("rep").alias("canon"))
     canon = materialise(canon, "ngram-canon")
     active = sets.where("keys is not null").join(canon.select(F.col("canon").alias("rep")).distinct(), "rep", "left_semi")
     active = active.select("rep", "n", "keys", "tokens", "hashes", *[F.col("bits")[i].alias(f"b{i}") for i in range(8)])
@@ -406,13 +423,77 @@ def ngram_groups(docs: DataFrame, similarity: float = 0.75, width: int = 5, rare
 
     comp = components(links).withColumnRenamed("node", "canon")
     class_of = canon.join(comp, "canon", "left").select("h1", "h2", "n", F.coalesce("component", "canon").alias("component"))
-    found = sets.select("h1", "h2", "n", F.explode("ids").alias("doc_id")).join(class_of, ["h1", "h2", "n"], "left")
-    own = F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component"))
-    return found.select("doc_id", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
+    named = sets.select("first", "h1", "h2", "n", "ids").join(class_of, ["h1", "h2", "n"], "left")
+    named = materialise(named, "ngram-named")
+    # Written first, so that the sets of one large component can be split where they are joined to it.
+    least = materialise(named.where("n > 0").groupBy("component").agg(F.min("first").alias("least")), "ngram-least")
+    return named.join(least, "component", "left")
 
 
-def drop_near_copies(docs: DataFrame, similarity: float = 0.75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that are linked, over any number of steps, to a row of smaller id."""
-    groups = ngram_groups(docs, similarity, id_col=id_col, text_col=text_col)
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone_id")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["__gone_id"]), "left_anti")
+def _hash_rows(width: int, schema: pa.Schema, text_col: str):
+    """Rows with the size and the two numbers of their sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t.as_py(), width) for t in batch.column(batch.schema.get_field_index(text_col))]
+            names = np.array([_identity(s) for s in sets], np.uint64).reshape(-1, 2).view(np.int64)
+            more = [pa.array([len(s) for s in sets], pa.int32()), pa.array(names[:, 0]), pa.array(names[:, 1])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], schema=schema)
+
+    return run
+
+
+def drop_near_copies(docs: DataFrame, similarity: float = 0.75, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of texts that are linked, over any number of steps: the one of smallest id.
+
+    Rows are decided by their texts: of rows that repeat an id, each stays or
+    goes with its own group, and of rows that repeat id and set one stays.  Any
+    id is smaller than null; in a group of null ids alone one row stays.  Texts
+    without words are linked with nothing and stay.  Ids are whole numbers;
+    other columns may have any name.
+    """
+    sets = _grouped_sets(docs, similarity, width, 64, 16, id_col, text_col)
+    order = F.struct(F.col("first").isNull(), "first", "h1", "h2")
+    stays = sets.where("n > 0").groupBy("component").agg(F.min(order).alias("w"))
+    stays = materialise(stays.select("component", F.col("w.first").alias("win_id"), F.col("w.h1").alias("win_h1"), F.col("w.h2").alias("win_h2")), "ngram-stays")
+    wins = F.col("first").eqNullSafe(F.col("win_id")) & (F.col("h1") == F.col("win_h1")) & (F.col("h2") == F.col("win_h2"))
+    rows = sets.drop("least").join(stays, "component", "left")
+    rows = rows.select(F.explode("ids").alias("id"), "h1", "h2", "n", "win_id", (wins | (F.col("n") == 0)).alias("wins"))
+    rows = rows.withColumn("wins", F.col("wins") & ((F.col("n") == 0) | F.col("id").eqNullSafe(F.col("win_id"))))
+    rows = materialise(rows.drop("win_id"), "ngram-rows")
+    # An id that comes once is decided by itself; rows of the others, and of null ids, are hashed again.
+    again = materialise(rows.where("id is not null").groupBy("id").agg(F.count("*").alias("m")).where("m > 1").select("id"), "ngram-again")
+    nulls = rows.where("id is null").limit(1).count()
+    several = nulls or again.limit(1).count()
+    prefix = _free_prefix(docs)
+    key = F.col(_quoted(id_col)).cast("long")
+    lost = rows.where("not wins").join(again, "id", "left_anti").select(F.col("id").alias(f"{prefix}gone")).where(F.col(f"{prefix}gone").isNotNull())
+    if not several:
+        return docs.join(lost, key == F.col(f"{prefix}gone"), "left_anti")
+    repeated = again.select(F.col("id").alias(f"{prefix}again"))
+    once = docs.where(key.isNotNull()).join(repeated, key == F.col(f"{prefix}again"), "left_anti").join(lost, key == F.col(f"{prefix}gone"), "left_anti")
+    more = docs.where(key.isNotNull()).join(repeated, key == F.col(f"{prefix}again"), "left_semi").unionByName(docs.where(key.isNull()))
+    names = [f"{prefix}{x}" for x in ("n", "h1", "h2")]
+    schema = more.schema
+    for name, kind in zip(names, (T.IntegerType(), T.LongType(), T.LongType())):
+        schema = T.StructType([*schema.fields, T.StructField(name, kind)])
+    hashed = more.mapInArrow(_hash_rows(width, to_arrow_schema(schema), text_col), schema)
+    blank = hashed.where(F.col(names[0]) == 0)
+    worded = hashed.where(F.col(names[0]) > 0).dropDuplicates([id_col, *names])
+    kept = rows.where("wins and n > 0").select(F.col("id").alias(f"{prefix}id"), *[F.col(x).alias(f"{y}w") for x, y in zip(("n", "h1", "h2"), names)]).distinct()
+    same = key.eqNullSafe(F.col(f"{prefix}id"))
+    for name in names:
+        same = same & (F.col(name) == F.col(f"{name}w"))
+    return once.unionByName(worded.join(kept, same, "left_semi").unionByName(blank).drop(*names))
+
+
+def _free_prefix(docs: DataFrame) -> str:
+    """A prefix that none of the columns has."""
+    prefix = "_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    return prefix + "x_"
+
+
+def _quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
