@@ -7,11 +7,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wardline.llm import grid_join, ngram_join
+from wardline.llm import common, grid_join, ngram_join
 from wardline.llm.common import components
 
 
-def test_components(spark):
+@pytest.mark.parametrize("plain", [0, 20_000])
+def test_components(spark, monkeypatch, plain):
+    monkeypatch.setattr(common, "PLAIN_EDGES", plain)
     links = [(1, 2), (2, 3), (3, 3), (9, 8), (8, 7), (2, 1), (20, 30), (30, 10)] + [(100 + i, 101 + i) for i in range(40)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     want = brute.closure({x for p in links for x in p}, links)

@@ -55,6 +55,9 @@ def drop_table(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+PLAIN_EDGES = 20_000  # edges of a step from which its sums are written before they are joined
+
+
 def components(links: DataFrame, rounds: int = 50) -> DataFrame:
     """Connected components of ``links(a, b)`` as ``(node, component)``, component
     being the smallest node reachable.
@@ -63,27 +66,36 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
     to the smallest of them, so that each step sends a node's edges to one
     neighbour only, and a group of n copies needs about log n steps.  Each step
     is written to the shared folder; the fixed point is found by comparing an
-    order-free digest of the edges, observed while they are written.  Self links and repeated links are ignored,
-    nulls must not occur; no links give no rows.
+    order-free digest of the edges, observed while they are written.  A step's
+    smallest neighbours are written, too, where there are more than
+    ``PLAIN_EDGES`` edges: joined as a table, adaptive execution splits the
+    edges of a hub over tasks, which it does not beside an aggregate.  Self
+    links and repeated links are ignored, nulls must not occur; no links give
+    no rows.
     """
-    edges = materialise(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                        .where("u <> v").distinct(), "edges")
+    def written(edges: DataFrame) -> tuple[DataFrame, dict]:
+        seen = Observation()
+        edges = edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum"))
+        return materialise(edges, "edges"), seen.get
+
+    edges, digest = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     before = None
     for _ in range(rounds):
+        aside = (lambda df: materialise(df, "least")) if digest["n"] > PLAIN_EDGES else (lambda df: df)
         # Large star: neighbours above u go to the smallest neighbour of u.
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = aside(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = aside(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
         # Small star: u and its neighbours below go to the smallest of them.
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = aside(large.groupBy("u").agg(F.min("v").alias("m")))
         small = (large.join(low, "u").select(F.explode(F.array(
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
             .select("e.u", "e.v").where("u <> v").distinct())
-        seen = Observation()
-        after = materialise(small.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")), "edges")
-        digest = seen.get
-        drop_table(edges)
+        steps = [least, large, low] if digest["n"] > PLAIN_EDGES else []
+        after, digest = written(small)
+        for used in (edges, *steps):
+            drop_table(used)
         edges = after
         if digest == before:
             break

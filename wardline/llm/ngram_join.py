@@ -311,9 +311,11 @@ def _block_links(many: DataFrame, active: DataFrame, similarity: float) -> DataF
     its largest group, which need no check among themselves, get blocks of their
     own.  Pairs of blocks whose anchors share a key are compared as matrices.
     """
-    at = many.groupBy("rep", "comp").agg(F.min("leader").alias("anchor"))
+    # Sums are written before they are joined, so that the sets of one anchor or key can be split over tasks.
+    at = materialise(many.groupBy("rep", "comp").agg(F.min("leader").alias("anchor")), "ngram-anchors")
     main = (at.groupBy("anchor", "comp").agg(F.count("*").alias("m")).groupBy("anchor")
             .agg(F.max(F.struct("m", "comp")).alias("top")).select("anchor", F.col("top.comp").alias("top")))
+    main = materialise(main, "ngram-main")
     at = at.join(main, "anchor").withColumn("main", F.col("comp") == F.col("top")).drop("top", "comp")
     blocks = at.groupBy("anchor", "main").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("slots"))
     blocks = materialise(blocks, "ngram-blocks")
@@ -397,6 +399,7 @@ def _grouped_sets(docs: DataFrame, similarity: float, width: int, rare: int, few
     # Round 1: sets that share a min-hash, each with the smallest of them.
     hashed = active.select("rep", F.explode("hashes").alias("key"))
     first = hashed.groupBy("key").agg(F.min("rep").alias("b"), F.count("*").alias("m")).where("m > 1").drop("m")
+    first = materialise(first, "ngram-first")
     links = links_of(hashed.join(first, "key").select(F.col("rep").alias("a"), "b"))
 
     # Round 2: of each key with sets of several groups, every set with the smallest one.
@@ -405,10 +408,10 @@ def _grouped_sets(docs: DataFrame, similarity: float, width: int, rare: int, few
         if "keys" in keyed.columns:
             keyed = keyed.select("rep", "comp", F.explode("keys").alias("key"))
         split = keyed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-        return materialise(keyed.join(split, "key", "left_semi"), "ngram-live")
+        return materialise(keyed.join(materialise(split, "ngram-split"), "key", "left_semi"), "ngram-live")
 
     open_keys = live(links, active.select("rep", "keys"))
-    leader = open_keys.groupBy("key").agg(F.min(F.struct("comp", "rep")).alias("first"))
+    leader = materialise(open_keys.groupBy("key").agg(F.min(F.struct("comp", "rep")).alias("first")), "ngram-leader")
     more = links_of(open_keys.join(leader, "key").where("comp <> first.comp").select(F.col("rep").alias("a"), F.col("first.rep").alias("b")))
     links = links.unionByName(more)
 
