@@ -82,6 +82,23 @@ def test_mix(spark):
     assert mix(docs.limit(0)).count() == 0
 
 
+def test_ties_and_empty_texts(spark):
+    """Rows of one id are taken alike in any input order; an empty text is never taken more often than twice."""
+    rng = random.Random(8)
+    rows = [(1, " ".join(["w"] * rng.randint(1, 30)) + f" {i}", "a") for i in range(200)] + [(i, "x " * 50, "b") for i in range(40)]
+    rows += [(1000 + i, rng.choice(["", None, " "]), "a") for i in range(40)] + [(2000 + i, None, "c") for i in range(5)] + [(3000, "", "tiny"), (3001, "one word", "tiny")]
+    taken = []
+    for i in range(2):
+        rng.shuffle(rows)
+        docs = docs_of(spark, rows).repartition(3 + i)
+        got = mix(docs, seed=i // 2 + 1)
+        assert got.agg(F.max("copies")).first()[0] <= 2
+        taken.append(sorted(map(str, got.collect())))
+    assert taken[0] == taken[1]
+    for seed in (1, 2, 3, 4):
+        assert mix(docs_of(spark, [(i, None if i % 2 else "word " * 9, "s") for i in range(30)] + [(99, "many words " * 400, "t")]), seed=seed).agg(F.max("copies")).first()[0] <= 2
+
+
 def test_better_rows_are_taken_more_often(spark):
     rows = [(i, ("good words here now " if i % 2 else "bad!! ##words$$ h&&ere **now ") * 5, f"s{i % 3}") for i in range(900)]
     got = {r["doc_id"]: r["copies"] for r in mix(docs_of(spark, rows)).collect()}

@@ -69,14 +69,15 @@ def mix(docs: DataFrame, weights=(5.0, 2.0, 1.0), share: float = 1.5, cap: float
 
     Keys depend on the row's id and ``seed`` alone, so reruns agree.  Null and
     empty texts have size 0 and take 0 words; a null source is a source; rows
-    that repeat an id draw the same key and are counted each; an empty table
-    gives no rows.  ``quality`` must be positive (default: surface_quality).
+    that repeat an id draw the same key, follow each other by a hash of their
+    text and are counted each; no row is taken more than ``cap`` times; an empty
+    table gives no rows.  ``quality`` must be positive (default: surface_quality).
     """
     text = F.col(text_col)
     key = -F.log(uniform(F.col(id_col), seed)) / (quality if quality is not None else surface_quality(text))
     place = key / (1 + key)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                       word_count(text).alias("size"), place.alias("place"))
+                       word_count(text).alias("size"), place.alias("place"), F.md5(F.coalesce(text, F.lit("")).cast("binary")).alias("tie"))
     bin1 = F.least(F.floor(F.col("place") * BINS), F.lit(BINS - 1))
     rows = rows.withColumn("bin1", bin1)
     rows = materialise(rows.withColumn("bin2", F.floor((F.col("place") * BINS - F.col("bin1")) * BINS)), "mix-keys")
@@ -107,10 +108,11 @@ def mix(docs: DataFrame, weights=(5.0, 2.0, 1.0), share: float = 1.5, cap: float
     at_cut = (F.col("bin1") == F.col("cross1")) & (F.col("bin2") == F.col("cross2"))
     before = (F.col("bin1") < F.col("cross1")) | ((F.col("bin1") == F.col("cross1")) & (F.col("bin2") < F.col("cross2")))
     # Only the rows around the budget are sorted: one bin of BINS * BINS of a source.
-    start = F.col("base") + F.sum("size").over(W.partitionBy("source").orderBy("place", "doc_id")
+    start = F.col("base") + F.sum("size").over(W.partitionBy("source").orderBy("place", "doc_id", "tie")
                                                .rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("size")
-    near = rows.where(at_cut).withColumn("more", F.when(start + F.col("size") / 2 <= F.col("rest"), 1).otherwise(0))
-    far = rows.where(~F.coalesce(at_cut, F.lit(False))).withColumn("more", F.when(before, 1).otherwise(0))
+    some = F.col("rest") > 0   # nothing is left to take where the target is whole epochs
+    near = rows.where(at_cut).withColumn("more", F.when(some & (start + F.col("size") / 2 <= F.col("rest")), 1).otherwise(0))
+    far = rows.where(~F.coalesce(at_cut, F.lit(False))).withColumn("more", F.when(some & before, 1).otherwise(0))
     copies = (F.col("epochs") + F.col("more")).cast("long")
     return near.unionByName(far).select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
                                         (copies * F.col("size")).alias("taken"))

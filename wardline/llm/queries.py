@@ -174,7 +174,7 @@ SQL = {
             select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
                    len(regexp_extract_all(coalesce(text, ''), '[!#$%&*|]')) as marks,
                    (('0x' || substr(md5('17:' || coalesce(doc_id::varchar, 'null')), 1, 13))::bigint + 0.5)
-                       / 4503599627370496.0::double as u
+                       / 4503599627370496.0::double as u, md5(coalesce(text, '')) as tie
             from documents),
         k as (select *, -ln(u) / greatest(0.05::double, 1 - 5.0::double * marks / greatest(1, size)) as key from d),
         s as (select source, sum(size)::bigint as source_size,
@@ -189,11 +189,11 @@ SQL = {
         t as (select source, source_size, coalesce(least(most, w.level * weight), most) as target from l left join w on true),
         p as (select *, case when source_size > 0 then floor(target / source_size) else 0 end as epochs from t),
         o as (select k.doc_id, k.size, p.source_size, p.target, p.epochs, p.target - p.epochs * p.source_size as rest,
-                     sum(k.size) over (partition by k.source order by k.key, k.doc_id
+                     sum(k.size) over (partition by k.source order by k.key, k.doc_id, k.tie
                                        rows between unbounded preceding and current row) - k.size as start
               from k join p on k.source is not distinct from p.source)
         select doc_id, size, source_size, target,
-               (epochs + case when start + size / 2.0::double <= rest then 1 else 0 end)::bigint as copies,
-               ((epochs + case when start + size / 2.0::double <= rest then 1 else 0 end) * size)::bigint as taken
+               (epochs + case when rest > 0 and start + size / 2.0::double <= rest then 1 else 0 end)::bigint as copies,
+               ((epochs + case when rest > 0 and start + size / 2.0::double <= rest then 1 else 0 end) * size)::bigint as taken
         from o""",
 }
