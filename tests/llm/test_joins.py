@@ -144,3 +144,16 @@ def test_near_vectors(spark, monkeypatch):
     got = grid_join.near_vectors(df).collect()
     assert sorted(((r[0] if r[0] is not None else -1), r[1], r[2] if r[2] is not None else -1, r[3]) for r in got) == want
     assert grid_join.near_vectors(df.limit(0)).count() == 0
+
+
+def test_near_vectors_of_repeated_ids_text_labels_and_doubles(spark):
+    big = 1e200                                                      # beyond single precision
+    rows = [(1, [1.0, 0.0], "x"), (1, [0.0, 1.0], "x"), (2, [1.0, 0.01], "x"), (3, [0.02, 1.0], "x"), (4, [1.0, 0.02], "x"), (5, [1.0, 0.0], "y"),
+            (6, [big, 0.0], "z"), (7, [big, big * 1e-3], "z"), (8, [1.0, 1.0], None), (9, [3.0, 4.0], "t"), (10, [3.0 + 1e-12, 4.0], "t")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = sorted(tuple(r) for r in grid_join.near_vectors(df).collect())
+    assert got == [(1, 1, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 1, 1, False), (4, 2, 1, False), (5, 0, 5, True), (6, 1, 6, True), (7, 1, 6, False),
+                   (8, 0, 8, True), (9, 1, 9, True), (10, 1, 9, False)]
+    edge = [(1, [1.0, 0.0], 1), (2, [0.93, math.sqrt(1 - 0.93 ** 2) * (1 + 1e-12)], 1), (3, [1.0, 0.0], 2), (4, [0.93, math.sqrt(1 - 0.93 ** 2) * (1 - 1e-12)], 2)]
+    links = {r[0]: r[1] for r in grid_join.near_vectors(spark.createDataFrame(edge, "vec_id long, embedding array<double>, label long")).collect()}
+    assert links == {1: 0, 2: 0, 3: 1, 4: 1}                         # told apart in double precision

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardline.llm.common import components, materialise
 
@@ -74,33 +75,38 @@ def _project(axes: dict[int, np.ndarray]):
     return run
 
 
-_INTERVALS = ("iv long, label int, dim int, ids array<long>, copies array<long>, vectors array<float>, "
-              "lo array<double>, hi array<double>")
-_INTERVALS_ARROW = pa.schema([("iv", pa.int64()), ("label", pa.int32()), ("dim", pa.int32()), ("ids", pa.list_(pa.int64())),
-                              ("copies", pa.list_(pa.int64())), ("vectors", pa.list_(pa.float32())),
-                              ("lo", pa.list_(pa.float64())), ("hi", pa.list_(pa.float64()))])
+def _intervals(number: str) -> tuple[str, pa.Schema]:
+    """The schema of intervals whose vectors hold numbers of type ``number``, float or double."""
+    schema = pa.schema([("iv", pa.int64()), ("label", pa.int64()), ("dim", pa.int32()), ("ids", pa.list_(pa.int64())),
+                        ("copies", pa.list_(pa.int64())), ("vectors", pa.list_(pa.float32() if number == "float" else pa.float64())),
+                        ("lo", pa.list_(pa.float64())), ("hi", pa.list_(pa.float64()))])
+    return f"iv long, label long, dim int, ids array<long>, copies array<long>, vectors array<{number}>, lo array<double>, hi array<double>", schema
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(schema: pa.Schema):
     """Cut the sorted sequence of a task into intervals of one label."""
-    made, held, key = TaskContext.get().partitionId() << 32, [], None
 
-    def flush():
-        ids, copies, vectors, places = zip(*held)
-        place = np.array(places)
-        row = [made, key[0], key[1], list(ids), list(copies), np.concatenate(vectors), place.min(axis=0).tolist(), place.max(axis=0).tolist()]
-        return pa.RecordBatch.from_arrays([pa.array([v], t.type) for v, t in zip(row, _INTERVALS_ARROW)], schema=_INTERVALS_ARROW)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made, held, key = TaskContext.get().partitionId() << 32, [], None
 
-    for batch in batches:
-        cols = [batch.column(c).to_pylist() for c in ("label", "dim", "rep", "copies")]
-        for i, (label, dim, rep, copies) in enumerate(zip(*cols)):
-            if held and (key != (label, dim) or len(held) >= max(BLOCK, INTERVAL // dim)):
-                yield flush()
-                made, held = made + 1, []
-            key = (label, dim)
-            held.append((rep, copies, np.asarray(batch.column("embedding")[i].values), batch.column("place")[i].as_py()))
-    if held:
-        yield flush()
+        def flush():
+            ids, copies, vectors, places = zip(*held)
+            place = np.array(places)
+            row = [made, key[0], key[1], list(ids), list(copies), np.concatenate(vectors), place.min(axis=0).tolist(), place.max(axis=0).tolist()]
+            return pa.RecordBatch.from_arrays([pa.array([v], t.type) for v, t in zip(row, schema)], schema=schema)
+
+        for batch in batches:
+            cols = [batch.column(c).to_pylist() for c in ("label", "dim", "rep", "copies")]
+            for i, (label, dim, rep, copies) in enumerate(zip(*cols)):
+                if held and (key != (label, dim) or len(held) >= max(BLOCK, INTERVAL // dim)):
+                    yield flush()
+                    made, held = made + 1, []
+                key = (label, dim)
+                held.append((rep, copies, np.asarray(batch.column("embedding")[i].values), batch.column("place")[i].as_py()))
+        if held:
+            yield flush()
+
+    return run
 
 
 def _compare(cosine: float, axes: dict[int, np.ndarray]):
@@ -176,23 +182,31 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.93, id_col: str = "vec_id
     components link with nothing.  n_links counts the other rows linked
     directly, component_id is the smallest id reachable, kept marks the rows
     whose id that is.  Equal vectors of a label are compared once and counted as
-    often as they occur; rows that repeat an id are rows of their own.  A null
-    id has a null component, and is not kept.  An empty table gives no rows.
+    often as they occur; rows that repeat an id are rows of their own, each
+    with the links of its own vector.  A null id has a null component, and is
+    not kept.  An empty table gives no rows.  Components keep their type, float
+    or double; labels may be of any type, those that are no whole numbers are
+    compared by a 64-bit hash.  Ids are whole numbers.
     """
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("int").alias("label"),
-                          F.col(vector_col).cast("array<float>").alias("embedding"))
+    double = isinstance(vectors.schema[vector_col].dataType.elementType, (T.DoubleType, T.DecimalType, T.IntegralType))
+    number = "double" if double else "float"
+    label = F.col(label_col).cast("long") if isinstance(vectors.schema[label_col].dataType, T.IntegralType) else F.xxhash64(label_col)
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.when(F.col(label_col).isNotNull(), label).alias("label"),
+                          F.col(vector_col).cast(f"array<{number}>").alias("embedding"))
     sound = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     usable = F.coalesce(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & sound
                         & F.exists("embedding", lambda v: v != 0), F.lit(False))
     distinct = (rows.where(usable).groupBy("label", "embedding")
-                .agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")).withColumn("dim", F.size("embedding")))
-    distinct = materialise(distinct, "grid-vectors")
+                .agg(F.min("vec_id").alias("first"), F.count("*").alias("copies")).withColumn("dim", F.size("embedding")))
+    # A number for each vector of a label: ids may repeat over them.
+    distinct = materialise(distinct.withColumn("rep", F.monotonically_increasing_id()), "grid-vectors")
     axes = principal_dimensions(distinct)
     width = math.sqrt(2 - 2 * cosine)
-    placed = distinct.mapInArrow(_project(axes), "label int, embedding array<float>, rep long, copies long, dim int, place array<double>")
+    placed = distinct.mapInArrow(_project(axes), f"label long, embedding array<{number}>, first long, copies long, dim int, rep long, place array<double>")
     cells = [F.floor(F.col("place")[i] / width) for i in range(LEADING)]
     order = [F.col("label"), F.col("dim"), *cells, F.col("rep")]
-    intervals = materialise(placed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_cut, _INTERVALS), "grid-intervals")
+    schema, arrow_schema = _intervals(number)
+    intervals = materialise(placed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_cut(arrow_schema), schema), "grid-intervals")
 
     # Pairs of intervals: they share a cell of the first dimension or have neighbouring ones, and their boxes are near.
     first = lambda side: F.floor(F.col(side)[0] / width)
@@ -211,11 +225,12 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.93, id_col: str = "vec_id
     found = materialise(full.mapInArrow(_compare(cosine, axes), "id long, links long, root long"), "grid-links")
 
     comp = components(found.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")))
-    per = (distinct.join(found.groupBy(F.col("id").alias("rep")).agg(F.sum("links").alias("links")), "rep", "left")
-           .join(comp.withColumnRenamed("node", "rep"), "rep", "left")
-           .select(F.col("label").alias("l"), F.col("embedding").alias("e"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n"),
-                   F.coalesce("component", "rep").alias("component")))
+    members = materialise(distinct.join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("class", F.coalesce("component", "rep")), "grid-members")
+    least = materialise(members.groupBy("class").agg(F.min("first").alias("component_id")), "grid-least")
+    counts = materialise(found.groupBy(F.col("id").alias("rep")).agg(F.sum("links").alias("links")), "grid-counts")
+    per = (members.join(counts, "rep", "left").join(least, "class")
+           .select(F.col("label").alias("l"), F.col("embedding").alias("e"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n"), "component_id"))
     rows = rows.withColumn("usable", usable)
     own = rows.join(per, F.col("usable") & (rows["label"] == per["l"]) & (rows["embedding"] == per["e"]), "left")
-    out = own.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
+    out = own.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
