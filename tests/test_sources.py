@@ -173,3 +173,25 @@ def test_xlsx_duplicate_headers(spark, workdir):
     srcs = load_directory(spark, workdir, "id")
     assert srcs.sources[0].columns == ["x1", "x2"]
     assert [(r["x1"], r["x2"]) for r in srcs.sources[0].df.collect()] == [("a", "b")]
+
+
+def test_headers_are_partial_reads_without_a_job(spark, workdir):
+    from wardline.sources.files import discover, read_csv_headers
+
+    bodies = {"a.csv": "pid,x\n" + "1,2\n" * 50_000, "b.csv": "﻿pid,x\r\n1,2\r\n", "c.csv": "\n \n pid ,\"y, z\"\n1,2\n", "d.csv": "pid,x", "e.csv": "pid,\"two\nlines\"\n1,2\n",
+              "f é.csv": "pid,x\r1,2\r"}
+    for name, body in bodies.items():
+        with open(os.path.join(workdir, name), "w", newline="", encoding="utf-8") as f:
+            f.write(body)
+    files = discover(spark, workdir)
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        plain = [f for f in files if f.name not in ("c.csv", "e.csv")]
+        headers = read_csv_headers(spark, plain)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("headers"))
+    finally:
+        spark.sparkContext.setJobGroup("tests", "tests")
+    assert all(h == ["pid", "x"] for h in headers.values()) and len(headers) == 4
+    assert jobs <= 2                      # Spark parses the one distinct line; it reads no file
+    assert read_csv_headers(spark, files)["e.csv"] == ["pid", "two\nlines"]
+    assert read_csv_headers(spark, files)["c.csv"] == [" pid ", "y, z"]

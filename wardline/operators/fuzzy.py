@@ -16,21 +16,27 @@ shuffle on hashed keys, and nothing is broadcast.
 
 Dictionary growth (Z3) is order dependent: a name becomes a key when no
 earlier key lies within t.  That is the lexicographically-first maximal
-independent set of the similarity graph, computed in rounds: a name is
-rejected once an earlier neighbour is a key, and becomes a key once every
-earlier neighbour is rejected (Blelloch, Fineman, Shun, SPAA 2012).  Each
+independent set of the similarity graph, component by component.  Components of
+at most ``LOCAL_EDGES`` edges are dealt to tasks, which follow the sequential
+rule over the components they get.  In larger ones it is computed in rounds: a
+name is rejected once an earlier neighbour is a key, and becomes a key once
+every earlier neighbour is rejected (Blelloch, Fineman, Shun, SPAA 2012).  Each
 round is a join of the edge list with the state; lineage is cut with a
 reliable checkpoint in the session's checkpoint folder.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions.refs import ref
+from wardline.operators.connect import connected_components
 from wardline.session import checkpoint_dir
 
+LOCAL_EDGES = 100_000  # similar pairs of a component that one task settles
+
 
 def _segments(names: DataFrame, t: int) -> DataFrame:
     """(name, L, seg, text): the t+1 even segments of each name."""
@@ -124,7 +130,7 @@ def _order_key(prefix: str):
 
 def dictionary_rounds(names: DataFrame, threshold: int, existing: DataFrame | None = None,
                       order_col: str | None = None, name_col: str = "name",
-                      checkpoint_every: int = 1, max_rounds: int | None = None) -> DataFrame:
+                      checkpoint_every: int = 1, max_rounds: int | None = None, local_edges: int = LOCAL_EDGES) -> DataFrame:
     """Grow a dictionary from ``names`` in order (Z3); returns the decision per name.
 
     Order: existing keys first, then ``order_col`` (if given), then the name.
@@ -135,7 +141,8 @@ def dictionary_rounds(names: DataFrame, threshold: int, existing: DataFrame | No
     spark = names.sparkSession
     checkpoint_dir(spark)
     t = int(threshold)
-    order = ref(order_col).cast("long") if order_col else F.lit(0).cast("long")
+    # A null position comes first, as the least one does.
+    order = F.coalesce(ref(order_col).cast("long"), F.lit(-(1 << 63))) if order_col else F.lit(0).cast("long")
     new = names.select(ref(name_col).cast("string").alias("name"), order.alias("ord"), F.lit(1).alias("prio"))
     nodes = new.where(F.col("name").isNotNull())
     if existing is not None:
@@ -152,16 +159,23 @@ def dictionary_rounds(names: DataFrame, threshold: int, existing: DataFrame | No
     b = nodes.select(F.col("name").alias("name_b"), F.col("prio").alias("name_b_prio"), F.col("ord").alias("name_b_ord"))
     pairs = pairs.join(a, "name_a").join(b, "name_b")
     a_first = _order_key("name_a") < _order_key("name_b")
-    edges = pairs.select(F.when(a_first, F.col("name_a")).otherwise(F.col("name_b")).alias("u"),
-                         F.when(a_first, F.col("name_b")).otherwise(F.col("name_a")).alias("v"))
-    edges = edges.checkpoint()
+    ends = [F.struct(F.col(f"name_{x}_prio").alias("prio"), F.col(f"name_{x}_ord").alias("ord"), F.col(f"name_{x}").alias("name")) for x in "ab"]
+    edges = pairs.select(F.when(a_first, ends[0]).otherwise(ends[1]).alias("first"), F.when(a_first, ends[1]).otherwise(ends[0]).alias("second"))
+    edges = edges.select(*[F.col(f"{end}.{c}").alias(f"{x}{c}") for end, x in (("first", "u"), ("second", "v")) for c in ("name", "prio", "ord")])
+    edges = edges.withColumnsRenamed({"uname": "u", "vname": "v"}).checkpoint()
 
-    # state: K = key, R = rejected, U = undecided.  Existing keys are keys.
-    state = nodes.select("name", "prio", F.when(F.col("prio") == 0, F.lit("K")).otherwise(F.lit("U")).alias("state"))
+    settled = _settled(edges, local_edges)
+    alone = F.when(F.col("prio") == 0, F.lit("K"))                # existing keys are keys
+    state = (nodes.join(settled.withColumnRenamed("state", "local"), "name", "left")
+             .select("name", "prio", alone.when(F.col("large"), F.lit("U")).otherwise(F.coalesce("local", F.lit("K"))).alias("state")).checkpoint())
+    still_open = state.where(F.col("state") == "U").limit(1).count()
+    # state: K = key, R = rejected, U = undecided, which only names of large components are.
+    large = edges.join(state.where(F.col("state") == "U").select(F.col("name").alias("v")), "v", "left_semi") if still_open else None
+    large = large.select("u", "v").checkpoint() if still_open else None
     rounds = 0
-    while True:
+    while still_open:
         st_u = state.select(F.col("name").alias("u"), F.col("state").alias("su"))
-        seen = (edges.join(st_u, "u")
+        seen = (large.join(st_u, "u")
                 .groupBy(F.col("v").alias("name"))
                 .agg(F.max((F.col("su") == "K").cast("int")).alias("any_key"),
                      F.max((F.col("su") == "U").cast("int")).alias("any_open")))
@@ -172,12 +186,9 @@ def dictionary_rounds(names: DataFrame, threshold: int, existing: DataFrame | No
                        .when(F.coalesce(F.col("any_open"), F.lit(0)) == 0, F.lit("K"))
                        .otherwise(F.lit("U")).alias("state")))
         rounds += 1
-        nxt = nxt.checkpoint() if rounds % checkpoint_every == 0 else nxt
-        state = nxt
-        open_left = state.where(F.col("state") == "U").limit(1).count()
-        if open_left == 0:
-            break
-        if max_rounds is not None and rounds >= max_rounds:
+        state = nxt.checkpoint() if rounds % checkpoint_every == 0 else nxt
+        still_open = state.where(F.col("state") == "U").limit(1).count()
+        if still_open and max_rounds is not None and rounds >= max_rounds:
             raise RuntimeError(f"dictionary growth did not settle in {max_rounds} rounds")
 
     keys = state.where(F.col("state") == "K").select(F.col("name").alias("u"))
@@ -193,6 +204,38 @@ def dictionary_rounds(names: DataFrame, threshold: int, existing: DataFrame | No
                     (F.col("prio") == 0).alias("is_existing")))
 
 
+def _follow(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The sequential rule over whole components: a name is a key unless an earlier neighbour is one."""
+    before: dict = {}
+    order: dict = {}
+    for u, up, uo, v, vp, vo in zip(*(pdf[c] for c in ("u", "uprio", "uord", "v", "vprio", "vord"))):
+        order[u], order[v] = (up, uo, u), (vp, vo, v)
+        before.setdefault(v, []).append(u)
+    keys = set()
+    for name in sorted(order, key=order.get):
+        if order[name][0] == 0 or not any(u in keys for u in before.get(name, ())):
+            keys.add(name)
+    return pd.DataFrame([(n, "K" if n in keys else "R") for n in order], columns=["name", "state"])
+
+
+def _settled(edges: DataFrame, local_edges: int) -> DataFrame:
+    """``name, state, large`` of every name with a similar one: K or R in small components, null where ``large``.
+
+    Small components are dealt to groups of about ``local_edges`` edges; names
+    compare by code points there, as Spark compares them.
+    """
+    comp = connected_components(edges, "u", "v").checkpoint()
+    edges = edges.join(comp.withColumnRenamed("node", "u"), "u")
+    sizes = edges.groupBy("component").agg(F.count(F.lit(1)).alias("m")).checkpoint()
+    small = sizes.where(F.col("m") <= local_edges)
+    groups = int(small.agg(F.ceil(F.sum("m") / max(1, local_edges))).first()[0] or 1)
+    dealt = edges.join(small.select("component"), "component", "left_semi").withColumn("deal", F.pmod(F.xxhash64("component"), F.lit(groups)))
+    followed = dealt.drop("component").groupBy("deal").applyInPandas(_follow, "name string, state string")
+    big = comp.join(sizes.where(F.col("m") > local_edges).select("component"), "component", "left_semi")
+    return followed.select("name", "state", F.lit(False).alias("large")).unionByName(
+        big.select(F.col("node").alias("name"), F.lit(None).cast("string").alias("state"), F.lit(True).alias("large"))).checkpoint()
+
+
 def resolve_names(names: DataFrame, threshold: int, existing: DataFrame | None = None,
                   conflicts: str = "merge", policy: str = "tabular", name_col: str = "name",
                   order_col: str | None = None) -> DataFrame:

@@ -11,10 +11,9 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Collection
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from urllib.parse import unquote
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,21 +83,25 @@ def read_csv_header(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("header", True).option("multiLine", True).csv(glob_safe(path)).columns
 
 
+HEADER_BYTES = 1 << 20  # a first line that is longer is left to the CSV reader
+HEADER_THREADS = 16
+
+
 def read_csv_headers(spark: SparkSession, files: list[SourceFile]) -> dict[str, list[str]]:
-    """Headers of many CSV files in one job: first lines are read as text, then parsed by the CSV reader.
+    """Headers of many CSV files: a partial read of each through the Hadoop file system, no Spark job over them.
 
-    A header whose first line has an open quote goes on in the next line; it is read by itself.
+    The driver reads first lines on a few threads, then has Spark's CSV reader
+    parse each distinct one.  A header whose first line has an open quote goes
+    on in the next line; it is read by itself, as is one of over
+    ``HEADER_BYTES`` bytes.
     """
     if not files:
         return {}
-    first = (spark.read.option("wholetext", False).text([glob_safe(f.path) for f in files])
-             .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"))
-             .where("block = 0").mapInPandas(_first_lines, "path string, line string").collect())
-    lines = {r["path"]: r["line"] for r in first}
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        lines = list(pool.map(lambda f: _first_line(spark, f.path), files))
     headers = {}
     parsed: dict[str, list[str]] = {}
-    for f in files:
-        line = next((v for p, v in lines.items() if unquote(p).rpartition("/")[2] == f.name), None)
+    for f, line in zip(files, lines):
         if line is None or line.count('"') % 2:
             headers[f.name] = read_csv_header(spark, f.path)
             continue
@@ -108,14 +111,22 @@ def read_csv_headers(spark: SparkSession, files: list[SourceFile]) -> dict[str,
     return headers
 
 
-def _first_lines(batches):
-    """The first line that is not blank of each file of a task; lines of a file come in order."""
-    seen = set()
-    for pdf in batches:
-        for path, line in zip(pdf["path"], pdf["value"]):
-            if path not in seen and line.strip():
-                seen.add(path)
-                yield pd.DataFrame({"path": [path], "line": [line.removeprefix("\ufeff")]})
+def _first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a file that is not blank; None without one, or where it is too long."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(conf).open(where)
+    try:
+        reader, text = jvm.org.apache.hadoop.util.LineReader(stream, conf), jvm.org.apache.hadoop.io.Text()
+        while True:
+            read = reader.readLine(text, HEADER_BYTES, HEADER_BYTES)
+            line = text.toString().removeprefix("\ufeff")
+            if read == 0 or text.getLength() >= HEADER_BYTES:
+                return None
+            if line.strip():
+                return line
+    finally:
+        stream.close()
 
 
 def check_id_column(headers: dict[str, list[str]], id_column: str) -> str:
