@@ -131,3 +131,26 @@ def test_personal_data(spark):
     at = texts[2006].index("7731")
     assert all(f"id:{at}:{at + 12}" in s.split(",") for s in added.values()), added
     assert find_personal_data(docs.limit(0)).count() == 0
+
+
+def test_secrets_are_discovered(spark):
+    rng = random.Random(5)
+    hexa = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n - 2)) + "7a"
+    long_word = "x" * 300
+    texts = {i: f"pay with {4111111111111111} or 4012888888881881 now" for i in range(6)}
+    texts |= {100 + i: f'he wrote token = "{hexa(40)}" there' for i in range(5)}
+    texts |= {200 + i: f"so password={hexa(18)}, then" for i in range(5)}
+    texts |= {300 + i: f"{long_word}{'ab'[i % 2]}: KEYS{hexa(16).upper()} ok" for i in range(6)}
+    texts |= {400 + i: f"Version 2.0 of 20{10 + i}, page {i}, about 31415{i} items" for i in range(6)}
+    got = {r["doc_id"]: r for r in find_personal_data(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    for i, t in texts.items():
+        at = re.search(r'(?<=")[0-9a-f]{40}|(?<=password=)[0-9a-f]{18}|KEYS[0-9A-F]{16}', t)
+        want = [f"id:{at.start()}:{at.end()}"] if at else []
+        assert [s for s in got[i]["spans"].split(",") if s.startswith("id:")] == want, (t, got[i]["spans"])
+        assert got[i]["n_added"] == len(want) and got[i]["n_spans"] == len(list(filter(None, got[i]["spans"].split(","))))
+
+
+def test_hashes_without_seeds_are_left(spark):
+    texts = [(i, f"commit: {hashlib.sha1(str(i).encode()).hexdigest()} by me") for i in range(20)]
+    got = find_personal_data(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert all(r["spans"] == "" and r["n_spans"] == 0 for r in got)
