@@ -216,6 +216,27 @@ def q_csv_awkward(spark, d):
     return load_keyword(load_directory(spark, folder, "pid"), "odd").drop(FILE_COL)
 
 
+def q_csv_quoted_split(spark, d):
+    """Orders as a CSV file with quoted line breaks, larger than a split, put together from its lines."""
+    folder = _scratch(spark, "wardline_quoted")
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    note = F.concat_ws("\n", "o_orderpriority", F.concat(F.lit('"'), "o_orderstatus", F.lit('",')), F.col("o_custkey").cast("string"))
+    lines = read_table(spark, d, "orders").select(F.concat_ws(",", "o_orderkey", F.when(F.col("o_orderkey") % 3 == 0, quoted(note)).otherwise(F.col("o_orderpriority")), "o_custkey"))
+    _publish(spark, lines.coalesce(1), folder, "notes", "pid,note,owner")
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(1 << 16))
+    try:
+        return spark.read.parquet(_written(load_keyword(load_directory(spark, folder, "pid"), "notes").drop(FILE_COL), _scratch(spark, "wardline_quoted_rows")))
+    finally:
+        spark.conf.set(name, before)
+
+
+def _written(df, path):
+    df.write.parquet(path)
+    return path
+
+
 def q_csv_awkward_stream(spark, d):
     """The same files through the stream."""
     from wardline.streaming import csv_stream, ingest
@@ -728,6 +749,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "validate_choices": q_validate_choices,
     "validate_unique": q_validate_unique,
     "csv_awkward": q_csv_awkward,
+    "csv_quoted_split": q_csv_quoted_split,
     "csv_awkward_stream": q_csv_awkward_stream,
     "registry_events": q_registry_events,
     "registry_delete": q_registry_delete,
@@ -1002,6 +1024,10 @@ _SQL = {
                     when c_custkey % 2 = 1 and c_custkey % 7 = 0 then c_name || chr(10) || 'second line'
                     when c_custkey % 7 = 0 then 'say "' || c_name || '", twice' else c_name end as note
         from customer""",
+    "csv_quoted_split": """
+        select cast(o_orderkey as varchar) as pid, cast(o_custkey as varchar) as owner,
+               case when o_orderkey % 3 = 0 then o_orderpriority || chr(10) || '"' || o_orderstatus || '",' || chr(10) || o_custkey
+                    else o_orderpriority end as note from orders""",
     "csv_awkward_stream": """
         select cast(c_custkey as varchar) as pid, case when c_custkey % 5 = 0 then null else ' ' || c_nationkey end as _flag,
                case when c_custkey % 3 = 0 then null

@@ -13,6 +13,8 @@ from collections import defaultdict
 from collections.abc import Collection
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,7 @@ from pyspark.sql import types as T
 from wardline.functions.labels import NULL_TOKENS, canonical_id, null_tokens
 from wardline.functions.refs import ref
 from wardline.sources.model import FILE_COL, Source, SourceSet
+from wardline.sources.quoted import parity_safe, read_quoted
 
 CORRUPT_COL = "_corrupt_record"
 
@@ -169,6 +172,19 @@ def split_safe(spark: SparkSession, files: list[SourceFile]) -> set[str]:
     return {f.name for f in files} - unsafe
 
 
+def joinable(spark: SparkSession, files: list[SourceFile]) -> set[str]:
+    """Names of the files with quoted line breaks that are larger than a split and that parity of quotes reads rightly.
+
+    Smaller ones are a single task of either reader, which give the same rows.
+    """
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    large = [f for f in files if f.size > split]
+    if not large:
+        return set()
+    safe = {p.rpartition("/")[2] for p in parity_safe(spark, [glob_safe(f.path) for f in large])}
+    return {f.name for f in large if f.name in {unquote(n) for n in safe}}
+
+
 def _read_csv(spark: SparkSession, paths: list[str], schema: T.StructType, multiline: bool) -> DataFrame:
     return (spark.read.schema(schema)
             .option("header", True)
@@ -213,17 +229,21 @@ def read_csv_group(spark: SparkSession, files: list[SourceFile], header: list[st
     ``multiline=True`` honours quoted line breaks but makes each file a single
     task; ``False`` splits files but breaks such records; ``"auto"`` looks for
     quoted line breaks in every file (``split_safe``) and splits the files
-    without.  See ``clean_rows`` for short and long rows.
+    without; files with some that are larger than one split are put together
+    from their lines (``joinable``).  See ``clean_rows`` for short and long rows.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header]
                           + [T.StructField(CORRUPT_COL, T.StringType())])
     if multiline == "auto":
         safe = split_safe(spark, files)
-        whole = [f.path for f in files if f.name not in safe]
+        joined = joinable(spark, [f for f in files if f.name not in safe])
+        whole = [f.path for f in files if f.name not in safe | joined]
         split = [f.path for f in files if f.name in safe]
+        pieced = [glob_safe(f.path) for f in files if f.name in joined]
         parts = ([_read_csv(spark, whole, schema, True)] if whole else []) + \
-                ([_read_csv(spark, split, schema, False)] if split else [])
-        df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+                ([_read_csv(spark, split, schema, False)] if split else []) + \
+                ([read_quoted(spark, pieced, schema, CORRUPT_COL, FILE_COL)] if pieced else [])
+        df = reduce(DataFrame.unionByName, parts)
     else:
         df = _read_csv(spark, [f.path for f in files], schema, bool(multiline))
 
