@@ -1,6 +1,7 @@
 """Classifiers, page text, archives and piece sampling."""
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -170,6 +171,32 @@ def test_shared_lines_are_a_longest_common_subsequence():
         assert len(found) == table[-1][-1] and all(a[i] in rest for i in found)
 
 
+def test_shared_lines_of_long_pages_in_parts(monkeypatch):
+    rng = random.Random(4)
+    whole = []
+    for cells in (1 << 21, 6):
+        monkeypatch.setattr(html_diff, "LCS_CELLS", cells)
+        rng.seed(4)
+        sizes = []
+        for _ in range(200):
+            a, b = ([rng.choice("abcde") for _ in range(rng.randint(0, 30))] for _ in range(2))
+            found, rest = sorted(html_diff.shared_lines(a, b)), iter(b)
+            assert all(a[i] in rest for i in found)
+            sizes.append(len(found))
+        whole.append(sizes)
+    assert whole[0] == whole[1]
+    monkeypatch.undo()
+    lines = [str(rng.randrange(20_000)) for _ in range(20_000)]
+    a, b = ([x if rng.random() < 0.7 else f"z{rng.randrange(3000)}" for x in lines] for _ in range(2))
+    tracemalloc.start()
+    found, rest = sorted(html_diff.shared_lines(a, b)), iter(b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    same = sum(x == y for x, y in zip(a, b))
+    assert len(found) >= same and all(a[i] in rest for i in found)
+    assert peak < 60 << 20  # a table of all lengths would take 1,600 MB
+
+
 def test_archives(spark, workdir):
     rows = [(1, "u", "a" * 2000), (2, "v", "a" * 2000), (3, None, None), (4, "x", "abc\r\n"), (5, "x\r\ny", "\r\n\r\nabc\r\n\r\n"), (6, "x", "\r\n"),
             (7, "x", "\r\n\r"), (8, "x", "é\r\n\r\n\r\n"), (None, "x", "WARC/1.1\r\n\r\n"), (9, "big", "xy\r\n\r\n€" * 1000),

@@ -36,6 +36,7 @@ from wardline.llm.common import materialise
 
 NEAR = 0.1  # share of a page's characters; with less than that of its own, it is a near copy of the other page
 MORE = 2  # lines beside the surest element are kept if they hold more than so many times its text
+LCS_CELLS = 1 << 21  # cells of a table of lengths; longer line lists are halved first
 RUNS = 3  # runs of near copies that are tried on each side of a page
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?:![^>]*|\?[^>]*)>|<(script|style|template|textarea|noscript|iframe|svg|math)\b[^>]*>.*?(?:</\1\s*>|\Z)"
@@ -142,7 +143,8 @@ def _block(stack: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
 
 
 def shared_lines(a: list[str], b: list[str]) -> set[int]:
-    """Places in ``a`` of a longest common subsequence with ``b`` (quadratic only between the first and last difference)."""
+    """Places in ``a`` of a longest common subsequence with ``b`` (quadratic time, only between the first and last
+    difference and for lines of both; memory grows with their number, not with its square)."""
     start = 0
     while start < min(len(a), len(b)) and a[start] == b[start]:
         start += 1
@@ -151,24 +153,49 @@ def shared_lines(a: list[str], b: list[str]) -> set[int]:
         end += 1
     found = {*range(start), *range(len(a) - end, len(a))}
     both = set(a[start:len(a) - end]) & set(b[start:len(b) - end])  # only lines of both pages can be shared
-    left = [(i, x) for i, x in enumerate(a[start:len(a) - end], start) if x in both]
-    right = [x for x in b[start:len(b) - end] if x in both]
     names = {x: i for i, x in enumerate(both)}
-    codes = np.array([names[x] for x in right], np.int64)
+    places = np.array([i for i, x in enumerate(a[start:len(a) - end], start) if x in both], np.int64)
+    left = np.array([names[a[i]] for i in places], np.int32)
+    right = np.array([names[x] for x in b[start:len(b) - end] if x in both], np.int32)
+    parts = [(0, len(left), 0, len(right))]
+    while parts:
+        i, i_end, j, j_end = parts.pop()
+        if (i_end - i) * (j_end - j) <= LCS_CELLS or i_end - i == 1:
+            found.update(places[i:i_end][_table_lcs(left[i:i_end], right[j:j_end])].tolist())
+            continue
+        # The half of the lines that best goes with each start of the other side, and the rest with its end.
+        half = (i + i_end) // 2
+        ahead = _lengths(left[half:i_end][::-1], right[j:j_end][::-1])[::-1]
+        cut = j + int(np.argmax(_lengths(left[i:half], right[j:j_end]) + ahead))
+        parts += [(i, half, j, cut), (half, i_end, cut, j_end)]
+    return found
+
+
+def _lengths(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Length of a longest common subsequence of ``left`` with each start of ``right``, the empty one first."""
+    row = np.zeros(len(right) + 1, np.int32)
+    for x in left:
+        row[1:] = np.maximum.accumulate(np.where(right == x, row[:-1] + 1, row[1:]))
+    return row
+
+
+def _table_lcs(left: np.ndarray, right: np.ndarray) -> list[int]:
+    """Places in ``left`` of a longest common subsequence, by the whole table of lengths."""
     table = np.zeros((len(left) + 1, len(right) + 1), np.int32)
     for i in range(len(left) - 1, -1, -1):
-        hit = np.where(codes == names[left[i][1]], table[i + 1, 1:] + 1, table[i + 1, :-1])
+        hit = np.where(right == left[i], table[i + 1, 1:] + 1, table[i + 1, :-1])
         table[i, :-1] = np.maximum.accumulate(hit[::-1])[::-1]
+    places = []
     i = j = 0
     while i < len(left) and j < len(right):
-        if left[i][1] == right[j] and table[i, j] == table[i + 1, j + 1] + 1:
-            found.add(left[i][0])
+        if left[i] == right[j] and table[i, j] == table[i + 1, j + 1] + 1:
+            places.append(i)
             i, j = i + 1, j + 1
         elif table[i + 1, j] >= table[i, j + 1]:
             i += 1
         else:
             j += 1
-    return found
+    return places
 
 
 def _gone(lines: list, sizes: list[int], partner: list) -> set[int] | None:
