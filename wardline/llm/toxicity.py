@@ -7,8 +7,9 @@ ordinary ones).  Each window of a text is compressed twice, with the ordinary
 dictionary alone and with the toxic one before it; the bytes saved are the
 window's distance.  A document's score is a logistic function of its largest
 window distance, of their sum, of the number of windows that pass a distance of
-3 and of the number of windows, calibrated on labelled texts that the
-dictionaries have not seen.
+3 and of the number of windows, calibrated on labelled texts that the toxic
+dictionary has not seen (the ordinary one is trained on all ordinary texts of
+the sample).
 """
 
 from __future__ import annotations
@@ -113,7 +114,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, steps: int = 30)
 
 
 def fit(sample: list[tuple[str, int]]) -> ToxicityModel:
-    """Dictionaries from two of three sample texts, weights from the third."""
+    """Toxic dictionary from two of three sample texts, ordinary one from all of them, weights from the third."""
     sample = [(t, y) for t, y in {t: y for t, y in sample}.items()]
     flat = [(b" " + b" ".join(t.lower().encode("utf-8", "replace").split()) + b" ", y) for t, y in sample]
     learn = [x for i, x in enumerate(flat) if i % 3]
