@@ -197,6 +197,25 @@ def test_shared_lines_of_long_pages_in_parts(monkeypatch):
     assert peak < 60 << 20  # a table of all lengths would take 1,600 MB
 
 
+def test_chunks_of_a_long_payload(spark):
+    long = "".join("a€😀\n"[i % 4] * (i % 3 + 1) for i in range(40_000))
+    rows = [(1, "u", long, None), (2, "u", "x" * 1000, None), (3, "u", "x" * 1001, None), (4, "u", "", None), (5, "u", long, 1)]
+    plan = spark.createDataFrame([(i, u, t, len(t.encode()), "d", r) for i, u, t, r in rows],
+                                 "page_id long, url string, payload string, bytes long, digest string, refers_to long")
+    broken = plan.where("page_id = 3").select(F.lit(6).cast("long").alias("page_id"), "url",
+                                              F.concat(F.unhex(F.lit("ff")).cast("string"), "payload").alias("payload"), "bytes", "digest", "refers_to")
+    got: dict = {}
+    for r in warc_chunks.record_texts(plan.unionByName(broken), chunk_chars=1000).select(F.col("value").cast("binary")).collect():
+        head, _, block = bytes(r[0]).partition(b"\r\n\r\n")
+        fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
+        assert int(fields["Content-Length"]) == len(block)
+        page = int(fields["WARC-Record-ID"].strip("<>").split("page:")[1].split(":")[0])
+        got.setdefault(page, []).append((int(fields.get("WARC-Segment-Number", 1)), block))
+    whole = {i: b"".join(b for _, b in sorted(parts)).partition(b"\r\n\r\n")[2] for i, parts in got.items()}
+    assert [whole[i] for i in (1, 2, 3, 4, 5, 6)] == [long.encode(), b"x" * 1000, b"x" * 1001, b"", b"", b"\xff" + b"x" * 1001]
+    assert [len(got[i]) for i in (1, 2, 3, 4, 5, 6)] == [-(-len(long) // 1000), 1, 2, 1, 1, 2]
+
+
 def test_archives(spark, workdir):
     rows = [(1, "u", "a" * 2000), (2, "v", "a" * 2000), (3, None, None), (4, "x", "abc\r\n"), (5, "x\r\ny", "\r\n\r\nabc\r\n\r\n"), (6, "x", "\r\n"),
             (7, "x", "\r\n\r"), (8, "x", "é\r\n\r\n\r\n"), (None, "x", "WARC/1.1\r\n\r\n"), (9, "big", "xy\r\n\r\n€" * 1000),

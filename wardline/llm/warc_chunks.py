@@ -44,13 +44,21 @@ def payload_plan(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
 
 
 def record_texts(plan: DataFrame, date: str = "2024-01-01T00:00:00Z", chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """The rows of an archive, one for each chunk of a record, without the separator at their end."""
+    """The rows of an archive, one for each chunk of a record, without the separator at their end.
+
+    A payload is cut into chunks in one pass, and a row carries its own chunk only.
+    """
     revisit = F.col("refers_to").isNotNull()
-    chunks = F.when(revisit, 1).otherwise(F.greatest(F.lit(1), F.ceil(F.length("payload") / chunk_chars))).cast("int")
-    plan = plan.withColumn("chunks", chunks).withColumn("chunk", F.explode(F.sequence(F.lit(1), F.col("chunks"))))
+    payload, size = F.col("payload"), F.length("payload")
+    cut = F.regexp_extract_all(payload, F.lit(f"(?s).{{1,{chunk_chars}}}+"), F.lit(0))
+    raw = F.transform(F.sequence(F.lit(0), F.ceil(size / chunk_chars).cast("int") - 1),  # a pattern would replace broken bytes
+                      lambda i: F.substring(payload, i * chunk_chars + 1, F.lit(chunk_chars)))
+    parts = F.when(revisit, F.array(F.lit(""))).when(size <= chunk_chars, F.array(payload)).when(F.is_valid_utf8(payload), cut).otherwise(raw)
+    plan = plan.withColumn("parts", parts).drop("payload").withColumn("chunks", F.size("parts"))
+    plan = plan.select("page_id", "url", "bytes", "digest", "refers_to", "chunks", F.posexplode("parts").alias("place", "part"))
+    plan = plan.withColumn("chunk", F.col("place") + 1)
     name = F.concat(F.lit(_URN), F.coalesce(F.col("page_id").cast("string"), F.lit("null")))
-    first, many = F.col("chunk") == 1, F.col("chunks") > 1
-    part = F.when(many, F.substring(F.col("payload"), (F.col("chunk") - 1) * chunk_chars + 1, F.lit(chunk_chars))).otherwise(F.col("payload"))
+    first, many, part = F.col("chunk") == 1, F.col("chunks") > 1, F.col("part")
     block = F.when(revisit, "").otherwise(F.concat(F.when(first, _HTTP).otherwise(""), part))
     total = F.col("bytes") + len(_HTTP)
 
