@@ -11,7 +11,8 @@ unchanged, shifted by a bounded number of positions (pigeonhole).  Candidates
 come from an equi-join on ``(length, segment index, segment text)`` against
 the substrings of each other name at the permitted positions, and are then
 verified with the bounded ``levenshtein``.  The result is exact, the join is a
-shuffle on hashed keys, and nothing is broadcast.
+shuffle on hashed keys, and nothing is broadcast: joins ask for a merge, as the
+size that Spark expects of exploded rows is that of the names they come from.
 (Partition-based filtering as in Li, Deng, Wang, Feng, "Pass-Join", VLDB 2012.)
 
 Dictionary growth (Z3) is order dependent: a name becomes a key when no
@@ -110,13 +111,13 @@ def similar_pairs(names: DataFrame, threshold: int, name_col: str = "name") -> D
     cand = None
     if t <= 2:
         variants = _variants(distinct.where(F.length("name") <= VARIANT_LENGTH), t)
-        cand = (variants.withColumnRenamed("name", "name_a").join(variants.withColumnRenamed("name", "name_b"), "text")
+        cand = (variants.withColumnRenamed("name", "name_a").join(variants.withColumnRenamed("name", "name_b").hint("merge"), "text")
                 .where(F.col("name_a") < F.col("name_b")).select("name_a", "name_b").distinct())
         # Pairs with a longer name: of names that are at most t characters shorter than the bound, or longer.
         distinct = distinct.where(F.length("name") > VARIANT_LENGTH - t)
     segs = _segments(distinct, t).select(F.col("name").alias("name_a"), "L", "seg", "text")
     probes = _probes(distinct, t).select(F.col("name").alias("name_b"), "L", "seg", "text")
-    long = (segs.join(probes, ["L", "seg", "text"])
+    long = (segs.join(probes.hint("merge"), ["L", "seg", "text"])
             .where(F.col("name_a") < F.col("name_b"))
             .select("name_a", "name_b").distinct())
     cand = long if cand is None else cand.unionByName(long).distinct()
@@ -157,7 +158,7 @@ def dictionary_rounds(names: DataFrame, threshold: int, existing: DataFrame | No
     pairs = similar_pairs(nodes, t)
     a = nodes.select(F.col("name").alias("name_a"), F.col("prio").alias("name_a_prio"), F.col("ord").alias("name_a_ord"))
     b = nodes.select(F.col("name").alias("name_b"), F.col("prio").alias("name_b_prio"), F.col("ord").alias("name_b_ord"))
-    pairs = pairs.join(a, "name_a").join(b, "name_b")
+    pairs = pairs.join(a.hint("merge"), "name_a").join(b.hint("merge"), "name_b")
     a_first = _order_key("name_a") < _order_key("name_b")
     ends = [F.struct(F.col(f"name_{x}_prio").alias("prio"), F.col(f"name_{x}_ord").alias("ord"), F.col(f"name_{x}").alias("name")) for x in "ab"]
     edges = pairs.select(F.when(a_first, ends[0]).otherwise(ends[1]).alias("first"), F.when(a_first, ends[1]).otherwise(ends[0]).alias("second"))
@@ -166,20 +167,20 @@ def dictionary_rounds(names: DataFrame, threshold: int, existing: DataFrame | No
 
     settled = _settled(edges, local_edges)
     alone = F.when(F.col("prio") == 0, F.lit("K"))                # existing keys are keys
-    state = (nodes.join(settled.withColumnRenamed("state", "local"), "name", "left")
+    state = (nodes.join(settled.withColumnRenamed("state", "local").hint("merge"), "name", "left")
              .select("name", "prio", alone.when(F.col("large"), F.lit("U")).otherwise(F.coalesce("local", F.lit("K"))).alias("state")).checkpoint())
     still_open = state.where(F.col("state") == "U").limit(1).count()
     # state: K = key, R = rejected, U = undecided, which only names of large components are.
-    large = edges.join(state.where(F.col("state") == "U").select(F.col("name").alias("v")), "v", "left_semi") if still_open else None
+    large = edges.join(state.where(F.col("state") == "U").select(F.col("name").alias("v")).hint("merge"), "v", "left_semi") if still_open else None
     large = large.select("u", "v").checkpoint() if still_open else None
     rounds = 0
     while still_open:
         st_u = state.select(F.col("name").alias("u"), F.col("state").alias("su"))
-        seen = (large.join(st_u, "u")
+        seen = (large.join(st_u.hint("merge"), "u")
                 .groupBy(F.col("v").alias("name"))
                 .agg(F.max((F.col("su") == "K").cast("int")).alias("any_key"),
                      F.max((F.col("su") == "U").cast("int")).alias("any_open")))
-        nxt = (state.join(seen, "name", "left")
+        nxt = (state.join(seen.hint("merge"), "name", "left")
                .select("name", "prio",
                        F.when(F.col("state") != "U", F.col("state"))
                        .when(F.coalesce(F.col("any_key"), F.lit(0)) == 1, F.lit("R"))
@@ -192,10 +193,10 @@ def dictionary_rounds(names: DataFrame, threshold: int, existing: DataFrame | No
             raise RuntimeError(f"dictionary growth did not settle in {max_rounds} rounds")
 
     keys = state.where(F.col("state") == "K").select(F.col("name").alias("u"))
-    near_keys = (edges.join(keys, "u")
+    near_keys = (edges.join(keys.hint("merge"), "u")
                  .groupBy(F.col("v").alias("name"))
                  .agg(F.count(F.lit(1)).alias("n_similar"), F.min("u").alias("_one")))
-    return (state.join(near_keys, "name", "left")
+    return (state.join(near_keys.hint("merge"), "name", "left")
             .select("name",
                     F.when(F.col("state") == "K", F.col("name"))
                     .when(F.col("n_similar") == 1, F.col("_one")).alias("comorb_key"),
@@ -225,13 +226,13 @@ def _settled(edges: DataFrame, local_edges: int) -> DataFrame:
     compare by code points there, as Spark compares them.
     """
     comp = connected_components(edges, "u", "v").checkpoint()
-    edges = edges.join(comp.withColumnRenamed("node", "u"), "u")
+    edges = edges.join(comp.withColumnRenamed("node", "u").hint("merge"), "u")
     sizes = edges.groupBy("component").agg(F.count(F.lit(1)).alias("m")).checkpoint()
     small = sizes.where(F.col("m") <= local_edges)
     groups = int(small.agg(F.ceil(F.sum("m") / max(1, local_edges))).first()[0] or 1)
-    dealt = edges.join(small.select("component"), "component", "left_semi").withColumn("deal", F.pmod(F.xxhash64("component"), F.lit(groups)))
+    dealt = edges.join(small.select("component").hint("merge"), "component", "left_semi").withColumn("deal", F.pmod(F.xxhash64("component"), F.lit(groups)))
     followed = dealt.drop("component").groupBy("deal").applyInPandas(_follow, "name string, state string")
-    big = comp.join(sizes.where(F.col("m") > local_edges).select("component"), "component", "left_semi")
+    big = comp.join(sizes.where(F.col("m") > local_edges).select("component").hint("merge"), "component", "left_semi")
     return followed.select("name", "state", F.lit(False).alias("large")).unionByName(
         big.select(F.col("node").alias("name"), F.lit(None).cast("string").alias("state"), F.lit(True).alias("large"))).checkpoint()
 
@@ -260,7 +261,7 @@ def resolve_names(names: DataFrame, threshold: int, existing: DataFrame | None =
         if existing is not None:
             ex = existing.select(ref(existing.columns[0]).cast("string").alias("name")).distinct()
             ex_flag = ex.withColumn("_ex", F.lit(True))
-            out = out.join(ex_flag, "name", "left")
+            out = out.join(ex_flag.hint("merge"), "name", "left")
             return out.select("name", "comorb_key", "n_similar",
                               F.when(F.col("_ex"), F.lit("existing")).otherwise(F.lit("new_key")).alias("action"))
         return out.withColumn("action", F.lit("new_key"))
@@ -269,7 +270,7 @@ def resolve_names(names: DataFrame, threshold: int, existing: DataFrame | None =
     if existing is not None:
         # Existing keys are context only: they appear in the output when a new name matches exactly.
         seen = distinct.select("name").distinct()
-        decided = decided.join(seen, "name", "left_semi")
+        decided = decided.join(seen.hint("merge"), "name", "left_semi")
     n = F.col("n_similar")
     action = (F.when(F.col("is_existing"), F.lit("existing"))
               .when(F.col("is_key"), F.lit("new_key")))
