@@ -10,7 +10,7 @@ entity is spread over tasks in every round but its small last one.
 from __future__ import annotations
 
 import pickle
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
 import pandas as pd
@@ -69,21 +69,28 @@ def aggregate_by(df: DataFrame, key: str, value: str, aggregate: UserAggregate,
 
     def reduce_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            states = [(k, pickle.dumps(aggregate.reduce(aggregate.zero(), v.tolist()))) for k, v in batch.groupby("_key", sort=False)["_value"]]
+            values: dict[Any, list] = {}
+            for k, v in zip(batch["_key"].tolist(), batch["_value"].tolist()):
+                values.setdefault(k, []).append(v)
+            states = [(k, pickle.dumps(aggregate.reduce(aggregate.zero(), v))) for k, v in values.items()]
             yield pd.DataFrame(states, columns=["_key", "_state"])
 
-    def merged(pdf: pd.DataFrame) -> Any:
+    def merged(states: Iterable[bytes]) -> Any:
         total = aggregate.zero()
-        for state in pdf["_state"]:
+        for state in states:
             total = aggregate.merge(total, pickle.loads(state))
         return total
 
-    def merge_group(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"_key": [pdf["_key"].iloc[0]], "_state": [pickle.dumps(merged(pdf))]})
+    def merge_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"_key": batch["_key"], "_state": [pickle.dumps(merged(x)) for x in batch["_states"]]})
 
-    def finish_group(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({key: [pdf["_key"].iloc[0]], alias: [aggregate.finish(merged(pdf))]})
+    def finish_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({key: batch["_key"], alias: [aggregate.finish(merged(x)) for x in batch["_states"]]})
 
+    # Spark puts a key's states, at most about ``fan_in``, into one row; a Python call then takes a batch of keys.
+    together = F.collect_list("_state").alias("_states")
     states = rows.mapInPandas(reduce_batches, partial).checkpoint()
     while True:
         most = states.groupBy("_key").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
@@ -93,6 +100,6 @@ def aggregate_by(df: DataFrame, key: str, value: str, aggregate: UserAggregate,
         salted = states.join(counts.where("_parts > 1").checkpoint(), F.col("_key") == F.col("_k"), "left")
         # States are dealt by their place, as equal ones would meet by their content.
         salted = salted.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.coalesce("_parts", F.lit(1))))
-        states = salted.groupBy("_key", "_salt").applyInPandas(lambda _, pdf: merge_group(pdf), partial).checkpoint()
+        states = salted.groupBy("_key", "_salt").agg(together).select("_key", "_states").mapInPandas(merge_batches, partial).checkpoint()
     out = T.StructType([T.StructField(key, key_type), T.StructField(alias, T._parse_datatype_string(return_type))])
-    return states.groupBy("_key").applyInPandas(finish_group, out)
+    return states.groupBy("_key").agg(together).mapInPandas(finish_batches, out)
