@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from wardline.functions.labels import NULL_TOKENS, canonical_id, null_tokens
 from wardline.functions.refs import ref
 from wardline.sources.model import FILE_COL, Source, SourceSet
-from wardline.sources.quoted import parity_safe, read_quoted
+from wardline.sources.quoted import checked_records, read_quoted
 
 CORRUPT_COL = "_corrupt_record"
 
@@ -157,18 +157,18 @@ def split_safe(spark: SparkSession, files: list[SourceFile]) -> set[str]:
     """
     if not files:
         return set()
-    quotes = F.length("value") - F.length(F.regexp_replace("value", '"', ""))
-    paths = [glob_safe(f.path) for f in files]
-    broken = (spark.read.text(paths).where(quotes % 2 == 1)
-              .select(file_name().alias("name")).distinct().collect())
-    unsafe = {r["name"] for r in broken}
-    mixed = [glob_safe(f.path) for f in files if f.name in unsafe]
-    if mixed:
-        lone = (spark.read.option("lineSep", "\n").text(mixed).where(F.col("value").rlike("\r(?!$)"))
-                .select(file_name().alias("name")).distinct().collect())
-        if lone:
-            raise ValueError("Carriage returns inside lines of files with quoted line breaks: "
-                             + ", ".join(sorted(r["name"] for r in lone)))
+    odd = lambda x: (F.length(x) - F.length(F.replace(x, F.lit('"')))) % 2 == 1
+    pieces = F.exists(F.split("value", "\r", -1), odd)  # a carriage return ends a line
+    returns = F.contains("value", F.lit("\r"))
+    broken = F.when(returns, pieces).otherwise(odd(F.col("value")))
+    lines = spark.read.option("lineSep", "\n").text([glob_safe(f.path) for f in files])
+    found = (lines.groupBy(F.col("_metadata.file_name").alias("name"))
+             .agg(F.max(broken).alias("broken"), F.max(returns & F.col("value").rlike("\r(?!$)")).alias("lone"))
+             .where("broken").select(F.url_decode(F.replace("name", F.lit("+"), F.lit("%2B"))).alias("name"), "lone").collect())
+    lone = sorted(r["name"] for r in found if r["lone"])
+    if lone:
+        raise ValueError(f"Carriage returns inside lines of files with quoted line breaks: {', '.join(lone)}")
+    unsafe = {r["name"] for r in found}
     return {f.name for f in files} - unsafe
 
 
@@ -177,12 +177,18 @@ def joinable(spark: SparkSession, files: list[SourceFile]) -> set[str]:
 
     Smaller ones are a single task of either reader, which give the same rows.
     """
+    return _joined(spark, files)[1]
+
+
+def _joined(spark: SparkSession, files: list[SourceFile]) -> tuple[DataFrame | None, set[str]]:
+    """The records of the files that are larger than a split, and the names of those that are ``joinable``."""
     split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
     large = [f for f in files if f.size > split]
     if not large:
-        return set()
-    safe = {p.rpartition("/")[2] for p in parity_safe(spark, [glob_safe(f.path) for f in large])}
-    return {f.name for f in large if f.name in {unquote(n) for n in safe}}
+        return None, set()
+    rows, safe = checked_records(spark, [glob_safe(f.path) for f in large])
+    found = {unquote(n) for n in safe}
+    return rows.where(F.col("name").isin(sorted(safe))), {f.name for f in large if f.name in found}
 
 
 def _read_csv(spark: SparkSession, paths: list[str], schema: T.StructType, multiline: bool) -> DataFrame:
@@ -236,13 +242,12 @@ def read_csv_group(spark: SparkSession, files: list[SourceFile], header: list[st
                           + [T.StructField(CORRUPT_COL, T.StringType())])
     if multiline == "auto":
         safe = split_safe(spark, files)
-        joined = joinable(spark, [f for f in files if f.name not in safe])
+        records, joined = _joined(spark, [f for f in files if f.name not in safe])
         whole = [f.path for f in files if f.name not in safe | joined]
         split = [f.path for f in files if f.name in safe]
-        pieced = [glob_safe(f.path) for f in files if f.name in joined]
         parts = ([_read_csv(spark, whole, schema, True)] if whole else []) + \
                 ([_read_csv(spark, split, schema, False)] if split else []) + \
-                ([read_quoted(spark, pieced, schema, CORRUPT_COL, FILE_COL)] if pieced else [])
+                ([read_quoted(records, schema, CORRUPT_COL, FILE_COL)] if joined else [])
         df = reduce(DataFrame.unionByName, parts)
     else:
         df = _read_csv(spark, [f.path for f in files], schema, bool(multiline))

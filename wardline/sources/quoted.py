@@ -23,6 +23,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardline.session import checkpoint_dir
+
+
 def _odd(line: Column) -> Column:
     return (F.length(line) - F.length(F.replace(line, F.lit('"')))) % 2
 
@@ -103,21 +106,36 @@ def _whole_fields(record: Column) -> Column:
     return (count % 2 == 1) & (F.size(wrong) == 0)
 
 
+def _safe(rows: DataFrame, file: str) -> set[str]:
+    """Values of ``file`` whose records all are what a parser reads, by one pass over them."""
+    loose = F.contains("record", F.lit('"')) & ~_whole_fields(F.col("record"))
+    found = rows.groupBy(file).agg(F.max(loose | F.endswith("record", F.lit("\r"))).alias("bad"))
+    return {r[file] for r in found.where(~F.col("bad")).collect()}
+
+
 def parity_safe(spark: SparkSession, patterns: list[str]) -> set[str]:
     """Paths of the files in which every quote opens or closes a whole field and lines end alike, so that ``records`` gives
     what a parser does."""
-    kept = records(spark, patterns)
-    loose = F.contains("record", F.lit('"')) & ~_whole_fields(F.col("record"))
-    bad = kept.where(loose | F.endswith("record", F.lit("\r"))).select("path").distinct().collect()
-    every = kept.select("path").distinct().collect()
-    return {r["path"] for r in every} - {r["path"] for r in bad}
+    return _safe(records(spark, patterns), "path")
+
+
+def checked_records(spark: SparkSession, patterns: list[str]) -> tuple[DataFrame, set[str]]:
+    """``name, record, header`` of CSV files, and the names of those that are parity safe, names as they are in paths.
+
+    A file has as many tasks as splits, and each pass over its lines all of
+    them: the records that are checked are kept in the checkpoint folder, and
+    ``read_quoted`` reads those.
+    """
+    checkpoint_dir(spark)
+    name = F.element_at(F.split("path", "/"), -1).alias("name")
+    rows = records(spark, patterns).select(name, "record", "header").checkpoint()
+    return rows, _safe(rows, "name")
 
 
-def read_quoted(spark: SparkSession, patterns: list[str], schema: T.StructType, corrupt: str, file_col: str) -> DataFrame:
-    """Rows of ``schema`` (``corrupt`` last) and ``file_col``, as the multi-line reader gives them, without headers."""
+def read_quoted(rows: DataFrame, schema: T.StructType, corrupt: str, file_col: str) -> DataFrame:
+    """Rows of ``schema`` (``corrupt`` last) and ``file_col``, as the multi-line reader gives them, without headers, of
+    ``rows(name, record, header)``."""
     options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt, "multiLine": "true"}
     ddl = ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema)
-    rows = records(spark, patterns).where(~F.col("header"))
-    name = F.element_at(F.split("path", "/"), -1)
-    parsed = rows.select(F.from_csv("record", ddl, options).alias("r"), F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias(file_col))
-    return parsed.select("r.*", file_col)
+    file = F.url_decode(F.replace("name", F.lit("+"), F.lit("%2B")))
+    return rows.where(~F.col("header")).select(F.from_csv("record", ddl, options).alias("r"), file.alias(file_col)).select("r.*", file_col)
