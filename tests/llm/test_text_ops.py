@@ -279,3 +279,19 @@ def test_samples_follow_the_lattice_probabilities():
     got = Counter(tuple(x.tolist()) for x in piece_sampling.encode(["inoning"] * n, [piece_sampling._key(i, 1) for i in range(n)], vocab))
     assert set(got) <= set(want)
     assert max(abs(got[p] / n - w / total) for p, w in want.items()) < 0.012
+
+
+def test_pieces_of_a_batch_of_nulls(spark):
+    df = spark.createDataFrame([(i, None) for i in range(3)], "doc_id long, text string").coalesce(1)
+    assert [tuple(r) for r in piece_sampling.sample_pieces(df, check=True).collect()] == [(i, None, 0, True) for i in range(3)]
+
+
+def test_words_of_a_batch_are_filtered_once(monkeypatch):
+    """op6: a lattice takes each distinct word once, and its prefixes are looked up by hash, not by bisection."""
+    vocab, seen = piece_sampling.vocabulary(piece_sampling.DEFAULT_MODEL, 1.0), []
+    made = piece_sampling._Lattice
+    monkeypatch.setattr(piece_sampling, "_Lattice", lambda v, words: seen.append(list(words)) or made(v, words))
+    texts = ["a bb a", "bb ▁ a\U000e000f", "", "x" * 70_000]
+    ids = piece_sampling.encode(texts, [1, 2, 3, 4], vocab)
+    assert [piece_sampling.decode(x, vocab) for x in ids] == texts
+    assert all(len(w) == len(set(w)) for w in seen) and len(vocab.prefixes) > 32_000

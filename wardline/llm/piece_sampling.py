@@ -19,6 +19,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -72,7 +73,8 @@ class Vocabulary:
         # Every prefix of a piece, with the piece's id or -1.
         hashes, whole = np.concatenate(hashes), np.concatenate(whole)
         order = np.lexsort((-whole, hashes))
-        self.hashes, first = np.unique(hashes[order], return_index=True)
+        hashes, first = np.unique(hashes[order], return_index=True)
+        self.prefixes = pd.Index(hashes)
         self.piece = whole[order][first].astype(np.int32)
         self.score = np.array([-sharpness * np.log(rank[i] + 10.0) - total if i >= 0 else -np.inf for i in self.piece.tolist()])
         text = [b""] * n
@@ -112,8 +114,8 @@ class _Lattice:
         while len(at):
             h = _step(h, code[at + length])
             length += 1
-            place = np.minimum(np.searchsorted(vocab.hashes, h), len(vocab.hashes) - 1)
-            known = vocab.hashes[place] == h
+            place = vocab.prefixes.get_indexer(h)
+            known = place >= 0
             at, h, place = at[known], h[known], place[known]
             hit = vocab.piece[place] >= 0
             starts.append(node[at[hit]])
@@ -133,11 +135,11 @@ class _Lattice:
         scores.append(width * vocab.byte_score)
         start, end, id_, score = (np.concatenate(x) for x in (starts, ends, ids, scores))
         depth = end - self.first[np.repeat(np.arange(len(words)), sizes + 1)[end]]
-        order = np.lexsort((start, end))
+        order = np.argsort(end * (length + 1) + start - end)  # by end and start: no edge is longer than ``length``
         self.start, self.id, score, end, depth = start[order], id_[order], score[order], end[order], depth[order]
         # Forward filtering, all words a position at a time.
         alpha = np.zeros(n + len(words))
-        by = np.argsort(depth, kind="stable")
+        by = np.argsort(depth.astype(np.uint16) if len(depth) and depth.max() < 1 << 16 else depth, kind="stable")  # short keys sort faster
         cuts = np.searchsorted(depth[by], np.arange(1, (depth.max() if len(depth) else 0) + 2))
         for a, b in zip(cuts, cuts[1:]):
             e = by[a:b]
@@ -179,27 +181,30 @@ class _Lattice:
 # which no other word has (blanks only begin words).
 _FOREIGN_SIGN = 0xE000F
 _SIGN, _PRIVATE = f"s{_BLANK}", f"p{_BLANK}"
+_CUTS = re.compile(f"([{_BLANK}{chr(_FOREIGN_SIGN)}])")
 
 
 def encode(texts: list[str], keys: list[int], vocab: Vocabulary) -> list[np.ndarray]:
     """Sampled piece ids of each text."""
-    words: dict[str, int] = {}
-    place, keyed, per_text = [], [], []
-    for text, key in zip(texts, keys):
+    if not texts:
+        return []
+    units: list[str] = []
+    per_text = []
+    for text in texts:
+        before = len(units)
         # Texts that hold the blank sign or the private character are cut there; those characters become words of their own.
-        parts = re.split(f"([{_BLANK}{chr(_FOREIGN_SIGN)}])", text)
-        units: list[str] = []
-        for i, part in enumerate(parts):
+        for i, part in enumerate(_CUTS.split(text) if _CUTS.search(text) else [text]):
             if i % 2:
                 units.append(_SIGN if part == _BLANK else _PRIVATE)
             else:
                 units += _UNITS.findall((_BLANK if i == 0 else "") + part.replace(" ", _BLANK))
-        place += [words.setdefault(u, len(words)) for u in units]
-        keyed.append(_mix(_U(key) + np.arange(len(units), dtype=np.uint64) * _U(0xD1342543DE82EF95)))
-        per_text.append(len(units))
+        per_text.append(len(units) - before)
+    words = {w: i for i, w in enumerate(dict.fromkeys(units))}
+    at = np.fromiter(map(words.__getitem__, units), np.int64, len(units))
+    nth = np.arange(len(at)) - np.repeat(np.cumsum(per_text, dtype=np.int64) - per_text, per_text)
+    keyed = _mix(np.repeat(np.array(keys, np.uint64), per_text) + nth.astype(np.uint64) * _U(0xD1342543DE82EF95))
     lattice = _Lattice(vocab, [chr(_FOREIGN_SIGN) if w in (_SIGN, _PRIVATE) else w for w in words])
-    at = np.array(place, np.int64)
-    ids, count = lattice.sample(at, np.concatenate(keyed) if keyed else np.empty(0, np.uint64))
+    ids, count = lattice.sample(at, keyed)
     owner = np.repeat(np.arange(len(at)), count)
     if (ids < 0).any():  # byte fall-back: as many ids as the character has bytes
         private = words.get(_PRIVATE)
@@ -216,7 +221,7 @@ def encode(texts: list[str], keys: list[int], vocab: Vocabulary) -> list[np.ndar
         ids, owner = low, np.repeat(owner, width)
     text_of = np.repeat(np.arange(len(texts)), per_text)
     sizes = np.bincount(text_of[owner], minlength=len(texts)) if len(owner) else np.zeros(len(texts), np.int64)
-    return np.split(ids, np.cumsum(sizes)[:-1]) if len(texts) else []
+    return np.split(ids, np.cumsum(sizes)[:-1])
 
 
 def decode(ids: np.ndarray, vocab: Vocabulary) -> str:
