@@ -12,10 +12,10 @@ passes one task, and nothing is broadcast: both may be of any size.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -24,11 +24,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from wardline.llm.common import WORD, materialise
+from wardline.llm.common import materialise
 
 CHUNK_CHARS = 16_000_000  # characters and documents of a chunk
 CHUNK_DOCS = 200_000
 PIECE_CHARS = 1_000_000  # characters that are compressed, or whose n-grams are sorted, at a time
+PIECE_LEVEL = 6  # of zstd: pieces are a fifth smaller than at its first level
 SHARD = 400_000  # n-grams of a shard of the model
 SALTS = 32  # parts of a language in joins by language
 
@@ -36,7 +37,7 @@ _U = np.uint64
 _BITS = 21  # of a symbol: a code point, or one of the two marks
 _START, _END = 0x110000, 0x110001
 _ONE, _TWO = (1 << _BITS) - 1, (1 << 2 * _BITS) - 1
-_WORDS = re.compile(WORD)
+_BLANKS = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#*$%&|<>"
 FALLBACK = (0.5, 1.0, 1.5)  # discounts of orders whose counts of counts give none
 
@@ -48,11 +49,18 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def _words(text: str) -> list[bytes]:
+    """The words of a text in UTF-8: bytes are split at the six ASCII blanks, and no other character holds one."""
+    return text.encode("utf-8", "surrogatepass").split()
+
+
+def _grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """First symbol, and the three others packed, of every 4-gram of a text; none for a text without words."""
     if not words:
         return np.empty(0, _U), np.empty(0, _U)
-    codes = np.frombuffer(" ".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    joined = b" ".join(words)
+    wide = joined if joined.isascii() else joined.decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass")
+    codes = np.frombuffer(wide, np.uint8 if wide is joined else np.uint32)
     s = np.concatenate([[_START] * 3, codes, [_END]]).astype(_U)
     return s[:-3], (s[1:-2] << _U(2 * _BITS)) | (s[2:-1] << _U(_BITS)) | s[3:]
 
@@ -91,7 +99,9 @@ class _Counts:
     def merge(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         parts = self.new + ([self.sums] if self.sums else [])
         first, rest, n = (np.concatenate(x) for x in zip(*parts))
-        _, at, same = np.unique(_hash(self.lang, first, rest), return_index=True, return_inverse=True)
+        same, kinds = pd.factorize(_hash(self.lang, first, rest))
+        at = np.empty(len(kinds), np.int64)
+        at[same[::-1]] = np.arange(len(same))[::-1]  # the first of equal ones
         self.sums, self.new, self.size = (first[at], rest[at], np.bincount(same, n).astype(np.int64)), [], 0
         return self.sums
 
@@ -113,37 +123,43 @@ def _count(chunk_chars: int):
 def _gram_rows(chunk: int, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
     counts: dict[int, _Counts] = {}
     for _, lang, text in rows:
-        first, rest = _grams(_WORDS.findall(text))
+        first, rest = _grams(_words(text))
         if len(first):
             counts.setdefault(lang, _Counts(lang)).add(first, rest)
     for lang, of in counts.items():
         first, rest, n = of.merge()
-        columns = (np.full(len(n), chunk), _hash(lang, first, rest).view(np.int64), np.full(len(n), lang), first.view(np.int64), rest.view(np.int64), n)
+        hashes = _hash(lang, first, rest)
+        order = np.argsort(hashes)
+        first, rest, n, hashes = first[order], rest[order], n[order], hashes[order]
+        columns = (np.full(len(n), chunk), hashes.view(np.int64), np.full(len(n), lang), first.view(np.int64), rest.view(np.int64), n)
         for at in range(0, len(n), 100_000):
             yield pa.RecordBatch.from_arrays([pa.array(c[at:at + 100_000], pa.int64()) for c in columns], _GRAM_NAMES)
 
 
 def text_rules(text: str) -> tuple[int, int, int, int, int]:
     """``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words`` of a text."""
-    words, seen, dup = _WORDS.findall(text), set(), 0
+    return _rules(text, _words(text))
+
+
+def _rules(text: str, words: list[bytes]) -> tuple[int, int, int, int, int]:
+    seen, dup = set(), 0
     for line in text.split("\n"):
         if line in seen:
             dup += 1
-        elif line.strip(" \t\n\x0b\x0c\r"):
+        elif line.strip(_BLANKS):
             seen.add(line)
     repeated = 0
     if len(words) > 8:
         h = np.fromiter(map(hash, words), np.int64, len(words)).view(_U)
-        window = np.zeros(len(words) - 7, _U)
-        for i in range(8):
-            window += _mix(h[i:len(h) - 7 + i] + _U(i * 0x9E3779B97F4A7C15 % (1 << 64)))
-        _, same, n = np.unique(window, return_inverse=True, return_counts=True)
-        at = np.flatnonzero(n[same] > 1)
+        for i in (1, 2, 4):  # of two, four and eight words
+            h = _mix(_mix(h[:-i]) + h[i:])
+        same, _ = pd.factorize(h)
+        at = np.flatnonzero(np.bincount(same)[same] > 1)
         cover = np.zeros(len(words) + 1, np.int64)
         cover[at] += 1
         np.add.at(cover, at + 8, -1)
         repeated = int((np.cumsum(cover) > 0).sum())
-    return len(words), sum(map(len, words)), sum(map(text.count, _SYMBOLS)), dup, repeated
+    return len(words), len(text) - sum(map(text.count, _BLANKS)), sum(map(text.count, _SYMBOLS)), dup, repeated
 
 
 def _pack(chunk_chars: int):
@@ -166,7 +182,7 @@ def _pieces(chunk: int, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         part = pa.RecordBatch.from_arrays([pa.array([i.as_py() for i in ids], ids[0].type), pa.array(langs, pa.int64()), pa.array(texts, pa.large_string())],
                                           ["id", "lang", "text"])
         sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", PIECE_LEVEL))) as out:
             out.write_batch(part)
         yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary()),
                                           pa.array([None], pa.binary())], ["chunk", "data", "scores"])
@@ -210,19 +226,19 @@ def _score(id_type: pa.DataType):
         hashes = np.concatenate([np.frombuffer(x.as_buffer(), _U) for x in answers["data"]] or [np.empty(0, _U)])
         logs = np.concatenate([np.frombuffer(x.as_buffer(), np.float32) for x in answers["scores"]] or [np.empty(0, np.float32)])
         order = np.argsort(hashes, kind="stable")
-        hashes, logs = hashes[order], logs[order].astype(np.float64)
+        answered, logs = pd.Index(hashes[order]), logs[order].astype(np.float64)
         out: list[list] = [[] for _ in range(9)]
         for piece in table.filter(pc.invert(given))["data"]:
             part = pa.ipc.open_stream(piece.as_buffer()).read_all()
             for doc, lang, text in zip(*part.columns):
                 lang, text = lang.as_py(), text.as_py()
-                first, rest = _grams(_WORDS.findall(text))
-                keys = _hash(lang, first, rest)
-                place = np.searchsorted(hashes, keys)
-                if len(keys) and (place.max() >= len(hashes) or (hashes[place] != keys).any()):
+                words = _words(text)
+                keys = _hash(lang, *_grams(words))
+                place = answered.get_indexer(keys)
+                if (place < 0).any():
                     raise ValueError("an n-gram has no answer: the documents changed between two reads")
                 cost = -float(logs[place].sum())
-                for column, value in zip(out, (doc.as_py(), lang, *text_rules(text), len(keys), cost)):
+                for column, value in zip(out, (doc.as_py(), lang, *_rules(text, words), len(keys), cost)):
                     column.append(value)
         types = [id_type, *[pa.int64()] * 7, pa.float64()]
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(out, types)], ["doc_id", "lang", *_RULES, "symbols", "cost"])
